@@ -7,10 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm import mixing, simhash
+import public_tokenizers
+
+from keyloom.llm import langid, mixing, packing, quality, rules, simhash, toxicity
 from keyloom.llm.common import table
 
 
+def _crc_mod(column: str, n: int):
+    """crc32 of a column's text, modulo n."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, _crc_mod("doc_id", 3) != 1)
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (_crc_mod("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans")
+
+
+def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.with_digest(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken")))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "documents"), _crc_mod("doc_id", 5) != 0)
+    return found.select("doc_id", (_crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def graded(labels: DataFrame) -> DataFrame:
+    """``labels`` with a grade from 0 to 2: low quality, toxic, good."""
+    return labels.withColumn("grade", F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, graded(table(spark, sf_dir, "labels")), _crc_mod("doc_id", 3) != 1)
+    found = quality.grades(docs, model)
+    return found.select(
+        "doc_id", (_crc_mod("doc_id", 3) == 1).alias("held_out"), "expected_grade", F.col("tails")[0].alias("p_above_0"), F.col("tails")[1].alias("p_above_1"),
+        (F.col("tails")[0] >= 0.5).alias("kept"),
+    )
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -37,6 +79,11 @@ SELECT doc_id, size, source_size, target,
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_pack_sequences": op2_pack_sequences,
+    "op3_language_id": op3_language_id,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
