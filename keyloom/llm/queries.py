@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from keyloom.llm import langid, mixing, packing, quality, rules, simhash, toxicity
+from keyloom.llm import html, langid, lines, mixing, packing, quality, rules, simhash, toxicity
 from keyloom.llm.common import table
 
 
@@ -34,6 +34,15 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op5_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", F.col("_kl_lines").alias("n_removed_lines"), F.col("_kl_words").alias("n_removed_words"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -82,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_pack_sequences": op2_pack_sequences,
     "op3_language_id": op3_language_id,
+    "op5_extract_html": op5_extract_html,
+    "op7_line_dedup": op7_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
