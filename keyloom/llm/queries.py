@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from keyloom.llm import html, langid, lines, mixing, packing, quality, rules, simhash, toxicity
+from keyloom.llm import html, langid, lines, mixing, packing, quality, rules, simhash, toxicity, vectors
 from keyloom.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_pack_sequences": op2_pack_sequences,
     "op3_language_id": op3_language_id,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_extract_html": op5_extract_html,
     "op7_line_dedup": op7_line_dedup,
     "op6_quality_rules": op6_quality_rules,
