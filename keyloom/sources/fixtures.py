@@ -22,7 +22,7 @@ TXN_FIELDS = {
     "registeredDeviceSoftwareId": "concat('RD',k%2)", "registeredDeviceSoftwareVersion": "concat('1.',k%3)",
     "certExpiryDate": "concat('202401',lpad(CAST(1+k%28 AS STRING),2,'0'))", "authDuration": "CAST(value AS STRING)", "fmrCount": "CAST(k AS STRING)",
     "firCount": "CAST(k%2 AS STRING)", "fingerMatchScore": "CAST(value AS STRING)", "faceMatchScore": "CAST(k AS STRING)",
-    "faceUsed": "CASE WHEN k%3=0 THEN 'Y' WHEN k%3=1 THEN 'N' END", "pidSize": "CAST(100+k%11 AS STRING)", "serverId": "concat('SRV',k%2)",
+    "faceUsed": "CASE WHEN event_id%3=0 THEN 'Y' WHEN event_id%3=1 THEN 'N' END", "pidSize": "CAST(100+k%11 AS STRING)", "serverId": "concat('SRV',k%2)",
 }
 BIO_FIELDS = {
     "bioType": "CASE k%3 WHEN 0 THEN 'FINGER' WHEN 1 THEN 'FACE' ELSE 'IRIS' END", "matchScore": "CAST(value AS STRING)", "faceLivenessScore": "CAST(k AS STRING)",
