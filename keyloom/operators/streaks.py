@@ -19,9 +19,9 @@ def unpivot(d: DataFrame, parts: dict[str, Column], kind: str, start: Column, en
 def counts(events: DataFrame, size: str = "60 minutes", slide: str | None = None, offset: str = "30 minutes") -> DataFrame:
     """Total, failed and successful events with a result, by key and window; three rows each, zeros included.
 
-    Partial and final hash aggregation; works alike on streams, where the watermark closes windows.
+    Partial and final hash aggregation; works alike on streams, where the watermark of ``event_time`` closes windows.
     """
-    time = F.timestamp_millis("ts")
+    time = F.col("event_time") if "event_time" in events.columns else F.timestamp_millis("ts")
     window = F.window(time, size, slide or size, offset)
     got = events.groupBy(KEY, window.alias("w")).agg(
         F.count("authResult").alias("auth_txn_count"), F.count_if(is_no()).alias("auth_txn_failure_count"), F.count_if(is_yes()).alias("auth_txn_success_count")

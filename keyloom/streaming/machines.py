@@ -1,0 +1,371 @@
+"""Signals as machines for streams: small state, one step for each event of a key, in order.
+
+A machine sees the eligible events of one key as dictionaries with ``ts`` and yields ``(feature_name, value, start)``. The
+batch operators say the same with windows; the tests hold one against the other.
+"""
+
+from __future__ import annotations
+
+import math
+from collections import deque
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+
+from keyloom.functions.parse import DAY_MS, HOUR_MS, IST_MS
+from keyloom.operators.machines import DeviceCrowd, ErrorEscalation, RateLadder
+
+Alert = tuple[str, float, int | None]
+Event = dict
+
+
+def filled(e: Event, *names: str, literal_null: bool = False) -> bool:
+    return all(e[n] is not None and e[n].strip() and not (literal_null and e[n].lower() == "null") for n in names)
+
+
+def number(e: Event, name: str) -> float | None:
+    try:
+        return float(e[name])
+    except (TypeError, ValueError):
+        return None
+
+
+def is_no(e: Event) -> bool:
+    return (e["authResult"] or "").upper() == "N"
+
+
+def is_yes(e: Event) -> bool:
+    return (e["authResult"] or "").upper() == "Y"
+
+
+def hour(ts: int) -> int:
+    return (ts + IST_MS) // HOUR_MS % 24
+
+
+@dataclass
+class Guard:
+    """Eligibility, repeats of the last event id, and times moved apart, before a machine's step."""
+
+    eligible: Callable[[Event], bool]
+    dedup: bool = False
+    nudge: bool = False
+    last_id: str | None = None
+    last_ts: int | None = None
+
+    def admit(self, e: Event) -> Event | None:
+        if not self.eligible(e):
+            return None
+        if self.dedup and e.get("eventId"):
+            if e["eventId"] == self.last_id:
+                return None
+            self.last_id = e["eventId"]
+        if self.nudge and self.last_ts is not None and e["ts"] <= self.last_ts:
+            e = e | {"ts": self.last_ts + 1}
+        self.last_ts = e["ts"]
+        return e
+
+
+@dataclass
+class Burst:
+    """Events in a time range, on a latch; ``value`` picks what to count, distinct if it is not None."""
+
+    name: str
+    width: int
+    on: int
+    off: int
+    value: str | None = None
+    seen: deque = field(default_factory=deque)
+    alerted: bool = False
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        self.seen.append((e["ts"], e[self.value] if self.value else None))
+        while self.seen[0][0] < e["ts"] - self.width:
+            self.seen.popleft()
+        n = len({v for _, v in self.seen}) if self.value else len(self.seen)
+        if n >= self.on and not self.alerted:
+            self.alerted = True
+            yield self.name, float(n), None if self.value else e["ts"] - self.width
+        elif n < self.off:
+            self.alerted = False
+
+
+@dataclass
+class Share:
+    """Share of flagged events among the last ``n``, on a latch."""
+
+    name: str
+    flag: Callable[[Event], bool]
+    n: int
+    least: int
+    on: float
+    strict: bool = False
+    seen: deque = field(default_factory=deque)
+    alerted: bool = False
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        self.seen.append(bool(self.flag(e)))
+        if len(self.seen) > self.n:
+            self.seen.popleft()
+        if len(self.seen) < self.least:
+            return
+        share = sum(self.seen) / len(self.seen)
+        on = share > self.on if self.strict else share >= self.on
+        if on and not self.alerted:
+            yield self.name, share, None
+        self.alerted = on
+
+
+@dataclass
+class Ladder:
+    """Failure share of the last ``n`` on a ladder of steps."""
+
+    n: int = 50
+    least: int = 20
+    seen: deque = field(default_factory=deque)
+    ladder: RateLadder = field(default_factory=RateLadder)
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        self.seen.append(is_no(e))
+        if len(self.seen) > self.n:
+            self.seen.popleft()
+        if len(self.seen) >= self.least and self.ladder.step(rate := sum(self.seen) / len(self.seen)):
+            yield "auth_failure_rate_rolling_v1", rate, None
+
+
+@dataclass
+class Baseline:
+    """Deviations from the running mean, the event counted."""
+
+    name: str
+    value: Callable[[Event], float | None]
+    least: int
+    on: float = 3.0
+    n: int = 0
+    mean: float = 0.0
+    squares: float = 0.0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        x = self.value(e)
+        if x is None or x <= 0:
+            return
+        self.n += 1
+        d = x - self.mean
+        self.mean += d / self.n
+        self.squares += d * (x - self.mean)
+        if self.n >= self.least and self.squares > 0:
+            z = (x - self.mean) / math.sqrt(self.squares / (self.n - 1))
+            if abs(z) > self.on:
+                yield self.name, z, None
+
+
+@dataclass
+class Diversity:
+    """Distinct values in anchored segments."""
+
+    parts: tuple[tuple[str, Callable[[Event], str | None], int], ...]
+    width: int
+    anchor: int | None = None
+    seen: list[set] = field(default_factory=list)
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if self.anchor is None or e["ts"] - self.anchor > self.width:
+            self.anchor, self.seen = e["ts"], [set() for _ in self.parts]
+        for (name, value, on), seen in zip(self.parts, self.seen):
+            v = value(e)
+            if v is not None and v not in seen:
+                seen.add(v)
+                if len(seen) == on + 1:
+                    yield name, float(on + 1), self.anchor
+
+
+@dataclass
+class Repeat:
+    """Runs of equal values."""
+
+    name: str
+    value: Callable[[Event], str]
+    length: int
+    last: str | None = None
+    n: int = 0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        v = self.value(e)
+        self.n = self.n + 1 if self.n and v == self.last else 1
+        self.last = v
+        if self.n == self.length:
+            yield self.name, float(self.n), None
+
+
+@dataclass
+class Retry:
+    """Failures and time of a retry session that a success ends."""
+
+    width: int = 120_000
+    start: int | None = None
+    n: int = 0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if is_no(e):
+            if self.start is None or e["ts"] - self.start > self.width:
+                self.start, self.n = e["ts"], 0
+            self.n += 1
+            return
+        if self.start is not None and e["ts"] - self.start <= self.width:
+            yield "auth_retry_attempts", float(self.n), self.start
+            yield "auth_retry_duration_sec", float((e["ts"] - self.start) // 1000), self.start
+        self.start, self.n = None, 0
+
+
+@dataclass
+class BruteForce:
+    """Failures in a row right before a success."""
+
+    least: int = 5
+    width: int = 300_000
+    fails: deque = field(default_factory=deque)
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if is_no(e):
+            self.fails.append(e["ts"])
+            return
+        if is_yes(e):
+            n = sum(t >= e["ts"] - self.width for t in self.fails)
+            if n >= self.least:
+                yield "auth_brute_force_compromise_v1", float(n), e["ts"] - self.width
+        self.fails.clear()
+
+
+@dataclass
+class Crowd:
+    width: int = 10_000
+    crowd: DeviceCrowd = field(default_factory=DeviceCrowd)
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if devices := self.crowd.step(e["ts"], e["deviceCode"]):
+            yield "auth_multi_device_concurrency_v1", float(len(devices)), e["ts"] - self.width
+
+
+@dataclass
+class Escalation:
+    errors: ErrorEscalation = field(default_factory=ErrorEscalation)
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        error = f"{e['errorCode'] or ''}:{e['subErrorCode'] or ''}" if is_no(e) else None
+        if got := self.errors.step(e["ts"], error):
+            yield "auth_progressive_error_escalation", float(len(set(got[1]))), got[0]
+
+
+@dataclass
+class Gaps:
+    """Seconds since the event, failure or success before."""
+
+    last: dict[str, int] = field(default_factory=dict)
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        for name, hit in (("auth_txn_gap_sec", True), ("auth_txn_failure_gap_sec", is_no(e)), ("auth_txn_success_gap_sec", is_yes(e))):
+            if hit:
+                if name in self.last:
+                    yield name, (e["ts"] - self.last[name]) / 1000, self.last[name]
+                self.last[name] = e["ts"]
+
+
+@dataclass
+class Border:
+    """Minutes between events in different states."""
+
+    within: int = 2 * HOUR_MS
+    last: tuple[int, str] | None = None
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if self.last and self.last[1] != e["locationStateCode"] and 0 < e["ts"] - self.last[0] < self.within:
+            yield "auth_cross_border_velocity_v1", (e["ts"] - self.last[0]) / 60_000, self.last[0]
+        self.last = e["ts"], e["locationStateCode"]
+
+
+@dataclass
+class Dormancy:
+    """Hours since the event before, on a success after a long gap."""
+
+    least: int = 2
+    gap: int = 7 * DAY_MS
+    n: int = 0
+    last: int = 0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if self.n >= self.least and is_yes(e) and e["ts"] - self.last >= self.gap:
+            yield "auth_dormancy_resurrection", round((e["ts"] - self.last) / HOUR_MS, 2), self.last
+        self.n, self.last = self.n + 1, e["ts"]
+
+
+def _any(e: Event) -> bool:
+    return True
+
+
+def _none_used(e: Event) -> bool:
+    return all(int(number(e, c) or 0) == 0 for c in ("fmrCount", "firCount")) and (e["faceUsed"] or "N").upper() == "N"
+
+
+#: By signal: the fields that it reads, and a new guard and machine. All read eventId.
+MACHINES: dict[str, tuple[list[str], Callable[[], tuple[Guard, object]]]] = {
+    "auth_velocity_spike": ([], lambda: (Guard(_any), Burst("auth_velocity_spike_v1", 60_000, 15, 7))),
+    "auth_failure_burst": (["authResult"], lambda: (Guard(is_no), Burst("auth_failure_burst_v1", 30_000, 8, 4))),
+    "auth_enrolment_hammering": (["enrolmentReferenceId"], lambda: (Guard(lambda e: filled(e, "enrolmentReferenceId", literal_null=True)), Burst("auth_enrolment_hammering_v1", HOUR_MS, 5, 3))),
+    "auth_rapid_device_switch": (["deviceCode"], lambda: (Guard(lambda e: filled(e, "deviceCode"), True, True), Burst("auth_rapid_device_switch_v1", 600_000, 4, 3, "deviceCode"))),
+    "auth_failure_rate": (["authResult"], lambda: (Guard(lambda e: e["authResult"] is not None, True, True), Ladder())),
+    "auth_otp_fallback": (["authType"], lambda: (Guard(lambda e: e["authType"] is not None, True, True), Share("auth_otp_fallback_ratio_v1", lambda e: e["authType"] in ("O", "OTP"), 30, 10, 0.5))),
+    "auth_success_without_bio": (["authResult", "fmrCount", "firCount", "faceUsed"], lambda: (Guard(is_yes, True, True), Share("auth_success_without_bio_ratio_v1", _none_used, 30, 10, 0.4))),
+    "auth_location_mismatch": (
+        ["locationStateCode", "residentStateCode"],
+        lambda: (Guard(lambda e: filled(e, "locationStateCode", "residentStateCode"), True, True), Share("auth_location_resident_mismatch_v1", lambda e: e["locationStateCode"].strip().upper() != e["residentStateCode"].strip().upper(), 20, 10, 0.6)),
+    ),
+    "auth_night_surge": ([], lambda: (Guard(_any, True, True), Share("auth_night_surge_v1", lambda e: hour(e["ts"]) >= 23 or hour(e["ts"]) < 5, 200, 50, 0.4))),
+    "auth_duration_outlier": (["authDuration"], lambda: (Guard(_any), Baseline("auth_duration_outlier_v1", lambda e: number(e, "authDuration"), 20))),
+    "auth_pid_size_anomaly": (["pidSize"], lambda: (Guard(_any), Baseline("auth_pid_size_anomaly_v1", lambda e: number(e, "pidSize"), 10))),
+    "auth_multi_device": (["deviceCode"], lambda: (Guard(lambda e: filled(e, "deviceCode")), Crowd())),
+    "auth_geo_drift": (
+        ["locationStateCode", "locationDistrictCode"],
+        lambda: (
+            Guard(lambda e: e["locationStateCode"] is not None or e["locationDistrictCode"] is not None),
+            Diversity(
+                tuple((n, lambda e, c=c: e[c] if filled(e, c) else None, on) for n, c, on in (("auth_geo_states_drift_v1", "locationStateCode", 2), ("auth_geo_districts_drift_v1", "locationDistrictCode", 5))), HOUR_MS
+            ),
+        ),
+    ),
+    "auth_device_diversity": (["deviceCode"], lambda: (Guard(lambda e: filled(e, "deviceCode")), Diversity((("auth_device_diversity_v1", lambda e: e["deviceCode"], 3),), 2 * HOUR_MS))),
+    "auth_model_diversity": (["modelId"], lambda: (Guard(lambda e: filled(e, "modelId")), Diversity((("auth_model_diversity_v1", lambda e: e["modelId"], 2),), 4 * HOUR_MS))),
+    "auth_provider_switch": (["deviceProviderId"], lambda: (Guard(lambda e: filled(e, "deviceProviderId")), Diversity((("auth_device_provider_switch_v1", lambda e: e["deviceProviderId"], 1),), 4 * HOUR_MS))),
+    "auth_aua_sa_diversity": (["aua", "sa"], lambda: (Guard(lambda e: filled(e, "aua", "sa")), Diversity((("auth_aua_sa_diversity_v1", lambda e: f"{e['aua'].strip()}:{e['sa'].strip()}", 8),), 2 * HOUR_MS))),
+    "auth_error_spray": (["subErrorCode"], lambda: (Guard(lambda e: filled(e, "subErrorCode", literal_null=True), True, True), Diversity((("auth_multi_error_spray_v1", lambda e: e["subErrorCode"], 7),), HOUR_MS))),
+    "auth_packet_replay": (
+        ["aua", "sa", "authType", "errorCode", "deviceCode", "pidSize", "fmrCount"],
+        lambda: (Guard(_any, True, True), Repeat("auth_packet_replay_v1", lambda e: "|".join(e[c] if filled(e, c) else "null" for c in ("aua", "sa", "authType", "errorCode", "deviceCode", "pidSize", "fmrCount")), 3)),
+    ),
+    "auth_retry_session": (["authResult"], lambda: (Guard(lambda e: is_no(e) or is_yes(e)), Retry())),
+    "auth_brute_force": (["authResult"], lambda: (Guard(lambda e: filled(e, "authResult")), BruteForce())),
+    "auth_error_escalation": (["authResult", "errorCode", "subErrorCode"], lambda: (Guard(lambda e: is_no(e) or is_yes(e), True), Escalation())),
+    "auth_txn_gaps": (["authResult"], lambda: (Guard(_any), Gaps())),
+    "auth_cross_border": (["locationStateCode"], lambda: (Guard(lambda e: filled(e, "locationStateCode"), True, True), Border())),
+    "auth_dormancy": (["authResult"], lambda: (Guard(lambda e: filled(e, "authResult"), True), Dormancy())),
+}
+
+
+class Bundle:
+    """Many machines over one key's events; what is kept between events is ``state``, without functions."""
+
+    def __init__(self, names: list[str]) -> None:
+        self.pairs = [(n, *MACHINES[n][1]()) for n in names]
+
+    def step(self, e: Event) -> Iterator[tuple[str, float, int, int | None]]:
+        """``(feature_name, value, ts, start)`` of the alerts at this event."""
+        for _, guard, machine in self.pairs:
+            if (own := guard.admit(e)) is not None:
+                for name, value, start in machine.step(own):
+                    yield name, value, own["ts"], start
+
+    def state(self) -> dict[str, tuple[dict, dict]]:
+        return {n: ({k: v for k, v in vars(g).items() if not callable(v)}, {k: v for k, v in vars(m).items() if not callable(v) and k != "parts"}) for n, g, m in self.pairs}
+
+    def restore(self, state: dict[str, tuple[dict, dict]]) -> None:
+        for n, guard, machine in self.pairs:
+            if n in state:
+                vars(guard).update(state[n][0])
+                vars(machine).update(state[n][1])

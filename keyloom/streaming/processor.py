@@ -1,0 +1,89 @@
+"""Signals on streams: one stateful operator for all of a key's machines, in event-time order."""
+
+from __future__ import annotations
+
+import pickle
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from keyloom.operators.kernels import KEY
+from keyloom.streaming.machines import MACHINES, Bundle
+
+ALERT = "entity_id string, feature_name string, feature_type string, feature_value double, event_ts_ms bigint, window_start_ms bigint, window_end_ms bigint, comments string"
+
+
+class SignalProcessor(StatefulProcessor):
+    """Holds a key's events until the watermark passes them, then steps them, in order, through the machines.
+
+    ``waiting`` maps a time to its events; one timer stands at the earliest. ``machines`` is the bundle's state. A key
+    idle for ``idle_ms`` of event time drops its state.
+    """
+
+    def __init__(self, names: list[str], fields: list[str], idle_ms: int | None) -> None:
+        self.names, self.fields, self.idle = names, fields, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "ts bigint", "events binary")
+        self.machines = handle.getValueState("machines", "state binary, last_ts bigint")
+
+    def _drain(self, key: str, watermark: int) -> pd.DataFrame:
+        due = sorted(k[0] for k in self.waiting.keys() if k[0] <= watermark)
+        out = []
+        bundle, last = Bundle(self.names), None
+        held = self.machines.get() if self.machines.exists() else None
+        if held is not None:
+            last = held[1]
+            if self.idle is None or not due or due[0] - last <= self.idle:
+                bundle.restore(pickle.loads(held[0]))
+        for ts in due:
+            if self.idle is not None and last is not None and ts - last > self.idle:
+                bundle = Bundle(self.names)
+            for e in sorted(pickle.loads(self.waiting.getValue((ts,))[0]), key=lambda e: e["event_id"]):
+                out += [(key, name, "", float(value), at, start, at, None) for name, value, at, start in bundle.step(e)]
+            self.waiting.removeKey((ts,))
+            last = ts
+        if due:
+            self.machines.update((pickle.dumps(bundle.state()), last))
+        if left := [k[0] for k in self.waiting.keys()]:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t[0] if isinstance(t, tuple) else t)
+            self.handle.registerTimer(min(left))
+        frame = pd.DataFrame(out, columns=[c.split()[0] for c in ALERT.split(", ")])
+        return frame.astype({"event_ts_ms": "int64", "window_start_ms": "Int64", "window_end_ms": "int64"})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            for ts, part in frame.groupby("ts"):
+                events = [{k: None if v is None or v != v else v for k, v in r.items()} | {"ts": int(ts)} for r in part.drop(columns=["event_time"]).to_dict("records")]
+                before = pickle.loads(self.waiting.getValue((int(ts),))[0]) if self.waiting.containsKey((int(ts),)) else []
+                self.waiting.updateValue((int(ts),), (pickle.dumps(before + events),))
+        yield self._drain(key[0], timerValues.getCurrentWatermarkInMs() - 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._drain(key[0], timerValues.getCurrentWatermarkInMs() - 1)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_alerts(events: DataFrame, names: list[str] | None = None, idle_ms: int | None = None) -> DataFrame:
+    """Alerts of ``names`` (all with a machine) over a stream of events with ``event_time`` and a watermark.
+
+    One exchange by key carries only the fields that the machines read. Needs the RocksDB state store; the newest
+    events of a key wait until the watermark passes them.
+    """
+    names = list(names or MACHINES)
+    fields = sorted({f for n in names for f in MACHINES[n][0]})
+    # events later than the watermark come out of order and are dropped by the filter of the watermark
+    chosen = events.select(KEY, "ts", "event_id", "eventId", "event_time", *fields)
+    return chosen.groupBy(KEY).transformWithStateInPandas(SignalProcessor(names, fields, idle_ms), ALERT, "Append", "EventTime")
+
+
+def count_late(events: DataFrame, watermark_ms: int) -> DataFrame:
+    """How many events of a batch lie behind a watermark."""
+    return events.agg(F.count_if(F.col("ts") < watermark_ms).alias("late"), F.count(F.lit(1)).alias("events"))
