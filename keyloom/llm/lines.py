@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +22,12 @@ def split_lines(text: str) -> list[str]:
     return LINE.findall(text)
 
 
-def windows(lines: list[str], min_words: int) -> dict[int, list[tuple[int, int, int]]]:
-    """Windows by the hash of their fingerprint: ``{fingerprint: [(start, end, content hash)]}``.
+def windows(lines: list[str], min_words: int) -> dict[int, tuple[int, list[tuple[int, int, int]]]]:
+    """Windows by their fingerprint: ``{fingerprint: (places, [(start, end, content hash)])}``.
 
     A window is a shortest run of lines from ``start`` on with at least ``min_words`` words. Its fingerprint is the
     least line hash in it, so two texts that share a run of that many words share a window, hence its fingerprint.
+    ``places`` is how many lines of the text have that hash.
     """
     hashes = [xxh64_intdigest(x.strip()) for x in lines]
     sizes = np.array([len(x.split()) for x in lines], dtype=np.int64)
@@ -37,7 +39,8 @@ def windows(lines: list[str], min_words: int) -> dict[int, list[tuple[int, int,
         own = hashes[start:end]
         content = xxh64_intdigest(np.array(own, dtype="<u8").tobytes())
         found.setdefault(min(own), []).append((int(start), end, content))
-    return found
+    places = Counter(hashes)
+    return {f: (places[f], own) for f, own in found.items()}
 
 
 def _signed(values: list[int]) -> pa.Array:
@@ -49,14 +52,15 @@ def _fingerprint_rows(min_words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, prints, spans = [], [], []
+            rows, prints, places, spans = [], [], [], []
             for i, text in enumerate(batch.column(2)):
-                for fingerprint, own in windows(split_lines(text.as_py() or ""), min_words).items():
+                for fingerprint, (n, own) in windows(split_lines(text.as_py() or ""), min_words).items():
                     rows.append(i)
+                    places.append(n)
                     prints.append(fingerprint)
                     spans.append([{"start": s, "end": e, "content": c - (1 << 64) if c >> 63 else c} for s, e, c in own])
             at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), _signed(prints), pa.array(spans, span)], ["doc_id", "version", "print", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), _signed(prints), pa.array(places, pa.int32()), pa.array(spans, span)], ["doc_id", "version", "print", "places", "spans"])
 
     return run
 
@@ -64,7 +68,7 @@ def _fingerprint_rows(min_words: int):
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
     """``doc_id, version, runs`` of the documents with lines that repeat an earlier run; runs are ``start, end`` of lines.
 
-    Fingerprints that occur twice or more are joined with the positions of their windows. Of each window content the
+    Fingerprints in two places or more, of one document or several, are joined with the positions of their windows. Of each window content the
     earliest position, by id, version (a hash of the text) and line, stays; the others are repeated. Repeated windows that
     overlap or touch join up: that extends a match line by line both ways, as far as it is ``min_words`` long. A
     window content costs one row a position and no pair of positions is formed, so a passage in a third of all
@@ -74,10 +78,9 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kind = type_of(docs, id_col)
     rows = cut(
         docs.select(F.col(id_col).alias("doc_id"), version.alias("version"), F.col(text_col).alias("text"))
-        .mapInArrow(_fingerprint_rows(min_words), f"doc_id {kind}, version bigint, print bigint, spans array<struct<start int, end int, content bigint>>")
+        .mapInArrow(_fingerprint_rows(min_words), f"doc_id {kind}, version bigint, print bigint, places int, spans array<struct<start int, end int, content bigint>>")
     )
-    # a fingerprint with several windows in one document may repeat there
-    often = rows.groupBy("print").agg(F.sum(F.size("spans")).alias("n")).where("n > 1").select("print")
+    often = rows.groupBy("print").agg(F.sum("places").alias("n")).where("n > 1").select("print")
     placed = rows.join(often, "print").select("doc_id", "version", F.inline("spans"))
     placed = cut(placed.distinct())
     first = placed.groupBy("content").agg(F.min(F.struct("doc_id", "version", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
