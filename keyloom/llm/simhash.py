@@ -20,23 +20,32 @@ SHARD_ROWS = 8192
 GROUP_ROWS = 32_768
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """The fingerprint of one text; 0 where it has no word."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of a text's shingles, repeats included; of the whole sequence if it is shorter, of none without words."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, dtype=np.uint64)
     if len(words) < shingle:
         grams = [b" ".join(words)]
     elif shingle == 3:
         grams = [b"%b %b %b" % x for x in zip(words, words[1:], words[2:])]
     else:
         grams = [b" ".join(x) for x in zip(*(words[i:] for i in range(shingle)))]
+    return np.fromiter(map(xxh64_intdigest, grams, repeat(SEED)), dtype=np.uint64, count=len(grams))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half of the hashes; 0 without any."""
     counts = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(grams), 1 << 16):
-        part = grams[at : at + (1 << 16)]
-        h = np.fromiter(map(xxh64_intdigest, part, repeat(SEED)), dtype=np.uint64, count=len(part))
-        counts += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(grams)).tobytes(), "big")
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)]
+        counts += np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """The fingerprint of one text; 0 where it has no word."""
+    return fingerprint_of(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -120,32 +129,33 @@ def _shard_links(radius: int):
     return run
 
 
+def deal(rows: DataFrame, total: int, most: int, together: int) -> DataFrame:
+    """``rows`` with a column ``shard`` in groups ``g`` for one task each, with ``piece`` and ``slices``; lone rows of a shard go.
+
+    Small shards share groups of ``together`` rows or so, of ``total`` in all. A shard of more than ``most`` rows is
+    dealt into slices by a hash of ``node``, and each pair of slices is a piece and a group of its own, so that a dense
+    shard spreads over many tasks of bounded memory.
+    """
+    counts = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    slices = F.when(F.col("n") > most, F.ceil(F.col("n") / F.lit(most // 2)).cast("int")).otherwise(F.lit(1))
+    mine = F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
+    both = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda t: F.least(F.col("mine"), t) * F.col("slices") + F.greatest(F.col("mine"), t))
+    group = F.when(F.col("slices") > 1, F.concat_ws("/", "shard", "piece")).otherwise(F.concat(F.lit("g"), F.pmod(F.xxhash64("shard"), F.lit(total // together + 32))))
+    dealt = rows.join(counts, "shard").withColumn("slices", slices).withColumn("mine", mine).withColumn("piece", F.explode(both)).withColumn("piece", F.col("piece").cast("long"))
+    return dealt.withColumn("g", group).drop("n", "mine", "slices")
+
+
 def fingerprint_links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     """Links ``(a, b)`` that join all of ``distinct.fp`` within ``radius`` bits of each other, a forest for each shard.
 
     Values within ``radius`` bits agree on one of ``radius + 1`` blocks of bits, so each block's value names a shard
-    and no pair is lost. A shard of more than SHARD_ROWS values is dealt into slices, and each pair of slices gets a
-    tree of its own, so that a dense shard spreads over many tasks of bounded memory.
+    and no pair is lost.
     """
     blocks = radius + 1
     width = 64 // blocks
     keys = [F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << width) - 1)) + F.lit(i << (width + 1)) for i in range(blocks)]
-    keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("shard"))
-    counts = keyed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    n_slices = F.ceil(F.col("n") / F.lit(SHARD_ROWS // 2)).cast("int")
-    mine = F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int")
-    both = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda t: F.least(F.col("mine"), t) * F.col("slices") + F.greatest(F.col("mine"), t))
-    dealt = (
-        keyed.join(counts, "shard")
-        .withColumn("slices", F.when(F.col("n") > SHARD_ROWS, n_slices).otherwise(F.lit(1)))
-        .withColumn("mine", mine)
-        .select("fp", "shard", F.explode(both).alias("piece"), F.col("slices"))
-    )
-    # shards share groups of GROUP_ROWS rows or so; each piece of a dealt shard is a group of its own
-    groups = distinct.count() * blocks // GROUP_ROWS + 32
-    group = F.when(F.col("slices") > 1, F.concat_ws("/", "shard", "piece")).otherwise(F.concat(F.lit("g"), F.pmod(F.xxhash64("shard"), F.lit(groups))))
-    grouped = dealt.select("fp", F.col("shard").cast("long"), F.col("piece").cast("long"), group.alias("g"))
-    return grouped.groupBy("g").applyInArrow(_shard_links(radius), "a bigint, b bigint")
+    keyed = distinct.select("fp", F.col("fp").alias("node"), F.explode(F.array(*[k.cast("long") for k in keys])).alias("shard"))
+    return deal(keyed, distinct.count() * blocks, SHARD_ROWS, GROUP_ROWS).select("fp", "shard", "piece", "g").groupBy("g").applyInArrow(_shard_links(radius), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -167,12 +177,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, that with the smallest id; rows in a group without ids stay.
+def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group in ``found`` (``doc_id``, ``component_id``), that with the smallest id; groups without ids stay.
 
-    Rows that repeat an id are one document: the first by text of those is kept.
+    Rows that repeat an id are one document: the first of those by a hash of the text is kept.
     """
-    found = near_duplicates(docs, **options)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_kl_n"))
     kept = kept.withColumnRenamed("doc_id", "_kl_id")
     rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kl_id")))
