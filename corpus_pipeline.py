@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm import lines, mixing, packing, quality, simhash
+from keyloom.llm import lines, mixing, packing, quality, simhash, similar
 from keyloom.llm.common import shared_dir, table
 from keyloom.llm.queries import graded
 
@@ -29,8 +29,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group whose fingerprints link."""
-    return simhash.keep_one(docs)
+    """One document, that with the smallest id, of each group of texts of a similarity of 0.8 or more in five-word shingles."""
+    return simhash.keep_one(docs, similar.similar_groups(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
