@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -22,25 +23,24 @@ def split_lines(text: str) -> list[str]:
     return LINE.findall(text)
 
 
-def windows(lines: list[str], min_words: int) -> dict[int, tuple[int, list[tuple[int, int, int]]]]:
-    """Windows by their fingerprint: ``{fingerprint: (places, [(start, end, content hash)])}``.
+def windows(lines: list[str], min_words: int) -> tuple[dict[int, list[int]], Counter, np.ndarray, list[int]]:
+    """The windows of a text: ``{fingerprint: [starts]}``, line hashes with their counts, ends and content hashes by start.
 
     A window is a shortest run of lines from ``start`` on with at least ``min_words`` words. Its fingerprint is the
     least line hash in it, so two texts that share a run of that many words share a window, hence its fingerprint.
-    ``places`` is how many lines of the text have that hash.
     """
     hashes = [xxh64_intdigest(x.strip()) for x in lines]
-    sizes = np.array([len(x.split()) for x in lines], dtype=np.int64)
+    sizes = np.fromiter((len(x.split()) for x in lines), dtype=np.int64, count=len(lines))
     upto = np.concatenate(([0], np.cumsum(sizes)))
     ends = np.searchsorted(upto, upto[:-1] + min_words)
-    found: dict[int, list[tuple[int, int, int]]] = {}
-    for start in np.flatnonzero((ends < len(upto)) & (sizes > 0)):
+    flat = np.array(hashes, dtype="<u8").tobytes()
+    contents = [0] * len(lines)
+    found: dict[int, list[int]] = {}
+    for start in np.flatnonzero((ends < len(upto)) & (sizes > 0)).tolist():
         end = int(ends[start])
-        own = hashes[start:end]
-        content = xxh64_intdigest(np.array(own, dtype="<u8").tobytes())
-        found.setdefault(min(own), []).append((int(start), end, content))
-    places = Counter(hashes)
-    return {f: (places[f], own) for f, own in found.items()}
+        contents[start] = xxh64_intdigest(flat[8 * start : 8 * end])
+        found.setdefault(min(hashes[start:end]), []).append(start)
+    return found, Counter(hashes), ends, contents
 
 
 def _signed(values: list[int]) -> pa.Array:
@@ -48,19 +48,25 @@ def _signed(values: list[int]) -> pa.Array:
 
 
 def _fingerprint_rows(min_words: int):
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("content", pa.int64())]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, prints, places, spans = [], [], [], []
+            rows, prints, places, offsets, starts, ends, contents = [], [], [], [0], [], [], []
             for i, text in enumerate(batch.column(2)):
-                for fingerprint, (n, own) in windows(split_lines(text.as_py() or ""), min_words).items():
+                found, count, own_ends, own_contents = windows(split_lines(text.as_py() or ""), min_words)
+                for fingerprint, own in found.items():
                     rows.append(i)
-                    places.append(n)
                     prints.append(fingerprint)
-                    spans.append([{"start": s, "end": e, "content": c - (1 << 64) if c >> 63 else c} for s, e, c in own])
+                    places.append(count[fingerprint])
+                    starts += own
+                    offsets.append(len(starts))
+                    contents += [own_contents[s] for s in own]
+                    ends.append(own_ends[own])
             at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), _signed(prints), pa.array(places, pa.int32()), pa.array(spans, span)], ["doc_id", "version", "print", "places", "spans"])
+            end = pa.array(np.concatenate(ends).astype(np.int32) if ends else np.empty(0, np.int32))
+            spans = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), end, _signed(contents)], names=["start", "end", "content"])
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)
+            columns = [batch.column(0).take(at), batch.column(1).take(at), _signed(prints), pa.array(places, pa.int32()), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "version", "print", "places", "spans"])
 
     return run
 
@@ -83,7 +89,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     often = rows.groupBy("print").agg(F.sum("places").alias("n")).where("n > 1").select("print")
     placed = rows.join(often, "print").select("doc_id", "version", F.inline("spans"))
     placed = cut(placed.distinct())
-    first = placed.groupBy("content").agg(F.min(F.struct("doc_id", "version", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that the join below shuffles both sides and Spark may split a content that very many texts share
+    first = cut(placed.groupBy("content").agg(F.min(F.struct("doc_id", "version", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     own = F.struct("doc_id", "version", "start")
     later = placed.join(first, "content").where(own != F.col("first"))
     return later.groupBy("doc_id", "version").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("runs"))
@@ -112,16 +119,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lines, words = batch.column(at).to_pylist(), [], []
-            for i, own in enumerate(batch.column(len(names)).to_pylist()):
-                cut_lines = split_lines(texts[i]) if own else []
-                gone = _removed(len(cut_lines), own)
-                if own:
-                    texts[i] = "".join(x for x, g in zip(cut_lines, gone) if not g)
-                lines.append(int(gone.sum()))
-                words.append(sum(len(x.split()) for x, g in zip(cut_lines, gone) if g))
-            columns = [*batch.columns[: len(names)], pa.array(lines, pa.int64()), pa.array(words, pa.int64())]
-            columns[at] = pa.array(texts, pa.string())
+            own = batch.column(len(names))
+            hit = np.flatnonzero(own.is_valid().to_numpy(zero_copy_only=False))
+            lines, words, texts = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows, dtype=np.int64), []
+            for i in hit:
+                parts = split_lines(batch.column(at)[i].as_py() or "")
+                gone = _removed(len(parts), own[i].as_py())
+                texts.append("".join(x for x, g in zip(parts, gone) if not g))
+                lines[i], words[i] = gone.sum(), sum(len(x.split()) for x, g in zip(parts, gone) if g)
+            mask = np.zeros(batch.num_rows, dtype=bool)
+            mask[hit] = True
+            columns = [*batch.columns[: len(names)], pa.array(lines), pa.array(words)]
+            columns[at] = pa.compute.replace_with_mask(columns[at], pa.array(mask), pa.array(texts, columns[at].type))
             yield pa.RecordBatch.from_arrays(columns, [*names, "_kl_lines", "_kl_words"])
 
     schema = docs.select(*names).withColumns({"_kl_lines": F.lit(0).cast("long"), "_kl_words": F.lit(0).cast("long")}).schema
