@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -27,12 +28,13 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     return out
 
 
-def parts(word: str) -> set[int]:
+@lru_cache(maxsize=50_000)
+def parts(word: str) -> frozenset[int]:
     """Hashes of a word and of its 4- and 5-character pieces, ends marked: inflected and compound forms share pieces."""
     marked = f"^{word}$"
     own = {marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1)}
     own.add(marked)
-    return {crc32(x.encode()) for x in own}
+    return frozenset(crc32(x.encode()) for x in own)
 
 
 class Model:
@@ -82,7 +84,7 @@ def train(
     docs: DataFrame,
     labels: DataFrame,
     learn: Column,
-    max_docs: int = 12_000,
+    max_docs: int = 8_000,
     rounds: int = 300,
     rate: float = 0.05,
     penalty: float = 1e-4,
