@@ -86,10 +86,10 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         docs.select(F.col(id_col).alias("doc_id"), version.alias("version"), F.col(text_col).alias("text"))
         .mapInArrow(_fingerprint_rows(min_words), f"doc_id {kind}, version bigint, print bigint, places int, spans array<struct<start int, end int, content bigint>>")
     )
-    often = rows.groupBy("print").agg(F.sum("places").alias("n")).where("n > 1").select("print")
+    # what is counted is written, so that the joins shuffle both sides and Spark may split a value that very many texts share
+    often = cut(rows.groupBy("print").agg(F.sum("places").alias("n")).where("n > 1").select("print"))
     placed = rows.join(often, "print").select("doc_id", "version", F.inline("spans"))
     placed = cut(placed.distinct())
-    # written, so that the join below shuffles both sides and Spark may split a content that very many texts share
     first = cut(placed.groupBy("content").agg(F.min(F.struct("doc_id", "version", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     own = F.struct("doc_id", "version", "start")
     later = placed.join(first, "content").where(own != F.col("first"))
