@@ -10,6 +10,7 @@ import math
 from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 from keyloom.functions.parse import DAY_MS, HOUR_MS, IST_MS
 from keyloom.operators.machines import DeviceCrowd, ErrorEscalation, RateLadder
@@ -296,6 +297,518 @@ class Dormancy:
         self.n, self.last = self.n + 1, e["ts"]
 
 
+@dataclass
+class Slope:
+    """Least-squares slope of the last ``n`` positive scores, on a latch that opens at half the threshold."""
+
+    name: str
+    field: str
+    n: int
+    on: float
+    seen: deque = field(default_factory=deque)
+    alerted: bool = False
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        y = number(e, self.field)
+        if y is None or y <= 0:
+            return
+        self.seen.append(y)
+        if len(self.seen) > self.n:
+            self.seen.popleft()
+        if len(self.seen) < self.n:
+            return
+        mid = (self.n - 1) / 2
+        slope = sum((i - mid) * v for i, v in enumerate(self.seen)) / sum((i - mid) ** 2 for i in range(self.n))
+        if slope <= self.on and not self.alerted:
+            self.alerted = True
+            yield self.name, slope, None
+        elif slope > self.on / 2:
+            self.alerted = False
+
+
+@dataclass
+class Spread:
+    """Population deviation of the last ``n`` positive fmr counts, on a latch."""
+
+    n: int = 10
+    on: float = 15.0
+    off: float = 7.5
+    seen: deque = field(default_factory=deque)
+    alerted: bool = False
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        self.seen.append(int(e["fmrCount"].strip()))
+        if len(self.seen) > self.n:
+            self.seen.popleft()
+        if len(self.seen) < self.n:
+            return
+        mean = sum(self.seen) / self.n
+        sd = math.sqrt(sum((v - mean) ** 2 for v in self.seen) / self.n)
+        if sd >= self.on and not self.alerted:
+            self.alerted = True
+            yield "auth_fmr_count_anomaly_v1", sd, None
+        elif sd < self.off:
+            self.alerted = False
+
+
+@dataclass
+class Cliff:
+    """Fall of the recent success rate below the longer one, in points, on a latch."""
+
+    n: int = 50
+    recent: int = 10
+    on: float = 40.0
+    off: float = 20.0
+    seen: deque = field(default_factory=deque)
+    alerted: bool = False
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        self.seen.append(is_yes(e))
+        if len(self.seen) > self.n:
+            self.seen.popleft()
+        if len(self.seen) < self.n:
+            return
+        fall = (sum(self.seen) / self.n - sum(list(self.seen)[-self.recent :]) / self.recent) * 100
+        if fall >= self.on and not self.alerted:
+            self.alerted = True
+            yield "auth_success_ratio_cliff", round(fall, 2), None
+        elif fall < self.off:
+            self.alerted = False
+
+
+@dataclass
+class Switches:
+    """Changes between neighbours among the last ``n`` values, on a latch."""
+
+    n: int = 10
+    on: int = 6
+    off: int = 4
+    seen: deque = field(default_factory=deque)
+    alerted: bool = False
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        self.seen.append(e["authType"])
+        if len(self.seen) > self.n:
+            self.seen.popleft()
+        if len(self.seen) < self.n:
+            return
+        values = list(self.seen)
+        n = sum(x != y for x, y in zip(values, values[1:]))
+        if n >= self.on and not self.alerted:
+            self.alerted = True
+            yield "auth_modality_switch_v1", float(n), None
+        elif n < self.off:
+            self.alerted = False
+
+
+@dataclass
+class Entropy:
+    """Entropy of the hours' histogram at each ``every`` events."""
+
+    every: int = 50
+    hours: dict[int, int] = field(default_factory=dict)
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        h = hour(e["ts"])
+        self.hours[h] = self.hours.get(h, 0) + 1
+        n = sum(self.hours.values())
+        if n % self.every == 0:
+            bits = -sum(c / n * math.log2(c / n) for c in self.hours.values())
+            if bits < 1.5 or bits > 4.2:
+                yield "auth_time_entropy_bits_v1", bits, None
+
+
+@dataclass
+class Concentration:
+    """Largest share of one value in an anchored segment, or a chunk of events, on a latch that begins anew with each."""
+
+    name: str
+    value: Callable[[Event], str]
+    least: int
+    on: float
+    width: int | None = None
+    chunk: int | None = None
+    only: bool | None = None
+    anchor: int | None = None
+    seen: dict = field(default_factory=dict)
+    alerted: bool = False
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        full = self.chunk is not None and sum(self.seen.values()) == self.chunk
+        if self.anchor is None or full or (self.width is not None and e["ts"] - self.anchor > self.width):
+            self.anchor, self.seen, self.alerted = e["ts"], {}, False
+        v = self.value(e)
+        self.seen[v] = self.seen.get(v, 0) + 1
+        n = sum(self.seen.values())
+        if n < self.least:
+            return
+        share = (max(self.seen.values()) if self.only is None else self.seen.get(self.only, 0)) / n
+        if share > self.on and not self.alerted:
+            self.alerted = True
+            yield self.name, share, self.anchor if self.width is not None else None
+        elif share <= self.on:
+            self.alerted = False
+
+
+@dataclass
+class Uptime:
+    """Sessions without a long break, once they last long enough."""
+
+    gap: int = 1_800_000
+    least: int = 18 * HOUR_MS
+    start: int | None = None
+    last: int = 0
+    alerted: bool = False
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if self.start is None or e["ts"] - self.last > self.gap:
+            self.start, self.alerted = e["ts"], False
+        elif e["ts"] - self.start >= self.least and not self.alerted:
+            self.alerted = True
+            yield "auth_ghost_uptime_v1", (e["ts"] - self.start) / HOUR_MS, self.start
+        self.last = e["ts"]
+
+
+@dataclass
+class Recovery:
+    """Time from the last failure to a success, after several failures."""
+
+    least: int = 5
+    within: int = 1000
+    n: int = 0
+    last: int = 0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if is_no(e):
+            self.n, self.last = self.n + 1, e["ts"]
+        elif is_yes(e):
+            if self.n >= self.least and 0 < e["ts"] - self.last <= self.within:
+                yield "auth_bot_failure_recovery_speed_v1", float(e["ts"] - self.last), None
+            self.n = 0
+
+
+@dataclass
+class Software:
+    """Changes of device software, counted."""
+
+    last: tuple | None = None
+    at: int = 0
+    n: int = 0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        now = e["registeredDeviceSoftwareId"], e["registeredDeviceSoftwareVersion"]
+        if self.last is not None and now != self.last:
+            self.n += 1
+            yield "auth_rd_software_change_v1", float(self.n), self.at
+        self.last, self.at = now, e["ts"]
+
+
+@dataclass
+class Pairs:
+    """Pairs of AUA and device never used before."""
+
+    least: int = 10
+    n: int = 0
+    known: set = field(default_factory=set)
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        self.n += 1
+        pair = e["aua"], e["deviceCode"]
+        if pair not in self.known:
+            if self.n > self.least:
+                yield "auth_aua_device_correlation_break", float(len(self.known)), None
+            self.known.add(pair)
+
+
+@dataclass
+class Home:
+    """Events away from the most frequent location; each location alerts once in a while."""
+
+    least: int = 15
+    cooldown: int = HOUR_MS
+    seen: dict = field(default_factory=dict)
+    alerted: dict = field(default_factory=dict)
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        district = e["locationDistrictCode"]
+        place = f"{e['locationStateCode']}|{'UNKNOWN' if district is None else district}"
+        self.seen[place] = self.seen.get(place, 0) + 1
+        n = sum(self.seen.values())
+        # of equally frequent ones, the first seen: dictionaries keep that order
+        home = max(self.seen, key=self.seen.get)
+        if n >= self.least and place != home and (place not in self.alerted or e["ts"] - self.alerted[place] >= self.cooldown):
+            self.alerted[place] = e["ts"]
+            yield "auth_geo_location_anchor_drift", round(self.seen[home] / n, 4), None
+
+
+@dataclass
+class Fingerprint:
+    """Fields that equal the most frequent earlier value, when few do."""
+
+    least: int = 20
+    most: int = 2
+    cooldown: int = 300_000
+    seen: list = field(default_factory=lambda: [{}, {}, {}, {}])
+    n: int = 0
+    last: int | None = None
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        now = [e[c] if filled(e, c) else "UNKNOWN" for c in IDENTITY]
+        if self.n >= self.least:
+            score = sum(v == min(s, key=lambda x: (-s[x], x)) for v, s in zip(now, self.seen))
+            if score <= self.most and (self.last is None or e["ts"] - self.last >= self.cooldown):
+                self.last = e["ts"]
+                yield "auth_session_identity_fingerprint_break", float(score), None
+        for v, s in zip(now, self.seen):
+            s[v] = s.get(v, 0) + 1
+        self.n += 1
+
+
+IDENTITY = ("authType", "modelId", "deviceProviderId", "registeredDeviceSoftwareId")
+
+
+@dataclass
+class Odd:
+    """Share of events at odd hours in a day from eight to eight, on a ladder."""
+
+    least: int = 10
+    cycle: int | None = None
+    n: int = 0
+    odd: int = 0
+    level: int = 0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        cycle = (e["ts"] + IST_MS - 8 * HOUR_MS) // DAY_MS
+        if cycle != self.cycle:
+            self.cycle, self.n, self.odd, self.level = cycle, 0, 0, 0
+        self.n += 1
+        self.odd += hour(e["ts"]) >= 20 or hour(e["ts"]) < 8
+        share = self.odd / self.n
+        level = sum(share >= x for x in (0.2, 0.5, 0.8, 1.0)) if self.n >= self.least else 0
+        if level > self.level:
+            self.level = level
+            yield "auth_txn_oddhour_ratio", share, cycle * DAY_MS - IST_MS + 20 * HOUR_MS
+
+
+@dataclass
+class GapAverage:
+    """Mean of the last gaps in whole seconds, every few gaps."""
+
+    n: int = 5
+    last: int | None = None
+    seen: deque = field(default_factory=deque)
+    total: int = 0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if self.last is not None:
+            self.seen.append(max(0, (e["ts"] - self.last) // 1000))
+            self.total += 1
+            if len(self.seen) > self.n:
+                self.seen.popleft()
+            if self.total % self.n == 0:
+                yield "auth_txn_gap_sec_avg", sum(self.seen) / len(self.seen), e["ts"]
+        self.last = e["ts"]
+
+
+@dataclass
+class GapOutlier:
+    """Gaps far from the mean gap so far, the gap counted, with a cooldown."""
+
+    least: int = 15
+    on: float = 3.0
+    cooldown: int = 60_000
+    before: int | None = None
+    alerted: int | None = None
+    n: int = 0
+    mean: float = 0.0
+    squares: float = 0.0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if self.before is not None:
+            x = e["ts"] - self.before
+            self.n += 1
+            d = x - self.mean
+            self.mean += d / self.n
+            self.squares += d * (x - self.mean)
+            if self.n >= self.least and self.squares > 0:
+                z = (x - self.mean) / math.sqrt(self.squares / (self.n - 1))
+                if abs(z) >= self.on and (self.alerted is None or e["ts"] - self.alerted >= self.cooldown):
+                    self.alerted = e["ts"]
+                    yield "auth_credential_velocity_anomaly", z, None
+        self.before = e["ts"]
+
+
+@dataclass
+class Streak:
+    """Lengths of closed streaks of events that hit, over those that are no repeat of ``once``."""
+
+    name: str
+    hit: Callable[[Event], bool]
+    once: str | None = None
+    start: bool = False
+    seen: set = field(default_factory=set)
+    n: int = 0
+    first: int = 0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if self.once is not None and e[self.once] is not None:
+            if e[self.once] in self.seen:
+                return
+            self.seen.add(e[self.once])
+        if self.hit(e):
+            self.first = self.first if self.n else e["ts"]
+            self.n += 1
+            return
+        if self.n:
+            yield self.name, float(self.n), self.first if self.start else None
+        self.n = 0
+
+
+@dataclass
+class Instant:
+    """Distinct AUAs at one instant."""
+
+    on: int = 3
+    at: int | None = None
+    seen: set = field(default_factory=set)
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if e["ts"] != self.at:
+            self.at, self.seen = e["ts"], set()
+        if e["aua"] not in self.seen:
+            self.seen.add(e["aua"])
+            if len(self.seen) == self.on:
+                yield "auth_concurrent_aua_burst_v1", float(self.on), self.at
+
+
+@dataclass
+class Night:
+    """Failures in the small hours over a day, on a latch, looked at on every failure."""
+
+    width: int = DAY_MS
+    on: int = 5
+    off: int = 2
+    seen: deque = field(default_factory=deque)
+    alerted: bool = False
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if 1 <= hour(e["ts"]) <= 3:
+            self.seen.append(e["ts"])
+        while self.seen and self.seen[0] < e["ts"] - self.width:
+            self.seen.popleft()
+        if len(self.seen) >= self.on and not self.alerted:
+            self.alerted = True
+            yield "auth_high_risk_time_window_fails_v1", float(len(self.seen)), None
+        elif len(self.seen) < self.off:
+            self.alerted = False
+
+
+@dataclass
+class Replay:
+    """Signatures seen before among the last ``n`` events, on a latch."""
+
+    n: int = 50
+    on: int = 2
+    seen: deque = field(default_factory=deque)
+    alerted: bool = False
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        own = tuple(e[c] if e[c] is not None else ("0" if c in ("fmrCount", "firCount") else "null") for c in ("fmrCount", "firCount", "fingerMatchScore", "faceMatchScore", "pidSize"))
+        same = self.seen.count(own)
+        self.seen.append(own)
+        if len(self.seen) > self.n:
+            self.seen.popleft()
+        if same >= self.on and not self.alerted:
+            yield "auth_biometric_replay_v1", float(same + 1), None
+        self.alerted = same >= self.on
+
+
+@dataclass
+class Rule:
+    """A value of single events."""
+
+    name: str
+    value: Callable[[Event], float | None]
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if (v := self.value(e)) is not None:
+            yield self.name, v, None
+
+
+@dataclass
+class Minutiae:
+    """Running sample deviation of minutiae counts."""
+
+    least: int = 10
+    on: float = 15.0
+    n: int = 0
+    mean: float = 0.0
+    squares: float = 0.0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        x = number(e, "probeMinutiae")
+        if x is None or x <= 0:
+            return
+        self.n += 1
+        d = x - self.mean
+        self.mean += d / self.n
+        self.squares += d * (x - self.mean)
+        if self.n >= self.least and (sd := math.sqrt(self.squares / (self.n - 1))) > self.on:
+            yield "bio_probe_minutiae_anomaly_v1", sd, None
+
+
+@dataclass
+class Expiry:
+    """Days until a certificate expires; a day of rest between looks once one alerted."""
+
+    within: int = 7 * DAY_MS
+    again: int = DAY_MS
+    alerted: bool = False
+    last: int = 0
+
+    def step(self, e: Event) -> Iterator[Alert]:
+        if self.alerted and e["ts"] - self.last <= self.again:
+            return
+        self.last = e["ts"]
+        try:
+            day = datetime.strptime(e["certExpiryDate"][:8], "%Y%m%d").replace(tzinfo=UTC)
+        except ValueError:
+            return
+        left = int(day.timestamp() * 1000) - IST_MS - e["ts"]
+        if 0 < left <= self.within:
+            self.alerted = True
+            yield "auth_cert_expiry_alert_v1", left / DAY_MS, None
+
+
+def whole(e: Event, name: str) -> int | None:
+    try:
+        return int(e[name])
+    except (TypeError, ValueError):
+        return None
+
+
+def _took(e: Event) -> float | None:
+    a, b = whole(e, "livenessRequestInitiatedTime"), whole(e, "livenessResponseReceivedTime")
+    return None if a is None or b is None else float(b - a)
+
+
+def _spoof(e: Event) -> float | None:
+    took = _took(e)
+    return took if (e["isLivenessCheckInvoked"] or "").lower() == "true" and took is not None and 0 < took < 50 else None
+
+
+def _desync(e: Event) -> float | None:
+    end = whole(e, "biolivenessEndtime")
+    late = None if end is None else (e["kafkaSourceTimestamp"] or e["ts"]) - end
+    return late / 60_000 if late is not None and late > HOUR_MS else None
+
+
+def _subverted(e: Event) -> float | None:
+    score = e["deepPrintFIRMatchScore"]
+    value = 0.0 if score is None or score.lower() in ("", "null") else number(e, "deepPrintFIRMatchScore")
+    return 1.0 if (e["deepPrintIsMatched"] or "").upper() in ("TRUE", "Y") and value is not None and value < 5 else None
+
+
 def _any(e: Event) -> bool:
     return True
 
@@ -348,6 +861,50 @@ MACHINES: dict[str, tuple[list[str], Callable[[], tuple[Guard, object]]]] = {
 }
 
 
+MACHINES |= {
+    "auth_txn_gap_avg": ([], lambda: (Guard(_any), GapAverage())),
+    "auth_txn_oddhour_ratio": ([], lambda: (Guard(_any), Odd())),
+    "auth_liveness_streak": (["subErrorCode"], lambda: (Guard(_any, True), Streak("auth_liveness_failure_streak_live_v1", lambda e: "300-3" in (e["subErrorCode"] or "")))),
+    "auth_failure_streak": (["authResult", "authCode"], lambda: (Guard(lambda e: e["authResult"] is not None), Streak("auth_failure_streak", is_no, "authCode"))),
+    "auth_bot_recovery_speed": (["authResult"], lambda: (Guard(lambda e: filled(e, "authResult"), True, True), Recovery())),
+    "auth_ghost_uptime": ([], lambda: (Guard(_any, True, True), Uptime())),
+    "auth_rd_software_change": (["registeredDeviceSoftwareId", "registeredDeviceSoftwareVersion"], lambda: (Guard(lambda e: filled(e, "registeredDeviceSoftwareId", "registeredDeviceSoftwareVersion")), Software())),
+    "auth_success_cliff": (["authResult"], lambda: (Guard(lambda e: filled(e, "authResult"), True), Cliff())),
+    "auth_modality_switch": (["authType"], lambda: (Guard(lambda e: filled(e, "authType")), Switches())),
+    "auth_finger_decline": (["fingerMatchScore"], lambda: (Guard(lambda e: filled(e, "fingerMatchScore")), Slope("auth_finger_score_decline_v1", "fingerMatchScore", 10, -1.5))),
+    "auth_face_decline": (["faceMatchScore"], lambda: (Guard(lambda e: filled(e, "faceMatchScore")), Slope("auth_face_score_decline_v1", "faceMatchScore", 10, -1.5))),
+    "auth_fmr_spread": (["fmrCount"], lambda: (Guard(lambda e: (whole(e, "fmrCount") or 0) > 0), Spread())),
+    "auth_biometric_replay": (
+        ["fmrCount", "firCount", "fingerMatchScore", "faceMatchScore", "pidSize"],
+        lambda: (Guard(lambda e: (e["fmrCount"] or "0", e["firCount"] or "0") != ("0", "0"), True, True), Replay()),
+    ),
+    "auth_time_entropy": ([], lambda: (Guard(_any), Entropy())),
+    "auth_credential_velocity": ([], lambda: (Guard(_any), GapOutlier())),
+    "auth_high_risk_hours": (["authResult"], lambda: (Guard(is_no, True, True), Night())),
+    "auth_concurrent_aua": (["aua"], lambda: (Guard(lambda e: filled(e, "aua"), True), Instant())),
+    "auth_error_hotspot": (["subErrorCode"], lambda: (Guard(lambda e: filled(e, "subErrorCode", literal_null=True)), Concentration("auth_error_code_hotspot_v1", lambda e: e["subErrorCode"], 20, 0.8, HOUR_MS))),
+    "auth_server_concentration": (["serverId"], lambda: (Guard(lambda e: filled(e, "serverId")), Concentration("auth_server_concentration_v1", lambda e: e["serverId"], 50, 0.95, HOUR_MS))),
+    "auth_weekend": ([], lambda: (Guard(_any), Concentration("auth_weekend_anomaly_v1", lambda e: ((e["ts"] + IST_MS) // DAY_MS + 3) % 7 >= 5, 20, 0.5, 7 * DAY_MS, only=True))),
+    "auth_correlation_break": (["aua", "deviceCode"], lambda: (Guard(lambda e: filled(e, "aua", "deviceCode"), True), Pairs())),
+    "auth_location_anchor": (["locationStateCode", "locationDistrictCode"], lambda: (Guard(lambda e: filled(e, "locationStateCode"), True), Home())),
+    "auth_fingerprint_break": (list(IDENTITY), lambda: (Guard(lambda e: any(filled(e, c) for c in IDENTITY), True), Fingerprint())),
+    "auth_cert_expiry": (["certExpiryDate"], lambda: (Guard(lambda e: filled(e, "certExpiryDate")), Expiry())),
+    "bio_liveness_streak": (["isLive"], lambda: (Guard(lambda e: e["isLive"] is not None), Streak("bio_liveness_failure_streak_v1", lambda e: e["isLive"].upper() != "Y", start=True))),
+    "bio_image_size_replay": (["imageSize"], lambda: (Guard(lambda e: filled(e, "imageSize", literal_null=True) and e["imageSize"].strip() != "0", True, True), Repeat("bio_exact_image_size_replay_v1", lambda e: e["imageSize"], 4))),
+    "bio_uncanny_scores": (["faceLivenessScore"], lambda: (Guard(lambda e: filled(e, "faceLivenessScore", literal_null=True), True, True), Repeat("bio_uncanny_valley_score_v1", lambda e: e["faceLivenessScore"], 5))),
+    "bio_deep_print_failures": (["deepPrintIsMatched"], lambda: (Guard(lambda e: filled(e, "deepPrintIsMatched")), Share("bio_deepprint_failure_rate_v1", lambda e: e["deepPrintIsMatched"].upper() != "Y", 20, 20, 0.3, True))),
+    "bio_match_trend": (["matchScore"], lambda: (Guard(lambda e: filled(e, "matchScore")), Slope("bio_match_score_trend_v1", "matchScore", 10, -2.0))),
+    "bio_liveness_decline": (["faceLivenessScore"], lambda: (Guard(lambda e: filled(e, "faceLivenessScore", literal_null=True)), Slope("bio_face_liveness_score_decline_v1", "faceLivenessScore", 8, -1.5))),
+    "bio_modality_concentration": (["bioType"], lambda: (Guard(lambda e: filled(e, "bioType", literal_null=True)), Concentration("bio_modality_concentration_v1", lambda e: e["bioType"], 30, 0.95, chunk=100))),
+    "bio_image_size_anomaly": (["imageSize"], lambda: (Guard(_any), Baseline("bio_image_size_anomaly_v1", lambda e: number(e, "imageSize"), 10))),
+    "bio_response_time_anomaly": (["livenessRequestInitiatedTime", "livenessResponseReceivedTime"], lambda: (Guard(_any), Baseline("bio_response_time_anomaly_v1", _took, 10))),
+    "bio_probe_minutiae": (["probeMinutiae"], lambda: (Guard(_any), Minutiae())),
+    "bio_capture_spoof": (["isLivenessCheckInvoked", "livenessRequestInitiatedTime", "livenessResponseReceivedTime"], lambda: (Guard(_any, True), Rule("bio_capture_time_spoof_v1", _spoof))),
+    "bio_liveness_desync": (["biolivenessEndtime", "kafkaSourceTimestamp"], lambda: (Guard(_any, True), Rule("bio_liveness_desync_replay_v1", _desync))),
+    "bio_deep_print_subversion": (["deepPrintIsMatched", "deepPrintFIRMatchScore"], lambda: (Guard(_any, True, True), Rule("bio_deep_print_subversion_v1", _subverted))),
+}
+
+
 class Bundle:
     """Many machines over one key's events; what is kept between events is ``state``, without functions."""
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from keyloom.operators.kernels import KEY
+from keyloom.plans.catalog import SIGNALS
 from keyloom.streaming.machines import MACHINES, Bundle
 
 ALERT = "entity_id string, feature_name string, feature_type string, feature_value double, event_ts_ms bigint, window_start_ms bigint, window_end_ms bigint, comments string"
@@ -71,13 +72,13 @@ class SignalProcessor(StatefulProcessor):
         pass
 
 
-def stream_alerts(events: DataFrame, names: list[str] | None = None, idle_ms: int | None = None) -> DataFrame:
-    """Alerts of ``names`` (all with a machine) over a stream of events with ``event_time`` and a watermark.
+def stream_alerts(events: DataFrame, names: list[str] | None = None, idle_ms: int | None = None, kind: str = "txn") -> DataFrame:
+    """Alerts of ``names`` (all of ``kind``) over a stream of events with ``event_time`` and a watermark.
 
     One exchange by key carries only the fields that the machines read. Needs the RocksDB state store; the newest
     events of a key wait until the watermark passes them.
     """
-    names = list(names or MACHINES)
+    names = list(names or [n for n in MACHINES if SIGNALS[n].kind == kind])
     fields = sorted({f for n in names for f in MACHINES[n][0]})
     # events later than the watermark come out of order and are dropped by the filter of the watermark
     chosen = events.select(KEY, "ts", "event_id", "eventId", "event_time", *fields)

@@ -21,20 +21,34 @@ def events(spark):
     return events_view(spark, SF).withColumn("ts", F.col("ts") - F.pmod("ts", F.lit(5000)))
 
 
+@pytest.fixture(scope="module")
+def views(spark, events):
+    """Both kinds on both clocks, and their rows in order."""
+    found = {(k, c): events_view(spark, SF, k, c) for k in ("txn", "bio") for c in ("ms", "cal_ms")} | {("txn", "ms"): events}
+    return {k: (v, [r.asDict() for r in v.orderBy("entity_id", "ts", "event_id").collect()]) for k, v in found.items()}
+
+
+def test_every_signal_has_a_machine():
+    assert set(SIGNALS) - set(MACHINES) == {"auth_txn_counts"}
+
+
 @pytest.mark.parametrize("name", sorted(MACHINES))
-def test_machine_equals_batch(spark, events, name):
-    rows = [r.asDict() for r in events.orderBy("entity_id", "ts", "event_id").collect()]
+@pytest.mark.parametrize("clock", ["ms", "cal_ms"])
+def test_machine_equals_batch(views, name, clock):
+    view, rows = views[SIGNALS[name].kind, clock]
     found, bundles = [], {}
     for e in rows:
         bundle = bundles.setdefault(e["entity_id"], Bundle([name]))
-        found += [(e["entity_id"], n, ts, round(v, 6), s or 0) for n, v, ts, s in bundle.step(e)]
-    assert sorted(found) == as_rows(compute(name, events))
+        found += [(e["entity_id"], n, ts, s or 0, v) for n, v, ts, s in bundle.step(e)]
+    want = sorted((*r[:3], r[4], r[3]) for r in as_rows(compute(name, view)))
+    assert [r[:4] for r in sorted(found)] == [r[:4] for r in want]
+    assert [r[4] for r in sorted(found)] == pytest.approx([r[4] for r in want], abs=1e-6)
 
 
 def test_state_survives(spark, events):
     """A bundle whose state goes through a store between any two events gives the same alerts."""
     rows = [r.asDict() for r in events.where("entity_id = 'OP3'").orderBy("ts", "event_id").collect()]
-    names = sorted(MACHINES)
+    names = [n for n in sorted(MACHINES) if SIGNALS[n].kind == "txn"]
     whole, parts, state = Bundle(names), [], {}
     expected = [a for e in rows for a in whole.step(e)]
     for e in rows:
