@@ -16,7 +16,7 @@ SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 #: Share of a document's words (or characters a word) beyond the quartiles that a document may always have.
-SLACK = {"symbol_rate": 0.15, "dup_line_rate": 0.35, "repeat_rate": 0.25, "chars_a_word": 2.0}
+SLACK = {"symbol_rate": 0.15, "dup_line_rate": 0.5, "repeat_rate": 0.4, "chars_a_word": 2.0}
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
