@@ -39,24 +39,26 @@ NAME = re.compile(r"[a-z]+")
 
 
 class Node:
-    """An element: its tag, whether its markup names it furniture, and its children, elements and strings."""
+    """An element: its tag, whether its tag or markup names it furniture or a header, and its children, elements and strings."""
 
-    __slots__ = ("tag", "drop", "key", "children", "hash", "main")
+    __slots__ = ("tag", "drop", "marked", "header", "key", "children", "hash", "main")
 
     def __init__(self, tag: str, attributes: str = "") -> None:
         self.tag, self.children, self.key, self.hash, self.main = tag, [], "", 0, tag == "main"
-        self.drop = tag in FURNITURE
+        self.drop, self.marked, self.header = tag in FURNITURE, False, tag == "header"
         if attributes and "=" in attributes or "hidden" in attributes:
             found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
             role = found.get("role", "").lower()
             self.main = self.main or role == "main"
             self.key = found.get("class", "") + "#" + found.get("id", "")
             if tag not in ("html", "body", "main", "article"):
-                names = set(NAME.findall(self.key.lower()))
+                names = MARKS.intersection(NAME.findall(self.key.lower()))
                 hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-                self.drop = self.drop or bool(names & MARKS) or role in ROLES or hidden
+                # a header may hold the article's own title, so that is for the reader of the tree to say
+                self.header = self.header or names == {"header"}
+                self.marked = bool(names - {"header"}) or role in ROLES or hidden
             elif tag == "article":
-                self.drop = bool(set(NAME.findall(self.key.lower())) & {"comment", "comments", "reply"})
+                self.marked = bool({"comment", "comments", "reply"}.intersection(NAME.findall(self.key.lower())))
 
 
 def parse(html: str) -> Node:
@@ -96,6 +98,8 @@ def parse(html: str) -> Node:
                 elif stack[k].tag in STOPS[tag]:
                     break
         node = Node(tag, m[3])
+        if node.marked and any(x.tag == "pre" for x in stack):
+            node.marked = False  # listings colour their comments
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
@@ -122,23 +126,44 @@ def mark(root: Node) -> list[Node]:
     return out
 
 
+def _find(root: Node, wanted, passes) -> list[Node]:
+    """Outermost elements that are ``wanted``, below elements that let one pass."""
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if not passes(node):
+            continue
+        if wanted(node):
+            found.append(node)
+            continue
+        stack += [c for c in reversed(node.children) if isinstance(c, Node)]
+    return found
+
+
 def _main(root: Node) -> list[Node]:
-    """The articles outside furniture and other articles, else the main elements, else the whole page."""
-    for wanted in (lambda x: x.tag == "article", lambda x: x.main):
-        found, stack = [], [root]
-        while stack:
-            node = stack.pop()
-            if node.drop:
-                continue
-            if wanted(node):
-                found.append(node)
-                continue
-            stack += [c for c in reversed(node.children) if isinstance(c, Node)]
-        if found:
-            return found
+    """The articles outside furniture and other articles, else the main elements, else the whole page.
+
+    Where marks hide all of them, a mark was that of a layout ("with-sidebar"): then only tags count.
+    """
+    for passes in (lambda x: not x.drop and not x.marked, lambda x: not x.drop):
+        for wanted in (lambda x: x.tag == "article", lambda x: x.main):
+            if found := _find(root, wanted, passes):
+                return found
     return [root]
 
 
+def _mass(node: Node) -> int:
+    """Characters of text in an element, furniture by tag left out."""
+    total, stack = 0, [node]
+    while stack:
+        for c in stack.pop().children:
+            if isinstance(c, str):
+                total += len(c.strip())
+            elif not c.drop:
+                stack.append(c)
+    return total
+
+
 def main_text(html: str | None, templates: frozenset[int] | set[int] = frozenset()) -> str:
     """The blocks of the main part, without furniture and without subtrees whose hash is in ``templates``.
 
@@ -160,6 +185,8 @@ def main_text(html: str | None, templates: frozenset[int] | set[int] = frozenset
 
     for top in _main(root):
         chosen = top is not root
+        # without a main part, a marked element with most of the text is a layout
+        most = None if chosen else 0.7 * _mass(root)
         stack: list[Node | str | None] = [top]
         while stack:
             node = stack.pop()
@@ -170,7 +197,7 @@ def main_text(html: str | None, templates: frozenset[int] | set[int] = frozenset
             elif node.tag == "br":
                 run.append(" ")
             else:
-                if node is not top and (node.drop or (node.tag == "header" and not (chosen and _heading(node))) or node.hash in templates and not (chosen and node.tag in PROSE)):
+                if node is not top and _left_out(node, chosen, most, templates):
                     continue
                 edge = node.tag in BLOCK
                 if edge:
@@ -183,6 +210,14 @@ def main_text(html: str | None, templates: frozenset[int] | set[int] = frozenset
     return "\n".join(blocks)
 
 
+def _left_out(node: Node, chosen: bool, most: float | None, templates: frozenset[int] | set[int]) -> bool:
+    if node.drop or node.marked and (chosen or _mass(node) < most):
+        return True
+    if node.header and not (chosen and _heading(node)):
+        return True
+    return node.hash in templates and not (chosen and node.tag in PROSE)
+
+
 def _heading(node: Node) -> bool:
     stack = [node]
     while stack:

@@ -318,6 +318,9 @@ def test_html_rules():
     assert html.main_text(PAGE) == "Head & more\nFirst bold line next\nSecond é€\na b\none\ntwo"
     assert html.main_text(None) == html.main_text("") == html.main_text("<!-- x -->") == ""
     assert html.main_text("plain  text") == "plain text"
+    assert html.main_text('<div class="layout has-sidebar"><div class="sidebar">x</div><article><div class="post-header"><h1>T</h1></div><p>a</p></article></div>') == "T\na"
+    assert html.main_text('<div class="page with-sidebar"><p>some longer text of the page</p></div><div class="sidebar">x</div>') == "some longer text of the page"
+    assert html.main_text('<article><pre><span class="comment"># code</span></pre></article><section class="comments"><article>me</article></section>') == "# code"
     assert html.main_text("<p>a<p>b</p>c") == "a\nb\nc"
     assert html.main_text("<div>" * 5000 + "deep") == "deep"
     assert html.main_text("a < b <p title='>'>c</p>") == "a < b\nc"
