@@ -37,7 +37,8 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry(spark):
     assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
-    assert __spark_entry__.entry(spark).columns[0] == "entity_id"
+    flagship = __spark_entry__.entry(spark)
+    assert flagship.columns[0] == "entity_id" and flagship.count() > 0
 
 
 def test_without_training_operators(tmp_path):
