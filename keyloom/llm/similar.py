@@ -128,7 +128,8 @@ def similar_groups(
     prints = cut(map_texts(docs, [id_col, text_col], f"doc_id {type_of(docs, id_col)}, node bigint, fp bigint, bands array<bigint>", prints_of))
     nodes = cut(prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
     keyed = nodes.select("node", "least", "fp", F.explode("bands").alias("shard"))
-    often = keyed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shard")
+    # written, so that the join shuffles both sides and Spark may split a shard that very many nodes share
+    often = cut(keyed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shard"))
     met = cut(keyed.join(often, "shard"))
     # the texts of the nodes that met: one row of each, by its id
     wanted = met.select(F.col("least").alias("_kl_id")).distinct()
