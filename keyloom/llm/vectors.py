@@ -107,7 +107,7 @@ def seed(nodes: DataFrame, n: int, k: int, tables: int, bits: int, turn: int) ->
     rows = seed_leaves(nodes, tables, bits, turn)
     sizes = rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))
     parts = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-    dealt = rows.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), parts)).withColumn("leaf", F.xxhash64("leaf", "part"))
+    dealt = rows.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("node", "leaf", F.lit(turn)), parts)).withColumn("leaf", F.xxhash64("leaf", "part"))
     group = F.pmod(F.xxhash64("leaf"), F.lit(n * tables // GROUP_ROWS + 24))
     return dealt.select("node", "v", "leaf", group.alias("g")).groupBy("g").applyInArrow(_leaf_neighbours(k), "a bigint, b bigint, cos double")
 
@@ -181,6 +181,8 @@ def exact_links(members: DataFrame, n: int, threshold: float) -> DataFrame:
 def audit(counted: DataFrame, nodes: DataFrame, n: int, threshold: float, sample: int) -> float:
     """Links counted for about ``sample`` nodes, by a hash of their names, over those that brute force finds; 1 without links.
 
+    The lower of two shares: that of all their links, and the mean of each node's, which a large group can't outweigh.
+
     The sample, whose size the parameter bounds, goes to every task and meets all nodes there, batch by batch.
     """
     chosen = nodes.where(F.pmod(F.xxhash64("node", F.lit(17)), F.lit(1 << 40)) < int(min(1.0, sample / max(n, 1)) * (1 << 40))).select("node", "v").toArrow()
@@ -197,11 +199,12 @@ def audit(counted: DataFrame, nodes: DataFrame, n: int, threshold: float, sample
                 at = np.flatnonzero(own.sizes == d)
                 if len(at):
                     hit = (x @ own.rows(at).T >= threshold) & (q[:, None] != names[at][None, :])
-                    yield pa.RecordBatch.from_arrays([pa.array(q), pa.array((hit @ weight[at]).astype(np.int64))], ["node", "true"])
+                    yield pa.RecordBatch.from_arrays([pa.array(q), pa.array((hit @ weight[at]).astype(np.int64))], ["node", "held"])
 
-    true = nodes.select("node", "v", "n").mapInArrow(run, "node bigint, true bigint").groupBy("node").agg(F.sum("true").alias("true"))
-    row = true.join(counted, "node", "left").agg(F.sum("true"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return row[1] / row[0] if row and row[0] else 1.0
+    true = nodes.select("node", "v", "n").mapInArrow(run, "node bigint, held bigint").groupBy("node").agg(F.sum("held").alias("held"))
+    own = F.coalesce("links", F.lit(0))
+    row = true.where("held > 0").join(counted, "node", "left").agg(F.sum("held"), F.sum(own), F.avg(own / F.col("held"))).first()
+    return min(row[1] / row[0], row[2]) if row and row[0] else 1.0
 
 
 def near_duplicates(
