@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,49 +22,57 @@ def split_lines(text: str) -> list[str]:
     return LINE.findall(text)
 
 
-def windows(lines: list[str], min_words: int) -> tuple[dict[int, list[int]], Counter, np.ndarray, list[int]]:
-    """The windows of a text: ``{fingerprint: [starts]}``, line hashes with their counts, ends and content hashes by start.
+def windows(sizes: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """``start, end`` of all windows in lines of ``sizes`` words, side by side; those of text ``i`` begin at ``offsets[i]``.
 
-    A window is a shortest run of lines from ``start`` on with at least ``min_words`` words. Its fingerprint is the
-    least line hash in it, so two texts that share a run of that many words share a window, hence its fingerprint.
+    A window is a shortest run of lines with at least ``min_words`` words, from a start on or back from an end. Every line
+    of a run of that many words lies in a window within the run: up to the last start with enough words after it, those
+    from starts on cover the run, and those back from ends cover the lines after that.
     """
-    hashes = [xxh64_intdigest(x.strip()) for x in lines]
-    sizes = np.fromiter((len(x.split()) for x in lines), dtype=np.int64, count=len(lines))
     upto = np.concatenate(([0], np.cumsum(sizes)))
+    low, high = (np.repeat(x, np.diff(offsets)) for x in (offsets[:-1], offsets[1:]))
     ends = np.searchsorted(upto, upto[:-1] + min_words)
-    flat = np.array(hashes, dtype="<u8").tobytes()
-    contents = [0] * len(lines)
-    found: dict[int, list[int]] = {}
-    for start in np.flatnonzero((ends < len(upto)) & (sizes > 0)).tolist():
-        end = int(ends[start])
-        contents[start] = xxh64_intdigest(flat[8 * start : 8 * end])
-        found.setdefault(min(hashes[start:end]), []).append(start)
-    return found, Counter(hashes), ends, contents
+    starts = np.searchsorted(upto, upto[1:] - min_words, side="right") - 1
+    ahead = np.flatnonzero((ends <= high) & (sizes > 0))
+    back = np.flatnonzero((starts >= low) & (sizes > 0))
+    back = back[ends[starts[back]] != back + 1]
+    return np.concatenate((ahead, starts[back])), np.concatenate((ends[ahead], back + 1))
 
 
-def _signed(values: list[int]) -> pa.Array:
-    return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64))
 
 
 def _fingerprint_rows(min_words: int):
+    """Rows of a text and a fingerprint, the least line hash of a window, so that equal windows share it; with the windows' spans."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, prints, places, offsets, starts, ends, contents = [], [], [], [0], [], [], []
-            for i, text in enumerate(batch.column(2)):
-                found, count, own_ends, own_contents = windows(split_lines(text.as_py() or ""), min_words)
-                for fingerprint, own in found.items():
-                    rows.append(i)
-                    prints.append(fingerprint)
-                    places.append(count[fingerprint])
-                    starts += own
-                    offsets.append(len(starts))
-                    contents += [own_contents[s] for s in own]
-                    ends.append(own_ends[own])
-            at = pa.array(rows, pa.int64())
-            end = pa.array(np.concatenate(ends).astype(np.int32) if ends else np.empty(0, np.int32))
-            spans = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), end, _signed(contents)], names=["start", "end", "content"])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)
-            columns = [batch.column(0).take(at), batch.column(1).take(at), _signed(prints), pa.array(places, pa.int32()), lists]
+            parts = [split_lines(t.as_py() or "") for t in batch.column(2)]
+            offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
+            n = int(offsets[-1])
+            hashes = np.fromiter((xxh64_intdigest(x.strip()) for p in parts for x in p), dtype=np.uint64, count=n)
+            sizes = np.fromiter((len(x.split()) for p in parts for x in p), dtype=np.int64, count=n)
+            text = np.repeat(np.arange(len(parts)), np.diff(offsets))
+            start, end = windows(sizes, offsets, min_words)
+            # equal lines of a text are a place, numbered by text and hash: the least number of a window has its least hash
+            order = np.lexsort((hashes, text))
+            new = np.ones(n, dtype=bool)
+            new[1:] = (np.diff(text[order]) > 0) | (np.diff(hashes[order]) > 0)
+            place = np.empty(n + 1, dtype=np.int64)
+            place[order], place[n] = np.cumsum(new) - 1, n
+            line, count = order[new], np.diff(np.append(np.flatnonzero(new), n))
+            own = np.minimum.reduceat(place, np.stack((start, end), axis=1).ravel())[::2] if len(start) else start
+            by = np.argsort(own, kind="stable")
+            own, start, end = own[by], start[by], end[by]
+            flat = memoryview(hashes.astype("<u8").tobytes())
+            contents = np.fromiter((xxh64_intdigest(flat[8 * s : 8 * e]) for s, e in zip(start.tolist(), end.tolist())), dtype=np.uint64, count=len(start))
+            found, first = np.unique(own, return_index=True)
+            base = offsets[text[start]]
+            at = pa.array(text[line[found]])
+            spans = pa.StructArray.from_arrays([pa.array((start - base).astype(np.int32)), pa.array((end - base).astype(np.int32)), _signed(contents)], names=["start", "end", "content"])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(own)).astype(np.int32)), spans)
+            columns = [batch.column(0).take(at), batch.column(1).take(at), _signed(hashes[line[found]]), pa.array(count[found].astype(np.int32)), lists]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "version", "print", "places", "spans"])
 
     return run
@@ -76,8 +83,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Fingerprints in two places or more, of one document or several, are joined with the positions of their windows. Of each window content the
     earliest position, by id, version (a hash of the text) and line, stays; the others are repeated. Repeated windows that
-    overlap or touch join up: that extends a match line by line both ways, as far as it is ``min_words`` long. A
-    window content costs one row a position and no pair of positions is formed, so a passage in a third of all
+    overlap or touch join up: as windows run ahead from every start and back from every end, that extends a match to all
+    of its lines both ways. A window content costs one row a position and no pair of positions is formed, so a passage in a third of all
     documents is as cheap as any.
     """
     version = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))

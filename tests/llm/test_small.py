@@ -239,6 +239,45 @@ def test_line_dedup(docs_of):
     assert lines.dedup_lines(docs_of(cases).limit(0)).count() == 0
 
 
+def brute_runs(cases, min_words):
+    """Lines of maximal common runs with an earlier place, by every pair of places."""
+    cut = [(i, [p.strip() for p in lines.split_lines(t)]) for i, t in sorted(cases)]
+    gone = {i: set() for i, _ in cut}
+    for y, (j, b) in enumerate(cut):
+        for i, a in cut[: y + 1]:
+            for s in range(len(b)):
+                for r in range(s if i == j else len(a)):
+                    n = 0
+                    while r + n < len(a) and s + n < len(b) and a[r + n] == b[s + n]:
+                        n += 1
+                    if sum(len(x.split()) for x in b[s : s + n]) >= min_words:
+                        gone[j] |= set(range(s, s + n))
+    return gone
+
+
+def test_lines_whole_runs(docs_of):
+    rng = np.random.default_rng(11)
+
+    def line(n, name):
+        return " ".join(f"{name}{k}" for k in range(n)) + "."
+
+    long, short, tail, odd = line(60, "a"), line(40, "b"), [line(30, "c"), line(30, "d"), line(5, "e")], line(9, "z")
+    cases = [(1, " ".join([long, short])), (2, " ".join([long, short])), (3, " ".join(tail)), (4, " ".join([odd, *tail, line(7, "y")])), (5, " ".join([short, *tail, long]))]
+    pool = [line(int(n), f"p{k}x") for k, n in enumerate(rng.integers(3, 40, 30))]
+    for i in range(40):
+        own = []
+        for k in range(4):
+            at = int(rng.integers(0, 24))
+            own += [*pool[at : at + int(rng.integers(2, 7))], line(int(rng.integers(1, 30)), f"n{i}x{k}x")]
+        cases.append((10 + i, " ".join(own)))
+    want = brute_runs(cases, 50)
+    got = {r["doc_id"]: (r["text"], r["_kl_lines"]) for r in lines.dedup_lines(docs_of(cases)).collect()}
+    for i, t in cases:
+        parts = lines.split_lines(t)
+        assert got[i] == ("".join(p for k, p in enumerate(parts) if k not in want[i]), len(want[i]))
+    assert got[2] == ("", 2) and got[4][1] == 3 and got[5][1] == 4
+
+
 def test_rules(docs_of):
     clean = " ".join(f"plain{i} text" for i in range(60))
     cases = [(i, clean + f" {i}", "en", "a") for i in range(100)] + [(200, "| " * 80 + clean, "en", "a"), (201, "x" * 50 + " " + " ".join(f"{'y' * 40}{i}" for i in range(80)), "en", "b")]
