@@ -1,40 +1,66 @@
-"""Similar texts through SimHash: BK-trees in shards of texts that share a band, and an exact look at what they find.
+"""Similar texts: shards that every similar pair shares, BK-trees over SimHash in them, and an exact look at all other pairs.
 
-At a Jaccard similarity of 0.8, fingerprints differ in about 10 of 64 bits. Blocks of bits, which shard the search
-within a few bits, then no longer part fingerprints into small shards; bands of minimum shingle hashes do.
+At a Jaccard similarity of 0.8, fingerprints differ in about 10 of 64 bits and in more than any radius now and then. So
+shards come from parts of the shingle sets, one of which a similar pair must have in common, and the trees only go first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from keyloom.llm.common import cut, map_texts, type_of
 from keyloom.llm.components import connected_components, local_roots
-from keyloom.llm.simhash import SEED, BKForest, deal, fingerprint_of, shingle_hashes
+from keyloom.llm.simhash import BKForest, deal, fingerprint_of, shingle_hashes
 
 #: Rows of the largest shard that one task compares, and pairs that it holds at once, about.
 SHARD_ROWS = 1024
 PAIRS = 2_000_000
 
-_RNG = np.random.default_rng(SEED)
-_MULTIPLY = _RNG.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.integers(0, 1 << 63, 64, dtype=np.uint64)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a set's parity map, which differs from another's in no more bits than the sets in elements.
+PARITY_BITS = 1024
 
 
-def sketch(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """A hash for each band of ``rows`` minima over permuted shingle hashes."""
-    n = bands * rows
-    low = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), 1 << 14):
-        h = hashes[at : at + (1 << 14), None] * _MULTIPLY[:n] + _ADD[:n]
-        low = np.minimum(low, (h ^ (h >> np.uint64(29))).min(axis=0))
-    return np.array([xxh64_intdigest(low[i * rows : (i + 1) * rows].tobytes(), i) for i in range(bands)], dtype=np.uint64).view(np.int64)
+@cache
+def _level(similarity: float, c: int) -> tuple[int, int, np.ndarray]:
+    """Of class ``c`` of set sizes: the largest size, the parts in common at least, and where parts begin in the hash range.
+
+    A set and a similar one of its size or more lie in one class or in two adjacent ones.
+    """
+    least = _level(similarity, c - 1)[0] + 1 if c else 1
+    most = int(least / similarity + 1e-9)
+    apart = int(2 * most * (1 - similarity) / (1 + similarity) + 1e-9)
+    common = 1 + -(-3 * apart // 20)
+    parts = apart + common
+    return most, common, np.array([-(-(i << 64) // parts) for i in range(parts)], dtype=np.uint64)
+
+
+def keys(hashes: np.ndarray, similarity: float) -> np.ndarray:
+    """Hashes of parts of a set of sorted shingle hashes; two sets of ``similarity`` or more have one in common.
+
+    The hash range is cut into more parts than the hashes by which similar sets of these sizes can differ, so ``common``
+    parts at least are equal. Parts without a hash count only for a set that has ``common`` of them; else another is equal.
+    """
+    n, c = len(hashes), 0
+    while n and _level(similarity, c)[0] < n:
+        c += 1
+    upto = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(hashes, dtype=np.uint64)))
+    out = [np.empty(0, dtype=np.uint64)]
+    for level in (c, c + 1) if n else ():
+        _, common, begin = _level(similarity, level)
+        cuts = np.append(np.searchsorted(hashes, begin), n)
+        key = upto[cuts[1:]] - upto[cuts[:-1]] + (np.arange(len(begin), dtype=np.uint64) + np.uint64(level << 40)) * _ODD
+        filled = cuts[1:] > cuts[:-1]
+        out.append(key[filled] if len(filled) - filled.sum() < common else key)
+    found = np.concatenate(out)
+    return np.unique((found ^ (found >> np.uint64(29))) * _ODD).view(np.int64)
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:
@@ -63,6 +89,15 @@ def joined(a: np.ndarray, b: np.ndarray, n: int, similar) -> tuple[np.ndarray, n
     return np.concatenate(kept_a), np.concatenate(kept_b)
 
 
+def parities(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each set ``flat[start:start + size]``, which of PARITY_BITS values of the low bits an odd number of elements has."""
+    out = np.empty((len(start), PARITY_BITS // 64), dtype=np.uint64)
+    for i, (s, n) in enumerate(zip(start.tolist(), size.tolist())):
+        odd = np.bincount(flat[s : s + n] & (PARITY_BITS - 1), minlength=PARITY_BITS) & 1
+        out[i] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
+    return out
+
+
 def _links(similarity: float, radius: int):
     def run(table: pa.Table) -> pa.Table:
         _, tree = np.unique(np.stack([table.column("shard").to_numpy(), table.column("piece").to_numpy()]), axis=1, return_inverse=True)
@@ -80,6 +115,8 @@ def _links(similarity: float, radius: int):
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(tree)) + 1, [len(tree)]))
         part = np.cumsum(np.diff(cuts).astype(np.int64) ** 2) // PAIRS
         found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        name, first, which = np.unique(node, return_index=True, return_inverse=True)
+        parity = parities(flat, start[first], size[first])
         for p in np.unique(part):
             own = np.flatnonzero(part == p)
             low, high = cuts[own[0]], cuts[own[-1] + 1]
@@ -89,34 +126,63 @@ def _links(similarity: float, radius: int):
             near = np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b])
             found.append(joined(a[near], b[near], len(node), similar))
         a, b = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        # all pairs of a shard that these links don't join
+        rest_a, rest_b = [a], [b]
+        root = local_roots(which[a], which[b], len(name))
+        seen: set[tuple[int, int]] = set()
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            for i in range(low, high - 1):
+                others = np.arange(i + 1, high)
+                others = others[root[which[others]] != root[which[i]]]
+                others = others[np.minimum(size[others], size[i]) >= similarity * np.maximum(size[others], size[i]) - 1e-6]
+                if not len(others):
+                    continue
+                apart = np.bitwise_count(parity[which[others]] ^ parity[which[i]]).sum(axis=1, dtype=np.int64)
+                for j in others[apart <= (1 - similarity) / (1 + similarity) * (size[others] + size[i]) + 1e-6].tolist():
+                    x, y = int(which[i]), int(which[j])
+                    if root[x] == root[y] or (x, y) in seen:
+                        continue
+                    if similar(i, j):
+                        rest_a.append(np.array([i]))
+                        rest_b.append(np.array([j]))
+                        root[root == root[y]] = root[x]
+                    elif len(seen) < PAIRS:
+                        seen.add((x, y))
+        a, b = np.concatenate(rest_a), np.concatenate(rest_b)
         return pa.table({"a": node[a], "b": node[b]})
 
     return run
 
 
 def similar_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 22, bands: int = 12, rows: int = 4
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 22
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id`` and ``component_id``, the smallest id reachable over links of similar texts.
 
     Texts are similar where the Jaccard similarity of their sets of ``shingle``-word shingles is ``similarity`` or more;
-    words and case as for fingerprints. Equal sets are one node. Nodes meet in the shards of their bands (at 0.8, one
-    pair in 550 shares none); a BK-tree in each shard finds fingerprints within ``radius`` bits, and the exact similarity
-    decides, for one link between two groups at a time, so that a group of copies costs a few looks for each member.
+    words and case as for fingerprints. Equal sets are one node. Nodes meet in the shards of their parts, of which similar
+    ones share one whatever they are (``keys``). A BK-tree in each shard finds fingerprints within ``radius`` bits, for
+    which the exact similarity decides, for one link between two groups at a time, so that a group of copies costs a few
+    looks for each member; then it decides for all other pairs of the shard that no link joins. Shards of the same nodes
+    are one.
 
     Null, empty and wordless texts are one node. Rows with a null id take part and get the component's id, or null if no
     row there has an id. Repeated rows give repeated rows; an empty table gives none; other columns are ignored.
     """
 
     def prints_of(b: pa.RecordBatch) -> pa.RecordBatch:
-        names, prints, keys = [], [], []
+        names, prints = [], []
         for t in b.column(1):
             h = np.unique(shingle_hashes(t.as_py(), shingle))
             names.append(xxh64_intdigest(h.tobytes()))
             prints.append(fingerprint_of(h))
-            keys.append(sketch(h, bands, rows) if len(h) else np.empty(0, dtype=np.int64))
         ids = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (names, prints)]
-        return pa.RecordBatch.from_arrays([b.column(0), *ids, pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "fp", "bands"])
+        return pa.RecordBatch.from_arrays([b.column(0), *ids], ["doc_id", "node", "fp"])
+
+    def keys_of(b: pa.RecordBatch) -> pa.RecordBatch:
+        h = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in b.column(0)]
+        names = np.array([xxh64_intdigest(x.tobytes()) for x in h], dtype=np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(names), pa.array([keys(x, similarity) for x in h], pa.list_(pa.int64()))], ["node", "shards"])
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -125,12 +191,15 @@ def similar_groups(
             short = [np.unique(x.astype(np.uint32)).view(np.int32) for x in h]
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(short, pa.list_(pa.int32()))], ["node", "shingles"])
 
-    prints = cut(map_texts(docs, [id_col, text_col], f"doc_id {type_of(docs, id_col)}, node bigint, fp bigint, bands array<bigint>", prints_of))
-    nodes = cut(prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
-    keyed = nodes.select("node", "least", "fp", F.explode("bands").alias("shard"))
-    # written, so that the join shuffles both sides and Spark may split a shard that very many nodes share
-    often = cut(keyed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shard"))
-    met = cut(keyed.join(often, "shard"))
+    prints = cut(map_texts(docs, [id_col, text_col], f"doc_id {type_of(docs, id_col)}, node bigint, fp bigint", prints_of))
+    nodes = cut(prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp")))
+    parts = map_texts(docs, [text_col], "node bigint, shards array<bigint>", keys_of).groupBy("node").agg(F.first("shards").alias("shards"))
+    shard = Window.partitionBy("shard")
+    own = [F.count(F.lit(1)).over(shard).alias("n"), *[F.bit_xor(F.xxhash64("node", F.lit(k))).over(shard).alias(f"x{k}") for k in (0, 1)]]
+    keyed = cut(parts.select("node", F.explode("shards").alias("shard")).select("node", "shard", *own).where("n > 1"))
+    # written, so that the joins shuffle both sides and Spark may split a shard that very many nodes share
+    once = cut(keyed.groupBy("n", "x0", "x1").agg(F.min("shard").alias("shard")).select("shard"))
+    met = cut(keyed.select("node", "shard").join(once, "shard").join(nodes, "node"))
     # the texts of the nodes that met: one row of each, by its id
     wanted = met.select(F.col("least").alias("_kl_id")).distinct()
     asked = docs.join(wanted, F.col(id_col).eqNullSafe(F.col("_kl_id")), "left_semi").select(text_col).mapInArrow(sets_of, "node bigint, shingles array<int>")

@@ -117,6 +117,25 @@ def test_similar(docs_of, monkeypatch):
     assert similar.similar_groups(docs_of(cases).limit(0)).count() == 0
 
 
+def test_similar_keys():
+    rng = np.random.default_rng(12)
+    for n in [1, 2, 4, 5, 6, 9, 10, 40, 41, 300, 2000]:
+        for _ in range(60):
+            x = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+            out = int(rng.integers(0, n // 5 + 1))  # as few in common as 0.8 allows, in sets of like or unlike sizes
+            new = int((n - out) / 0.8 + 1e-9) - n
+            y = np.unique(np.concatenate((x[rng.permutation(n)[out:]], rng.integers(0, 1 << 64, max(new, 0), dtype=np.uint64))))
+            if similar.jaccard(x, y) >= 0.8:
+                assert len(np.intersect1d(similar.keys(x, 0.8), similar.keys(y, 0.8)))
+
+
+def test_similar_far_prints(docs_of):
+    """Pairs of exactly 4 shingles in 5, of which bands and fingerprints within 22 bits lose some."""
+    cases = [(i, " ".join([*(f"t{i // 2}w{k}" for k in range(7)), f"t{i // 2}w7", *([f"t{i // 2}end"] if i % 2 else [])])) for i in range(6000)]
+    got = dict(rows(similar.similar_groups(docs_of(cases))))
+    assert all(got[i] == i - i % 2 for i in got) and len(got) == 6000
+
+
 def brute_mix(cases, weights=(3, 1, 2)):
     sizes = {}
     for _, text, _, source in cases:
