@@ -50,7 +50,7 @@ def night_surge(events: DataFrame, n: int = 200, least: int = 50, on: float = 0.
 
 
 def deep_print_failures(events: DataFrame, n: int = 20, least: int = 20, on: float = 0.3) -> DataFrame:
-    return rolling_share(events, "bio_deepprint_failure_rate_v1", F.upper("deepPrintIsMatched") != "Y", n, least, on, on, filled("deepPrintIsMatched"), False, True, "failures", "failure_rate")
+    return rolling_share(events, "bio_deepprint_failure_rate_v1", F.upper(F.trim("deepPrintIsMatched")) != "Y", n, least, on, on, filled("deepPrintIsMatched"), False, True, "failures", "failure_rate")
 
 
 def success_cliff(events: DataFrame, n: int = 50, recent: int = 10, on: float = 40.0, off: float = 20.0) -> DataFrame:
@@ -152,12 +152,12 @@ def modality_concentration(events: DataFrame, chunk: int = 100, least: int = 30,
 
 
 def outliers(events: DataFrame, name: str, value: Column, label: str, least: int = 10, on: float = 3.0, mean: str = "mean") -> DataFrame:
-    """Values more than ``on`` sample deviations from the key's mean so far, the value itself counted, from ``least`` events on."""
+    """Values more than ``on`` sample deviations, either way, from the key's mean so far, the value itself counted, from ``least`` events on."""
     d = prepare(events, value > 0).withColumn("_x", value)
     w = prefix(ordered())
     d = d.withColumn("_mean", F.avg("_x").over(w)).withColumn("_sd", F.stddev_samp("_x").over(w))
-    d = d.withColumn("_z", (F.col("_x") - F.col("_mean")) / F.nullif(F.col("_sd"), F.lit(0.0)))
-    d = d.where((F.col("rn") >= least) & (F.abs("_z") > on))
+    d = d.withColumn("_z", F.abs(F.col("_x") - F.col("_mean")) / F.nullif(F.col("_sd"), F.lit(0.0)))
+    d = d.where((F.col("rn") >= least) & (F.col("_z") > on))
     return emit(d, name, "Z-Score", F.col("_z"), comments={"z_score": F.col("_z"), label: F.col("_x"), mean: F.col("_mean"), "stddev": F.col("_sd"), "event_count": F.col("rn")})
 
 

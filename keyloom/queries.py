@@ -65,8 +65,8 @@ def slope(name: str, y: str, n: int, on: float) -> str:
 
 def outlier(name: str, x: str, least: int, on: float) -> str:
     w = f"OVER ({W} ROWS UNBOUNDED PRECEDING)"
-    d = f", d AS (SELECT *, (x - avg(x) {w}) / nullif(stddev_samp(x) {w}, 0) AS v FROM (SELECT *, {x} AS x FROM e)) "
-    return events(f"{x} > 0") + d + out(name, "v", "d", f"rn >= {least} AND abs(v) > {on}")
+    d = f", d AS (SELECT *, abs(x - avg(x) {w}) / nullif(stddev_samp(x) {w}, 0) AS v FROM (SELECT *, {x} AS x FROM e)) "
+    return events(f"{x} > 0") + d + out(name, "v", "d", f"rn >= {least} AND v > {on}")
 
 
 def within(width: int, where: str = "true", what: str = "count(*)") -> str:
@@ -315,7 +315,7 @@ SPECS: dict[str, Query] = {
     "bio_liveness_streak": Query("bio_liveness_streak", streak("bio_liveness_failure_streak_v1", "upper(isLive) <> 'Y'", "isLive IS NOT NULL", "first_ts")),
     "bio_image_size_replay": Query("bio_image_size_replay", repeated("bio_exact_image_size_replay_v1", "bioType", 4, filled("bioType", True)), parameters={"field": "bioType"}),
     "bio_uncanny_scores": Query("bio_uncanny_scores", repeated("bio_uncanny_valley_score_v1", "bioType", 5, filled("bioType", True)), parameters={"field": "bioType"}),
-    "bio_deep_print_failures": Query("bio_deep_print_failures", share("bio_deepprint_failure_rate_v1", "upper(deepPrintIsMatched) <> 'Y'", 20, 20, 0.3, filled("deepPrintIsMatched"), False, True)),
+    "bio_deep_print_failures": Query("bio_deep_print_failures", share("bio_deepprint_failure_rate_v1", "upper(trim(deepPrintIsMatched)) <> 'Y'", 20, 20, 0.3, filled("deepPrintIsMatched"), False, True)),
     "bio_match_trend": Query("bio_match_trend", slope("bio_match_score_trend_v1", "matchScore", 10, -2.0)),
     "bio_liveness_decline": Query("bio_liveness_decline", slope("bio_face_liveness_score_decline_v1", "faceLivenessScore", 8, -1.51), parameters={"on": -1.51}),
     "bio_modality_concentration": Query("bio_modality_concentration", _MODALITY, parameters={"on": 0.45}),

@@ -153,8 +153,8 @@ class Baseline:
         self.mean += d / self.n
         self.squares += d * (x - self.mean)
         if self.n >= self.least and self.squares > 0:
-            z = (x - self.mean) / math.sqrt(self.squares / (self.n - 1))
-            if abs(z) > self.on:
+            z = abs(x - self.mean) / math.sqrt(self.squares / (self.n - 1))
+            if z > self.on:
                 yield self.name, z, None
 
 
@@ -892,7 +892,7 @@ MACHINES |= {
     "bio_liveness_streak": (["isLive"], lambda: (Guard(lambda e: e["isLive"] is not None), Streak("bio_liveness_failure_streak_v1", lambda e: e["isLive"].upper() != "Y", start=True))),
     "bio_image_size_replay": (["imageSize"], lambda: (Guard(lambda e: filled(e, "imageSize", literal_null=True) and e["imageSize"].strip() != "0", True, True), Repeat("bio_exact_image_size_replay_v1", lambda e: e["imageSize"], 4))),
     "bio_uncanny_scores": (["faceLivenessScore"], lambda: (Guard(lambda e: filled(e, "faceLivenessScore", literal_null=True), True, True), Repeat("bio_uncanny_valley_score_v1", lambda e: e["faceLivenessScore"], 5))),
-    "bio_deep_print_failures": (["deepPrintIsMatched"], lambda: (Guard(lambda e: filled(e, "deepPrintIsMatched")), Share("bio_deepprint_failure_rate_v1", lambda e: e["deepPrintIsMatched"].upper() != "Y", 20, 20, 0.3, True))),
+    "bio_deep_print_failures": (["deepPrintIsMatched"], lambda: (Guard(lambda e: filled(e, "deepPrintIsMatched")), Share("bio_deepprint_failure_rate_v1", lambda e: e["deepPrintIsMatched"].strip().upper() != "Y", 20, 20, 0.3, True))),
     "bio_match_trend": (["matchScore"], lambda: (Guard(lambda e: filled(e, "matchScore")), Slope("bio_match_score_trend_v1", "matchScore", 10, -2.0))),
     "bio_liveness_decline": (["faceLivenessScore"], lambda: (Guard(lambda e: filled(e, "faceLivenessScore", literal_null=True)), Slope("bio_face_liveness_score_decline_v1", "faceLivenessScore", 8, -1.5))),
     "bio_modality_concentration": (["bioType"], lambda: (Guard(lambda e: filled(e, "bioType", literal_null=True)), Concentration("bio_modality_concentration_v1", lambda e: e["bioType"], 30, 0.95, chunk=100))),
