@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -20,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a new one, but in local mode alone."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="keyloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -54,4 +57,12 @@ def type_of(df: DataFrame, column: str) -> str:
 
 def small_enough(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint where a count shows that it has at most ``rows`` rows, otherwise as it is."""
-    return F.broadcast(df) if len(df.take(rows + 1)) <= rows else df
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with a prefix under which ``df`` has no column, whatever its case."""
+    taken, prefix = [c.lower() for c in df.columns], "_kl"
+    while any(c.startswith(prefix) for c in taken):
+        prefix += "_"
+    return [f"{prefix}_{n}" if not prefix.endswith("_") else prefix + n for n in names]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,18 +19,12 @@ SHARD_TOKENS = 2_000_000
 SEQUENCE_BITS = 36
 
 
-def encoder(path: str):
-    """A function from texts to id arrays: a ``tokenizers`` file, or the same vocabulary's ``tiktoken`` ranks, which are faster."""
-    if str(path).endswith(".tiktoken"):
-        import base64
+#: The pattern engine of ``tiktoken`` recurses over white space and breaks off in runs of hundreds of thousands.
+LONG_SPACE = re.compile(r"\s{1000}")
 
-        import public_tokenizers
-        import tiktoken
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        ordinary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        return lambda text: np.array(ordinary(text), dtype="<u4")
+def _whole(path: str):
+    """Ids by the ``tokenizers`` library."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(str(path))
@@ -36,6 +32,38 @@ def encoder(path: str):
     return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
+def encoder(path: str):
+    """A function from texts to id arrays: a ``tokenizers`` file, or the same vocabulary's ``tiktoken`` ranks, which are faster.
+
+    With ranks, a text with a long run of white space, or one that ``tiktoken`` breaks off at, goes to the ``tokenizers``
+    file of the same name beside them.
+    """
+    if not str(path).endswith(".tiktoken"):
+        return _whole(path)
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    ordinary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    other = cache(lambda: _whole(str(path).removesuffix(".tiktoken") + ".json"))
+
+    def encode(text: str) -> np.ndarray:
+        if LONG_SPACE.search(text):
+            return other()(text)
+        try:
+            return np.array(ordinary(text), dtype="<u4")
+        except BaseException as e:
+            # a panic of the native code is no Exception
+            if type(e).__name__ != "PanicException":
+                raise
+            return other()(text)
+
+    return encode
+
+
 def pack_lengths(lengths: np.ndarray, capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
     """Pieces ``(document, start, length, sequence, offset)`` of documents with these numbers of tokens.
 
@@ -91,7 +119,7 @@ def pack(
     """One row per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``; ids are little-endian unsigned 32-bit.
 
     Each task tokenizes its documents, closes a shard at SHARD_TOKENS and packs it with ``pack_lengths``; no row is
-    shuffled, and a shard leaves less than one sequence of padding. ``sequence_id`` holds the partition above
+    shuffled, and a shard leaves less than one sequence of padding, which a partition of few documents leaves too. ``sequence_id`` holds the partition above
     ``SEQUENCE_BITS`` bits, so a task that runs again names its sequences alike.
 
     A null text is an empty one, of ``end_id`` alone; a very long text may fill many sequences; repeated rows are
