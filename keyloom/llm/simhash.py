@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from itertools import repeat
+from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from keyloom.llm.common import cut, map_texts, type_of
+from keyloom.llm.common import cut, free_names, map_texts, type_of
 from keyloom.llm.components import connected_components, local_roots
 
 SEED = 42
@@ -119,9 +120,11 @@ def _shard_links(radius: int):
         shard = table.column("shard").to_numpy()
         value = table.column("fp").to_numpy().view(np.uint64)
         # rows of one shard and piece side by side, so that trees and their queries keep to them
-        order = np.lexsort((value, table.column("piece").to_numpy(), shard))
-        shard, value = shard[order] * np.int64(1 << 20) + table.column("piece").to_numpy()[order], value[order]
-        a, b = BKForest(shard, value).links(np.arange(len(value)), radius)
+        piece = table.column("piece").to_numpy()
+        order = np.lexsort((value, piece, shard))
+        shard, piece, value = shard[order], piece[order], value[order]
+        tree = np.concatenate(([0], np.cumsum((np.diff(shard) != 0) | (np.diff(piece) != 0))))
+        a, b = BKForest(tree, value).links(np.arange(len(value)), radius)
         root = local_roots(a, b, len(value))
         kept = np.flatnonzero(root != np.arange(len(value)))
         return pa.table({"a": value[kept].view(np.int64), "b": value[root[kept]].view(np.int64)})
@@ -145,17 +148,38 @@ def deal(rows: DataFrame, total: int, most: int, together: int) -> DataFrame:
     return dealt.withColumn("g", group).drop("n", "mine", "slices")
 
 
-def fingerprint_links(distinct: DataFrame, radius: int = 3) -> DataFrame:
+def block_keys(fp: Column, radius: int, blocks: int) -> Column:
+    """An array of shards of a fingerprint: the values of every choice of ``blocks - radius`` of its ``blocks`` blocks of bits.
+
+    Values within ``radius`` bits differ in at most ``radius`` blocks, so they share a shard and no pair is lost. The more
+    blocks, the more bits name a shard.
+    """
+    edges = [64 * i // blocks for i in range(blocks + 1)]
+    masks = [((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in range(blocks)]
+    keys = []
+    for k, chosen in enumerate(combinations(masks, blocks - radius)):
+        mask = sum(chosen)
+        keys.append(F.xxhash64(fp.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long")), F.lit(k)))
+    return F.array(*keys)
+
+
+def blocks_for(n: int, radius: int, most: int) -> int:
+    """The fewest blocks with which ``n`` evenly spread fingerprints have ``most`` rows in a shard; ``radius`` + 3 at most."""
+    for blocks in range(radius + 1, radius + 3):
+        if n >> (64 * (blocks - radius) // blocks) <= most:
+            return blocks
+    return radius + 3
+
+
+def fingerprint_links(distinct: DataFrame, radius: int = 3, blocks: int | None = None) -> DataFrame:
     """Links ``(a, b)`` that join all of ``distinct.fp`` within ``radius`` bits of each other, a forest for each shard.
 
-    Values within ``radius`` bits agree on one of ``radius + 1`` blocks of bits, so each block's value names a shard
-    and no pair is lost.
+    The number of blocks, and with it that of shards, follows the number of fingerprints; any number gives the same links.
     """
-    blocks = radius + 1
-    width = 64 // blocks
-    keys = [F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << width) - 1)) + F.lit(i << (width + 1)) for i in range(blocks)]
-    keyed = distinct.select("fp", F.col("fp").alias("node"), F.explode(F.array(*[k.cast("long") for k in keys])).alias("shard"))
-    return deal(keyed, distinct.count() * blocks, SHARD_ROWS, GROUP_ROWS).select("fp", "shard", "piece", "g").groupBy("g").applyInArrow(_shard_links(radius), "a bigint, b bigint")
+    n = distinct.count()
+    blocks = blocks or blocks_for(n, radius, SHARD_ROWS)
+    keyed = distinct.select("fp", F.col("fp").alias("node"), F.explode(block_keys(F.col("fp"), radius, blocks)).alias("shard"))
+    return deal(keyed, n * comb(blocks, radius), SHARD_ROWS, GROUP_ROWS).select("fp", "shard", "piece", "g").groupBy("g").applyInArrow(_shard_links(radius), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -177,15 +201,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group in ``found`` (``doc_id``, ``component_id``), that with the smallest id; groups without ids stay.
 
-    Rows that repeat an id are one document: the first of those by a hash of the text is kept.
+    Rows that repeat an id are one document: the first of those by a hash of the text, then by the other columns, is kept.
+    Rows with a null id stay where no row of their group has one. An empty table gives no rows.
     """
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_kl_n"))
-    kept = kept.withColumnRenamed("doc_id", "_kl_id")
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kl_id")))
-    once = rows.where((F.col("_kl_n") == 1) | F.col("_kl_id").isNull())
-    order = Window.partitionBy("_kl_id").orderBy(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), *[F.col(c) for c, t in docs.dtypes if t in ("string", "bigint", "int") and c != "text"])
-    again = rows.where((F.col("_kl_n") > 1) & F.col("_kl_id").isNotNull()).withColumn("_kl_r", F.row_number().over(order)).where("_kl_r = 1")
-    return once.select(*docs.columns).unionByName(again.select(*docs.columns))
+    named = docs.columns
+    own, n, r = free_names(docs, "id", "n", "r")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(own)).agg(F.count(F.lit(1)).alias(n))
+    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col(own)))
+    once = rows.where((F.col(n) == 1) | F.col(own).isNull())
+    order = Window.partitionBy(own).orderBy(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), *[F.col(c) for c, t in docs.dtypes if t in ("string", "bigint", "int") and c != text_col])
+    again = rows.where((F.col(n) > 1) & F.col(own).isNotNull()).withColumn(r, F.row_number().over(order)).where(F.col(r) == 1)
+    return once.select(*named).unionByName(again.select(*named))
