@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from keyloom.llm.common import cut, type_of
+from keyloom.llm.common import cut, free_names, type_of
 
 #: A line, cut further at sentence ends, with the white space after it. The matches of a text join up to the text.
 LINE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+$")
@@ -110,17 +110,20 @@ def _removed(n: int, runs: list[dict]) -> np.ndarray:
     return gone
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
-    """``docs`` with repeated runs of lines taken out of ``text``, plus ``_kl_lines`` and ``_kl_words``, lines and words removed.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, lines_as: str | None = None, words_as: str | None = None) -> DataFrame:
+    """``docs`` with repeated runs of lines taken out of ``text``; columns of the numbers of lines and words removed, if named, follow.
 
     A run is ``min_words`` words or more of consecutive lines, equal but for white space around them, that an earlier
     document, or an earlier place of the same one, holds too. All rows stay, and a copy of an earlier document keeps an
-    empty text. A null text stays null. Rows that repeat both id and text are one document and are treated alike; a null
-    id comes before all others; an empty table gives no rows; other columns pass through, whatever their names.
+    empty text. A null text stays null, one without a line loses nothing. Rows that repeat both id and text are one document
+    and are treated alike; a null id comes before all others; an empty table gives no rows; other columns pass through,
+    whatever their names. Lines count as equal by 64-bit hashes, of which those of a run's windows make one of 64 bits.
     """
-    runs = repeated_runs(docs, id_col, text_col, min_words).withColumnsRenamed({"doc_id": "_kl_id", "version": "_kl_version", "runs": "_kl_runs"})
-    keyed = docs.withColumn("_kl_v", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = keyed.join(runs, F.col(id_col).eqNullSafe(F.col("_kl_id")) & (F.col("_kl_v") == F.col("_kl_version")), "left").drop("_kl_id", "_kl_version", "_kl_v")
+    own, version, found, runs = free_names(docs, "v", "version", "id", "runs")
+    told = [c for c in (lines_as, words_as) if c]
+    repeated = repeated_runs(docs, id_col, text_col, min_words).withColumnsRenamed({"doc_id": found, "version": version, "runs": runs})
+    keyed = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    joined = keyed.join(repeated, F.col(id_col).eqNullSafe(F.col(found)) & (F.col(own) == F.col(version)), "left")
     names = docs.columns
     at = names.index(text_col)
 
@@ -136,9 +139,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 lines[i], words[i] = gone.sum(), sum(len(x.split()) for x, g in zip(parts, gone) if g)
             mask = np.zeros(batch.num_rows, dtype=bool)
             mask[hit] = True
-            columns = [*batch.columns[: len(names)], pa.array(lines), pa.array(words)]
+            columns = [*batch.columns[: len(names)], *(pa.array(x) for x, name in ((lines, lines_as), (words, words_as)) if name)]
             columns[at] = pa.compute.replace_with_mask(columns[at], pa.array(mask), pa.array(texts, columns[at].type))
-            yield pa.RecordBatch.from_arrays(columns, [*names, "_kl_lines", "_kl_words"])
+            yield pa.RecordBatch.from_arrays(columns, [*names, *told])
 
-    schema = docs.select(*names).withColumns({"_kl_lines": F.lit(0).cast("long"), "_kl_words": F.lit(0).cast("long")}).schema
-    return joined.select(*names, "_kl_runs").mapInArrow(run, schema)
+    schema = docs.select(*names, *[F.lit(0).cast("long").alias(c) for c in told]).schema
+    return joined.select(*names, runs).mapInArrow(run, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import WORD, cut, small_enough
+from keyloom.llm.common import WORD, cut, free_names, small_enough
 
 #: Rows that a hash range of one source holds on average.
 RANGE_ROWS = 4096
@@ -91,29 +91,34 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: each document as often as it is taken whole, then cut to its last words.
 
     A document with ``taken`` below its size keeps that many leading words, joined by spaces, and ``n_chars`` (where
-    there is such a column) follows the text. Documents without words belong to no budget and are kept once.
+    there is such a column) follows the text. Documents without words, null texts among them, belong to no budget and are
+    kept once. Rows that agree in id, source and size share what is taken of them, the first ones a word more. A null
+    source is a source; an empty table gives no rows; other columns pass through, whatever their names.
     """
-    verdict = mix(docs, word_count(), **options)
-    copies = verdict.groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("_kl_taken"), F.count(F.lit(1)).alias("_kl_same"))
-    copies = copies.select(F.col("doc_id").alias("_kl_id"), F.col("source").alias("_kl_source"), F.col("size").alias("_kl_size"), "_kl_taken", "_kl_same")
     named = docs.columns
-    joined = docs.withColumn("_kl_words", word_count().cast("long")).join(
+    m_id, m_source, m_size, taken, same, nth, words, part = free_names(docs, "id", "source", "size", "taken", "same", "nth", "words", "part")
+    verdict = mix(docs, word_count(text_col), id_col=id_col, source_col=source_col, **options)
+    copies = cut(verdict.groupBy(F.col("doc_id").alias(m_id), F.col("source").alias(m_source), F.col("size").alias(m_size)).agg(F.sum("taken").alias(taken), F.count(F.lit(1)).alias(same)))
+    joined = docs.withColumn(words, word_count(text_col).cast("long")).join(
         copies,
-        F.col("doc_id").eqNullSafe(F.col("_kl_id")) & F.col("source").eqNullSafe(F.col("_kl_source")) & (F.col("_kl_words") == F.col("_kl_size")),
+        F.col(id_col).eqNullSafe(F.col(m_id)) & F.col(source_col).eqNullSafe(F.col(m_source)) & (F.col(words) == F.col(m_size)),
     )
-    # rows that agree in id, source and size share what is taken from them evenly
-    share = (F.col("_kl_taken") / F.col("_kl_same")).cast("long")
-    rest = F.when(F.col("_kl_size") > 0, share % F.col("_kl_size")).otherwise(F.lit(0))
-    whole = F.when(F.col("_kl_size") > 0, F.floor(share / F.col("_kl_size")).cast("int")).otherwise(F.lit(1))
+    alike = Window.partitionBy(m_id, m_source, m_size).orderBy(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    once = joined.where(F.col(same) == 1).withColumn(nth, F.lit(1))
+    # ids seldom repeat; without repeats the rows need no rank
+    joined = once.unionByName(joined.where(F.col(same) > 1).withColumn(nth, F.row_number().over(alike))) if copies.where(F.col(same) > 1).take(1) else once
+    share = F.floor(F.col(taken) / F.col(same)) + (F.col(nth) <= F.col(taken) % F.col(same)).cast("long")
+    rest = F.when(F.col(m_size) > 0, share % F.col(m_size)).otherwise(F.lit(0))
+    whole = F.when(F.col(m_size) > 0, F.floor(share / F.col(m_size)).cast("int")).otherwise(F.lit(1))
     parts = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    out = joined.withColumn("_kl_part", F.explode(parts))
-    words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_kl_part").cast("int")), " ")
-    out = out.withColumn("text", F.when(F.col("_kl_part") < 0, F.col("text")).otherwise(words))
+    out = joined.withColumn(part, F.explode(parts))
+    leading = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), F.lit(1), F.col(part).cast("int")), " ")
+    out = out.withColumn(text_col, F.when(F.col(part) < 0, F.col(text_col)).otherwise(leading))
     if "n_chars" in named:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_kl_part") < 0, F.col("n_chars")).otherwise(F.length("text")).cast(kind))
+        out = out.withColumn("n_chars", F.when(F.col(part) < 0, F.col("n_chars")).otherwise(F.length(text_col)).cast(kind))
     return out.select(*named)

@@ -43,8 +43,7 @@ def op5_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "text", F.col("_kl_lines").alias("n_removed_lines"), F.col("_kl_words").alias("n_removed_words"))
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), lines_as="n_removed_lines", words_as="n_removed_words")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +51,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graded(labels: DataFrame) -> DataFrame:
-    """``labels`` with a grade from 0 to 2: low quality, toxic, good."""
+    """``labels`` with a grade from 0 to 2: low quality, toxic, good.
+
+    The grades are ordered by what a text is worth to training: one of low quality has nothing to learn from, a toxic one is
+    well formed but unwanted, a good one has neither fault.
+    """
     return labels.withColumn("grade", F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2))
 
 
