@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from operator import eq
 from zlib import crc32
 
 import numpy as np
@@ -18,52 +19,65 @@ from keyloom.llm.toxicity import training_rows
 
 BITS = 16
 CORE = re.compile(r"[^\W\d_]+")
+RUNS = re.compile(r"(.)\1+", re.S)
 
 
-def _shape(word: str) -> str:
-    """Case, letters or not, and the marks at a word's end."""
-    m = CORE.search(word)
-    if not m:
-        return "-" + word[:3]
-    core = m[0]
-    case = "U" if len(core) > 1 and core.isupper() else "l"
-    return case + word[m.end() : m.end() + 3]
+def bucket(name: str) -> int:
+    return crc32(name.encode()) & ((1 << BITS) - 1)
 
 
-def features(text: str | None) -> tuple[list[int], list[float]]:
-    """Hashed buckets of a text with their values: words and shapes by share, and binned rates of the text and its lines.
+class Tokens(dict):
+    """``(word bucket, shape bucket, kind)`` by token; the shape is its case and the marks around its letters, repeats once.
 
-    Shares of words carry topic, shapes and bins carry layout: capitals, marks, repeats and repeated lines.
+    The kind is 0 for plain tokens, 1 for words in capitals, 2 for tokens without a letter, 4 where several marks end a word.
+    """
+
+    def __missing__(self, token: str) -> tuple[int, int, int]:
+        if len(self) > 200_000:
+            self.clear()
+        if m := CORE.search(token):
+            upper = m.end() - m.start() > 1 and m[0].isupper()
+            end = token[m.end() :]
+            shape, kind = "sU" * upper + "sl" * (not upper) + RUNS.sub(r"\1", end), upper + 4 * (len(end) > 1)
+        else:
+            shape, kind = "s-" + RUNS.sub(r"\1", token), 2
+        found = self[token] = bucket("w" + token.lower()), bucket(shape), kind
+        return found
+
+
+def _level(rate: float) -> int:
+    return min(int(rate * 10 + 0.999), 10)
+
+
+def features(text: str | None, known: Tokens) -> tuple[list[int], list[float]]:
+    """Hashed buckets of a whole text with their values: words and shapes by share, and levels of its rates by its size.
+
+    Shares of words carry topic, shapes and levels carry layout: capitals, marks, repeats, repeated and short lines.
     """
     words = (text or "").split()
     n = len(words)
-    found: Counter = Counter()
+    found: dict[int, float] = {}
+    size = n.bit_length()
     if n:
         counts = Counter(words)
-        shapes: Counter = Counter()
-        for w, c in counts.items():
-            found["w" + w.lower()] += c / n
-            shapes[_shape(w)] += c
-        for s, c in shapes.items():
-            found["s" + s] += 4 * c / n
-        upper = sum(c for s, c in shapes.items() if s[0] == "U") / n
-        bare = sum(c for s, c in shapes.items() if s[0] == "-") / n
-        marks = sum(c for s, c in shapes.items() if s[0] != "-" and len(s) > 2) / n
-        again = sum(a == b for a, b in zip(words, words[1:])) / n
-        top = counts.most_common(1)[0][1] / n
-        rates = {"upper": upper, "bare": bare, "marks": marks, "again": again}
-        if n >= 20:
-            rates |= {"top": top, "kinds": len(counts) / n}
+        kinds = [0, 0, 0]
+        for (word, shape, kind), c in zip(map(known.__getitem__, counts), counts.values()):
+            found[word] = found.get(word, 0.0) + c / n
+            found[shape] = found.get(shape, 0.0) + 4 * c / n
+            for k in range(3):
+                kinds[k] += c * (kind >> k & 1)
+        lines = [x for x in text.split("\n") if x.strip()]
+        rates = {
+            "upper": kinds[0] / n, "bare": kinds[1] / n, "marks": kinds[2] / n, "again": sum(map(eq, words, words[1:])) / n, "top": max(counts.values()) / n, "kinds": len(counts) / n,
+            "lines": 1 - len(set(lines)) / len(lines),
+        }
         for name, rate in rates.items():
-            found[f"r{name}{min(int(rate * 10 + 0.999), 10)}"] = 1.0
-        for line in text.split("\n"):
-            found["l" + line[:40]] += 1 / 8 if len(line) < 120 else 0
-    found["n" + str(n.bit_length())] = 0.5
-    merged: dict[int, float] = {}
-    for name, value in found.items():
-        at = crc32(name.encode()) & ((1 << BITS) - 1)
-        merged[at] = merged.get(at, 0.0) + value
-    return list(merged), list(merged.values())
+            found[bucket(f"r{name}{_level(rate)}")] = 1.0
+            found[bucket(f"r{name}{_level(rate)}n{size}")] = 0.5
+        for level, c in Counter(len(x.split()).bit_length() for x in lines).items():
+            found[bucket(f"l{level}")] = c / len(lines)
+    found[bucket(f"n{size}")] = 0.5
+    return list(found), list(found.values())
 
 
 class Model:
@@ -72,8 +86,8 @@ class Model:
     def __init__(self, weight: np.ndarray, thresholds: np.ndarray) -> None:
         self.weight, self.thresholds = weight.astype(np.float32), thresholds.astype(np.float64)
 
-    def tails(self, text: str | None) -> np.ndarray:
-        ids, values = features(text)
+    def tails(self, text: str | None, known: Tokens) -> np.ndarray:
+        ids, values = features(text, known)
         z = float(self.weight[ids] @ np.array(values, dtype=np.float32)) if ids else 0.0
         return 1 / (1 + np.exp(-np.clip(z - self.thresholds, -40, 40)))
 
@@ -128,8 +142,9 @@ def train(
     """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Tokens()
         for batch in batches:
-            found = [features(t) for t in batch.column(1).to_pylist()]
+            found = [features(t, known) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([y for _, y in found], pa.list_(pa.float32()))], ["label", "ids", "values"]
             )
@@ -153,9 +168,9 @@ def grades(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own, known = shared.value, Tokens()
         for batch in batches:
-            tails = [own.tails(t.as_py()) for t in batch.column(1)]
+            tails = [own.tails(t.as_py(), known) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([float(t.sum()) for t in tails]), pa.array([t.tolist() for t in tails], pa.list_(pa.float64()))], ["doc_id", "expected_grade", "tails"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {type_of(docs, id_col)}, expected_grade double, tails array<double>")
@@ -167,8 +182,8 @@ def select_documents(docs: DataFrame, model: Model, least: float = 0.5, above: i
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own, known = shared.value, Tokens()
         for batch in batches:
-            yield batch.filter(pa.array([bool(own.tails(t.as_py())[above] >= least) for t in batch.column(at)], pa.bool_()))
+            yield batch.filter(pa.array([bool(own.tails(t.as_py(), known)[above] >= least) for t in batch.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
