@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from keyloom.llm.common import cut, type_of
+from keyloom.llm.common import cut, small_enough, type_of
 
-# HTML elements by role, and names that mark page furniture.
+# HTML elements by role, and words in names of classes that mark page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 BLOCK = frozenset(
@@ -22,12 +23,19 @@ BLOCK = frozenset(
     "header hgroup hr html legend li main menu nav ol option p pre section summary table tbody tfoot thead tr ul".split()
 )
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt figcaption tr td th".split())
+SENTENCES = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
 FURNITURE = frozenset("head nav footer aside form script style noscript template iframe button select textarea input svg canvas dialog object embed noembed noframes menu title datalist audio video map xmp".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-MARKS = frozenset(
+REMARKS = frozenset("comment comments respond disqus reply replies".split())
+MARKS = REMARKS | frozenset(
     "nav navbar navigation menu submenu sidebar sidenav aside footer header masthead topbar banner ad ads adv advert adverts advertisement advertisements adsense sponsor sponsored "
     "promo promotion cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
-    "related recommended recommendations breadcrumb breadcrumbs comment comments respond disqus replies widget widgets pagination pager toolbar skip".split()
+    "related recommended recommendations breadcrumb breadcrumbs widget widgets pagination pager toolbar skip".split()
+)
+BESIDE = frozenset(
+    "a all app area article articles bar block blog body bottom box btn button buttons card cards col column container content cta entry feed fixed for form global google group head icon icons inner "
+    "item items js large left link links list main media mini mobile of one our page pages panel policy post posts primary rail reader readers right row secondary section site slot small sticky stories "
+    "sub tags text the thread title to top topics ui unit us user users warning web wrap wrapper you your".split()
 )
 OWN_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select", "datalist"}}
@@ -36,29 +44,51 @@ TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACES = re.compile(r"\s+")
 NAME = re.compile(r"[a-z]+")
+#: Templates that go to all tasks at most; more are joined page by page.
+BROADCAST_ROWS = 200_000
+
+
+@lru_cache(maxsize=50_000)
+def marks_of(name: str) -> tuple[frozenset[str], bool]:
+    """The marks in one class or id, and whether it holds nothing else.
+
+    A name counts as a whole: words beside the marks must be such as place them ("site-footer"). One that says something
+    else ("share-price"), or what a layout has ("no-sidebar"), marks nothing.
+    """
+    words = set(NAME.findall(name.lower()))
+    found = words & MARKS
+    return (frozenset(found), found == words) if found and words <= MARKS | BESIDE else (frozenset(), False)
 
 
 class Node:
-    """An element: its tag, whether its tag or markup names it furniture or a header, and its children, elements and strings."""
+    """An element: its tag, what its tag and markup say of it, and its children, elements and strings.
 
-    __slots__ = ("tag", "drop", "marked", "header", "key", "children", "hash", "main")
+    ``drop`` is furniture by tag, ``marked`` by markup, ``remarks`` marks readers' comments and ``header`` a header.
+    """
+
+    __slots__ = ("tag", "drop", "marked", "remarks", "header", "key", "children", "hash", "main")
 
     def __init__(self, tag: str, attributes: str = "") -> None:
         self.tag, self.children, self.key, self.hash, self.main = tag, [], "", 0, tag == "main"
-        self.drop, self.marked, self.header = tag in FURNITURE, False, tag == "header"
+        self.drop, self.marked, self.remarks, self.header = tag in FURNITURE, False, False, tag == "header"
         if attributes and "=" in attributes or "hidden" in attributes:
             found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
             role = found.get("role", "").lower()
             self.main = self.main or role == "main"
             self.key = found.get("class", "") + "#" + found.get("id", "")
-            if tag not in ("html", "body", "main", "article"):
-                names = MARKS.intersection(NAME.findall(self.key.lower()))
+            names = set()
+            for name in (*found.get("class", "").split(), found.get("id", "")):
+                own, whole = marks_of(name)
+                if whole or tag not in SENTENCES:
+                    names |= own
+            if tag == "article":
+                self.marked = self.remarks = bool(names & REMARKS)
+            elif tag not in ("html", "body", "main"):
                 hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
                 # a header may hold the article's own title, so that is for the reader of the tree to say
                 self.header = self.header or names == {"header"}
                 self.marked = bool(names - {"header"}) or role in ROLES or hidden
-            elif tag == "article":
-                self.marked = bool({"comment", "comments", "reply"}.intersection(NAME.findall(self.key.lower())))
+                self.remarks = bool(names & REMARKS)
 
 
 def parse(html: str) -> Node:
@@ -109,10 +139,9 @@ def parse(html: str) -> Node:
     return root
 
 
-def mark(root: Node) -> list[Node]:
-    """All elements, children first, each with the hash of its subtree: tag, class, id, text and children."""
-    out: list[Node] = []
-    stack: list[tuple[Node, bool]] = [(root, False)]
+def hash_subtrees(top: Node) -> None:
+    """Gives every element below ``top`` the hash of its subtree: tag, class, id, text and children."""
+    stack: list[tuple[Node, bool]] = [(top, False)]
     while stack:
         node, done = stack.pop()
         if not done:
@@ -122,8 +151,6 @@ def mark(root: Node) -> list[Node]:
         parts = [node.tag, node.key]
         parts += [f"{c.hash:x}" if isinstance(c, Node) else SPACES.sub(" ", c).strip() for c in node.children]
         node.hash = xxh64_intdigest("\x1f".join(parts).encode("utf-8", "replace"))
-        out.append(node)
-    return out
 
 
 def _find(root: Node, wanted, passes) -> list[Node]:
@@ -164,58 +191,85 @@ def _mass(node: Node) -> int:
     return total
 
 
-def main_text(html: str | None, templates: frozenset[int] | set[int] = frozenset()) -> str:
-    """The blocks of the main part, without furniture and without subtrees whose hash is in ``templates``.
+def outline(html: str | None) -> list[tuple[bool, str, tuple[int, ...]]]:
+    """The text of the main part as runs ``(edge, text, chain)``; a block begins at an edge, a chain is the subtrees a run lies in.
 
-    In an article or main element, single prose elements stay though they recur: sites do quote themselves.
+    Furniture by tag or markup is left out, and white space is one space. Where markup alone would leave nothing, it says
+    nothing. In an article or main element the chain leaves out single prose elements, as sites do quote themselves, and
+    what holds most of its text.
     """
     if not html:
-        return ""
+        return []
     root = parse(html)
-    if templates:
-        mark(root)
-    blocks: list[str] = []
-    run: list[str] = []
-
-    def close() -> None:
-        if run:
-            if text := SPACES.sub(" ", "".join(run)).strip():
-                blocks.append(text)
-            run.clear()
-
-    for top in _main(root):
-        chosen = top is not root
-        # without a main part, a marked element with most of the text is a layout
-        most = None if chosen else 0.7 * _mass(root)
-        stack: list[Node | str | None] = [top]
+    tops = _main(root)
+    for top in tops:
+        hash_subtrees(top)
+    return _runs(tops, root, True) or _runs(tops, root, False)
+
+
+def _runs(tops: list[Node], root: Node, markup: bool) -> list[tuple[bool, str, tuple[int, ...]]]:
+    runs: list[list] = []
+    for top in tops:
+        chosen, most = top is not root, 0.7 * _mass(top)
+        edge = True
+        stack: list[tuple[Node | str | None, tuple[int, ...]]] = [(top, ())]
         while stack:
-            node = stack.pop()
+            node, chain = stack.pop()
             if node is None:
-                close()
+                edge = True
             elif isinstance(node, str):
-                run.append(node)
+                if edge and not (node := node.lstrip()):
+                    continue
+                if not edge and runs[-1][2] == chain:
+                    runs[-1][1] += node
+                else:
+                    runs.append([edge, node, chain])
+                edge = False
             elif node.tag == "br":
-                run.append(" ")
+                stack.append((" ", chain))
             else:
-                if node is not top and _left_out(node, chosen, most, templates):
-                    continue
-                edge = node.tag in BLOCK
-                if edge:
-                    close()
-                    stack.append(None)
+                if node is not top:
+                    if _left_out(node, chosen, most, markup):
+                        continue
+                    if not chosen or node.tag not in PROSE and _mass(node) < most:
+                        chain = (*chain, node.hash)
+                if node.tag in BLOCK:
+                    edge = True
+                    stack.append((None, chain))
+                stack += [(c, chain) for c in reversed(node.children)]
                 if node.tag in ("td", "th"):
-                    run.append(" ")
-                stack += reversed(node.children)
-        close()
-    return "\n".join(blocks)
+                    stack.append((" ", chain))
+    return [(e, SPACES.sub(" ", t), c) for e, t, c in runs]
 
 
-def _left_out(node: Node, chosen: bool, most: float | None, templates: frozenset[int] | set[int]) -> bool:
-    if node.drop or node.marked and (chosen or _mass(node) < most):
+def _left_out(node: Node, chosen: bool, most: float, markup: bool) -> bool:
+    if node.drop:
         return True
-    if node.header and not (chosen and _heading(node)):
+    if not markup:
+        return False
+    # what holds most of the text is a layout named after its parts, but for readers' comments, which may outgrow a text
+    if node.marked and (node.remarks or _mass(node) < most):
         return True
-    return node.hash in templates and not (chosen and node.tag in PROSE)
+    return node.header and not (chosen and _heading(node))
+
+
+def join_runs(runs, templates: frozenset[int] | set[int] = frozenset()) -> str:
+    """The blocks of ``runs`` outside the subtrees in ``templates``, one a line."""
+    blocks: list[str] = []
+    own: list[str] = []
+    for edge, text, chain in runs:
+        if edge:
+            blocks.append("".join(own))
+            own.clear()
+        if not templates or templates.isdisjoint(chain):
+            own.append(text)
+    blocks.append("".join(own))
+    return "\n".join(x for b in blocks if (x := SPACES.sub(" ", b).strip()))
+
+
+def main_text(html: str | None, templates: frozenset[int] | set[int] = frozenset()) -> str:
+    """The blocks of the main part of one page, without furniture and without subtrees whose hash is in ``templates``."""
+    return join_runs(outline(html), templates)
 
 
 def _heading(node: Node) -> bool:
@@ -228,14 +282,27 @@ def _heading(node: Node) -> bool:
     return False
 
 
-def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``page_id, version, host, hashes`` of the elements with content, each once a page."""
+def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``page_id, url, version, host, edges, texts, chains``: pages parsed once."""
     for batch in batches:
-        found = []
-        for html in batch.column(3):
-            nodes = mark(parse(html.as_py() or ""))
-            found.append(np.array(sorted({x.hash for x in nodes if x.children and x.tag not in ("#root", "html", "body")}), dtype=np.uint64).view(np.int64))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.list_(pa.int64()))], ["page_id", "version", "host", "hashes"])
+        found = [outline(html.as_py()) for html in batch.column(4)]
+        edges = pa.array([[e for e, _, _ in runs] for runs in found], pa.list_(pa.bool_()))
+        texts = pa.array([[t for _, t, _ in runs] for runs in found], pa.list_(pa.string()))
+        chains = pa.array([[np.array(c, dtype=np.uint64).view(np.int64) for _, _, c in runs] for runs in found], pa.list_(pa.list_(pa.int64())))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], edges, texts, chains], ["page_id", "url", "version", "host", "edges", "texts", "chains"])
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = []
+        for edges, runs, chains, templates in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+            texts.append(join_runs(zip(edges, runs, chains), frozenset(templates or ())))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+
+
+def many(pages: Column, share: float, growth: float, least: int) -> Column:
+    """Pages of a host of ``pages`` that make a subtree its template: a share of a small host, ``growth`` roots of a large one."""
+    return F.greatest(F.lit(float(least)), F.least(share * pages, growth * F.sqrt(pages)))
 
 
 def extract(
@@ -244,41 +311,35 @@ def extract(
     url_col: str = "url",
     html_col: str = "html",
     share: float = 0.2,
+    growth: float = 4.0,
     least: int = 8,
 ) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``.
 
-    Every element's subtree is hashed; Spark counts the pages of each host with a hash. One on ``least`` pages and on
-    ``share`` of its host's pages is site template and is deleted, as are elements that their tag, role, class or id
-    marks as menus, headers, footers, sidebars, notices, adverts, forms or comments. Then text is taken from the
-    articles, else the main elements, else the page; blocks come in page order, white space in a block as one space.
+    Each page is parsed once. Elements that their tag, role, class or id marks as menus, headers, footers, sidebars,
+    notices, adverts, forms or comments go. The text comes from the articles, else the main elements, else the page, in runs
+    with the hashes of the subtrees they lie in. Spark counts the pages of each host with a hash; one on ``many`` of them,
+    which is fewer than ``share`` on a large host that has several sections, is site template, and its runs go. Blocks come
+    in page order, white space in a block as one space.
 
-    The counts are grouped by host and hash with partial sums, and a page meets only its own template hashes, so a
-    host with a third of all pages is no task of its own. Null or empty html gives an empty text; a null or malformed
-    url counts as one host; repeated rows give repeated rows; an empty table gives none; other columns are ignored.
+    The counts are grouped by host and hash with partial sums. A page meets its host's templates by a broadcast if they are
+    few, else by its own hashes, so a host with a third of all pages is no task of its own; html is never shuffled. Null or
+    empty html gives an empty text; a null or malformed url counts as one host; repeated rows give repeated rows; an empty
+    table gives none; other columns are ignored.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    base = pages.select(
-        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.xxhash64(F.coalesce(F.col(html_col), F.lit(""))).alias("version"), host.alias("host")
-    )
+    version = F.xxhash64(F.coalesce(F.col(html_col), F.lit("")))
+    base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), version.alias("version"), host.alias("host"), F.col(html_col).alias("html"))
     kind = type_of(pages, id_col)
-    found = cut(base.select("page_id", "version", "host", "html").mapInArrow(_hashes, f"page_id {kind}, version bigint, host string, hashes array<bigint>"))
-    hosts = found.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    each = found.select("host", F.explode("hashes").alias("hash"))
+    parsed = cut(base.mapInArrow(_outlines, f"page_id {kind}, url string, version bigint, host string, edges array<boolean>, texts array<string>, chains array<array<bigint>>"))
+    each = parsed.select("page_id", "version", "host", F.explode(F.array_distinct(F.flatten("chains"))).alias("hash"))
     counts = each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    templates = cut(counts.join(hosts, "host").where(F.col("n") >= share * F.col("pages")).select("host", "hash"))
-    own = (
-        found.select("page_id", "version", "host", F.explode("hashes").alias("hash")).join(templates, ["host", "hash"])
-        .groupBy(F.col("page_id").alias("t_id"), F.col("version").alias("t_version"), F.col("host").alias("t_host")).agg(F.collect_set("hash").alias("templates"))
-    )
-    joined = base.join(own, F.col("page_id").eqNullSafe(F.col("t_id")) & (F.col("version") == F.col("t_version")) & (F.col("host") == F.col("t_host")), "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for html, hashes in zip(batch.column(2), batch.column(3)):
-                own = np.array(hashes.as_py() or [], dtype=np.int64).view(np.uint64).tolist()
-                texts.append(main_text(html.as_py(), set(own)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-    return joined.select("page_id", "url", "html", "templates").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")
+    hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    templates = cut(counts.join(small_enough(hosts, BROADCAST_ROWS), "host").where(F.col("n") >= many(F.col("pages"), share, growth, least)).select("host", "hash"))
+    if templates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        by_host = templates.groupBy("host").agg(F.collect_list("hash").alias("all"))
+        joined = parsed.join(F.broadcast(by_host), "host", "left").withColumn("templates", F.array_intersect(F.flatten("chains"), "all"))
+    else:
+        own = each.join(templates, ["host", "hash"]).groupBy(F.col("page_id").alias("t_id"), F.col("version").alias("t_version"), F.col("host").alias("t_host")).agg(F.collect_set("hash").alias("templates"))
+        joined = parsed.join(own, F.col("page_id").eqNullSafe(F.col("t_id")) & (F.col("version") == F.col("t_version")) & (F.col("host") == F.col("t_host")), "left")
+    return joined.select("page_id", "url", "edges", "texts", "chains", "templates").mapInArrow(_joined, f"page_id {kind}, url string, text string, n_chars bigint")
