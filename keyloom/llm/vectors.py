@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,13 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import cut
+from keyloom.llm.common import cut, small_enough
 from keyloom.llm.components import connected_components
 
 #: Vectors that a seed leaf holds on average, the most that one product of blocks compares, and rows in a group of small ones.
 LEAF_ROWS = 64
 BLOCK_ROWS = 1024
 GROUP_ROWS = 20_000
+#: Width in radians of the rings about a group's centre, and members whose mean is that centre.
+RING = math.radians(0.5)
+CENTRE_ROWS = 32
 
 
 class Lists:
@@ -59,8 +63,8 @@ def unit_nodes(rows: DataFrame) -> DataFrame:
     return scaled.select("node", "least", "n", F.transform("v", lambda x: x / F.col("norm")).alias("v"))
 
 
-def seed_leaves(nodes: DataFrame, tables: int, bits: int, turn: int) -> DataFrame:
-    """``node, v, leaf``: each node in one leaf of every random-hyperplane table of this turn."""
+def seed_leaves(nodes: DataFrame, tables: int, bits: int, turn: int, vectors: bool) -> DataFrame:
+    """``node, leaf`` and if asked ``v``: each node in one leaf of every random-hyperplane table of this turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -74,10 +78,11 @@ def seed_leaves(nodes: DataFrame, tables: int, bits: int, turn: int) -> DataFram
                 leaf[own] = (sign @ (1 << np.arange(bits, dtype=np.int64))) * tables + np.arange(tables)
             at = pa.array(np.repeat(np.arange(b.num_rows), tables))
             size = pa.array(np.repeat(lists.sizes.astype(np.int64), tables))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(leaf.ravel()), size], ["node", "v", "leaf", "d"])
+            found = {"node": b.column(0).take(at), "leaf": pa.array(leaf.ravel()), "d": size} | ({"v": b.column(1).take(at)} if vectors else {})
+            yield pa.RecordBatch.from_pydict(found)
 
-    found = nodes.select("node", "v").mapInArrow(run, "node bigint, v array<double>, leaf bigint, d bigint")
-    return found.select("node", "v", F.xxhash64("leaf", "d").alias("leaf"))
+    found = nodes.select("node", "v").mapInArrow(run, "node bigint, leaf bigint, d bigint" + ", v array<double>" * vectors)
+    return found.withColumn("leaf", F.xxhash64("leaf", "d")).drop("d")
 
 
 def _leaf_neighbours(k: int):
@@ -103,44 +108,100 @@ def _leaf_neighbours(k: int):
 
 
 def seed(nodes: DataFrame, n: int, k: int, tables: int, bits: int, turn: int) -> DataFrame:
-    """``a, b, cos``: up to ``k`` nearest of each node in each of its leaves; a leaf over BLOCK_ROWS is dealt into parts."""
-    rows = seed_leaves(nodes, tables, bits, turn)
-    sizes = rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))
-    parts = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-    dealt = rows.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("node", "leaf", F.lit(turn)), parts)).withColumn("leaf", F.xxhash64("leaf", "part"))
+    """``a, b, cos, fresh``: up to ``k`` nearest of each node in each of its leaves; a leaf over BLOCK_ROWS is dealt into parts."""
+    sizes = seed_leaves(nodes, tables, bits, turn, False).groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK_ROWS)
+    rows = seed_leaves(nodes, tables, bits, turn, True).join(small_enough(sizes, 100_000), "leaf", "left")
+    part = F.pmod(F.xxhash64("node", "leaf", F.lit(turn)), F.ceil(F.coalesce("size", F.lit(1)) / BLOCK_ROWS).cast("int"))
+    dealt = rows.select("node", "v", F.xxhash64("leaf", part).alias("leaf"))
     group = F.pmod(F.xxhash64("leaf"), F.lit(n * tables // GROUP_ROWS + 24))
-    return dealt.select("node", "v", "leaf", group.alias("g")).groupBy("g").applyInArrow(_leaf_neighbours(k), "a bigint, b bigint, cos double")
+    return dealt.withColumn("g", group).groupBy("g").applyInArrow(_leaf_neighbours(k), "a bigint, b bigint, cos double").withColumn("fresh", F.lit(1))
 
 
 def nearest(pairs: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best distinct neighbours ``b`` of each ``a``, ties by ``b``."""
+    """The ``k`` best distinct neighbours ``b`` of each ``a``, ties by ``b``; ``fresh`` is 0 for pairs seen before."""
     order = Window.partitionBy("a").orderBy(F.col("cos").desc(), "b")
-    return pairs.groupBy("a", "b").agg(F.max("cos").alias("cos")).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
+    return pairs.groupBy("a", "b").agg(F.max("cos").alias("cos"), F.min("fresh").alias("fresh")).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
 
 
-def cosines(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``a, b, cos`` of pairs of nodes with vectors of one length, in double precision."""
-    v = nodes.select("node", "v")
-    both = pairs.join(v.withColumnsRenamed({"node": "a", "v": "x"}), "a").join(v.withColumnsRenamed({"node": "b", "v": "y"}), "b")
-    dot = F.aggregate(F.zip_with("x", "y", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    return both.where(F.size("x") == F.size("y")).select("a", "b", dot.alias("cos"))
+def _local_join(fan: int):
+    """For the neighbours ``c`` of each ``b``: the best ``fan`` others of each among them."""
 
+    def run(table: pa.Table) -> pa.Table:
+        node, lists = table.column("c").to_numpy(), Lists(table.column("v"))
+        order, runs = _runs(table.column("b").to_numpy())
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for low, high in runs:
+            if high - low < 2:
+                continue
+            own = order[low:high]
+            x, names = lists.rows(own), node[own]
+            m = min(fan, len(own) - 1)
+            s = x @ x.T
+            np.fill_diagonal(s, -2)
+            top = np.argpartition(-s, m - 1, axis=1)[:, :m]
+            out.append((np.repeat(names, m), names[top].ravel(), np.take_along_axis(s, top, axis=1).ravel()))
+        return pa.table(dict(zip(("a", "b", "cos"), (np.concatenate(z) for z in zip(*out)))))
+
+    return run
+
+
+def descend(graph: DataFrame, nodes: DataFrame, n: int, k: int, fan: int, bridge: float) -> DataFrame:
+    """One round: neighbours of neighbours, over the ``fan`` best links either way of cosine ``bridge`` or more.
+
+    The neighbours of a node meet in one group, each vector once, and are compared there; only lists with a link that is
+    new since the last round take part.
+    """
+    ahead = nearest(graph.where(F.col("cos") >= bridge), fan)
+    back = nearest(ahead.select(F.col("b").alias("a"), F.col("a").alias("b"), "cos", "fresh"), fan)
+    near = ahead.unionByName(back).groupBy(F.col("a").alias("b"), F.col("b").alias("c")).agg(F.max("fresh").alias("fresh"))
+    near = near.join(near.where("fresh = 1").select("b").distinct(), "b", "left_semi")
+    placed = near.select("b", "c").join(nodes.select(F.col("node").alias("c"), "v"), "c").withColumn("g", F.pmod(F.xxhash64("b"), F.lit(2 * n * fan // GROUP_ROWS + 24)))
+    found = placed.groupBy("g").applyInArrow(_local_join(fan), "a bigint, b bigint, cos double").withColumn("fresh", F.lit(1))
+    return nearest(graph.withColumn("fresh", F.lit(0)).unionByName(found), k)
+
+
+def _centres(table: pa.Table) -> pa.Table:
+    """The unit mean of each component's vectors."""
+    component, lists = table.column("component").to_numpy(), Lists(table.column("v"))
+    order, runs = _runs(component)
+    means = [lists.rows(order[a:b]).mean(axis=0) for a, b in runs]
+    return pa.table({"component": component[order[[a for a, _ in runs]]], "centre": pa.array([m / max(np.linalg.norm(m), 1e-300) for m in means], pa.list_(pa.float64()))})
+
+
+def _angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members with their angle to their component's centre."""
+    for b in batches:
+        x, y = Lists(b.column(3)), Lists(b.column(4))
+        cos = np.array([x.rows(np.array([i]))[0] @ y.rows(np.array([i]))[0] for i in range(b.num_rows)]) if x.all is None else np.einsum("ij,ij->i", x.all, y.all)
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(np.arccos(np.clip(cos, -1, 1)))], ["node", "n", "component", "v", "angle"])
 
-def descend(graph: DataFrame, nodes: DataFrame, k: int, fan: int, bridge: float) -> DataFrame:
-    """One round: the lists take in neighbours of neighbours, over the ``fan`` best links either way of cosine ``bridge`` or more."""
-    strong = graph.where(F.col("cos") >= bridge)
-    back = strong.select(F.col("b").alias("a"), F.col("a").alias("b"), "cos")
-    near = nearest(strong, fan).unionByName(nearest(back, fan)).select("a", "b").distinct()
-    hop = near.join(near.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").where("a != c").select("a", F.col("c").alias("b")).distinct()
-    fresh = hop.join(graph.select("a", "b"), ["a", "b"], "left_anti")
-    return nearest(graph.unionByName(cosines(fresh, nodes)), k)
+
+def _near_centres(reach: float):
+    """Pairs of components of a pair of blocks whose vectors can be within ``reach`` of each other, with the centres' angle."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side, name, radius, lists = (table.column("side").to_numpy(), table.column("component").to_numpy(), table.column("radius").to_numpy(), Lists(table.column("centre")))
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for d in np.unique(lists.sizes):
+            left, right = np.flatnonzero((lists.sizes == d) & (side != 1)), np.flatnonzero((lists.sizes == d) & (side != 0))
+            if len(left) and len(right):
+                angle = np.arccos(np.clip(lists.rows(left) @ lists.rows(right).T, -1, 1))
+                i, j = np.nonzero((angle <= reach + radius[left][:, None] + radius[right][None, :] + 1e-9) & (name[left][:, None] < name[right][None, :]))
+                k, m = np.nonzero((angle <= reach + radius[left][:, None] + radius[right][None, :] + 1e-9) & (name[left][:, None] > name[right][None, :]) & (side[left][:, None] != 2))
+                out += [(name[left[i]], name[right[j]], angle[i, j]), (name[right[m]], name[left[k]], angle[k, m])]
+        return pa.table(dict(zip(("ca", "cb", "gap"), (np.concatenate(z) for z in zip(*out)))))
+
+    return run
 
 
 def _block_links(threshold: float):
+    """Links by node of each pair of blocks, and one link ``a, b`` of a pair from two components."""
+
     def run(table: pa.Table) -> pa.Table:
-        side, node, n, lists = table.column("side").to_numpy(), table.column("node").to_numpy(), table.column("n").to_numpy(), Lists(table.column("v"))
-        out_node, out_links = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        order, runs = _runs(*(table.column(c).to_numpy() for c in ("component", "i", "j")))
+        side, node, n, lists, component = *(table.column(c).to_numpy() for c in ("side", "node", "n")), Lists(table.column("v")), table.column("component").to_numpy()
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        across: list[tuple[int, int]] = []
+        order, runs = _runs(table.column("pair").to_numpy())
         for a, b in runs:
             own = order[a:b]
             left, right = own[side[own] != 1], own[side[own] != 0]
@@ -150,32 +211,98 @@ def _block_links(threshold: float):
             for at in range(0, len(left), 512):
                 rows = left[at : at + 512]
                 hit = (lists.rows(rows) @ y.T >= threshold) & (node[rows][:, None] != node[right][None, :])
-                out_node.append(node[rows])
-                out_links.append(hit @ n[right])
+                out.append((node[rows], hit @ n[right]))
                 if side[right[0]] == 1:
-                    out_node.append(node[right])
-                    out_links.append(n[rows] @ hit)
-        return pa.table({"node": np.concatenate(out_node), "links": np.concatenate(out_links).astype(np.int64)})
+                    out.append((node[right], n[rows] @ hit))
+                if component[rows[0]] != component[right[0]] and hit.any():
+                    i, j = np.unravel_index(int(hit.argmax()), hit.shape)
+                    across.append((int(node[rows[i]]), int(node[right[j]])))
+        names, links = (np.concatenate(z).astype(np.int64) for z in zip(*out))
+        none = [None] * len(across)
+        return pa.table(
+            {"node": pa.array([*names.tolist(), *none], pa.int64()), "links": pa.array([*links.tolist(), *none], pa.int64())}
+            | {c: pa.array([*([None] * len(names)), *(x[k] for x in across)], pa.int64()) for k, c in enumerate("ab")}
+        )
 
     return run
 
 
-def exact_links(members: DataFrame, n: int, threshold: float) -> DataFrame:
-    """``node, links``: rows within ``threshold`` of each node in its component, those equal to it left out.
+def exact_links(members: DataFrame, n: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``node, links``, the rows within ``threshold`` of each member among all of them, and ``a, b``, links that join components.
 
-    A component is dealt into blocks of BLOCK_ROWS and each pair of blocks is multiplied out by itself, in bounded
-    memory; no pair of vectors is ever a row. Small components share groups.
+    ``members`` are ``node, n, v, component``. Vectors of a component lie in rings about its centre, and angles obey the
+    triangle inequality: rings close enough to the centre are linked as a whole and only counted, rings and components too
+    far apart are left out, and what remains is dealt into blocks of BLOCK_ROWS whose pairs are multiplied out, in bounded
+    memory. No pair of vectors is ever a row, and a tight group of any size costs no product.
     """
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    own = members.join(sizes, "component").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
-    own = own.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = own.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "node", "n", "v", "component", "blocks", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
+    reach = math.acos(threshold)
+    first = Window.partitionBy("component").orderBy(F.xxhash64("node", F.lit(5)), "node")
+    picked = members.select("component", "node", "v").withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= CENTRE_ROWS)
+    group = F.pmod(F.xxhash64("component"), F.lit(n // GROUP_ROWS + 24))
+    centres = cut(picked.select("component", "v", group.alias("g")).groupBy("g").applyInArrow(_centres, "component bigint, centre array<double>"))
+    held = members.join(small_enough(centres, 5_000), "component").select("node", "n", "component", "v", "centre")
+    placed = cut(held.mapInArrow(_angles, "node bigint, n bigint, component bigint, v array<double>, angle double").withColumn("ring", F.floor(F.col("angle") / RING).cast("int")))
+    rings = cut(
+        placed.groupBy("component", "ring").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.max("angle").alias("angle"))
+        .withColumn("parts", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
     )
-    group = F.when(F.col("blocks") > 1, F.xxhash64("component", "i", "j")).otherwise(F.pmod(F.xxhash64("component"), F.lit(n // GROUP_ROWS + 24)))
-    found = dealt.select("node", "n", "v", "component", "i", "j", "side", group.alias("g")).groupBy("g").applyInArrow(_block_links(threshold), "node bigint, links bigint")
-    return found.groupBy("node").agg(F.sum("links").alias("links"))
+
+    def side(x: str) -> DataFrame:
+        return rings.select(F.col("component").alias(f"c{x}"), F.col("ring").alias(f"r{x}"), F.col("weight").alias(f"w{x}"), F.col("parts").alias(f"p{x}"))
+
+    sum_of_outer = (F.col("ra") + F.col("rb") + 2) * RING
+    both = side("a").join(side("b").withColumnRenamed("cb", "ca"), "ca")
+    sure = both.where(sum_of_outer <= reach - 1e-9).groupBy(F.col("ca").alias("component"), F.col("ra").alias("ring")).agg(F.sum("wb").alias("sure"))
+    inside = both.where((F.col("ra") <= F.col("rb")) & (sum_of_outer > reach - 1e-9) & ((F.col("rb") - F.col("ra") - 1) * RING <= reach + 1e-9)).withColumn("cb", F.col("ca"))
+    # components whose centres and radii let a link pass between them
+    count = centres.count()
+    blocks = -(-count // BLOCK_ROWS)
+    balls = centres.join(rings.groupBy("component").agg(F.max("angle").alias("radius")), "component").withColumn("mine", F.pmod(F.xxhash64("component"), F.lit(blocks)).cast("int"))
+    dealt = balls.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
+        "component", "centre", "radius", F.concat_ws("/", F.least("mine", "other"), F.greatest("mine", "other")).alias("g"),
+        F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"),
+    )
+    near = dealt.groupBy("g").applyInArrow(_near_centres(reach), "ca bigint, cb bigint, gap double")
+    between = side("a").join(near, "ca").join(side("b"), "cb").where(F.col("gap") <= reach + sum_of_outer + 1e-9)
+    columns = ["ca", "ra", "pa", "cb", "rb", "pb"]
+    pairs = inside.select(*columns).unionByName(between.select(*columns))
+    pairs = pairs.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("pa") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("pb") - 1)))
+    same = (F.col("ca") == F.col("cb")) & (F.col("ra") == F.col("rb"))
+    pairs = cut(pairs.where(~same | (F.col("i") <= F.col("j"))).withColumn("one", same & (F.col("i") == F.col("j"))).withColumn("pair", F.xxhash64("ca", "ra", "i", "cb", "rb", "j")))
+    own = placed.join(small_enough(rings.select("component", "ring", "parts"), 100_000), ["component", "ring"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    sides = pairs.select(F.col("ca").alias("component"), F.col("ra").alias("ring"), F.col("i").alias("part"), "pair", "pa", "pb", F.when(F.col("one"), 2).otherwise(0).alias("side")).unionByName(
+        pairs.where("not one").select(F.col("cb").alias("component"), F.col("rb").alias("ring"), F.col("j").alias("part"), "pair", "pa", "pb", F.lit(1).alias("side"))
+    )
+    group = F.when(F.col("pa") + F.col("pb") > 2, F.col("pair")).otherwise(F.pmod("pair", F.lit(n // GROUP_ROWS + 24)))
+    multiplied = own.join(sides, ["component", "ring", "part"]).select("node", "n", "v", "component", "pair", "side", group.alias("g"))
+    found = cut(multiplied.groupBy("g").applyInArrow(_block_links(threshold), "node bigint, links bigint, a bigint, b bigint"))
+    # a ring that is sure of itself counts its own rows too
+    itself = F.when((F.col("ring") + 1) * 2 * RING <= reach - 1e-9, F.col("n")).otherwise(F.lit(0))
+    certain = placed.select("node", "n", "component", "ring").join(small_enough(sure, 100_000), ["component", "ring"]).select("node", (F.col("sure") - itself).alias("links"))
+    counted = found.where("node is not null").select("node", "links").unionByName(certain)
+    return counted.groupBy("node").agg(F.sum("links").alias("links")), found.where("a is not null").select("a", "b")
+
+
+def links_of(graph: DataFrame, nodes: DataFrame, n: int, reach: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``node, links`` and ``node, component`` of the nodes with links, from the threshold edges of the lists.
+
+    A list that is half full of links may lack some. Those of two nodes with such lists are found by ``exact_links``; any
+    other link lost here stands in the other node's list.
+    """
+    ahead = cut(graph.where(F.col("cos") >= threshold).select("a", "b"))
+    both = ahead.unionByName(ahead.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    full = cut(ahead.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= reach // 2).select("node"))
+    weight = nodes.select(F.col("node").alias("b"), F.col("n").alias("w"))
+    if not full.take(1):
+        parts = connected_components(ahead)
+        return both.join(weight, "b").groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("links")), parts
+    flag = lambda x: full.select(F.col("node").alias(x), F.lit(True).alias(f"full_{x}"))
+    loose = both.join(flag("a"), "a", "left").join(flag("b"), "b", "left").where(F.col("full_a").isNull() | F.col("full_b").isNull())
+    parts = cut(connected_components(ahead))
+    members = cut(nodes.join(full, "node").join(parts, "node").select("node", "n", "v", "component"))
+    exact, across = exact_links(members, n, threshold)
+    counted = loose.join(weight, "b").select(F.col("a").alias("node"), F.col("w").alias("links")).unionByName(exact).groupBy("node").agg(F.sum("links").alias("links"))
+    return counted, connected_components(ahead.unionByName(across)) if across.take(1) else parts
 
 
 def audit(counted: DataFrame, nodes: DataFrame, n: int, threshold: float, sample: int) -> float:
@@ -213,20 +340,21 @@ def near_duplicates(
     vector_col: str = "embedding",
     threshold: float = 0.95,
     k: int = 10,
-    tables: int = 10,
-    rounds: int = 6,
+    most: int = 80,
+    rounds: int = 12,
     recall: float = 0.999,
-    sample: int = 512,
+    sample: int = 2048,
     bridge: float = 0.8,
 ) -> DataFrame:
     """One row per row of ``vectors``: ``vec_id, n_links, component_id, kept, audited_recall``.
 
-    Equal vectors are one node with a weight. Leaves of random-hyperplane tables seed each node's ``k`` nearest
-    neighbours, and rounds of neighbours-of-neighbours joins refine the lists. A list whose ``k``-th entry is within the
-    threshold is saturated; then ``k`` doubles before the round, up to eight times. Links of at least ``threshold``
-    form components, and inside each, products of blocks count every node's links, so that no list length caps a
-    group. An audit by brute force over about ``sample`` nodes measures the share of links counted; below ``recall``
-    another round follows, after fresh seeds, at most ``rounds``. All cosines are of unit vectors in double precision.
+    Equal vectors (by a 64-bit hash) are one node with a weight. Leaves of random-hyperplane tables seed each node's ``k``
+    nearest neighbours, and rounds of neighbours-of-neighbours joins refine the lists; there are as many tables as make a
+    pair at the threshold miss all leaves of a round once in ten. A list whose last entry is within the threshold is
+    saturated; then the lists double before the round, up to ``most``, and ``exact_links`` finds what lists half full of links
+    may lack. Links are the lists' edges of at least ``threshold``. An audit by brute force over about ``sample`` nodes
+    measures the share of links found; below ``recall`` another round follows, after fresh seeds. If the target isn't met
+    in ``rounds``, an error says so. All cosines are of unit vectors in double precision.
 
     A vector that is null, zero, or holds null or non-finite components links with nothing and is its own component.
     Vectors of different lengths never link; repeated rows link with each other; a row with a null id counts as a link
@@ -238,20 +366,21 @@ def near_duplicates(
     nodes = units.select("node", "n", "v")
     n = nodes.count()
     bits = int(np.clip(np.ceil(np.log2(max(n, 2) / LEAF_ROWS)), 1, 40))
-    graph, reach, measured = cut(nearest(seed(nodes, n, k, tables, bits, 0), k)), k, 0.0
+    met = (1 - math.acos(threshold) / math.pi) ** bits
+    tables = int(np.clip(math.ceil(math.log(0.1) / math.log1p(-met)), 4, 64))
+    graph, reach = cut(nearest(seed(nodes, n, k, tables, bits, 0), k)), k
     for turn in range(1, rounds + 1):
-        full = graph.where(F.col("cos") >= threshold).groupBy("a").count().where(F.col("count") >= reach)
-        if reach < 8 * k and full.take(1):
-            reach *= 2
-        graph = cut(descend(graph, nodes, reach, k, bridge))
-        parts = connected_components(graph.where(F.col("cos") >= threshold), "a", "b")
-        members = cut(nodes.join(parts, "node"))
-        counted = cut(exact_links(members, n, threshold))
+        if reach < most and graph.where(F.col("cos") >= threshold).groupBy("a").count().where(F.col("count") >= reach).take(1):
+            reach = min(2 * reach, most)
+        graph = cut(descend(graph, nodes, n, reach, k, bridge))
+        counted, parts = map(cut, links_of(graph, nodes, n, reach, threshold))
         measured = audit(counted, nodes, n, threshold, sample)
-        if measured >= recall or turn == rounds:
+        if measured >= recall:
             break
         graph = cut(nearest(graph.unionByName(seed(nodes, n, k, tables, bits, turn)), reach))
-    of = units.select("node", "least", "n").join(members.select("node", "component"), "node", "left").join(counted, "node", "left")
+    else:
+        raise RuntimeError(f"the audit found {measured:.4f} of the links after {rounds} rounds, not {recall}")
+    of = units.select("node", "least", "n").join(parts, "node", "left").join(counted, "node", "left")
     of = of.select("node", "n", "least", F.coalesce("component", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     names = of.groupBy("root").agg(F.min("least").alias("component_id"))
     final = of.join(names, "root").select("node", (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id")
