@@ -9,14 +9,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import type_of
+from keyloom.llm.common import small_enough, type_of
 
 LETTERS = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
 UNKNOWN = "und"
+#: Tokens whose scores a task keeps at most; then it starts afresh.
+KNOWN_TOKENS = 200_000
+
+
+def words_of(token: str) -> list[str]:
+    """The runs of letters (Unicode category L) in a token, in lower case."""
+    low = token.lower()
+    if low.isalpha():
+        return [low]
+    runs = LETTERS.findall(low)
+    if all(map(str.isalpha, runs)):
+        return runs
+    # the pattern also takes number signs such as fractions and Roman numerals
+    return "".join(c if c.isalpha() else " " for c in low).split()
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -27,9 +41,9 @@ def _grams(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """Log frequencies by language of the frequent words and n-grams; ``orders[0]`` holds the words."""
+    """Log frequencies by language of words and n-grams; ``tables[0]`` holds the words."""
 
-    def __init__(self, rows: list[tuple[int, str, str, int]], totals: dict[tuple[int, str], int]) -> None:
+    def __init__(self, rows: list[tuple[int, str, str, int]]) -> None:
         self.langs = sorted({lang for _, _, lang, _ in rows})
         place = {x: i for i, x in enumerate(self.langs)}
         self.tables: dict[int, tuple[dict[str, int], np.ndarray]] = {}
@@ -39,44 +53,57 @@ class Model:
             n = np.zeros((len(index), len(self.langs)))
             for _, gram, lang, count in own:
                 n[index[gram], place[lang]] = count
-            total = np.array([totals.get((order, x), 0) for x in self.langs]) + 0.5 * (len(index) + 1)
+            total = n.sum(axis=0) + 0.5 * (len(index) + 1)
             self.tables[order] = index, np.log((n + 0.5) / total).astype(np.float32)
 
-
-def _unseen(model: Model, word: str) -> np.ndarray | None:
-    """Mean log frequency of a word's longest n-grams that occur in the model at all."""
-    for n in ORDERS:
-        index, logs = model.tables[n]
-        if known := [index[g] for g in _grams(word, n) if g in index]:
-            return logs[known].mean(axis=0)
-    return None
+    def unseen(self, word: str) -> np.ndarray:
+        """Mean log frequency of an unknown word's longest n-grams that occur in the model at all, or zero."""
+        for n in ORDERS:
+            index, logs = self.tables[n]
+            if known := [index[g] for g in _grams(word, n) if g in index]:
+                return logs[known].mean(axis=0)
+        return np.zeros(len(self.langs), dtype=np.float32)
+
+
+class Tokens(dict):
+    """Rows by token of ``table``: the summed scores of its words, and how many words it has. Known words come first in it."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, (self.words, logs) = model, model.tables[0]
+        self.table = np.concatenate((np.hstack((logs, np.ones((len(logs), 1), dtype=np.float32))), np.zeros((1024, len(model.langs) + 1), dtype=np.float32)))
+        self.used = len(logs)
+
+    def __missing__(self, token: str) -> int:
+        words = words_of(token)
+        if len(words) == 1 and (at := self.words.get(words[0])) is not None:
+            self[token] = at
+            return at
+        at = self[token] = self.used
+        self.used += 1
+        if at == len(self.table):
+            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+        for word in words:
+            self.table[at, :-1] += self.model.unseen(word) if (own := self.words.get(word)) is None else self.table[own, :-1]
+        self.table[at, -1] = len(words)
+        return at
 
 
 def _scorer(model: Model):
-    words, logs = model.tables[0]
-    unseen: dict[str, np.ndarray | None] = {}
+    tokens = Tokens(model)
 
     def score(text: str | None) -> tuple[str, float]:
-        counts = Counter(LETTERS.findall(text.lower())) if text else None
-        if not counts or not model.langs:
+        nonlocal tokens
+        if not text or not model.langs:
+            return UNKNOWN, 0.0
+        if len(tokens) > KNOWN_TOKENS:
+            tokens = Tokens(model)
+        counts = Counter(text.split())
+        rows = list(map(tokens.__getitem__, counts))
+        *total, n = np.fromiter(counts.values(), dtype=np.float64, count=len(counts)) @ tokens.table[rows]
+        if not n:
             return UNKNOWN, 0.0
-        known, times, total = [], [], np.zeros(len(model.langs))
-        for word, c in counts.items():
-            at = words.get(word)
-            if at is not None:
-                known.append(at)
-                times.append(c)
-                continue
-            if word not in unseen:
-                if len(unseen) > 100_000:
-                    unseen.clear()
-                unseen[word] = _unseen(model, word)
-            if unseen[word] is not None:
-                total += c * unseen[word]
-        if known:
-            total += np.array(times, dtype=np.float32) @ logs[known]
         # words of a text are not independent: the evidence grows with the root of their number
-        z = total / math.sqrt(sum(counts.values()))
+        z = np.array(total) / math.sqrt(n)
         p = np.exp(z - z.max())
         best = int(p.argmax())
         return model.langs[best], float(p[best] / p.sum())
@@ -84,46 +111,41 @@ def _scorer(model: Model):
     return score
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_docs: int = 20_000, top_words: int = 20_000, top_grams: int = 6_000) -> Model:
-    """Frequencies from at most about ``max_docs`` labelled rows, chosen by a hash of the id, counted in Spark.
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_docs: int = 20_000) -> Model:
+    """Frequencies of all words and n-grams in at most about ``max_docs`` labelled rows, counted in Spark.
 
-    Kept are the ``top_words`` most frequent words and ``top_grams`` n-grams of each order, by language, ties by code
-    points, so the model's size is bounded by the number of languages. A column without labels gives a model without
-    languages, which predicts ``und``.
+    Each language has an equal part of the rows, those first by a hash of the id; a rare one is taken whole. So the bound
+    on rows limits the model and no language is missed. A column without labels gives a model without languages, which
+    predicts ``und``.
     """
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    n = rows.count()
-    share = min(1.0, max_docs / max(n, 1))
-    chosen = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), F.lit(1 << 40)) < int(share * (1 << 40))
-    sample = rows.where(chosen).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).cast("string").alias("id"))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).crossJoin(rows.select(F.count_distinct("lang").alias("langs")))
+    shares = sizes.select(F.col("lang").alias("s_lang"), (F.lit(float(max_docs)) / F.col("langs") / F.col("n")).alias("share"))
+    at = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.lit(7)), F.lit(1 << 40)) / float(1 << 40)
+    sample = rows.join(small_enough(shares, 10_000), F.col("lang") == F.col("s_lang")).where(at < F.col("share")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words: dict[str, Counter] = {}
+            tokens: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
-            for lang, own in words.items():
-                tables = {0: own}
-                for n in ORDERS:
-                    grams: Counter = Counter()
-                    for word, c in own.items():
+                tokens.setdefault(lang, Counter()).update(text.split())
+            for lang, own in tokens.items():
+                tables: dict[int, Counter] = {n: Counter() for n in (0, *ORDERS)}
+                for token, c in own.items():
+                    for word in words_of(token):
+                        tables[0][word] += c
+                for word, c in tables[0].items():
+                    for n in ORDERS:
                         for g in _grams(word, n):
-                            grams[g] += c
-                    tables[n] = grams
+                            tables[n][g] += c
                 for n, table in tables.items():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([n] * len(table), pa.int32()), pa.array(list(table)), pa.array([lang] * len(table)), pa.array(list(table.values()), pa.int64())],
+                        [pa.array([n] * len(table), pa.int32()), pa.array(list(table), pa.string()), pa.array([lang] * len(table)), pa.array(list(table.values()), pa.int64())],
                         ["kind", "gram", "lang", "n"],
                     )
 
     counts = sample.mapInArrow(count, "kind int, gram string, lang string, n bigint").groupBy("kind", "gram", "lang").agg(F.sum("n").alias("n"))
-    counts = counts.persist()
-    order = Window.partitionBy("kind", "lang").orderBy(F.col("n").desc(), "gram")
-    top = counts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= F.when(F.col("kind") == 0, top_words).otherwise(top_grams))
-    totals = {(r["kind"], r["lang"]): r["n"] for r in counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
-    table = top.select("kind", "gram", "lang", "n").toArrow()
-    counts.unpersist()
-    return Model(list(zip(*(c.to_pylist() for c in table.columns))), totals)
+    return Model(list(zip(*(c.to_pylist() for c in counts.select("kind", "gram", "lang", "n").toArrow().columns))))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,8 +166,9 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 def identify(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """``doc_id, lang_pred, score`` for every whole text, from a model of the labelled rows where ``learn`` holds.
 
-    Known words are scored by their log frequency in each language; an unseen word by its character 4-grams, or its
-    3-, 2- or 1-grams where none of the longer are known. The score is the share of the best language. A null text, or
+    A word is a run of letters (Unicode category L) in lower case. Known words are scored by their log frequency in each
+    language; an unseen word by its character 4-grams, or its 3-, 2- or 1-grams where none of the longer are known. The
+    score is the share of the best language. A null text, or
     one without a letter, is ``und`` with score 0; repeated rows get equal rows; an empty table gives no rows; ties go
     to the first language by code points; other columns are ignored.
     """
