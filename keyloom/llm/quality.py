@@ -18,6 +18,8 @@ from keyloom.llm.common import type_of
 from keyloom.llm.toxicity import training_rows
 
 BITS = 16
+#: Tokens whose buckets a task keeps at most; then it starts afresh.
+KNOWN = 400_000
 CORE = re.compile(r"[^\W\d_]+")
 RUNS = re.compile(r"(.)\1+", re.S)
 
@@ -33,7 +35,7 @@ class Tokens(dict):
     """
 
     def __missing__(self, token: str) -> tuple[int, int, int]:
-        if len(self) > 200_000:
+        if len(self) > KNOWN:
             self.clear()
         if m := CORE.search(token):
             upper = m.end() - m.start() > 1 and m[0].isupper()
@@ -60,15 +62,14 @@ def features(text: str | None, known: Tokens) -> tuple[list[int], list[float]]:
     size = n.bit_length()
     if n:
         counts = Counter(words)
-        kinds = [0, 0, 0]
+        kinds = [0] * 8
         for (word, shape, kind), c in zip(map(known.__getitem__, counts), counts.values()):
             found[word] = found.get(word, 0.0) + c / n
             found[shape] = found.get(shape, 0.0) + 4 * c / n
-            for k in range(3):
-                kinds[k] += c * (kind >> k & 1)
+            kinds[kind] += c
         lines = [x for x in text.split("\n") if x.strip()]
         rates = {
-            "upper": kinds[0] / n, "bare": kinds[1] / n, "marks": kinds[2] / n, "again": sum(map(eq, words, words[1:])) / n, "top": max(counts.values()) / n, "kinds": len(counts) / n,
+            "upper": (kinds[1] + kinds[5]) / n, "bare": kinds[2] / n, "marks": (kinds[4] + kinds[5]) / n, "again": sum(map(eq, words, words[1:])) / n, "top": max(counts.values()) / n, "kinds": len(counts) / n,
             "lines": 1 - len(set(lines)) / len(lines),
         }
         for name, rate in rates.items():
