@@ -12,25 +12,31 @@ from keyloom.operators.kernels import KEY, TIE, TIME, before, emit, first_seen,
 def _placed(events: DataFrame, eligible: Column | None, width_ms: int, values: dict[str, Column], guarded: bool = False) -> DataFrame:
     """Eligible events with ``values`` and the anchor of their segment; nothing else is sent through the ordered pass."""
     d = prepare(events, eligible, dedup=guarded, nudge=guarded)
-    return segments(d.select(KEY, TIME, TIE, "rn", *[c.alias(n) for n, c in values.items()]), width_ms)
+    return segments(d.select(KEY, TIME, TIE, "rn", *[c.alias(n) for n, c in values.items()]), width_ms, placed=True)
+
+
+def _diverse(d: DataFrame, name: str, value: str, on: int, notes: tuple[str, str]) -> DataFrame:
+    """The event of a segment that brings its distinct values over ``on``. Sets hold first events alone, no more than that."""
+    d = first_seen(d, F.col(value), "v", "anchor")
+    early = F.when(F.col("v_new") & (F.col("v_n") <= on + 1), F.col(value))
+    d = d.withColumn("_set", F.collect_list(early).over(prefix(ordered("anchor")))).where(F.col("v_new") & (F.col("v_n") == on + 1))
+    return emit(d, name, "Count", F.col("v_n"), F.col("anchor"), comments={notes[0]: F.col("v_n"), notes[1]: F.sort_array("_set")})
 
 
 def diversity(
     events: DataFrame, name: str, value: Column, width_ms: int, on: int, eligible: Column | None = None, guarded: bool = False,
-    notes: tuple[str, str] = ("distinct_count", "codes_seen"), counted: Column | None = None,
+    notes: tuple[str, str] = ("distinct_count", "codes_seen"),
 ) -> DataFrame:
     """The event that brings more than ``on`` distinct values into a segment; at most one for each."""
-    v = value if counted is None else F.when(counted, value)
-    d = first_seen(_placed(events, eligible, width_ms, {"v": v}, guarded), F.col("v"), "v", "anchor")
-    d = d.withColumn("_set", F.sort_array(F.collect_set("v").over(prefix(ordered("anchor"))))).where(F.col("v_new") & (F.col("v_n") == on + 1))
-    return emit(d, name, "Count", F.col("v_n"), F.col("anchor"), comments={notes[0]: F.col("v_n"), notes[1]: F.col("_set")})
+    return _diverse(_placed(events, eligible, width_ms, {"v": value}, guarded), name, "v", on, notes)
 
 
 def geo_drift(events: DataFrame, width_ms: int = HOUR_MS, states: int = 2, districts: int = 5) -> DataFrame:
     """More than ``states`` states, and more than ``districts`` districts, in a segment; blank codes open one but don't count."""
     ok = F.col("locationStateCode").isNotNull() | F.col("locationDistrictCode").isNotNull()
-    parts = (("auth_geo_states_drift_v1", "locationStateCode", states), ("auth_geo_districts_drift_v1", "locationDistrictCode", districts))
-    a, b = (diversity(events, n, F.col(c), width_ms, on, ok, counted=filled(c)) for n, c, on in parts)
+    d = _placed(events, ok, width_ms, {v: F.when(filled(c), F.col(c)) for v, c in (("s", "locationStateCode"), ("d", "locationDistrictCode"))})
+    parts = (("auth_geo_states_drift_v1", "s", states), ("auth_geo_districts_drift_v1", "d", districts))
+    a, b = (_diverse(d, n, v, on, ("distinct_count", "codes_seen")) for n, v, on in parts)
     return a.unionByName(b)
 
 
@@ -55,22 +61,29 @@ def error_spray(events: DataFrame, width_ms: int = HOUR_MS, on: int = 8) -> Data
     return diversity(events, "auth_multi_error_spray_v1", F.col("subErrorCode"), width_ms, on - 1, filled("subErrorCode", True), True, ("distinct_errors_1h", "error_codes"))
 
 
-def concentration(events: DataFrame, name: str, value: str, width_ms: int, least: int, on: float, eligible: Column, dominant: str, total: str) -> DataFrame:
-    """Largest share of one value so far in a segment above ``on``, from ``least`` events on; the latch begins anew with each."""
-    d = _placed(events, eligible, width_ms, {"v": F.col(value)})
-    d = d.withColumn("_c", F.row_number().over(ordered("anchor", "v"))).withColumn("_n", F.row_number().over(ordered("anchor")))
+def concentration(events: DataFrame, name: str, value: str, width_ms: int, least: int, on: float, eligible: Column, dominant: str, total: str, counts: str) -> DataFrame:
+    """Largest share of one value so far in a segment above ``on``, from ``least`` events on; the latch begins anew with each.
+
+    The counts by value are taken for alerts alone, which are few, from the events of their segment up to them.
+    """
+    rows = _placed(events, eligible, width_ms, {"v": F.col(value)})
+    d = rows.withColumn("_c", F.row_number().over(ordered("anchor", "v"))).withColumn("_n", F.row_number().over(ordered("anchor")))
     d = d.withColumn("_top", F.max(F.struct("_c", "v")).over(prefix(ordered("anchor")))).withColumn("_share", F.col("_top._c") / F.col("_n"))
     enough = F.col("_n") >= least
-    d = latch(d, enough & (F.col("_share") > on), enough & (F.col("_share") <= on), "anchor")
-    return emit(d, name, "Ratio", F.col("_share"), F.col("anchor"), comments={"concentration_ratio": F.col("_share"), dominant: F.col("_top.v"), total: F.col("_n")})
+    d = latch(d, enough & (F.col("_share") > on), enough & (F.col("_share") <= on), "anchor").select(KEY, TIME, "anchor", "rn", "_share", "_top", "_n")
+    before_it = d.select(KEY, "anchor", F.col("rn").alias("at")).join(rows.select(KEY, "anchor", "rn", "v"), [KEY, "anchor"]).where(F.col("rn") <= F.col("at"))
+    each = before_it.groupBy(KEY, "anchor", "at", "v").agg(F.count(F.lit(1)).alias("c"))
+    all_ = each.groupBy(KEY, "anchor", F.col("at").alias("rn")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("v", "c")))).alias("_counts"))
+    d = d.join(all_, [KEY, "anchor", "rn"])
+    return emit(d, name, "Ratio", F.col("_share"), F.col("anchor"), comments={"concentration_ratio": F.col("_share"), dominant: F.col("_top.v"), total: F.col("_n"), counts: F.col("_counts")})
 
 
 def error_hotspot(events: DataFrame, width_ms: int = HOUR_MS, least: int = 20, on: float = 0.8) -> DataFrame:
-    return concentration(events, "auth_error_code_hotspot_v1", "subErrorCode", width_ms, least, on, filled("subErrorCode", True), "dominant_error", "total_errors")
+    return concentration(events, "auth_error_code_hotspot_v1", "subErrorCode", width_ms, least, on, filled("subErrorCode", True), "dominant_error", "total_errors", "error_counts")
 
 
 def server_concentration(events: DataFrame, width_ms: int = HOUR_MS, least: int = 50, on: float = 0.95) -> DataFrame:
-    return concentration(events, "auth_server_concentration_v1", "serverId", width_ms, least, on, filled("serverId"), "dominant_server", "total_requests")
+    return concentration(events, "auth_server_concentration_v1", "serverId", width_ms, least, on, filled("serverId"), "dominant_server", "total_requests", "server_counts")
 
 
 def weekend(events: DataFrame, width_ms: int = 7 * DAY_MS, least: int = 20, on: float = 0.5) -> DataFrame:
@@ -90,12 +103,13 @@ def location_anchor(events: DataFrame, least: int = 15, cooldown_ms: int = HOUR_
     d = d.withColumn("_top", F.max(F.struct(F.col("_c"), (-F.col("_first")).alias("age"), F.col("place").alias("name"))).over(prefix(ordered())))
     d = first_seen(d, F.col("place"), "place").where((F.col("rn") >= least) & (F.col("place") != F.col("_top.name")))
     d = d.select(KEY, TIME, TIE, "place", "rn", F.col("_top.name").alias("home"), (F.col("_top._c") / F.col("rn")).alias("share"), (F.col("_c") / F.col("rn")).alias("own"), F.col("place_n").alias("places"))
-    d = segments(d, cooldown_ms, "place", inclusive=True)
+    d = segments(d, cooldown_ms, "place", inclusive=True, placed=True)
     d = d.withColumn("_nth", F.row_number().over(ordered("place", "anchor"))).where("_nth = 1")
     strength = F.when(F.col("share") >= 0.8, "VERY_STRONG").when(F.col("share") >= 0.5, "STRONG").otherwise("WEAK_OR_NO_ANCHOR")
     notes = {
         "anchor_location": F.col("home"), "anchor_percentage": F.round("share", 4), "anchor_strength": strength, "current_location": F.col("place"), "current_location_percentage": F.round("own", 4),
         "total_distinct_locations": F.col("places"), "total_events_with_location": F.col("rn"), "detection_timestamp": F.col(TIME),
+        "explanation": F.format_string("seen at %s, away from the usual %s (%s)", "place", "home", strength),
     }
     return emit(d, "auth_geo_location_anchor_drift", "Ratio", F.round("share", 4), comments=notes)
 
@@ -114,10 +128,12 @@ def fingerprint_break(events: DataFrame, least: int = 20, most: int = 2, cooldow
     score = sum(((F.col(f"_{k}") == F.col(f"mode_{k}")).cast("int") for k in fields), F.lit(0))
     d = d.withColumn("score", score).where((F.col("rn") > least) & (F.col("score") <= most))
     d = d.select(KEY, TIME, TIE, "rn", "score", *[c for k in fields for c in (f"_{k}", f"mode_{k}")])
-    d = segments(d, cooldown_ms, inclusive=True)
+    d = segments(d, cooldown_ms, inclusive=True, placed=True)
     d = d.withColumn("_nth", F.row_number().over(ordered("anchor"))).where("_nth = 1")
     compared = F.struct(*[F.struct(F.col(f"mode_{k}").alias("baseline"), F.col(f"_{k}").alias("current"), (F.col(f"_{k}") == F.col(f"mode_{k}")).alias("match")).alias(k) for k in fields])
     notes = {"similarity_score": F.col("score"), "dimension_comparison": compared, "total_events_in_baseline": F.col("rn") - 1, "detection_timestamp": F.col(TIME)}
+    grade = F.when(F.col("score") == 0, "CRITICAL").when(F.col("score") == 1, "HIGH").otherwise("MEDIUM")
+    notes["severity"] = F.format_string("%s: %d of 4 fields as usual", grade, "score")
     return emit(d, "auth_session_identity_fingerprint_break", "Similarity Score", F.col("score"), comments=notes)
 
 
@@ -130,7 +146,7 @@ def cert_expiry(events: DataFrame, within_ms: int = 7 * DAY_MS, again_ms: int =
     d = prepare(events, filled("certExpiryDate")).withColumn("left", expiry - F.col(TIME))
     d = d.withColumn("_hit", F.coalesce((F.col("left") > 0) & (F.col("left") <= within_ms), F.lit(False)))
     d = d.withColumn("_first", F.min(F.when(F.col("_hit"), F.col("rn"))).over(prefix(ordered()))).where(F.col("_first").isNotNull())
-    d = segments(d.select(KEY, TIME, TIE, "left", "certExpiryDate", F.col("_hit").alias("hit")), again_ms)
+    d = segments(d.select(KEY, TIME, TIE, "left", "certExpiryDate", F.col("_hit").alias("hit"), "_first"), again_ms, placed=True)
     d = d.withColumn("_nth", F.row_number().over(ordered("anchor"))).where((F.col("_nth") == 1) & F.col("hit"))
     days = F.col("left") / DAY_MS
     return emit(d, "auth_cert_expiry_alert_v1", "Days", days, comments={"cert_id": F.col("certExpiryDate"), "days_remaining": days, "alert": F.lit("CERT_EXPIRING")})

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
@@ -75,11 +76,23 @@ def change_of(value: Column) -> Column:
     return ~value.eqNullSafe(F.lag(value).over(ordered())) | (F.col("rn") == 1)
 
 
-def fold(rows: DataFrame, function: Callable[[], Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch]], schema: str, *by: str) -> DataFrame:
+def _begins(columns: list[pa.Array], last: list[pa.Scalar] | None) -> np.ndarray:
+    """For the rows of a batch, whether a key other than that of the row before begins; ``last`` is the key before the batch."""
+    new = np.zeros(len(columns[0]), dtype=bool)
+    new[0] = last is None or any(c[0] != x for c, x in zip(columns, last))
+    for c in columns:
+        a, b = c.slice(0, len(c) - 1), c.slice(1)
+        differ = pc.or_kleene(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b)))
+        new[1:] |= differ.to_numpy(zero_copy_only=False)
+    return new
+
+
+def fold(rows: DataFrame, function: Callable[[], Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch]], schema: str, *by: str, placed: bool = False) -> DataFrame:
     """An ordered pass over the events of each key (and ``by``), in bounded memory.
 
     Keys are hashed to partitions and sorted; batches stream through, so a key of any length is never held. For each
     partition ``function()`` makes a step that gets a batch and the places where a key begins, and keeps what it must.
+    ``placed`` says that ``rows`` come from windows over the key that their columns need: then they lie by key already.
     """
     names = [KEY, *by]
 
@@ -88,13 +101,13 @@ def fold(rows: DataFrame, function: Callable[[], Callable[[pa.RecordBatch, np.nd
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = pa.StructArray.from_arrays([batch.column(n) for n in names], names=names).to_pylist()
-            new = np.array([a != b for a, b in zip(keys, [last, *keys])])
-            last = keys[-1]
+            columns = [batch.column(n) for n in names]
+            new = _begins(columns, last)
+            last = [c[-1] for c in columns]
             yield step(batch, new)
 
-    placed = rows.repartition(*names).sortWithinPartitions(*names, TIME, TIE)
-    return placed.mapInArrow(run, schema)
+    lying = rows if placed else rows.repartition(KEY)
+    return lying.sortWithinPartitions(*names, TIME, TIE).mapInArrow(run, schema)
 
 
 def _anchors(width: int, inclusive: bool):
@@ -128,15 +141,15 @@ def _anchors(width: int, inclusive: bool):
     return make
 
 
-def segments(rows: DataFrame, width_ms: int, *by: str, inclusive: bool = False) -> DataFrame:
+def segments(rows: DataFrame, width_ms: int, *by: str, inclusive: bool = False, placed: bool = False) -> DataFrame:
     """``rows`` with ``anchor``, the time of the event that opened their segment.
 
     The first event of a key opens one; an event more than ``width_ms`` after the anchor (``inclusive``: that or more)
     opens the next. Where each anchor lies depends on the one before, so this is an ordered pass that jumps from anchor
-    to anchor.
+    to anchor. One exchange after it serves all windows of the segments, and is shared by all that read them.
     """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return fold(rows, _anchors(width_ms, inclusive), f"{schema}, anchor bigint", *by)
+    return fold(rows, _anchors(width_ms, inclusive), f"{schema}, anchor bigint", *by, placed=placed).repartition(KEY)
 
 
 def first_seen(d: DataFrame, value: Column, name: str, *by: str) -> DataFrame:

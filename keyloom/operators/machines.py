@@ -105,15 +105,15 @@ def failure_rate(events: DataFrame, n: int = 50, least: int = 20, steps: tuple[f
     d = d.withColumn("failed", F.sum("_no").over(w)).withColumn("n", F.least("rn", F.lit(n))).withColumn("rate", F.col("failed") / F.col("n"))
     d = d.where(F.col("n") >= least).select(KEY, TIME, TIE, "failed", "n", "rate")
     act = lambda m, rate: (True,) if m.step(rate) else None
-    out = fold(d, _machine(lambda: RateLadder(steps, reset), ["rate"], act, ["hit"], [pa.bool_()]), _schema(d, "hit boolean"))
+    out = fold(d, _machine(lambda: RateLadder(steps, reset), ["rate"], act, ["hit"], [pa.bool_()]), _schema(d, "hit boolean"), placed=True)
     return emit(out, "auth_failure_rate_rolling_v1", "Ratio", F.col("rate"), comments={"failure_count": F.col("failed"), "total_events": F.col("n"), "failure_rate": F.col("rate")})
 
 
 def multi_device(events: DataFrame, width_ms: int = 10_000, on: int = 3) -> DataFrame:
     """Distinct devices within ``width_ms``; the devices seen are forgotten after an alert."""
-    d = events.where(filled("deviceCode")).select(KEY, TIME, TIE, "deviceCode")
+    d = prepare(events, filled("deviceCode")).select(KEY, TIME, TIE, "deviceCode", "rn")
     act = lambda m, ts, device: (x,) if (x := m.step(ts, device)) else None
-    out = fold(d, _machine(lambda: DeviceCrowd(width_ms, on), [TIME, "deviceCode"], act, ["devices"], [pa.list_(pa.string())]), _schema(d, "devices array<string>"))
+    out = fold(d, _machine(lambda: DeviceCrowd(width_ms, on), [TIME, "deviceCode"], act, ["devices"], [pa.list_(pa.string())]), _schema(d, "devices array<string>"), placed=True)
     notes = {"alert_reason": F.lit("Several devices at the same time"), "distinct_device_count": F.size("devices"), "device_codes_involved": F.col("devices")}
     return emit(out, "auth_multi_device_concurrency_v1", "Count", F.size("devices"), F.col(TIME) - width_ms, comments=notes)
 
@@ -122,13 +122,14 @@ def error_escalation(events: DataFrame, width_ms: int = 1_800_000, on: int = 4)
     """The failure that makes ``on`` distinct errors in a streak of at most ``width_ms``."""
     d = prepare(events, filled("authResult"), dedup=True).where(is_no() | is_yes())
     error = F.when(is_no(), F.concat(F.coalesce("errorCode", F.lit("")), F.lit(":"), F.coalesce("subErrorCode", F.lit(""))))
-    d = d.select(KEY, TIME, TIE, error.alias("error"))
+    d = d.select(KEY, TIME, TIE, error.alias("error"), "rn")
     act = lambda m, ts, e: m.step(ts, e)
-    out = fold(d, _machine(lambda: ErrorEscalation(width_ms, on), [TIME, "error"], act, ["start", "errors"], [pa.int64(), pa.list_(pa.string())]), _schema(d, "start bigint, errors array<string>"))
+    out = fold(d, _machine(lambda: ErrorEscalation(width_ms, on), [TIME, "error"], act, ["start", "errors"], [pa.int64(), pa.list_(pa.string())]), _schema(d, "start bigint, errors array<string>"), placed=True)
     n = F.size(F.array_distinct("errors"))
     notes = {
         "error_code_sequence": F.array_join("errors", " -> "), "distinct_error_count": n, "distinct_errors": F.sort_array(F.array_distinct("errors")), "total_failures_in_streak": F.size("errors"),
         "streak_duration_sec": (F.col(TIME) - F.col("start")) / 1000, "first_failure_time": F.col("start"), "last_failure_time": F.col(TIME),
+        "explanation": F.format_string("%d different errors in %d failures in a row", n, F.size("errors")),
     }
     return emit(out, "auth_progressive_error_escalation", "Count", n, F.col("start"), comments=notes)
 

@@ -47,7 +47,8 @@ def rapid_device_switch(events: DataFrame, width_ms: int = 600_000, on: int = 4)
 def concurrent_aua(events: DataFrame, on: int = 3) -> DataFrame:
     """The event that makes ``on`` distinct AUAs at one instant of a key."""
     d = first_seen(prepare(events, filled("aua"), dedup=True).withColumn("_at", F.col("ts")), F.col("aua"), "aua", "_at")
-    d = d.withColumn("_set", F.collect_set("aua").over(ordered("_at").rowsBetween(Window.unboundedPreceding, 0)))
+    early = F.when(F.col("aua_new") & (F.col("aua_n") <= on), F.col("aua"))
+    d = d.withColumn("_set", F.collect_list(early).over(ordered("_at").rowsBetween(Window.unboundedPreceding, 0)))
     d = d.where(F.col("aua_new") & (F.col("aua_n") == on))
     notes = {"distinct_auas_in_same_ms": F.col("aua_n"), "auas_list": F.sort_array("_set"), "exact_timestamp_ms": F.col("ts")}
     return emit(d, "auth_concurrent_aua_burst_v1", "Count", F.col("aua_n"), F.col("ts"), comments=notes)

@@ -11,7 +11,7 @@ from keyloom.operators.kernels import KEY, change_of, emit, last_rows, latch, or
 
 def rolling_share(
     events: DataFrame, name: str, flag: Column, n: int, least: int, on: float, off: float, eligible: Column | None = None,
-    guarded: bool = False, strict: bool = False, flagged: str = "flagged", share: str = "ratio",
+    guarded: bool = False, strict: bool = False, flagged: str = "flagged", share: str = "ratio", total: str = "total_events", kind: str = "Ratio",
 ) -> DataFrame:
     """Share of the last ``n`` eligible events where ``flag`` holds, from ``least`` events on.
 
@@ -19,13 +19,12 @@ def rolling_share(
     sums are differences of running sums, so a row costs the same for any ``n``.
     """
     d = prepare(events, eligible, dedup=guarded, nudge=guarded).withColumn("_flag", F.coalesce(flag, F.lit(False)).cast("int"))
-    total = F.sum("_flag").over(prefix(ordered()))
-    d = d.withColumn("_sum", total).withColumn("_n", F.least("rn", F.lit(n)))
+    d = d.withColumn("_sum", F.sum("_flag").over(prefix(ordered()))).withColumn("_n", F.least("rn", F.lit(n)))
     d = d.withColumn("_hit", F.col("_sum") - F.coalesce(F.lag("_sum", n).over(ordered()), F.lit(0))).withColumn("_share", F.col("_hit") / F.col("_n"))
     enough = F.col("_n") >= least
     rate = F.col("_share")
     d = latch(d, enough & ((rate > on) if strict else (rate >= on)), enough & ((rate <= off) if strict else (rate < off)))
-    return emit(d, name, "Ratio", rate, comments={flagged: F.col("_hit"), "total_events": F.col("_n"), share: rate})
+    return emit(d, name, kind, rate, comments={flagged: F.col("_hit"), total: F.col("_n"), share: rate})
 
 
 def otp_fallback(events: DataFrame, n: int = 30, least: int = 10, on: float = 0.5) -> DataFrame:
@@ -35,7 +34,7 @@ def otp_fallback(events: DataFrame, n: int = 30, least: int = 10, on: float = 0.
 def success_without_bio(events: DataFrame, n: int = 30, least: int = 10, on: float = 0.4) -> DataFrame:
     none = [F.coalesce(F.trim(c).try_cast("int"), F.lit(0)) == 0 for c in ("fmrCount", "firCount")]
     flag = none[0] & none[1] & (F.col("faceUsed").isNull() | (F.upper("faceUsed") == "N"))
-    return rolling_share(events, "auth_success_without_bio_ratio_v1", flag, n, least, on, on, is_yes(), True, flagged="suspicious_successes", share="suspicious_ratio")
+    return rolling_share(events, "auth_success_without_bio_ratio_v1", flag, n, least, on, on, is_yes(), True, flagged="suspicious_successes", share="suspicious_ratio", total="total_successes")
 
 
 def location_mismatch(events: DataFrame, n: int = 20, least: int = 10, on: float = 0.6) -> DataFrame:
@@ -46,11 +45,11 @@ def location_mismatch(events: DataFrame, n: int = 20, least: int = 10, on: float
 
 def night_surge(events: DataFrame, n: int = 200, least: int = 50, on: float = 0.4) -> DataFrame:
     hour = ist_hour()
-    return rolling_share(events, "auth_night_surge_v1", (hour >= 23) | (hour < 5), n, least, on, on, None, True, flagged="night_transactions", share="surge_ratio")
+    return rolling_share(events, "auth_night_surge_v1", (hour >= 23) | (hour < 5), n, least, on, on, None, True, flagged="night_transactions", share="surge_ratio", total="total_sampled")
 
 
 def deep_print_failures(events: DataFrame, n: int = 20, least: int = 20, on: float = 0.3) -> DataFrame:
-    return rolling_share(events, "bio_deepprint_failure_rate_v1", F.upper(F.trim("deepPrintIsMatched")) != "Y", n, least, on, on, filled("deepPrintIsMatched"), False, True, "failures", "failure_rate")
+    return rolling_share(events, "bio_deepprint_failure_rate_v1", F.upper(F.trim("deepPrintIsMatched")) != "Y", n, least, on, on, filled("deepPrintIsMatched"), False, True, "failures", "failure_rate", kind="Rate")
 
 
 def success_cliff(events: DataFrame, n: int = 50, recent: int = 10, on: float = 40.0, off: float = 20.0) -> DataFrame:
@@ -61,7 +60,9 @@ def success_cliff(events: DataFrame, n: int = 50, recent: int = 10, on: float =
     enough = F.col("rn") >= n
     d = latch(d, enough & (F.col("_cliff") >= on), enough & (F.col("_cliff") < off))
     value = F.round("_cliff", 2)
-    notes = {"historical_success_rate": F.round("_long", 4), "recent_success_rate": F.round("_short", 4), "cliff_size_pct_points": value, "historical_window_size": F.lit(n), "recent_window_size": F.lit(recent), "cliff_threshold": F.lit(on)}
+    notes = {"historical_success_rate": F.round("_long", 4), "recent_success_rate": F.round("_short", 4), "cliff_size_pct_points": value, "historical_window_size": F.lit(n), "recent_window_size": F.lit(recent), "cliff_threshold": F.lit(on), "detection_timestamp": F.col("ts")}
+    rates = [F.round(F.col(c) * 100, 2) for c in ("_long", "_short")]
+    notes["explanation"] = F.format_string("successes fell from %s%% of the last %d events to %s%% of the last %d, by %s points", rates[0], F.lit(n), rates[1], F.lit(recent), value)
     return emit(d, "auth_success_ratio_cliff", "Percentage Points", value, comments=notes)
 
 
@@ -130,15 +131,17 @@ def time_entropy(events: DataFrame, every: int = 50, low: float = 1.5, high: flo
     """Entropy in bits of a key's histogram of hours, looked at each ``every`` events.
 
     With c the events of an hour so far, the sum of c log2 c grows by c log2 c - (c-1) log2 (c-1) at each event, so the
-    entropy log2 n - S / n is a running sum and no histogram is held.
+    entropy log2 n - S / n is a running sum. The histogram in the comments is 24 running counts of the same window.
     """
     d = prepare(events).withColumn("_hour", ist_hour())
     c = F.row_number().over(ordered("_hour"))
     bits = lambda x: F.when(x > 0, x * F.log2(x)).otherwise(0.0)
     d = d.withColumn("_c", c.cast("double")).withColumn("_s", F.sum(bits(F.col("_c")) - bits(F.col("_c") - 1)).over(prefix(ordered())))
     d = d.withColumn("_h", F.log2("rn") - F.col("_s") / F.col("rn"))
+    d = d.withColumns({f"_at{k}": F.count_if(F.col("_hour") == k).over(prefix(ordered())) for k in range(24)})
     d = d.where((F.col("rn") % every == 0) & ((F.col("_h") < low) | (F.col("_h") > high)))
-    return emit(d, "auth_time_entropy_bits_v1", "Entropy Bits", F.col("_h"), comments={"entropy_bits": F.col("_h"), "total_events": F.col("rn")})
+    notes = {"entropy_bits": F.col("_h"), "total_events": F.col("rn"), "hour_distribution": F.array(*[f"_at{k}" for k in range(24)])}
+    return emit(d, "auth_time_entropy_bits_v1", "Entropy Bits", F.col("_h"), comments=notes)
 
 
 def modality_concentration(events: DataFrame, chunk: int = 100, least: int = 30, on: float = 0.95) -> DataFrame:
@@ -193,7 +196,7 @@ def credential_velocity(events: DataFrame, least: int = 15, on: float = 3.0, coo
     d = d.withColumn("_n", F.row_number().over(ordered())).withColumn("_mean", F.avg("_gap").over(w)).withColumn("_sd", F.stddev_samp("_gap").over(w))
     d = d.withColumn("_z", (F.col("_gap") - F.col("_mean")) / F.nullif(F.col("_sd"), F.lit(0.0)))
     d = d.where((F.col("_n") >= least) & (F.abs("_z") >= on)).select(KEY, "ts", "event_id", "_n", "_gap", "_mean", "_sd", "_z")
-    d = segments(d, cooldown_ms, inclusive=True)
+    d = segments(d, cooldown_ms, inclusive=True, placed=True)
     d = d.withColumn("_first", F.row_number().over(ordered("anchor"))).where("_first = 1")
     notes = {"z_score": F.round("_z", 4), "direction": F.when(F.col("_z") < 0, "FASTER").otherwise("SLOWER"), "current_gap_sec": F.col("_gap") / 1000, "mean_gap_sec": F.col("_mean") / 1000, "stddev_gap_sec": F.col("_sd") / 1000, "sample_count": F.col("_n")}
     return emit(d, "auth_credential_velocity_anomaly", "Z-Score", F.col("_z"), comments=notes)

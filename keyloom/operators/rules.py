@@ -24,6 +24,8 @@ def correlation_break(events: DataFrame, least: int = 10) -> DataFrame:
         "distinct_auas_known": F.col("aua_n") - F.col("aua_new").cast("int"), "distinct_devices_known": F.col("device_n") - F.col("device_new").cast("int"),
         "total_events_processed": F.col("rn"), "detection_timestamp": F.col(TIME),
     }
+    known = lambda c: F.when(F.col(c), "new").otherwise("known")
+    notes["explanation"] = F.format_string("%s AUA %s with %s device %s, a pair never used before", known("aua_new"), "aua", known("device_new"), "deviceCode")
     return emit(d, "auth_aua_device_correlation_break", "Categorical", F.col("pair_n") - 1, comments=notes)
 
 

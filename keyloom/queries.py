@@ -21,6 +21,35 @@ YES, NO = "upper(authResult) = 'Y'", "upper(authResult) = 'N'"
 HOUR, DAY_OF_WEEK = "((ts + 19800000) // 3600000) % 24", "((ts + 19800000) // 86400000 + 3) % 7"
 W = "PARTITION BY entity_id ORDER BY rn"
 
+# The type that goes with each feature name.
+TYPES = {
+    "Count": "auth_aua_sa_diversity_v1 auth_biometric_replay_v1 auth_brute_force_compromise_v1 auth_concurrent_aua_burst_v1 auth_device_diversity_v1 auth_device_provider_switch_v1 "
+    "auth_enrolment_hammering_v1 auth_failure_burst_v1 auth_failure_streak auth_geo_districts_drift_v1 auth_geo_states_drift_v1 auth_high_risk_time_window_fails_v1 "
+    "auth_liveness_failure_streak_live_v1 auth_modality_switch_v1 auth_model_diversity_v1 auth_multi_device_concurrency_v1 auth_multi_error_spray_v1 auth_packet_replay_v1 "
+    "auth_progressive_error_escalation auth_rapid_device_switch_v1 auth_rd_software_change_v1 auth_retry_attempts auth_txn_count auth_txn_failure_count auth_txn_success_count auth_velocity_spike_v1 "
+    "bio_exact_image_size_replay_v1 bio_liveness_failure_streak_v1 bio_uncanny_valley_score_v1",
+    "Ratio": "auth_error_code_hotspot_v1 auth_failure_rate_rolling_v1 auth_geo_location_anchor_drift auth_location_resident_mismatch_v1 auth_night_surge_v1 auth_otp_fallback_ratio_v1 "
+    "auth_server_concentration_v1 auth_success_without_bio_ratio_v1 auth_weekend_anomaly_v1 bio_modality_concentration_v1",
+    "Trend": "auth_face_score_decline_v1 auth_finger_score_decline_v1 bio_face_liveness_score_decline_v1 bio_match_score_trend_v1",
+    "Variance": "auth_fmr_count_anomaly_v1 bio_probe_minutiae_anomaly_v1",
+    "Z-Score": "auth_credential_velocity_anomaly auth_duration_outlier_v1 auth_pid_size_anomaly_v1 bio_image_size_anomaly_v1 bio_response_time_anomaly_v1",
+    "Duration (ms)": "auth_bot_failure_recovery_speed_v1 bio_capture_time_spoof_v1",
+    "Duration (seconds)": "auth_retry_duration_sec auth_txn_failure_gap_sec auth_txn_gap_sec auth_txn_success_gap_sec",
+    "Duration (Mins)": "auth_cross_border_velocity_v1",
+    "Duration (mins)": "bio_liveness_desync_replay_v1",
+    "Duration (hours)": "auth_dormancy_resurrection",
+    "Duration (Hours)": "auth_ghost_uptime_v1",
+    "Days": "auth_cert_expiry_alert_v1",
+    "Entropy Bits": "auth_time_entropy_bits_v1",
+    "Percentage Points": "auth_success_ratio_cliff",
+    "Similarity Score": "auth_session_identity_fingerprint_break",
+    "Categorical": "auth_aua_device_correlation_break",
+    "Mismatch": "bio_deep_print_subversion_v1",
+    "Rate": "bio_deepprint_failure_rate_v1",
+    "": "auth_txn_gap_sec_avg auth_txn_oddhour_ratio",
+}
+TYPE_OF = {name: kind for kind, names in TYPES.items() for name in names.split()}
+
 
 def filled(c: str, literal_null: bool = False) -> str:
     return f"trim({c}) <> ''" + (f" AND lower({c}) <> 'null'" if literal_null else "")
@@ -38,9 +67,9 @@ def events(where: str = "true", nudge: bool = False, by: str = "entity_id") -> s
     return first + f", e AS (SELECT * REPLACE (rn + max(ts - rn) OVER ({W} ROWS UNBOUNDED PRECEDING) AS ts) FROM e0)"
 
 
-def out(name: str, value: str, source: str, where: str = "true", start: str = "0", end: str = "ts", ts: str = "ts", named: bool = True) -> str:
+def out(name: str, value: str, source: str, where: str = "true", start: str = "0", end: str = "ts", ts: str = "ts") -> str:
     return (
-        f"SELECT entity_id, {repr(name) if named else name} AS feature_name, CAST({ts} AS BIGINT) AS event_ts_ms, round(CAST({value} AS DOUBLE), 6) AS feature_value, "
+        f"SELECT entity_id, '{name}' AS feature_name, '{TYPE_OF[name]}' AS feature_type, CAST({ts} AS BIGINT) AS event_ts_ms, round(CAST({value} AS DOUBLE), 6) AS feature_value, "
         f"CAST({start} AS BIGINT) AS window_start_ms, CAST({end} AS BIGINT) AS window_end_ms FROM {source} WHERE {where}"
     )
 
@@ -125,11 +154,14 @@ class Query:
     clock: str = "ms"
     key: str = "optId"
     parameters: dict = field(default_factory=dict)
+    event_id: str | None = None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = events_view(spark, sf_dir, SIGNALS[self.signal].kind, self.clock, self.key)
+        if self.event_id:
+            rows = rows.withColumn("eventId", F.col(self.event_id))
         found = compute(self.signal, rows, **self.parameters)
-        return found.select("entity_id", "feature_name", "event_ts_ms", F.round("feature_value", 6).alias("feature_value"), F.coalesce("window_start_ms", F.lit(0)).alias("window_start_ms"), "window_end_ms")
+        return found.select("entity_id", "feature_name", "feature_type", "event_ts_ms", F.round("feature_value", 6).alias("feature_value"), F.coalesce("window_start_ms", F.lit(0)).alias("window_start_ms"), "window_end_ms")
 
     def oracle(self) -> str:
         return f"WITH RECURSIVE {duckdb_view(SIGNALS[self.signal].kind, self.clock, self.key)}, {self.sql}"
@@ -260,6 +292,8 @@ f AS (SELECT entity_id, min(rn) AS fr FROM d WHERE lft > 0 AND lft <= {7 * D} GR
 _took = "TRY_CAST(livenessResponseReceivedTime AS BIGINT) - TRY_CAST(livenessRequestInitiatedTime AS BIGINT)"
 _AUTH_FIRST = ", e1 AS (SELECT * REPLACE (row_number() OVER (" + W + ") AS rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id, authCode ORDER BY rn) AS nth FROM e) WHERE nth = 1)"
 
+_ONCE = "(SELECT *, lag(deviceCode) OVER (PARTITION BY entity_id ORDER BY ts, event_id) AS held FROM ev WHERE {}) WHERE held IS DISTINCT FROM deviceCode"
+
 SPECS: dict[str, Query] = {
     "auth_txn_counts": Query("auth_txn_counts", _counts(H, H, H // 2), "cal_ms"),
     "auth_txn_counts_sliding": Query("auth_txn_counts", _counts(300_000, 60_000, 0), "ms", parameters={"size": "5 minutes", "slide": "1 minute", "offset": "0 minutes"}),
@@ -278,6 +312,13 @@ SPECS: dict[str, Query] = {
     "auth_cross_border": Query("auth_cross_border", _BORDER, "cal_ms"),
     "auth_failure_rate": Query("auth_failure_rate", _RATE),
     "auth_otp_fallback": Query("auth_otp_fallback", share("auth_otp_fallback_ratio_v1", "authType IN ('O', 'OTP')", 30, 10, 0.35, "authType IS NOT NULL"), parameters={"on": 0.35}),
+    # events whose id, here the device's, is that of the one before count once
+    "auth_otp_fallback_repeats": Query(
+        "auth_otp_fallback",
+        share("auth_otp_fallback_ratio_v1", "authType IN ('O', 'OTP')", 30, 10, 0.35, "authType IS NOT NULL").replace("FROM ev WHERE authType IS NOT NULL", f"FROM {_ONCE.format('authType IS NOT NULL')}"),
+        parameters={"on": 0.35}, event_id="deviceCode",
+    ),
+    "auth_failure_rate_repeats": Query("auth_failure_rate", _RATE.replace("FROM ev WHERE authResult IS NOT NULL", f"FROM {_ONCE.format('authResult IS NOT NULL')}"), event_id="deviceCode"),
     "auth_success_without_bio": Query("auth_success_without_bio", share("auth_success_without_bio_ratio_v1", "coalesce(TRY_CAST(fmrCount AS INT), 0) = 0 AND coalesce(TRY_CAST(firCount AS INT), 0) = 0 AND (faceUsed IS NULL OR faceUsed = 'N')", 30, 10, 0.03, YES), parameters={"on": 0.03}),
     "auth_location_mismatch": Query("auth_location_mismatch", share("auth_location_resident_mismatch_v1", "upper(trim(locationStateCode)) <> upper(trim(residentStateCode))", 20, 10, 0.9), parameters={"on": 0.9}),
     "auth_night_surge": Query("auth_night_surge", share("auth_night_surge_v1", f"({HOUR} >= 23 OR {HOUR} < 5)", 200, 50, 0.3), "cal_ms", parameters={"on": 0.3}),
