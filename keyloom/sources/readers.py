@@ -9,11 +9,13 @@ from keyloom.sources.schemas import BIO, TXN
 
 #: Lateness that each kind of event is waited for.
 LATENESS = {"TXN": "60 seconds", "BIO": "10 seconds"}
+#: Where a new reader of each kind begins.
+STARTING = {"TXN": "earliest", "BIO": "latest"}
 
 
-def kafka(spark: SparkSession, servers: str, topic: str, group: str, starting: str = "earliest") -> DataFrame:
-    """The stream of a Kafka topic; needs the Kafka connector package on the cluster. TXN starts earliest, BIO latest."""
-    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "groupIdPrefix": group, "startingOffsets": starting}
+def kafka(spark: SparkSession, servers: str, topic: str, group: str, kind: str = "TXN") -> DataFrame:
+    """The stream of a Kafka topic of one kind; needs the Kafka connector package on the cluster."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "groupIdPrefix": group, "startingOffsets": STARTING[kind]}
     return spark.readStream.format("kafka").options(**options).load()
 
 
@@ -37,22 +39,32 @@ def quarantine(records: DataFrame) -> DataFrame:
     return records.where(topic.isNull() | ~topic.isin("TXN", "BIO"))
 
 
+def _given_ms(kind: str) -> Column:
+    """The time that a record gives itself in milliseconds; null where there is none or it can't be read."""
+    if kind == "TXN":
+        return F.unix_millis(F.to_utc_timestamp(F.try_to_timestamp(F.col("reqDateTime"), F.lit("yyyy-MM-dd'T'HH:mm:ss")), "Asia/Kolkata"))
+    return F.trim("eventTimestamp").try_cast("long")
+
+
 def event_ms(kind: str) -> Column:
-    """Event time in milliseconds; null where a given time can't be read, which the caller should quarantine.
+    """Event time in milliseconds.
 
-    TXN: ``reqDateTime`` as local time in India to the second. BIO: ``eventTimestamp`` in milliseconds. Without one, the
-    record's own time.
+    TXN: ``reqDateTime`` as local time in India to the second. BIO: ``eventTimestamp`` in milliseconds. Where that is
+    missing or can't be read, the record's own time, at which it came in.
     """
-    if kind == "TXN":
-        local = F.try_to_timestamp(F.col("reqDateTime"), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
-        return F.when(F.col("reqDateTime").isNull(), F.col("record_ms")).otherwise(F.unix_millis(F.to_utc_timestamp(local, "Asia/Kolkata")))
-    return F.coalesce(F.trim("eventTimestamp").try_cast("long"), F.col("record_ms"))
+    return F.coalesce(_given_ms(kind), F.col("record_ms"))
+
+
+def unreadable(decoded: DataFrame, kind: str) -> DataFrame:
+    """Decoded records that give a time which can't be read; they count at their own time."""
+    given = {"TXN": "reqDateTime", "BIO": "eventTimestamp"}[kind]
+    return decoded.where(F.col(given).isNotNull() & _given_ms(kind).isNull())
 
 
 def keyed(decoded: DataFrame, kind: str, key: str = "optId") -> DataFrame:
-    """Decoded records as events: ``entity_id``, ``ts``, ``event_id``. The tie-break is the event's id."""
+    """Decoded records with a key as events: ``entity_id``, ``ts``, ``event_id``. The tie-break is the event's id."""
     events = decoded.withColumn("ts", event_ms(kind)).withColumn("entity_id", F.col(key)).withColumn("event_id", F.coalesce("eventId", F.lit("")))
-    return events.where(F.col("ts").isNotNull() & F.col("entity_id").isNotNull())
+    return events.where(F.col("entity_id").isNotNull())
 
 
 def watermarked(events: DataFrame, kind: str) -> DataFrame:

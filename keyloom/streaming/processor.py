@@ -8,10 +8,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from keyloom.operators.kernels import KEY
-from keyloom.plans.catalog import SIGNALS
+from keyloom.plans.catalog import SIGNALS, compute_all
 from keyloom.streaming.machines import MACHINES, Bundle
 
 ALERT = "entity_id string, feature_name string, feature_type string, feature_value double, event_ts_ms bigint, window_start_ms bigint, window_end_ms bigint, comments string"
@@ -20,12 +20,13 @@ ALERT = "entity_id string, feature_name string, feature_type string, feature_val
 class SignalProcessor(StatefulProcessor):
     """Holds a key's events until the watermark passes them, then steps them, in order, through the machines.
 
-    ``waiting`` maps a time to its events; one timer stands at the earliest. ``machines`` is the bundle's state. A key
-    idle for ``idle_ms`` of event time drops its state.
+    ``waiting`` maps a time to its events; one timer stands at the earliest, or where none waits at the end of the state's
+    life. ``machines`` is the state of a bundle for each time to live: signals whose key was idle for longer, in event
+    time, start afresh, and a key that falls silent gives its state back when the timer comes.
     """
 
-    def __init__(self, names: list[str], fields: list[str], idle_ms: int | None) -> None:
-        self.names, self.fields, self.idle = names, fields, idle_ms
+    def __init__(self, groups: list[tuple[int | None, list[str]]]) -> None:
+        self.groups = groups
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -33,30 +34,42 @@ class SignalProcessor(StatefulProcessor):
         self.machines = handle.getValueState("machines", "state binary, last_ts bigint")
 
     def _drain(self, key: str, watermark: int) -> pd.DataFrame:
-        due = sorted(k[0] for k in self.waiting.keys() if k[0] <= watermark)
-        out = []
-        bundle, last = Bundle(self.names), None
+        times = sorted(k[0] for k in self.waiting.keys())
+        due = [t for t in times if t <= watermark]
         held = self.machines.get() if self.machines.exists() else None
-        if held is not None:
-            last = held[1]
-            if self.idle is None or not due or due[0] - last <= self.idle:
-                bundle.restore(pickle.loads(held[0]))
+        states, last = (pickle.loads(held[0]), held[1]) if held is not None else ([None] * len(self.groups), None)
+        bundles = [Bundle(names) for _, names in self.groups] if due else []
+        for bundle, state in zip(bundles, states):
+            if state:
+                bundle.restore(state)
+        out = []
         for ts in due:
-            if self.idle is not None and last is not None and ts - last > self.idle:
-                bundle = Bundle(self.names)
+            for g, (idle, names) in enumerate(self.groups):
+                if idle is not None and last is not None and ts - last > idle:
+                    bundles[g] = Bundle(names)
             for e in sorted(pickle.loads(self.waiting.getValue((ts,))[0]), key=lambda e: e["event_id"]):
-                out += [(key, name, "", float(value), at, start, at, None) for name, value, at, start in bundle.step(e)]
+                out += [(key, name, "", float(value), at, start, at, None) for b in bundles for name, value, at, start in b.step(e)]
             self.waiting.removeKey((ts,))
             last = ts
         if due:
-            self.machines.update((pickle.dumps(bundle.state()), last))
-        if left := [k[0] for k in self.waiting.keys()]:
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t[0] if isinstance(t, tuple) else t)
-            self.handle.registerTimer(min(left))
+            states = [b.state() for b in bundles]
+        alive = [idle is None or (last is not None and watermark - last <= idle) for idle, _ in self.groups]
+        states = [s if ok else None for s, ok in zip(states, alive)]
+        if any(states):
+            self.machines.update((pickle.dumps(states), last))
+        elif held is not None or due:
+            self.machines.clear()
+        self._wake(min([*(t for t in times if t > watermark), *(last + idle + 1 for (idle, _), s in zip(self.groups, states) if s and idle is not None)], default=None))
         frame = pd.DataFrame(out, columns=[c.split()[0] for c in ALERT.split(", ")])
         return frame.astype({"event_ts_ms": "int64", "window_start_ms": "Int64", "window_end_ms": "int64"})
 
+    def _wake(self, at: int | None) -> None:
+        """One timer, at ``at``."""
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t[0] if isinstance(t, tuple) else t)
+        if at is not None:
+            self.handle.registerTimer(at)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
             for ts, part in frame.groupby("ts"):
@@ -72,19 +85,38 @@ class SignalProcessor(StatefulProcessor):
         pass
 
 
-def stream_alerts(events: DataFrame, names: list[str] | None = None, idle_ms: int | None = None, kind: str = "txn") -> DataFrame:
+def stream_alerts(events: DataFrame, names: list[str] | None = None, idle_ms: int | None = None, kind: str = "txn", state_ttl: bool = False) -> DataFrame:
     """Alerts of ``names`` (all of ``kind``) over a stream of events with ``event_time`` and a watermark.
 
     One exchange by key carries only the fields that the machines read. Needs the RocksDB state store; the newest
-    events of a key wait until the watermark passes them.
+    events of a key wait until the watermark passes them. ``state_ttl`` gives each signal's state its own time to live,
+    ``idle_ms`` one to all. Events behind the watermark are left out and counted (``late_rows``); ``complete`` adds what the
+    batch form of a signal says besides.
     """
     names = list(names or [n for n in MACHINES if SIGNALS[n].kind == kind])
     fields = sorted({f for n in names for f in MACHINES[n][0]})
-    # events later than the watermark come out of order and are dropped by the filter of the watermark
+    lives: dict[int | None, list[str]] = {}
+    for n in names:
+        hours = SIGNALS[n].ttl_hours if state_ttl else None
+        lives.setdefault(hours * 3_600_000 if hours else idle_ms, []).append(n)
     chosen = events.select(KEY, "ts", "event_id", "eventId", "event_time", *fields)
-    return chosen.groupBy(KEY).transformWithStateInPandas(SignalProcessor(names, fields, idle_ms), ALERT, "Append", "EventTime")
+    return chosen.groupBy(KEY).transformWithStateInPandas(SignalProcessor(list(lives.items())), ALERT, "Append", "EventTime")
+
+
+def complete(alerts: DataFrame, events: DataFrame, names: list[str], **options) -> DataFrame:
+    """A batch of stream alerts with type, window and comments, from the batch form of the signals over ``events``.
+
+    Only the keys with alerts are looked at, so the work follows the alerts. An alert that ``events`` doesn't bear out, as
+    where they are not all there yet, stays as it is.
+    """
+    keys = alerts.select(KEY).distinct()
+    full = compute_all({SIGNALS[names[0]].kind: events.join(keys, KEY, "left_semi")}, names, **options)
+    own = full.select(KEY, "feature_name", "event_ts_ms", F.struct("feature_type", "window_start_ms", "window_end_ms", "comments").alias("_full"))
+    own = own.dropDuplicates([KEY, "feature_name", "event_ts_ms"])
+    more = {c: F.coalesce(F.col(f"_full.{c}"), F.col(c)) for c in ("window_start_ms", "window_end_ms", "comments")}
+    return alerts.join(own, [KEY, "feature_name", "event_ts_ms"], "left").withColumns(more | {"feature_type": F.coalesce("_full.feature_type", "feature_type")}).select(*alerts.columns)
 
 
-def count_late(events: DataFrame, watermark_ms: int) -> DataFrame:
-    """How many events of a batch lie behind a watermark."""
-    return events.agg(F.count_if(F.col("ts") < watermark_ms).alias("late"), F.count(F.lit(1)).alias("events"))
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a running query's stateful operators left out as later than the watermark, in the batches it still remembers."""
+    return sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])

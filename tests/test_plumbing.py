@@ -27,7 +27,10 @@ def test_decode_routes_and_quarantines(spark, tmp_path):
     (tmp_path / "in.json").write_text("\n".join(lines))
     records = readers.json_files(spark, str(tmp_path))
     txn, bio = (readers.keyed(readers.decode(records, k), k) for k in ("TXN", "BIO"))
-    assert [(r["entity_id"], r["ts"]) for r in txn.collect()] == [("A", 1704067200000)]
+    # a time that can't be read is the record's own
+    own = {r["eventId"]: r for r in txn.collect()}
+    assert own["1"]["ts"] == 1704067200000 and own["3"]["ts"] == own["3"]["record_ms"] and set(own) == {"1", "3"}
+    assert [r["eventId"] for r in readers.unreadable(readers.decode(records, "TXN"), "TXN").collect()] == ["3"]
     assert [(r["entity_id"], r["ts"]) for r in bio.collect()] == [("B", 1704067200123)]
     assert sorted(r["value"] for r in readers.quarantine(records).collect()) == sorted([lines[2], lines[3]])
 

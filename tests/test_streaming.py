@@ -3,10 +3,15 @@
 import pytest
 from pyspark.sql import functions as F
 
-from keyloom.plans.catalog import SIGNALS, compute
+from keyloom.operators.streaks import device_changes
+from keyloom.plans.catalog import SIGNALS, compute, compute_all
+from keyloom.plans.envelope import device_rows, enrich, feature_rows
 from keyloom.sources.fixtures import events_view
+from keyloom.sources.readers import decode, json_files, keyed
+from keyloom.sources.sinks import read_table
+from keyloom.streaming.job import Job
 from keyloom.streaming.machines import MACHINES, Bundle
-from keyloom.streaming.processor import stream_alerts
+from keyloom.streaming.processor import late_rows, stream_alerts
 
 SF = "/root/testdata/sf0.001"
 
@@ -92,3 +97,55 @@ def test_counts_on_a_stream(spark, events, tmp_path):
     query = SIGNALS["auth_txn_counts"].make(stream).writeStream.format("memory").queryName("counted").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert as_rows(spark.table("counted").where("entity_id <> 'far'")) == as_rows(compute("auth_txn_counts", events))
+
+
+def test_silent_keys_give_their_state_back(spark, events, tmp_path):
+    """After the watermark has passed a signal's time to live, a key's state is gone, and an old event doesn't count."""
+    base = events.where("entity_id = 'OP1'").orderBy("ts").limit(9).withColumn("authType", F.lit("O"))
+    far = lambda h: base.limit(1).withColumns({"entity_id": F.lit(f"far{h}"), "ts": F.col("ts") + h * 3_600_000})
+    again = base.withColumns({"ts": F.col("ts") + 60 * 3_600_000, "event_id": F.col("event_id") + 10**6, "eventId": F.concat(F.lit("A"), "eventId")})
+    for i, part in enumerate((base, far(55), far(56), again, far(200))):
+        part.withColumn("event_time", F.timestamp_millis("ts")).coalesce(1).write.parquet(str(tmp_path / "in" / f"b{i}"))
+    schema = spark.read.parquet(str(tmp_path / "in" / "b0")).schema
+    for ttl, want in ((True, 0), (False, 1)):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")).withWatermark("event_time", "60 seconds")
+        found = stream_alerts(stream, ["auth_otp_fallback"], state_ttl=ttl)
+        query = found.writeStream.format("memory").queryName(f"ttl_{ttl}").option("checkpointLocation", str(tmp_path / f"ck{ttl}")).trigger(availableNow=True).outputMode("append").start()
+        query.awaitTermination()
+        assert spark.table(f"ttl_{ttl}").where("entity_id = 'OP1'").count() == want
+        assert late_rows(query) == 0
+
+
+def test_job(spark, tmp_path):
+    """Records in, tables out: as the batch says, comments and all, and a late event counts once ``late`` is called."""
+    names = ["auth_velocity_spike", "auth_geo_drift", "auth_provider_switch"]
+    view = events_view(spark, SF).where("entity_id IN ('OP1', 'OP2', 'OP3')")
+    sent = view.select(
+        F.lit("TXN").alias("topic"), F.col("entity_id").alias("optId"), "eventId", F.date_format(F.timestamp_millis(F.col("ts") + 19_800_000), "yyyy-MM-dd'T'HH:mm:ss").alias("reqDateTime"),
+        "authResult", "authType", "deviceCode", "deviceProviderId", "locationStateCode", "locationDistrictCode",
+    ).orderBy("reqDateTime").select(F.to_json(F.struct("*")).alias("value")).collect()
+    lines = [r["value"] for r in sent]
+    end = lines[-1].replace('"optId":"OP', '"optId":"FAR').replace('"reqDateTime":"2024', '"reqDateTime":"2034')
+    late = lines.pop(len(lines) // 2)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+
+    def job():
+        return Job(spark, {"TXN": json_files(spark, str(tmp_path / "in"), stream=True)}, str(tmp_path / "out"), names, interval=None, also=told.append)
+
+    told = []
+    job().run(str(tmp_path / "ck"))
+    (tmp_path / "in" / "b.json").write_text("\n".join([end, late]))
+    job().run(str(tmp_path / "ck"))
+    (tmp_path / "in" / "c.json").write_text(end.replace("2034", "2044"))
+    ended = job()
+    ended.run(str(tmp_path / "ck"))
+    ended.late("TXN", 2**60, 0)
+    batch = keyed(decode(json_files(spark, str(tmp_path / "in")), "TXN"), "TXN")
+    want = feature_rows(enrich(compute_all({"txn": batch}, [*names, "auth_txn_counts"], state_ttl=True))).where("entity_id LIKE 'OP%'")
+    got = read_table(spark, f"{tmp_path}/out/features").where("entity_id LIKE 'OP%'").select(*want.columns)
+    keys = lambda d: {tuple(r) for r in d.where("feature_name NOT LIKE 'auth_txn%'").select("entity_id", "feature_id", "timestamp", "comments").collect()}
+    assert keys(want) <= keys(got) and keys(want) and told
+    assert got.where("feature_name = 'auth_txn_count'").count() > 0
+    changes = read_table(spark, f"{tmp_path}/out/devices").where("opt_id LIKE 'OP%'")
+    assert {tuple(r) for r in changes.select("opt_id", "ets").collect()} >= {tuple(r) for r in device_rows(device_changes(batch)).where("opt_id LIKE 'OP%'").select("opt_id", "ets").collect()} != set()
