@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
-from zlib import crc32
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,45 +14,73 @@ from pyspark.sql import functions as F
 
 from keyloom.llm.common import small_enough, type_of
 
-SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 TOKEN = re.compile(r"[^\W_]+")
+ENDS = re.compile(r"[.!?]*")
+#: Tokens, and words, whose pieces a task keeps at most; then it starts afresh.
+KNOWN = 400_000
+#: One character for one: sentence ends become line ends, other ASCII marks become spaces.
+MARKS = {i: " " for i in range(128) if i != 10 and not chr(i).isalnum()} | {ord(c): "\n" for c in ".!?"}
 
 
-def sentences(text: str) -> list[tuple[int, int, list[str]]]:
+class Words(dict):
+    """The words of a token in lower case, each once."""
+
+    def __missing__(self, token: str) -> tuple[str, ...]:
+        if len(self) > KNOWN:
+            self.clear()
+        low = token.lower()
+        found = self[token] = (low,) if low.isalnum() else tuple(dict.fromkeys(TOKEN.findall(low)))
+        return found
+
+
+def sentences(text: str, known: Words) -> list[tuple[int, int, set[str]]]:
     """``(start, end, words)`` of the sentences with a word: runs up to a full stop, mark or line end."""
-    out = []
-    for m in SENTENCE.finditer(text):
-        if words := TOKEN.findall(m[0].lower()):
-            out.append((m.start(), m.end(), words))
+    out, at = [], 0
+    for part in text.translate(MARKS).split("\n"):
+        if tokens := part.split():
+            if words := set(chain.from_iterable(map(known.__getitem__, tokens))):
+                out.append((at, at + len(part), words))
+        at += len(part) + 1
     return out
 
 
-@lru_cache(maxsize=50_000)
-def parts(word: str) -> frozenset[int]:
-    """Hashes of a word and of its 4- and 5-character pieces, ends marked: inflected and compound forms share pieces."""
-    marked = f"^{word}$"
-    own = {marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1)}
+def parts(word: str) -> set[bytes]:
+    """A word and its 4- and 5-byte pieces, ends marked: inflected and compound forms share pieces."""
+    marked = f"^{word}$".encode("utf-8", "replace")
+    own = {marked[i : i + 4] for i in range(len(marked) - 3)}
+    own.update([marked[i : i + 5] for i in range(len(marked) - 4)])
     own.add(marked)
-    return frozenset(crc32(x.encode()) for x in own)
+    return own
+
+
+class Weights(dict):
+    """Weights by word: the sum of those of its pieces."""
+
+    def __init__(self, piece: dict[bytes, float]) -> None:
+        self.piece = piece
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > KNOWN:
+            self.clear()
+        found = self[word] = sum(map(self.piece.get, self.piece.keys() & parts(word)))
+        return found
 
 
 class Model:
-    """Weights of hashed word pieces and a bias; ``scores`` are sentence probabilities."""
+    """Weights of word pieces and a bias."""
 
-    def __init__(self, weight: dict[int, float], bias: float) -> None:
+    def __init__(self, weight: dict[bytes, float], bias: float) -> None:
         self.weight, self.bias = weight, float(bias)
-        self.known: dict[str, float] = {}
 
-    def _word(self, word: str) -> float:
-        if (w := self.known.get(word)) is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            w = self.known[word] = sum(self.weight.get(h, 0.0) for h in parts(word))
-        return w
+    def scorer(self):
+        """A function from sentences to their probabilities."""
+        weights = Weights(self.weight)
+
+        def scores(found: list[tuple[int, int, set[str]]]) -> np.ndarray:
+            z = np.array([self.bias + sum(map(weights.__getitem__, words)) for _, _, words in found])
+            return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
-    def scores(self, found: list[tuple[int, int, list[str]]]) -> np.ndarray:
-        z = np.array([self.bias + sum(map(self._word, set(words))) for _, _, words in found])
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        return scores
 
 
 def noisy_or(p: np.ndarray) -> float:
@@ -62,22 +89,31 @@ def noisy_or(p: np.ndarray) -> float:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """``label, text`` of at most about ``max_docs`` labelled rows with ``learn``, chosen by a hash of the id."""
-    marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & learn).groupBy(F.col(id_col).alias("_kl_id")).agg(F.max(label_col).alias("_kl_label"))
-    share = min(1.0, max_docs / max(labels.where(learn).count(), 1))
-    chosen = marked.where(F.pmod(F.xxhash64(F.col("_kl_id").cast("string"), F.lit(11)), F.lit(1 << 40)) < int(share * (1 << 40)))
-    return docs.join(small_enough(chosen, 4 * max_docs), F.col(id_col) == F.col("_kl_id")).select(F.col("_kl_label").cast("int").alias("label"), F.coalesce(text_col, F.lit("")).alias("text"))
+    """``label, text`` of at most about ``max_docs`` labelled rows with ``learn``, chosen by a hash of the id.
+
+    Three quarters of the bound go to the labels by their numbers and one to all alike, so that a rare label has rows
+    however large the table is. Of several labels of an id the largest counts; null labels and ids are left out.
+    """
+    marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & learn).groupBy(F.col(id_col).alias("_kl_id")).agg(F.max(label_col).cast("int").alias("_kl_label"))
+    sizes = {r["_kl_label"]: r["count"] for r in marked.groupBy("_kl_label").count().collect()}
+    share = F.lit(0.0)
+    for label, n in sizes.items():
+        share = F.when(F.col("_kl_label") == label, min(1.0, max_docs * (0.75 / sum(sizes.values()) + 0.25 / (len(sizes) * n)))).otherwise(share)
+    at = F.pmod(F.xxhash64(F.col("_kl_id").cast("string"), F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
+    chosen = marked.where(at < share)
+    return docs.join(small_enough(chosen, 4 * max_docs), F.col(id_col) == F.col("_kl_id")).select(F.col("_kl_label").alias("label"), F.coalesce(text_col, F.lit("")).alias("text"))
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``part, toxic, other``: documents of a batch with a word piece, by label."""
+    known = Words()
     for batch in batches:
-        found: dict[int, list[int]] = {}
+        found: dict[bytes, list[int]] = {}
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for h in set().union(*map(parts, {w for _, _, words in sentences(text) for w in words})):
+            for h in set().union(*map(parts, {w for _, _, words in sentences(text, known) for w in words})):
                 found.setdefault(h, [0, 0])[label != 1] += 1
         n = np.array(list(found.values()), dtype=np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(n[:, 0]), pa.array(n[:, 1])], ["part", "toxic", "other"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(n[:, 0]), pa.array(n[:, 1])], ["part", "toxic", "other"])
 
 
 def train(
@@ -107,19 +143,19 @@ def train(
     if not n1 or not n0:
         rows.unpersist()
         return Model({}, -4.0)
-    counts = rows.mapInArrow(_counts, "part bigint, toxic bigint, other bigint").groupBy("part").agg(F.sum("toxic").alias("d1"), F.sum("other").alias("d0"))
+    counts = rows.mapInArrow(_counts, "part binary, toxic bigint, other bigint").groupBy("part").agg(F.sum("toxic").alias("d1"), F.sum("other").alias("d0"))
     p = (F.col("d1") + F.col("d0") + 1) / (n1 + n0 + 2)
     z = (F.col("d1") / n1 - F.col("d0") / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    names = sorted(r["part"] for r in counts.where((F.col("d1") + F.col("d0") >= rare) & (F.abs(z) >= screen)).select("part").collect())
+    names = sorted(bytes(r["part"]) for r in counts.where((F.col("d1") + F.col("d0") >= rare) & (F.abs(z) >= screen)).select("part").collect())
     place = {h: i for i, h in enumerate(names)}
     shared = docs.sparkSession.sparkContext.broadcast(place)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = shared.value
+        at, known = shared.value, Words()
         for batch in batches:
             ids, sizes = [], []
             for text in batch.column(1).to_pylist():
-                own = [[at[h] for w in set(words) for h in parts(w) if h in at] for _, _, words in sentences(text)]
+                own = [[at[h] for w in sorted(words) for h in sorted(parts(w)) if h in at] for _, _, words in sentences(text, known)]
                 ids.append([b for s in own for b in s])
                 sizes.append([len(s) for s in own])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(sizes, pa.list_(pa.int32()))], ["label", "ids", "sizes"])
@@ -162,14 +198,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        scores, known = shared.value.scorer(), Words()
         for batch in batches:
             total, spans = [], []
-            for text in batch.column(1):
-                found = sentences(text.as_py() or "")
-                p = own.scores(found)
+            for text in batch.column(1).to_pylist():
+                found = sentences(text or "", known)
+                p = scores(found)
                 total.append(noisy_or(p))
-                spans.append([{"start": found[i][0], "end": found[i][1], "score": float(p[i])} for i in np.flatnonzero(p >= at)])
+                spans.append([{"start": found[i][0], "end": ENDS.match(text, found[i][1]).end(), "score": float(p[i])} for i in np.flatnonzero(p >= at)])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.float64()), pa.array(spans, kind)], ["doc_id", "score", "spans"])
 
