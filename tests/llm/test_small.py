@@ -148,6 +148,19 @@ def test_similar_keys():
                 assert len(np.intersect1d(similar.keys(x, 0.8, often), similar.keys(y, 0.8, often)))
 
 
+def test_similar_parity():
+    """Maps of sets of any sizes differ in no more bits than the sets in elements, folded to the shorter of the two."""
+    rng = np.random.default_rng(20)
+    for n in (1, 5, 31, 32, 63, 64, 500, 3000):
+        x = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        for m in (0, 1, n // 10, n // 4):
+            y = np.concatenate((x[m:], rng.integers(0, 1 << 64, m // 2 + 1, dtype=np.uint64)))
+            a, b = similar.parity(np.unique(x)), similar.parity(np.unique(y))
+            words = min(len(a), len(b))
+            apart = np.bitwise_count(similar.fold(a[None, :], words) ^ similar.fold(b[None, :], words)).sum()
+            assert apart <= len(np.setxor1d(x, y)) and 2 * n <= 64 * len(a) <= 4 * n + 64
+
+
 def test_similar_far_prints(docs_of):
     """Pairs of exactly 4 shingles in 5, of which bands and fingerprints within 22 bits lose some."""
     cases = [(i, " ".join([*(f"t{i // 2}w{k}" for k in range(7)), f"t{i // 2}w7", *([f"t{i // 2}end"] if i % 2 else [])])) for i in range(6000)]
