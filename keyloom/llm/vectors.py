@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import cut, small_enough
+from keyloom.llm.common import cut, small_enough, type_of
 from keyloom.llm.components import connected_components
 
 #: Vectors that a seed leaf holds on average, the most that one product of blocks compares, and rows in a group of small ones.
@@ -54,13 +54,26 @@ def node_of(vector: Column) -> Column:
     return F.when(F.coalesce(usable, F.lit(False)), F.xxhash64(vector))
 
 
+def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with unit vectors. Dividing by the largest component first keeps squares of very large and very small ones in range."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        lists = Lists(b.column(3))
+        if lists.all is not None:
+            x = lists.all / np.abs(lists.all).max(axis=1, keepdims=True)
+            flat = (x / np.linalg.norm(x, axis=1, keepdims=True)).ravel()
+        else:
+            scaled = [r / np.abs(r).max() for r in (lists.rows(np.array([i]))[0] for i in range(b.num_rows))]
+            flat = np.concatenate([r / np.linalg.norm(r) for r in scaled])
+        offsets = pa.array((lists.offsets - lists.offsets[0]).astype(np.int32))
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.ListArray.from_arrays(offsets, pa.array(flat))], ["node", "least", "n", "v"])
+
+
 def unit_nodes(rows: DataFrame) -> DataFrame:
     """``node, least, n, v`` of rows ``vec_id, raw, node``: smallest id, number of rows and unit vector of each node."""
     same = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("raw").alias("v"))
-    # dividing by the largest component first keeps the squares of very large and very small ones in range
-    scaled = same.withColumn("top", F.array_max(F.transform("v", F.abs))).withColumn("v", F.transform("v", lambda x: x / F.col("top")))
-    scaled = scaled.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
-    return scaled.select("node", "least", "n", F.transform("v", lambda x: x / F.col("norm")).alias("v"))
+    return same.mapInArrow(_unit, f"node bigint, least {type_of(rows, 'vec_id')}, n bigint, v array<double>")
 
 
 def seed_leaves(nodes: DataFrame, tables: int, bits: int, turn: int, vectors: bool) -> DataFrame:
@@ -85,7 +98,7 @@ def seed_leaves(nodes: DataFrame, tables: int, bits: int, turn: int, vectors: bo
     return found.withColumn("leaf", F.xxhash64("leaf", "d")).drop("d")
 
 
-def _leaf_neighbours(k: int):
+def _leaf_neighbours(k: int, bridge: float):
     def run(table: pa.Table) -> pa.Table:
         node, lists = table.column("node").to_numpy(), Lists(table.column("v"))
         order, runs = _runs(table.column("leaf").to_numpy())
@@ -102,19 +115,21 @@ def _leaf_neighbours(k: int):
                 top = np.argpartition(-s, m - 1, axis=1)[:, :m]
                 out.append((np.repeat(names[at : at + 512], m), names[top].ravel(), np.take_along_axis(s, top, axis=1).ravel()))
         a, b, c = (np.concatenate(z) for z in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-        return pa.table({"a": a, "b": b, "cos": c})
+        # weaker ones carry no round
+        own = c >= bridge
+        return pa.table({"a": a[own], "b": b[own], "cos": c[own]})
 
     return run
 
 
-def seed(nodes: DataFrame, n: int, k: int, tables: int, bits: int, turn: int) -> DataFrame:
-    """``a, b, cos, fresh``: up to ``k`` nearest of each node in each of its leaves; a leaf over BLOCK_ROWS is dealt into parts."""
+def seed(nodes: DataFrame, n: int, k: int, tables: int, bits: int, turn: int, bridge: float) -> DataFrame:
+    """``a, b, cos, fresh``: up to ``k`` nearest of each node in each of its leaves, of cosine ``bridge`` or more; a leaf over BLOCK_ROWS is dealt into parts."""
     sizes = seed_leaves(nodes, tables, bits, turn, False).groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK_ROWS)
     rows = seed_leaves(nodes, tables, bits, turn, True).join(small_enough(sizes, 100_000), "leaf", "left")
     part = F.pmod(F.xxhash64("node", "leaf", F.lit(turn)), F.ceil(F.coalesce("size", F.lit(1)) / BLOCK_ROWS).cast("int"))
     dealt = rows.select("node", "v", F.xxhash64("leaf", part).alias("leaf"))
     group = F.pmod(F.xxhash64("leaf"), F.lit(n * tables // GROUP_ROWS + 24))
-    return dealt.withColumn("g", group).groupBy("g").applyInArrow(_leaf_neighbours(k), "a bigint, b bigint, cos double").withColumn("fresh", F.lit(1))
+    return dealt.withColumn("g", group).groupBy("g").applyInArrow(_leaf_neighbours(k, bridge), "a bigint, b bigint, cos double").withColumn("fresh", F.lit(1))
 
 
 def nearest(pairs: DataFrame, k: int) -> DataFrame:
@@ -123,7 +138,7 @@ def nearest(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.max("cos").alias("cos"), F.min("fresh").alias("fresh")).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
 
 
-def _local_join(fan: int):
+def _local_join(fan: int, bridge: float):
     """For the neighbours ``c`` of each ``b``: the best ``fan`` others of each among them."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -139,7 +154,9 @@ def _local_join(fan: int):
             s = x @ x.T
             np.fill_diagonal(s, -2)
             top = np.argpartition(-s, m - 1, axis=1)[:, :m]
-            out.append((np.repeat(names, m), names[top].ravel(), np.take_along_axis(s, top, axis=1).ravel()))
+            cos = np.take_along_axis(s, top, axis=1).ravel()
+            own = cos >= bridge
+            out.append((np.repeat(names, m)[own], names[top].ravel()[own], cos[own]))
         return pa.table(dict(zip(("a", "b", "cos"), (np.concatenate(z) for z in zip(*out)))))
 
     return run
@@ -151,12 +168,12 @@ def descend(graph: DataFrame, nodes: DataFrame, n: int, k: int, fan: int, bridge
     The neighbours of a node meet in one group, each vector once, and are compared there; only lists with a link that is
     new since the last round take part.
     """
-    ahead = nearest(graph.where(F.col("cos") >= bridge), fan)
+    ahead = nearest(graph, fan)
     back = nearest(ahead.select(F.col("b").alias("a"), F.col("a").alias("b"), "cos", "fresh"), fan)
     near = ahead.unionByName(back).groupBy(F.col("a").alias("b"), F.col("b").alias("c")).agg(F.max("fresh").alias("fresh"))
     near = near.join(near.where("fresh = 1").select("b").distinct(), "b", "left_semi")
     placed = near.select("b", "c").join(nodes.select(F.col("node").alias("c"), "v"), "c").withColumn("g", F.pmod(F.xxhash64("b"), F.lit(2 * n * fan // GROUP_ROWS + 24)))
-    found = placed.groupBy("g").applyInArrow(_local_join(fan), "a bigint, b bigint, cos double").withColumn("fresh", F.lit(1))
+    found = placed.groupBy("g").applyInArrow(_local_join(fan, bridge), "a bigint, b bigint, cos double").withColumn("fresh", F.lit(1))
     return nearest(graph.withColumn("fresh", F.lit(0)).unionByName(found), k)
 
 
@@ -368,7 +385,7 @@ def near_duplicates(
     bits = int(np.clip(np.ceil(np.log2(max(n, 2) / LEAF_ROWS)), 1, 40))
     met = (1 - math.acos(threshold) / math.pi) ** bits
     tables = int(np.clip(math.ceil(math.log(0.1) / math.log1p(-met)), 4, 64))
-    graph, reach = cut(nearest(seed(nodes, n, k, tables, bits, 0), k)), k
+    graph, reach = cut(nearest(seed(nodes, n, k, tables, bits, 0, bridge), k)), k
     for turn in range(1, rounds + 1):
         if reach < most and graph.where(F.col("cos") >= threshold).groupBy("a").count().where(F.col("count") >= reach).take(1):
             reach = min(2 * reach, most)
@@ -377,7 +394,7 @@ def near_duplicates(
         measured = audit(counted, nodes, n, threshold, sample)
         if measured >= recall:
             break
-        graph = cut(nearest(graph.unionByName(seed(nodes, n, k, tables, bits, turn)), reach))
+        graph = cut(nearest(graph.unionByName(seed(nodes, n, k, tables, bits, turn, bridge)), reach))
     else:
         raise RuntimeError(f"the audit found {measured:.4f} of the links after {rounds} rounds, not {recall}")
     of = units.select("node", "least", "n").join(parts, "node", "left").join(counted, "node", "left")
