@@ -138,8 +138,9 @@ def train(
 ) -> Model:
     """A model of the grades 0 to ``grades - 1`` on at most about ``max_docs`` labelled rows with ``learn``.
 
-    Tasks hash the sample's texts; the driver holds the hashed features alone, whose size the bound limits. Without
-    labels, or with one grade only, every text gets the best grade.
+    Tasks hash the sample's texts; the driver holds the hashed features alone, whose size the bound limits. Null labels and
+    ids are left out, null texts are empty ones, of several labels of an id the largest counts, and rows that repeat an
+    id count each. Without labels (or rows), or with one grade only, every text gets the best grade.
     """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +179,11 @@ def grades(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def select_documents(docs: DataFrame, model: Model, least: float = 0.5, above: int = 0, text_col: str = "text") -> DataFrame:
-    """``docs`` whose probability of a grade over ``above`` is at least ``least``, scored in the same pass, without a join."""
+    """``docs`` whose probability of a grade over ``above`` is at least ``least``, scored in the same pass, without a join.
+
+    A probability of just ``least`` stays. Null and empty texts are scored by their size alone, very long ones whole; repeated
+    rows fare alike; an empty table gives no rows; all columns pass through, whatever their names.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

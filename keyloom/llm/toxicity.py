@@ -134,7 +134,8 @@ def train(
 
     Spark counts the sample's word pieces by label. Those in ``rare`` documents whose share among toxic documents
     differs from that among others by ``screen`` standard errors are the features; most words of a toxic document are
-    not what makes it toxic. Tasks turn sentences into features; the driver holds these alone, whose size the bound on
+    not what makes it toxic. Null labels and ids are left out, null texts are empty ones, of several labels
+    of an id the largest counts. Without rows of two labels all texts score low. Tasks turn sentences into features; the driver holds these alone, whose size the bound on
     documents limits, and takes ``rounds`` Adam steps on the log loss of the noisy-or.
     """
     rows = training_rows(docs, labels, learn, max_docs, id_col, text_col, label_col).persist()
