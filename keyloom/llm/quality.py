@@ -19,7 +19,7 @@ from keyloom.llm.toxicity import training_rows
 
 BITS = 16
 #: Tokens whose buckets a task keeps at most; then it starts afresh.
-KNOWN = 400_000
+KNOWN = 100_000
 CORE = re.compile(r"[^\W\d_]+")
 RUNS = re.compile(r"(.)\1+", re.S)
 
