@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from keyloom.llm import html, langid, lines, mixing, packing, quality, rules, simhash, toxicity, vectors
+from keyloom.llm import html, langid, lines, mixing, packing, quality, rules, simhash, tokens, toxicity, vectors
 from keyloom.llm.common import table
 
 
@@ -78,6 +78,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), mixing.word_count()).drop("source")
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 OP10_SQL = r"""
 WITH s AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 p AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_rows, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn FROM s GROUP BY source),
@@ -105,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {"op10_mix_sources": OP10_SQL}

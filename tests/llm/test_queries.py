@@ -31,7 +31,7 @@ def test_names_and_columns(spark):
     }
     for op, columns in want.items():
         assert of(op)(spark, SF).columns[: len(columns)] == columns
-    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 14))
 
 
 def test_op9(spark, documents):
