@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from keyloom.llm import html, langid, lines, mixing, packing, quality, rules, simhash, tokens, toxicity, vectors
+from keyloom.llm import html, langid, lines, mixing, packing, quality, rules, simhash, tokens, toxicity, trie, vectors
 from keyloom.llm.common import table
 
 
@@ -82,6 +82,35 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt_turns(table(spark, sf_dir, "conversations")))
+
+
+#: crc32 of an ASCII text ``$`` in DuckDB, bit by bit.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split($, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295::BIGINT)"""
+
+OP13_SQL = (
+    """
+WITH o AS (SELECT conv_id AS c, [coalesce(role, ''), coalesce(text, '')] AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS p FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT DISTINCT c, """
+    + CRC32_SQL.replace("$", "c::VARCHAR")
+    + """ % 6 AS h FROM o),
+s AS (SELECT k.c, coalesce(l1.l, []) || coalesce(l2.l, []) AS path FROM k
+    LEFT JOIN (SELECT k.c, list(o.t ORDER BY o.p) AS l FROM k JOIN o ON o.c = k.c - k.c % 100 AND o.p < k.h GROUP BY k.c) l1 ON l1.c = k.c
+    LEFT JOIN (SELECT k.c, list(o.t ORDER BY o.p) AS l FROM k JOIN o ON o.c = k.c AND o.p >= k.h GROUP BY k.c) l2 ON l2.c = k.c),
+m AS (SELECT c, len(path) AS n, d, path[1:d] AS node, path[1:d - 1] AS up, path[d][2] AS last_text FROM (SELECT c, path, unnest(range(len(path) + 1)) AS d FROM s)),
+g AS (SELECT node, any_value(d) AS d, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(any_value(length(last_text)), 0) AS saving,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256 FROM m GROUP BY node),
+f AS (SELECT g.*, (SELECT count(*) FROM g b WHERE b.d = g.d + 1 AND b.up = g.node) AS n_children FROM g),
+t AS (SELECT a.node, sum((b.n_children = 0)::INT) AS n_leaves, sum(b.saving) AS saved FROM f a JOIN f b ON b.d >= a.d AND b.node[1:a.d] = a.node GROUP BY a.node)
+SELECT f.conv_id::BIGINT AS conv_id, f.d::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+    t.n_leaves::BIGINT AS n_leaves, t.saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN t ON t.node = f.node LEFT JOIN f p ON f.d > 0 AND p.d = f.d - 1 AND p.node = f.up
+"""
+)
+
 OP10_SQL = r"""
 WITH s AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 p AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_rows, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn FROM s GROUP BY source),
@@ -110,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_mix_sources": op10_mix_sources,
     "op12_token_counts": op12_token_counts,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_mix_sources": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op10_mix_sources": OP10_SQL, "op13_prefix_trie": OP13_SQL}
