@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from keyloom.llm import html, langid, lines, mixing, packing, quality, rules, simhash, tokens, toxicity, trie, vectors
+from keyloom.llm import html, langid, lines, mixing, packing, quality, repair, rules, simhash, tokens, toxicity, trie, vectors
 from keyloom.llm.common import table
 
 
@@ -78,6 +78,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), mixing.word_count()).drop("source")
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -90,6 +94,41 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split($, ''), lambda ch: ascii(ch)::BIGINT)),
     lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295::BIGINT)"""
 
+OP11_SQL = (
+    r"""
+WITH RECURSIVE h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, """
+    + CRC32_SQL.replace("$", "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")
+    + r""" % 20 AS hit FROM conversations),
+d AS (SELECT conv_id, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role, CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE hit WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE hit <> 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text), copy) AS i FROM d),
+q AS (SELECT *, regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS bare, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, left(role, 1) AS r,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS r0 FROM p),
+f AS (SELECT *, CASE WHEN bare = '' THEN 'b' WHEN again THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM q),
+e(letter, was, now, name, cost) AS (VALUES ('K', '', 's', NULL, 0), ('K', '', 'u', NULL, 0), ('K', 's', 'u', NULL, 0), ('K', 'u', 'a', NULL, 0), ('K', 'a', 'u', NULL, 0),
+    ('R', '', 'u', 'user', 3), ('R', 's', 'u', 'user', 3), ('R', 'u', 'a', 'assistant', 3), ('R', 'a', 'u', 'user', 3)),
+n(ins, was, now, lines, cost) AS (VALUES ('', '', '', ''::VARCHAR, 0), ('', 's', 's', '', 0), ('', 'u', 'u', '', 0), ('', 'a', 'a', '', 0), ('I', '', 'u', chr(10) || 'user:', 3), ('I', 's', 'u', chr(10) || 'user:', 3),
+    ('I', 'u', 'a', chr(10) || 'assistant:', 3), ('I', 'a', 'u', chr(10) || 'user:', 3), ('II', '', 'a', chr(10) || 'user:' || chr(10) || 'assistant:', 6), ('II', 's', 'a', chr(10) || 'user:' || chr(10) || 'assistant:', 6)),
+w AS (SELECT conv_id, 0::BIGINT AS i, '' AS state, 0 AS cost, ''::VARCHAR AS audit, ''::VARCHAR AS lines FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, state, b.cost, b.audit, b.lines FROM (
+    SELECT w.conv_id, f.i, coalesce(e.now, n.now) AS state,
+      min({'cost': w.cost + n.cost + coalesce(e.cost + CASE fault WHEN 't' THEN 3 ELSE 0 END, 4), 'audit': w.audit || n.ins || coalesce(e.letter, 'D'),
+           'lines': w.lines || n.lines || CASE WHEN e.letter IS NULL THEN '' ELSE chr(10) || coalesce(e.name, f.role) || ':' || f.text END}) AS b
+    FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN n ON n.was = w.state
+      JOIN (SELECT * FROM e UNION ALL SELECT NULL, s, NULL, NULL, NULL FROM (VALUES (''), ('s'), ('u'), ('a')) x(s)) e ON e.was = n.now
+    WHERE e.letter IS NULL OR (fault NOT IN ('b', 'd') AND (e.letter = 'R' OR e.now = f.r))
+    GROUP BY w.conv_id, f.i, coalesce(e.now, n.now)) t),
+z AS (SELECT w.conv_id, min({'cost': w.cost + n.cost, 'audit': w.audit || n.ins, 'lines': w.lines || n.lines}) AS b FROM w JOIN n ON n.was = w.state AND n.now IN ('', 'a')
+  WHERE w.i = (SELECT coalesce(max(f.i), 0) FROM f WHERE f.conv_id IS NOT DISTINCT FROM w.conv_id) GROUP BY w.conv_id),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (r0 IS NOT NULL AND r0 || r NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT z.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, z.b.cost::BIGINT AS cost, z.b.audit AS audit, sha256(z.b.lines[2:]) AS repaired_sha256
+FROM z LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM z.conv_id
+"""
+)
+
 OP13_SQL = (
     """
 WITH o AS (SELECT conv_id AS c, [coalesce(role, ''), coalesce(text, '')] AS t,
@@ -138,8 +177,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op11_repair_conversations": op11_repair_conversations,
     "op12_token_counts": op12_token_counts,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_mix_sources": OP10_SQL, "op13_prefix_trie": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op10_mix_sources": OP10_SQL, "op11_repair_conversations": OP11_SQL, "op13_prefix_trie": OP13_SQL}
