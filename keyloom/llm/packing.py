@@ -19,6 +19,8 @@ SHARD_TOKENS = 2_000_000
 SEQUENCE_BITS = 36
 
 
+#: Fixed value: the special string of the vocabulary, whose id is the one behind the ranks. In a text it is that one token.
+END_OF_TEXT = "<|endoftext|>"
 #: The pattern engine of ``tiktoken`` recurses over white space and breaks off in runs of hundreds of thousands.
 LONG_SPACE = re.compile(r"\s{1000}")
 
@@ -28,14 +30,15 @@ def _whole(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(str(path))
-    tokenizer.encode_special_tokens = True
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
     return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 def encoder(path: str):
     """A function from texts to id arrays: a ``tokenizers`` file, or the same vocabulary's ``tiktoken`` ranks, which are faster.
 
-    With ranks, a text with a long run of white space, or one that ``tiktoken`` breaks off at, goes to the ``tokenizers``
+    Ids are those that ``tokenizers`` gives without added special tokens, ``END_OF_TEXT`` in a text as its own id. With ranks, a text with a long run of white space, or one that ``tiktoken`` breaks off at, goes to the ``tokenizers``
     file of the same name beside them.
     """
     if not str(path).endswith(".tiktoken"):
@@ -47,14 +50,15 @@ def encoder(path: str):
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    ordinary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    special = {END_OF_TEXT: len(ranks)}
+    ids_of = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special).encode
     other = cache(lambda: _whole(str(path).removesuffix(".tiktoken") + ".json"))
 
     def encode(text: str) -> np.ndarray:
         if LONG_SPACE.search(text):
             return other()(text)
         try:
-            return np.array(ordinary(text), dtype="<u4")
+            return np.array(ids_of(text, allowed_special="all"), dtype="<u4")
         except BaseException as e:
             # a panic of the native code is no Exception
             if type(e).__name__ != "PanicException":
@@ -69,8 +73,8 @@ def pack_lengths(lengths: np.ndarray, capacity: int, linear: float, quadratic: f
 
     The estimated cost of a piece is ``linear * n + quadratic * n * n``. Whole runs of ``capacity`` tokens are
     sequences of their own. The remainders go, in descending order, each to the sequence of lowest cost with room for
-    all of it; one that fits nowhere is cut over the sequences with most room. There are as many sequences as their
-    tokens need, so less than one sequence of padding is left.
+    all of it; one that fits nowhere is cut, and its parts go to the sequences of lowest cost with any room. There are as
+    many sequences as their tokens need, so less than one sequence of padding is left.
     """
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence = 0
@@ -99,7 +103,7 @@ def pack_lengths(lengths: np.ndarray, capacity: int, linear: float, quadratic: f
             put(int(doc), left, at)
             continue
         while left:
-            at = int(used.argmin())
+            at = int(np.where(used < capacity, cost, np.inf).argmin())
             length = min(left, capacity - int(used[at]))
             put(int(doc), length, at)
             left -= length

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from keyloom.llm import lines, packing, simhash
+from keyloom.llm import lines, simhash
 from keyloom.llm.components import local_roots
 from keyloom.llm.queries import ORACLE_SQL, QUERIES
 
@@ -59,9 +59,10 @@ def test_op2(spark, documents):
     import zlib
 
     import public_tokenizers
+    from tokenizers import Tokenizer
 
-    encode = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
-    pieces, ids = {}, {d: np.append(encode(t or ""), np.uint32(0)).astype("<u4") for d, t, _, _ in documents}
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces, ids = {}, {d: np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4") for d, t, _, _ in documents}
     for r in of("op2")(spark, SF).collect():
         assert r["ids_crc32"] == zlib.crc32(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]].tobytes())
         pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"]))

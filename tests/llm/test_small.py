@@ -214,16 +214,22 @@ def test_mixing(docs_of, monkeypatch):
 def test_packing(docs_of):
     import public_tokenizers
     import zlib
+    from tokenizers import Tokenizer
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     cases = ODD + [(20 + i, "some words " * (i * 7)) for i in range(60)]
     fast = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    slow = packing.encoder(path)
+    library = Tokenizer.from_file(path)
+
+    def slow(text):
+        return np.array(library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    assert slow("a <|endoftext|> b").tolist() == fast("a <|endoftext|> b").tolist() and 50256 in fast("<|endoftext|>")
     odd = [" " * 1_000_000 + "x", "\n" * 1_000_000, "y" * 1_000_000, "a" + "\t" * 999 + "b", "'" * 100_000]
     for text in odd:
         assert np.array_equal(slow(text), fast(text))
     assert packing.pack(docs_of([(1, odd[0]), (2, odd[1])]), public_tokenizers.path("byte_bpe_50k.tiktoken")).agg(F.sum("length")).first()[0] == sum(len(slow(t)) + 1 for t in odd[:2])
-    odd = ["<|endoftext|>", "a‍b́ 中文　\U0001f468‍\U0001f469", "x" * 3000, "  \n\n\t 12345 it's 'LL"]
+    odd = ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|> \n", "  <|endoftext|>  x", "<|endoftext|", "<|startoftext|>", "a‍b́ 中文　\U0001f468‍\U0001f469", "x" * 3000, "  \n\n\t 12345 it's 'LL"]
     for text in [t or "" for _, t in cases] + odd:
         assert slow(text).tolist() == fast(text).tolist()
     pieces = packing.pack(docs_of(cases).repartition(3), path)
