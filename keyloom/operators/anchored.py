@@ -6,20 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.parse import DAY_MS, HOUR_MS, filled, ist_weekday
-from keyloom.operators.kernels import KEY, TIE, TIME, before, emit, first_seen, latch, ordered, prefix, prepare, segments
+from keyloom.operators.kernels import KEY, TIE, TIME, before, emit, first_seen, is_sliced, lane, latch, ordered, prefix, prepare, segments
 
 
 def _placed(events: DataFrame, eligible: Column | None, width_ms: int, values: dict[str, Column], guarded: bool = False) -> DataFrame:
     """Eligible events with ``values`` and the anchor of their segment; nothing else is sent through the ordered pass."""
     d = prepare(events, eligible, dedup=guarded, nudge=guarded)
-    return segments(d.select(KEY, TIME, TIE, "rn", *[c.alias(n) for n, c in values.items()]), width_ms, placed=True)
+    return segments(d.select(*lane(d), TIME, TIE, "rn", *[c.alias(n) for n, c in values.items()]), width_ms, placed=True)
 
 
 def _diverse(d: DataFrame, name: str, value: str, on: int, notes: tuple[str, str]) -> DataFrame:
     """The event of a segment that brings its distinct values over ``on``. Sets hold first events alone, no more than that."""
     d = first_seen(d, F.col(value), "v", "anchor")
     early = F.when(F.col("v_new") & (F.col("v_n") <= on + 1), F.col(value))
-    d = d.withColumn("_set", F.collect_list(early).over(prefix(ordered("anchor")))).where(F.col("v_new") & (F.col("v_n") == on + 1))
+    if is_sliced(d):
+        sets = d.groupBy(F.col(KEY).alias("_of"), F.col("anchor").alias("_at")).agg(F.collect_list(early).alias("_set"))
+        d = d.join(sets, (F.col(KEY) == F.col("_of")) & (F.col("anchor") == F.col("_at")))
+    else:
+        d = d.withColumn("_set", F.collect_list(early).over(prefix(ordered("anchor"))))
+    d = d.where(F.col("v_new") & (F.col("v_n") == on + 1))
     return emit(d, name, "Count", F.col("v_n"), F.col("anchor"), comments={notes[0]: F.col("v_n"), notes[1]: F.sort_array("_set")})
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-KEY, TIME, TIE = "entity_id", "ts", "event_id"
+from keyloom.functions.tables import written
+from keyloom.operators.slices import KEY, SLICE, TIE, TIME, Part, entry_anchors, first_of, in_range, is_sliced, lane, running
 
 
 def ordered(*more: str) -> WindowSpec:
@@ -45,25 +46,26 @@ def prepare(events: DataFrame, eligible: Column | None = None, dedup: bool = Fal
     d = events if eligible is None else events.where(eligible)
     if dedup:
         own = F.when(F.col("eventId") != "", F.col("eventId"))
-        d = d.withColumn("_id", own).withColumn("_last", F.last("_id", ignorenulls=True).over(before(ordered())))
+        d = running(d.withColumn("_id", own), _last=Part("last", "_id", before=True))
         d = d.where(F.col("_id").isNull() | F.col("_last").isNull() | (F.col("_id") != F.col("_last"))).drop("_id", "_last")
-    d = d.withColumn("rn", F.row_number().over(ordered()))
+    d = ranked(d)
     if nudge:
-        d = d.withColumn("_shift", F.max(F.col(TIME) - F.col("rn")).over(prefix(ordered()))).withColumn(TIME, F.col("_shift") + F.col("rn")).drop("_shift")
+        d = running(d.withColumn("_shift", F.col(TIME) - F.col("rn")), _most=Part("max", "_shift"))
+        d = d.withColumn(TIME, F.col("_most") + F.col("rn")).drop("_shift", "_most")
     return d
 
 
-def latch(d: DataFrame, on: Column, off: Column, *more: str) -> DataFrame:
-    """Rows where ``on`` holds and the latch is open; ``on`` closes it and ``off`` opens it again, neither keeps it."""
-    signal = F.when(on, 1).when(off, 0)
-    held = F.coalesce(F.last("_sig", ignorenulls=True).over(before(ordered(*more))), F.lit(0))
-    return d.withColumn("_sig", signal).withColumn("_held", held).where((F.col("_sig") == 1) & (F.col("_held") == 0)).drop("_sig", "_held")
+def ranked(d: DataFrame) -> DataFrame:
+    """``d`` with the rank ``rn`` of an event in its key."""
+    if is_sliced(d):
+        return running(d.withColumn("_one", F.lit(1).cast("long")), rn=Part("sum", "_one")).drop("_one")
+    return d.withColumn("rn", F.row_number().over(ordered()))
 
 
-def count_in_range(width_ms: int) -> Column:
-    """Events in ``[ts - width, ts]`` up to the current one. A plain range frame would count later events of the same time too."""
-    w = Window.partitionBy(KEY).orderBy(TIME).rangeBetween(-width_ms, 0)
-    return F.col("rn") - F.min("rn").over(w) + 1
+def latch(d: DataFrame, on: Column, off: Column, *more: str) -> DataFrame:
+    """Rows where ``on`` holds and the latch is open; ``on`` closes it and ``off`` opens it again, neither keeps it."""
+    d = running(d.withColumn("_sig", F.when(on, 1).when(off, 0)), *more, _held=Part("last", "_sig", before=True))
+    return d.where((F.col("_sig") == 1) & (F.coalesce("_held", F.lit(0)) == 0)).drop("_sig", "_held")
 
 
 def islands(d: DataFrame, starts: Column, name: str = "island") -> DataFrame:
@@ -106,7 +108,7 @@ def fold(rows: DataFrame, function: Callable[[], Callable[[pa.RecordBatch, np.nd
             last = [c[-1] for c in columns]
             yield step(batch, new)
 
-    lying = rows if placed else rows.repartition(KEY)
+    lying = rows if placed else rows.repartition(*lane(rows))
     return lying.sortWithinPartitions(*names, TIME, TIE).mapInArrow(run, schema)
 
 
@@ -118,13 +120,14 @@ def _anchors(width: int, inclusive: bool):
 
         def step(batch: pa.RecordBatch, new: np.ndarray) -> pa.RecordBatch:
             t = batch.column(TIME).to_numpy()
+            entry = batch.column("_entry") if "_entry" in batch.schema.names else None
             out = np.empty(len(t), dtype=np.int64)
             cuts = [0, *np.flatnonzero(new[1:]) + 1, len(t)]
             for a, b in zip(cuts, cuts[1:]):
-                anchor = None if new[a] else held[0]
+                anchor = held[0] if not new[a] else entry[a].as_py() if entry is not None else None
                 at = a
                 while at < b:
-                    if anchor is None:
+                    if anchor is None or (at == a and new[a] and (t[at] - anchor >= width if inclusive else t[at] - anchor > width)):
                         anchor = int(t[at])
                     # the first event past the anchor's reach takes over
                     end = a + int(np.searchsorted(t[a:b], anchor + width, side="left" if inclusive else "right"))
@@ -148,15 +151,24 @@ def segments(rows: DataFrame, width_ms: int, *by: str, inclusive: bool = False,
     opens the next. Where each anchor lies depends on the one before, so this is an ordered pass that jumps from anchor
     to anchor. One exchange after it serves all windows of the segments, and is shared by all that read them.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return fold(rows, _anchors(width_ms, inclusive), f"{schema}, anchor bigint", *by, placed=placed).repartition(KEY)
+    if is_sliced(rows):
+        if by:
+            raise ValueError("the segments of a sliced key have no further columns")
+        rows = written(rows)
+        entries = entry_anchors(rows, width_ms, inclusive).select(F.col(KEY).alias("_of"), F.col(SLICE).alias("_at"), "_entry")
+        rows = rows.join(entries, (F.col(KEY) == F.col("_of")) & (F.col(SLICE) == F.col("_at"))).drop("_of", "_at")
+        return fold(rows, _anchors(width_ms, inclusive), f"{_schema(rows)}, anchor bigint", SLICE).drop("_entry")
+    return fold(rows, _anchors(width_ms, inclusive), f"{_schema(rows)}, anchor bigint", *by, placed=placed).repartition(KEY)
+
+
+def _schema(rows: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
 
 def first_seen(d: DataFrame, value: Column, name: str, *by: str) -> DataFrame:
     """Adds ``name``_new, whether this is the first event of its key (and ``by``) with the value, and ``name``_n, distinct values so far."""
-    d = d.withColumn("_v", value)
-    d = d.withColumn(f"{name}_new", (F.row_number().over(ordered(*by, "_v")) == 1) & F.col("_v").isNotNull())
-    return d.withColumn(f"{name}_n", F.sum(F.when(F.col(f"{name}_new"), 1).otherwise(0)).over(prefix(ordered(*by)))).drop("_v")
+    d = first_of(d.withColumn("_v", value), f"{name}_new", "_v", *by)
+    return running(d.withColumn("_new", F.col(f"{name}_new").cast("int")), *by, **{f"{name}_n": Part("sum", "_new")}).drop("_v", "_new")
 
 
 def expire(events: DataFrame, idle_ms: int) -> DataFrame:

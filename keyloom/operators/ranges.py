@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyloom.functions.parse import filled, is_no, ist_hour
-from keyloom.operators.kernels import KEY, count_in_range, emit, first_seen, latch, ordered, prepare
+from keyloom.operators.kernels import KEY, emit, first_seen, in_range, latch, ordered, prepare
 
 
 def burst(events: DataFrame, name: str, width_ms: int, on: int, off: int, eligible: Column | None = None, label: str = "events", notes: dict[str, Column] | None = None) -> DataFrame:
     """Eligible events in the last ``width_ms``: alerts at ``on``, and again only after fewer than ``off``."""
-    d = prepare(events, eligible).withColumn("_c", count_in_range(width_ms))
+    d = in_range(prepare(events, eligible), "_c", width_ms)
     d = latch(d, F.col("_c") >= on, F.col("_c") < off)
     return emit(d, name, "Count", F.col("_c"), F.col("ts") - width_ms, comments={label: F.col("_c"), **(notes or {"threshold": F.lit(on)})})
 
@@ -56,8 +56,8 @@ def concurrent_aua(events: DataFrame, on: int = 3) -> DataFrame:
 
 def brute_force(events: DataFrame, least: int = 5, width_ms: int = 300_000) -> DataFrame:
     """A success right after ``least`` or more failures in a row within ``width_ms``."""
-    d = prepare(events, filled("authResult")).withColumn("_other", F.when(~is_no(), F.col("rn")))
+    d = in_range(prepare(events, filled("authResult")), "_c", width_ms).withColumn("_other", F.when(~is_no(), F.col("rn")))
     run = F.col("rn") - 1 - F.coalesce(F.last("_other", ignorenulls=True).over(ordered().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    d = d.withColumn("_run", F.least(run, count_in_range(width_ms) - 1)).where((F.upper("authResult") == "Y") & (F.col("_run") >= least))
+    d = d.withColumn("_run", F.least(run, F.col("_c") - 1)).where((F.upper("authResult") == "Y") & (F.col("_run") >= least))
     notes = {"pattern_matched": F.lit("FAILURES_THEN_SUCCESS"), "preceding_failures": F.col("_run"), "window_ms": F.lit(width_ms)}
     return emit(d, "auth_brute_force_compromise_v1", "Count", F.col("_run"), F.col("ts") - width_ms, comments=notes)

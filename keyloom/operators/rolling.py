@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from keyloom.functions.parse import filled, is_yes, ist_hour, number
 from keyloom.operators.kernels import KEY, change_of, emit, last_rows, latch, ordered, prefix, prepare, segments
+from keyloom.operators.slices import Part, lagged, moments, running
 
 
 def rolling_share(
@@ -19,8 +20,8 @@ def rolling_share(
     sums are differences of running sums, so a row costs the same for any ``n``.
     """
     d = prepare(events, eligible, dedup=guarded, nudge=guarded).withColumn("_flag", F.coalesce(flag, F.lit(False)).cast("int"))
-    d = d.withColumn("_sum", F.sum("_flag").over(prefix(ordered()))).withColumn("_n", F.least("rn", F.lit(n)))
-    d = d.withColumn("_hit", F.col("_sum") - F.coalesce(F.lag("_sum", n).over(ordered()), F.lit(0))).withColumn("_share", F.col("_hit") / F.col("_n"))
+    d = lagged(running(d, _sum=Part("sum", "_flag")), "_old", "_sum", n).withColumn("_n", F.least("rn", F.lit(n)))
+    d = d.withColumn("_hit", F.col("_sum") - F.coalesce("_old", F.lit(0))).withColumn("_share", F.col("_hit") / F.col("_n"))
     enough = F.col("_n") >= least
     rate = F.col("_share")
     d = latch(d, enough & ((rate > on) if strict else (rate >= on)), enough & ((rate <= off) if strict else (rate < off)))
@@ -156,9 +157,7 @@ def modality_concentration(events: DataFrame, chunk: int = 100, least: int = 30,
 
 def outliers(events: DataFrame, name: str, value: Column, label: str, least: int = 10, on: float = 3.0, mean: str = "mean") -> DataFrame:
     """Values more than ``on`` sample deviations, either way, from the key's mean so far, the value itself counted, from ``least`` events on."""
-    d = prepare(events, value > 0).withColumn("_x", value)
-    w = prefix(ordered())
-    d = d.withColumn("_mean", F.avg("_x").over(w)).withColumn("_sd", F.stddev_samp("_x").over(w))
+    d = moments(prepare(events, value > 0).withColumn("_x", value), "_x")
     d = d.withColumn("_z", F.abs(F.col("_x") - F.col("_mean")) / F.nullif(F.col("_sd"), F.lit(0.0)))
     d = d.where((F.col("rn") >= least) & (F.col("_z") > on))
     return emit(d, name, "Z-Score", F.col("_z"), comments={"z_score": F.col("_z"), label: F.col("_x"), mean: F.col("_mean"), "stddev": F.col("_sd"), "event_count": F.col("rn")})
@@ -183,9 +182,7 @@ def response_time_anomaly(events: DataFrame, least: int = 10, on: float = 3.0) -
 
 def probe_minutiae(events: DataFrame, least: int = 10, on: float = 15.0) -> DataFrame:
     """Running sample deviation of the minutiae count above ``on``."""
-    d = prepare(events, number("probeMinutiae") > 0).withColumn("_x", number("probeMinutiae"))
-    w = prefix(ordered())
-    d = d.withColumn("_mean", F.avg("_x").over(w)).withColumn("_sd", F.stddev_samp("_x").over(w)).where((F.col("rn") >= least) & (F.col("_sd") > on))
+    d = moments(prepare(events, number("probeMinutiae") > 0).withColumn("_x", number("probeMinutiae")), "_x").where((F.col("rn") >= least) & (F.col("_sd") > on))
     return emit(d, "bio_probe_minutiae_anomaly_v1", "Variance", F.col("_sd"), comments={"standard_deviation": F.col("_sd"), "current_minutiae": F.col("_x"), "mean": F.col("_mean"), "event_count": F.col("rn")})
 
 

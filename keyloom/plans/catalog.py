@@ -7,9 +7,12 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from keyloom.functions.tables import broadcast_small, written
 from keyloom.operators import anchored, machines, ranges, rolling, rules, streaks
 from keyloom.operators.kernels import KEY, TIE, TIME, expire, unexpire
+from keyloom.operators.slices import cut_slices
 
 
 @dataclass(frozen=True)
@@ -61,6 +64,31 @@ def compute(name: str, events: DataFrame, state_ttl: bool = False, **parameters)
     return signal.make(events, **parameters)
 
 
+#: Signals made of kernels that work on slices of a key alone.
+SLICED = frozenset(
+    "auth_velocity_spike auth_failure_burst auth_enrolment_hammering auth_otp_fallback auth_success_without_bio auth_location_mismatch auth_night_surge bio_deep_print_failures "
+    "auth_duration_outlier auth_pid_size_anomaly bio_image_size_anomaly bio_response_time_anomaly bio_probe_minutiae "
+    "auth_geo_drift auth_device_diversity auth_model_diversity auth_provider_switch auth_aua_sa_diversity auth_error_spray".split()
+)
+
+
+def compute_sliced(name: str, events: DataFrame, most: int = 1_000_000, grain_ms: int = 1000, **parameters) -> DataFrame:
+    """Alerts of one signal, where keys of more than ``most`` events are cut into time slices of about that many.
+
+    Other keys take the plain windows. There are at most as many hot keys as ``most`` goes into the number of events; they are broadcast
+    where a count shows that they are few.
+    """
+    if name not in SLICED:
+        raise ValueError(f"{name} is not made of kernels that work on slices")
+    make = SIGNALS[name].make
+    hot = written(events.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(KEY))
+    if hot.isEmpty():
+        return make(events, **parameters)
+    few = broadcast_small(hot, 100_000)
+    cold = make(events.join(few, KEY, "left_anti"), **parameters)
+    return cold.unionByName(make(cut_slices(events.join(few, KEY, "left_semi"), most, grain_ms), **parameters))
+
+
 def placed(events: DataFrame, partitions: int | None = None) -> DataFrame:
     """Events hashed by key and sorted, kept for many signals: their windows then need no exchange and no sort of their own."""
     parts = events.repartition(partitions, KEY) if partitions else events.repartition(KEY)

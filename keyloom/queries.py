@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyloom.operators import streaks
-from keyloom.plans.catalog import SIGNALS, compute
+from keyloom.plans.catalog import SIGNALS, compute, compute_sliced
 from keyloom.sources.fixtures import duckdb_view, events_view
 
 H, D = 3_600_000, 86_400_000
@@ -155,12 +155,16 @@ class Query:
     key: str = "optId"
     parameters: dict = field(default_factory=dict)
     event_id: str | None = None
+    slices_of: int | None = None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = events_view(spark, sf_dir, SIGNALS[self.signal].kind, self.clock, self.key)
         if self.event_id:
             rows = rows.withColumn("eventId", F.col(self.event_id))
-        found = compute(self.signal, rows, **self.parameters)
+        if self.slices_of:
+            found = compute_sliced(self.signal, rows, self.slices_of, **self.parameters)
+        else:
+            found = compute(self.signal, rows, **self.parameters)
         return found.select("entity_id", "feature_name", "feature_type", "event_ts_ms", F.round("feature_value", 6).alias("feature_value"), F.coalesce("window_start_ms", F.lit(0)).alias("window_start_ms"), "window_end_ms")
 
     def oracle(self) -> str:
@@ -368,6 +372,10 @@ SPECS: dict[str, Query] = {
     "bio_deep_print_subversion": Query("bio_deep_print_subversion", events(nudge=True) + " " + out("bio_deep_print_subversion_v1", "1.0", "e", f"upper(deepPrintIsMatched) IN ('TRUE', 'Y') AND ({num('deepPrintFIRMatchScore')} < 5 OR deepPrintFIRMatchScore IS NULL)")),
 }
 
+# the same signals where one key has half of all events and is cut into slices
+for _name, _parameters in (("auth_velocity_spike", {"width_ms": 600_000}), ("auth_otp_fallback", {"on": 0.35}), ("auth_duration_outlier", {}), ("auth_geo_drift", {})):
+    SPECS[f"{_name}_hot_key"] = Query(_name, SPECS[_name].sql, key="half", parameters=_parameters, slices_of=700)
+
 _CHANGES = f"""WITH {duckdb_view()}, {events(filled("deviceCode"))}, c AS (SELECT *, coalesce(deviceCode <> lag(deviceCode) OVER ({W}), true) AS x FROM e),
 i AS (SELECT *, sum(x::INT) OVER ({W} ROWS UNBOUNDED PRECEDING) AS isle FROM c),
 g AS (SELECT entity_id, isle, count(*) AS n, max(ts) AS l, min(ts) AS f, min(deviceCode) AS d, arg_min(authType, rn) AS a FROM i GROUP BY ALL)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 _BASE = """SELECT event_id, user_id, event_type, value, CAST(get_json_object(props,'$.k') AS INT) k,
  unix_millis(CAST(ts AS TIMESTAMP)) ms0 FROM {events}"""
 _CLOCKS = {"ms": "1704067200000 + ((ms0-1704067200000) div 60000)*1000", "cal_ms": "(ms0 div 1000)*1000"}
-_KEYS = {"optId": "concat('OP',user_id % 15)", "user_id": "concat('U',user_id)"}
+_KEYS = {"optId": "concat('OP',user_id % 15)", "user_id": "concat('U',user_id)", "half": "CASE WHEN user_id % 2 = 0 THEN 'HOT' ELSE concat('OP',user_id % 15) END"}
 TXN_FIELDS = {
     "authCode": "concat('C',event_id div 2)", "enrolmentReferenceId": "concat('ENR',k%20)",
     "authResult": "CASE WHEN event_type IN ('error','view') THEN 'N' WHEN event_type='signup' AND k%10=0 THEN NULL ELSE 'Y' END",
