@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.parse import DAY_MS, HOUR_MS, filled, ist_weekday
-from keyloom.operators.kernels import KEY, TIE, TIME, before, emit, first_seen, is_sliced, lane, latch, ordered, prefix, prepare, segments
+from keyloom.operators.kernels import KEY, TIE, TIME, counts_at, emit, first_seen, is_sliced, lane, latch, ordered, prefix, prepare, segments
+from keyloom.operators.memory import cooled, remember
 
 
 def _placed(events: DataFrame, eligible: Column | None, width_ms: int, values: dict[str, Column], guarded: bool = False) -> DataFrame:
@@ -15,7 +16,7 @@ def _placed(events: DataFrame, eligible: Column | None, width_ms: int, values: d
     return segments(d.select(*lane(d), TIME, TIE, "rn", *[c.alias(n) for n, c in values.items()]), width_ms, placed=True)
 
 
-def _diverse(d: DataFrame, name: str, value: str, on: int, notes: tuple[str, str]) -> DataFrame:
+def _diverse(d: DataFrame, name: str, value: str, on: int, notes: tuple[str, str], more: dict[str, Column] | None = None) -> DataFrame:
     """The event of a segment that brings its distinct values over ``on``. Sets hold first events alone, no more than that."""
     d = first_seen(d, F.col(value), "v", "anchor")
     early = F.when(F.col("v_new") & (F.col("v_n") <= on + 1), F.col(value))
@@ -25,15 +26,15 @@ def _diverse(d: DataFrame, name: str, value: str, on: int, notes: tuple[str, str
     else:
         d = d.withColumn("_set", F.collect_list(early).over(prefix(ordered("anchor"))))
     d = d.where(F.col("v_new") & (F.col("v_n") == on + 1))
-    return emit(d, name, "Count", F.col("v_n"), F.col("anchor"), comments={notes[0]: F.col("v_n"), notes[1]: F.sort_array("_set")})
+    return emit(d, name, "Count", F.col("v_n"), F.col("anchor"), comments={notes[0]: F.col("v_n"), **(more or {}), notes[1]: F.sort_array("_set")})
 
 
 def diversity(
     events: DataFrame, name: str, value: Column, width_ms: int, on: int, eligible: Column | None = None, guarded: bool = False,
-    notes: tuple[str, str] = ("distinct_count", "codes_seen"),
+    notes: tuple[str, str] = ("distinct_count", "codes_seen"), more: dict[str, Column] | None = None,
 ) -> DataFrame:
     """The event that brings more than ``on`` distinct values into a segment; at most one for each."""
-    return _diverse(_placed(events, eligible, width_ms, {"v": value}, guarded), name, "v", on, notes)
+    return _diverse(_placed(events, eligible, width_ms, {"v": value}, guarded), name, "v", on, notes, more)
 
 
 def geo_drift(events: DataFrame, width_ms: int = HOUR_MS, states: int = 2, districts: int = 5) -> DataFrame:
@@ -63,7 +64,7 @@ def aua_sa_diversity(events: DataFrame, width_ms: int = 2 * HOUR_MS, on: int = 8
 
 
 def error_spray(events: DataFrame, width_ms: int = HOUR_MS, on: int = 8) -> DataFrame:
-    return diversity(events, "auth_multi_error_spray_v1", F.col("subErrorCode"), width_ms, on - 1, filled("subErrorCode", True), True, ("distinct_errors_1h", "error_codes"))
+    return diversity(events, "auth_multi_error_spray_v1", F.col("subErrorCode"), width_ms, on - 1, filled("subErrorCode", True), True, ("distinct_errors_1h", "error_codes"), {"threshold": F.lit(on)})
 
 
 def concentration(events: DataFrame, name: str, value: str, width_ms: int, least: int, on: float, eligible: Column, dominant: str, total: str, counts: str) -> DataFrame:
@@ -76,10 +77,7 @@ def concentration(events: DataFrame, name: str, value: str, width_ms: int, least
     d = d.withColumn("_top", F.max(F.struct("_c", "v")).over(prefix(ordered("anchor")))).withColumn("_share", F.col("_top._c") / F.col("_n"))
     enough = F.col("_n") >= least
     d = latch(d, enough & (F.col("_share") > on), enough & (F.col("_share") <= on), "anchor").select(KEY, TIME, "anchor", "rn", "_share", "_top", "_n")
-    before_it = d.select(KEY, "anchor", F.col("rn").alias("at")).join(rows.select(KEY, "anchor", "rn", "v"), [KEY, "anchor"]).where(F.col("rn") <= F.col("at"))
-    each = before_it.groupBy(KEY, "anchor", "at", "v").agg(F.count(F.lit(1)).alias("c"))
-    all_ = each.groupBy(KEY, "anchor", F.col("at").alias("rn")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("v", "c")))).alias("_counts"))
-    d = d.join(all_, [KEY, "anchor", "rn"])
+    d = counts_at(d, rows, "v", "anchor")
     return emit(d, name, "Ratio", F.col("_share"), F.col("anchor"), comments={"concentration_ratio": F.col("_share"), dominant: F.col("_top.v"), total: F.col("_n"), counts: F.col("_counts")})
 
 
@@ -100,36 +98,41 @@ def weekend(events: DataFrame, width_ms: int = 7 * DAY_MS, least: int = 20, on:
     return emit(d, "auth_weekend_anomaly_v1", "Ratio", F.col("_share"), F.col("anchor"), comments={"weekend_ratio": F.col("_share"), "weekend_count": F.col("_w"), "weekday_count": F.col("_n") - F.col("_w")})
 
 
-def location_anchor(events: DataFrame, least: int = 15, cooldown_ms: int = HOUR_MS) -> DataFrame:
-    """Share of a key's most frequent location, on events elsewhere; each location alerts once in ``cooldown_ms``."""
+def location_anchor(events: DataFrame, least: int = 15, cooldown_ms: int = HOUR_MS, most: int = 100) -> DataFrame:
+    """Share of a key's most frequent location, on events elsewhere; each location alerts once in ``cooldown_ms``.
+
+    A key remembers ``most`` locations and the alerts of as many; what came in first is forgotten first.
+    """
     place = F.concat_ws("|", "locationStateCode", F.coalesce("locationDistrictCode", F.lit("UNKNOWN")))
-    d = prepare(events, filled("locationStateCode"), dedup=True).withColumn("place", place)
-    d = d.withColumn("_c", F.row_number().over(ordered("place"))).withColumn("_first", F.min("rn").over(prefix(ordered("place"))))
-    d = d.withColumn("_top", F.max(F.struct(F.col("_c"), (-F.col("_first")).alias("age"), F.col("place").alias("name"))).over(prefix(ordered())))
-    d = first_seen(d, F.col("place"), "place").where((F.col("rn") >= least) & (F.col("place") != F.col("_top.name")))
-    d = d.select(KEY, TIME, TIE, "place", "rn", F.col("_top.name").alias("home"), (F.col("_top._c") / F.col("rn")).alias("share"), (F.col("_c") / F.col("rn")).alias("own"), F.col("place_n").alias("places"))
-    d = segments(d, cooldown_ms, "place", inclusive=True, placed=True)
-    d = d.withColumn("_nth", F.row_number().over(ordered("place", "anchor"))).where("_nth = 1")
+    d = prepare(events, filled("locationStateCode"), dedup=True).select(KEY, TIME, TIE, "rn", place.alias("place"))
+    d = remember(d, {"place": most}, after=True).where((F.col("rn") >= least) & (F.col("place") != F.col("place_seen.top")))
+    d = d.select(
+        KEY, TIME, TIE, "place", "rn", F.col("place_seen.top").alias("home"), (F.col("place_seen.top_n") / F.col("rn")).alias("share"), (F.col("place_seen.n") / F.col("rn")).alias("own"), F.col("place_seen.size").alias("places"),
+    )
+    d = cooled(d, "place", cooldown_ms, most)
     strength = F.when(F.col("share") >= 0.8, "VERY_STRONG").when(F.col("share") >= 0.5, "STRONG").otherwise("WEAK_OR_NO_ANCHOR")
+    percent = lambda c: F.concat((F.floor(F.col(c) * 10_000 + 0.5) / 100).cast("string"), F.lit("%"))
     notes = {
-        "anchor_location": F.col("home"), "anchor_percentage": F.round("share", 4), "anchor_strength": strength, "current_location": F.col("place"), "current_location_percentage": F.round("own", 4),
+        "anchor_location": F.col("home"), "anchor_percentage": percent("share"), "anchor_strength": strength, "current_location": F.col("place"), "current_location_percentage": percent("own"),
         "total_distinct_locations": F.col("places"), "total_events_with_location": F.col("rn"), "detection_timestamp": F.col(TIME),
         "explanation": F.format_string("seen at %s, away from the usual %s (%s)", "place", "home", strength),
     }
     return emit(d, "auth_geo_location_anchor_drift", "Ratio", F.round("share", 4), comments=notes)
 
 
-def fingerprint_break(events: DataFrame, least: int = 20, most: int = 2, cooldown_ms: int = 300_000) -> DataFrame:
-    """How many of four fields equal the key's most frequent earlier value, when at most ``most`` do; one alert in ``cooldown_ms``."""
+def fingerprint_break(events: DataFrame, least: int = 20, most: int = 2, cooldown_ms: int = 300_000, values: int = 30) -> DataFrame:
+    """How many of four fields equal the key's most frequent earlier value, when at most ``most`` do; one alert in ``cooldown_ms``.
+
+    A key remembers ``values`` values of each field; what came in first is forgotten first.
+    """
     fields = {"auth_type": "authType", "model": "modelId", "provider": "deviceProviderId", "software": "registeredDeviceSoftwareId"}
     d = events.withColumns({f"_{k}": F.when(filled(c), F.col(c)).otherwise("UNKNOWN") for k, c in fields.items()})
     known = F.lit(False)
     for k in fields:
         known = known | (F.col(f"_{k}") != "UNKNOWN")
-    d = prepare(d, known, dedup=True)
-    for k in fields:
-        d = d.withColumn("_c", F.row_number().over(ordered(f"_{k}")))
-        d = d.withColumn(f"mode_{k}", F.min(F.struct((-F.col("_c")).alias("c"), F.col(f"_{k}").alias("v"))).over(before(ordered()))["v"])
+    d = prepare(d, known, dedup=True).select(KEY, TIME, TIE, "rn", *[f"_{k}" for k in fields])
+    d = remember(d, {f"_{k}": values for k in fields}, by_name=True)
+    d = d.withColumns({f"mode_{k}": F.col(f"_{k}_seen.top") for k in fields})
     score = sum(((F.col(f"_{k}") == F.col(f"mode_{k}")).cast("int") for k in fields), F.lit(0))
     d = d.withColumn("score", score).where((F.col("rn") > least) & (F.col("score") <= most))
     d = d.select(KEY, TIME, TIE, "rn", "score", *[c for k in fields for c in (f"_{k}", f"mode_{k}")])
@@ -154,4 +157,4 @@ def cert_expiry(events: DataFrame, within_ms: int = 7 * DAY_MS, again_ms: int =
     d = segments(d.select(KEY, TIME, TIE, "left", "certExpiryDate", F.col("_hit").alias("hit"), "_first"), again_ms, placed=True)
     d = d.withColumn("_nth", F.row_number().over(ordered("anchor"))).where((F.col("_nth") == 1) & F.col("hit"))
     days = F.col("left") / DAY_MS
-    return emit(d, "auth_cert_expiry_alert_v1", "Days", days, comments={"cert_id": F.col("certExpiryDate"), "days_remaining": days, "alert": F.lit("CERT_EXPIRING")})
+    return emit(d, "auth_cert_expiry_alert_v1", "Days", days, comments={"cert_id": F.col("certExpiryDate"), "days_remaining": F.format_string("%.1f", days), "alert": F.lit("Approaching expiration")})

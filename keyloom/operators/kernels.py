@@ -20,6 +20,10 @@ from keyloom.functions.tables import written
 from keyloom.operators.slices import KEY, SLICE, TIE, TIME, Part, entry_anchors, first_of, in_range, is_sliced, lane, running
 
 
+#: A column that says after how many idle milliseconds a signal forgets a key.
+LIFE = "_life_ms"
+
+
 def ordered(*more: str) -> WindowSpec:
     """A key's events (within the further columns ``more``) in order."""
     return Window.partitionBy(KEY, *more).orderBy(TIME, TIE)
@@ -44,6 +48,8 @@ def prepare(events: DataFrame, eligible: Column | None = None, dedup: bool = Fal
     increase: t' = max(t, t'_before + 1), whose closed form is rn + max over the prefix of (t - rn).
     """
     d = events if eligible is None else events.where(eligible)
+    if LIFE in d.columns:
+        d = expire(d, F.col(LIFE)).drop(LIFE)
     if dedup:
         own = F.when(F.col("eventId") != "", F.col("eventId"))
         d = running(d.withColumn("_id", own), _last=Part("last", "_id", before=True))
@@ -171,16 +177,34 @@ def first_seen(d: DataFrame, value: Column, name: str, *by: str) -> DataFrame:
     return running(d.withColumn("_new", F.col(f"{name}_new").cast("int")), *by, **{f"{name}_n": Part("sum", "_new")}).drop("_v", "_new")
 
 
-def expire(events: DataFrame, idle_ms: int) -> DataFrame:
-    """Splits each key where it was idle for more than ``idle_ms``, as state with that time to live would be forgotten.
+def counts_at(alerts: DataFrame, rows: DataFrame, value: str, *by: str) -> DataFrame:
+    """``alerts``, which are few, with ``_counts``: how often each value came in the ``rows`` of their key (and ``by``) up to them, by rank."""
+    names = [KEY, *by]
+    until = alerts.select(*names, F.col("rn").alias("_at")).join(rows.select(*names, "rn", F.col(value).alias("_v")), names).where(F.col("rn") <= F.col("_at"))
+    each = until.groupBy(*names, "_at", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    maps = each.groupBy(*names, F.col("_at").alias("rn")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("_v", "_c")))).alias("_counts"))
+    return alerts.join(maps, [*names, "rn"])
+
+
+def expire(events: DataFrame, idle_ms: int | Column) -> DataFrame:
+    """Splits each key where it was idle for ``idle_ms``, as state with that time to live would be forgotten.
 
     The parts are keys of their own, ``<key>\\0<number>``; ``unexpire`` restores the key.
     """
-    idle = F.col(TIME) - F.lag(TIME).over(ordered()) > idle_ms
+    idle = F.col(TIME) - F.lag(TIME).over(ordered()) >= idle_ms
     part = F.sum(F.when(idle, 1).otherwise(0)).over(prefix(ordered()))
     return events.withColumn("_part", part).withColumn(KEY, F.concat_ws("\0", F.col(KEY), F.col("_part"))).drop("_part")
 
 
+def with_life(events: DataFrame, idle_ms: int) -> DataFrame:
+    """``events`` whose signals forget a key that was idle for ``idle_ms``.
+
+    The clock of each signal counts the events that touch its state, which are its eligible ones, so ``prepare`` reads the
+    mark and splits keys below its filter.
+    """
+    return events.withColumn(LIFE, F.lit(idle_ms))
+
+
 def unexpire(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn(KEY, F.substring_index(KEY, "\0", 1))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyloom.functions.parse import filled, is_yes, ist_hour, number
-from keyloom.operators.kernels import KEY, change_of, emit, last_rows, latch, ordered, prefix, prepare, segments
+from keyloom.operators.kernels import KEY, TIME, change_of, counts_at, emit, last_rows, latch, ordered, prefix, prepare, segments
 from keyloom.operators.slices import Part, lagged, moments, running
 
 
@@ -29,7 +29,7 @@ def rolling_share(
 
 
 def otp_fallback(events: DataFrame, n: int = 30, least: int = 10, on: float = 0.5) -> DataFrame:
-    return rolling_share(events, "auth_otp_fallback_ratio_v1", F.col("authType").isin("O", "OTP"), n, least, on, on, F.col("authType").isNotNull(), True, flagged="otp_count", share="otp_ratio")
+    return rolling_share(events, "auth_otp_fallback_ratio_v1", F.upper("authType").isin("O", "OTP"), n, least, on, on, F.col("authType").isNotNull(), True, flagged="otp_count", share="otp_ratio")
 
 
 def success_without_bio(events: DataFrame, n: int = 30, least: int = 10, on: float = 0.4) -> DataFrame:
@@ -117,11 +117,11 @@ def fmr_spread(events: DataFrame, n: int = 10, on: float = 15.0, off: float = 7.
 
 
 def biometric_replay(events: DataFrame, n: int = 50, on: int = 2) -> DataFrame:
-    """Events among the ``n`` before that carry the same five-field signature; the value counts the current one too."""
+    """Events among the ``n`` before that carry the same five-field signature, nulls as "0"; the value counts the current one too."""
     fields = ["fmrCount", "firCount", "fingerMatchScore", "faceMatchScore", "pidSize"]
     ok = ~((F.coalesce("fmrCount", F.lit("0")) == "0") & (F.coalesce("firCount", F.lit("0")) == "0"))
     d = prepare(events, ok, dedup=True, nudge=True)
-    d = d.withColumn("_sig", F.concat_ws("|", *[F.coalesce(c, F.lit("0" if i < 2 else "null")) for i, c in enumerate(fields)]))
+    d = d.withColumn("_sig", F.concat_ws("|", *[F.coalesce(c, F.lit("0")) for c in fields]))
     same = Window.partitionBy(KEY, "_sig").orderBy("rn").rangeBetween(-n, -1)
     d = d.withColumn("_sig2", F.col("_sig")).withColumn("_same", F.count(F.lit(1)).over(same)).drop("_sig")
     d = latch(d, F.col("_same") >= on, F.col("_same") < on)
@@ -151,8 +151,10 @@ def modality_concentration(events: DataFrame, chunk: int = 100, least: int = 30,
     d = d.withColumn("_c", F.row_number().over(ordered("_chunk", "bioType")))
     top = F.max(F.struct("_c", "bioType")).over(prefix(ordered("_chunk")))
     d = d.withColumn("_top", top).withColumn("_share", F.col("_top._c") / F.col("_n"))
-    d = latch(d, (F.col("_n") >= least) & (F.col("_share") > on), (F.col("_n") >= least) & (F.col("_share") <= on), "_chunk")
-    return emit(d, "bio_modality_concentration_v1", "Ratio", F.col("_share"), comments={"concentration_ratio": F.col("_share"), "dominant_type": F.col("_top.bioType"), "window_size": F.col("_n")})
+    found = latch(d, (F.col("_n") >= least) & (F.col("_share") > on), (F.col("_n") >= least) & (F.col("_share") <= on), "_chunk")
+    found = counts_at(found.select(KEY, TIME, "_chunk", "rn", "_share", "_top", "_n"), d, "bioType", "_chunk")
+    notes = {"concentration_ratio": F.col("_share"), "dominant_type": F.col("_top.bioType"), "counts": F.col("_counts"), "window_size": F.col("_n")}
+    return emit(found, "bio_modality_concentration_v1", "Ratio", F.col("_share"), comments=notes)
 
 
 def outliers(events: DataFrame, name: str, value: Column, label: str, least: int = 10, on: float = 3.0, mean: str = "mean") -> DataFrame:

@@ -6,27 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.parse import filled
-from keyloom.operators.kernels import TIME, emit, first_seen, prepare
+from keyloom.operators.kernels import KEY, TIE, TIME, emit, prepare
+from keyloom.operators.memory import remember
 
 
-def correlation_break(events: DataFrame, least: int = 10) -> DataFrame:
-    """A pair of AUA and device that the key never used, after more than ``least`` events; the value counts the pairs before."""
-    d = prepare(events, filled("aua") & filled("deviceCode"), dedup=True).withColumn("pair", F.concat_ws("|", "aua", "deviceCode"))
-    for name, c in (("aua", "aua"), ("device", "deviceCode"), ("pair", "pair")):
-        d = first_seen(d, F.col(c), name)
-    d = d.where(F.col("pair_new") & (F.col("rn") > least))
+def correlation_break(events: DataFrame, least: int = 10, most: int = 50) -> DataFrame:
+    """A pair of AUA and device that the key doesn't know, after more than ``least`` events; the value counts the pairs before.
+
+    A key remembers ``most`` AUAs, as many devices, and the square of that of pairs; what came in first is forgotten first.
+    """
+    pair = F.concat_ws("|", "aua", "deviceCode")
+    d = prepare(events, filled("aua") & filled("deviceCode"), dedup=True).select(KEY, TIME, TIE, "rn", "aua", "deviceCode", pair.alias("pair"))
+    d = remember(d, {"aua": most, "deviceCode": most, "pair": most * most}).where(~F.col("pair_seen.known") & (F.col("rn") > least))
+    d = d.withColumns({"aua_new": ~F.col("aua_seen.known"), "device_new": ~F.col("deviceCode_seen.known")})
     kind = (
         F.when(~F.col("aua_new") & F.col("device_new"), "AUA_DEVICE_SHIFT").when(F.col("aua_new") & ~F.col("device_new"), "DEVICE_AUA_SHIFT")
         .when(F.col("aua_new") & F.col("device_new"), "FULL_CORRELATION_BREAK").otherwise("NEW_PAIR_EXISTING_ENTITIES")
     )
     notes = {
-        "anomaly_type": kind, "triggering_aua": F.col("aua"), "triggering_device": F.col("deviceCode"), "total_known_pairs": F.col("pair_n") - 1,
-        "distinct_auas_known": F.col("aua_n") - F.col("aua_new").cast("int"), "distinct_devices_known": F.col("device_n") - F.col("device_new").cast("int"),
+        "anomaly_type": kind, "triggering_aua": F.col("aua"), "triggering_device": F.col("deviceCode"), "total_known_pairs": F.col("pair_seen.size"),
+        "distinct_auas_known": F.col("aua_seen.size"), "distinct_devices_known": F.col("deviceCode_seen.size"),
         "total_events_processed": F.col("rn"), "detection_timestamp": F.col(TIME),
     }
     known = lambda c: F.when(F.col(c), "new").otherwise("known")
     notes["explanation"] = F.format_string("%s AUA %s with %s device %s, a pair never used before", known("aua_new"), "aua", known("device_new"), "deviceCode")
-    return emit(d, "auth_aua_device_correlation_break", "Categorical", F.col("pair_n") - 1, comments=notes)
+    return emit(d, "auth_aua_device_correlation_break", "Categorical", F.col("pair_seen.size"), comments=notes)
 
 
 def capture_spoof(events: DataFrame, below_ms: int = 50) -> DataFrame:

@@ -119,6 +119,8 @@ def _closed_streaks(d: DataFrame, hit: Column, nudge: bool = False) -> DataFrame
         d = d.withColumn("_k", F.count_if("_hit").over(prefix(ordered("run"))))
         d = d.withColumn("_t", F.max(F.when(F.col("_hit"), F.col(TIME) - F.col("_k"))).over(prefix(ordered("run"))) + F.col("_k"))
         time = F.col("_t").alias("ts")
+    if "_sent" in d.columns:
+        time = F.coalesce("_sent", TIME).alias("ts")
     at = F.struct("rn", time, *[c for c in ("authCode", "modelId", "bioType") if c in d.columns])
     runs = d.groupBy(KEY, "run").agg(
         F.count_if("_hit").alias("n"), F.min(F.when(F.col("_hit"), at)).alias("first"), F.max(F.when(F.col("_hit"), at)).alias("final"),
@@ -135,16 +137,22 @@ def liveness_streak(events: DataFrame, mark: str = "300-3") -> DataFrame:
 
 
 def failure_streak(events: DataFrame) -> DataFrame:
-    """Length of a streak of failures over the first event of each authCode, when another result ends it."""
-    d = prepare(events, F.col("authResult").isNotNull())
-    d = d.withColumn("_first", F.row_number().over(ordered("authCode"))).where((F.col("_first") == 1) | F.col("authCode").isNull())
+    """Length of a streak of failures over the first event of each authCode, when another result ends it.
+
+    Events without an authCode, or with an empty one, don't count. The times of the first and the last failure are those at which
+    the source sent them, where it says so.
+    """
+    d = prepare(events, F.col("authResult").isNotNull() & (F.col("authCode") != ""))
+    d = d.withColumn("_first", F.row_number().over(ordered("authCode"))).where(F.col("_first") == 1)
+    if "kafkaSourceTimestamp" in d.columns:
+        d = d.withColumn("_sent", F.when(F.col("kafkaSourceTimestamp") >= 0, F.col("kafkaSourceTimestamp")))
     return emit(_closed_streaks(d.withColumn("rn", F.row_number().over(ordered())), is_no()), "auth_failure_streak", "Count", F.col("n"), end=F.col("final.ts"), comments=_streak_notes())
 
 
 def bio_liveness_streak(events: DataFrame) -> DataFrame:
     """Length of a streak of events with isLive set but not Y, when a Y ends it."""
     d = prepare(events, F.col("isLive").isNotNull())
-    notes = {"streak_count": F.col("n"), "bio_type": F.col("final.bioType"), "first_failure": F.col("first.ts"), "last_failure": F.col("final.ts"), "device_codes": F.col("devices")}
+    notes = {"streak_count": F.col("n"), "bio_type": F.coalesce("first.bioType", F.lit("UNKNOWN")), "first_failure": F.col("first.ts"), "last_failure": F.col("final.ts"), "device_codes": F.col("devices")}
     return emit(_closed_streaks(d, F.upper("isLive") != "Y"), "bio_liveness_failure_streak_v1", "Count", F.col("n"), F.col("first.ts"), F.col("final.ts"), notes)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from keyloom.functions.tables import broadcast_small, written
 from keyloom.operators import anchored, machines, ranges, rolling, rules, streaks
-from keyloom.operators.kernels import KEY, TIE, TIME, expire, unexpire
+from keyloom.operators.kernels import KEY, TIE, TIME, unexpire, with_life
 from keyloom.operators.slices import cut_slices
 
 
@@ -57,10 +57,10 @@ SIGNALS: dict[str, Signal] = {
 
 
 def compute(name: str, events: DataFrame, state_ttl: bool = False, **parameters) -> DataFrame:
-    """Alerts of one signal. With ``state_ttl``, a key idle for longer than the signal's time to live starts afresh."""
+    """Alerts of one signal. With ``state_ttl``, a key without events that touch the signal's state for its time to live starts afresh."""
     signal = SIGNALS[name]
     if state_ttl and signal.ttl_hours:
-        return unexpire(signal.make(expire(events, signal.ttl_hours * 3_600_000), **parameters))
+        return unexpire(signal.make(with_life(events, signal.ttl_hours * 3_600_000), **parameters))
     return signal.make(events, **parameters)
 
 

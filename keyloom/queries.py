@@ -67,9 +67,29 @@ def events(where: str = "true", nudge: bool = False, by: str = "entity_id") -> s
     return first + f", e AS (SELECT * REPLACE (rn + max(ts - rn) OVER ({W} ROWS UNBOUNDED PRECEDING) AS ts) FROM e0)"
 
 
-def out(name: str, value: str, source: str, where: str = "true", start: str = "0", end: str = "ts", ts: str = "ts") -> str:
+def lives(where: str, hours: int) -> str:
+    """``ev``: the eligible events of ``whole``, their keys split where none came for ``hours``."""
+    gaps = f"SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY entity_id ORDER BY ts, event_id) >= {hours * H}, false) AS idle FROM whole WHERE {where}"
+    return f"ev AS (SELECT * REPLACE (concat(entity_id, '/', sum(idle::INT) OVER (PARTITION BY entity_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)) AS entity_id) FROM ({gaps})), "
+
+
+def held(memory: str, value: str, most: int) -> str:
+    """A list of values and counts, in the order in which they came in, after one more."""
+    counted = f"list_transform({memory}, lambda x: {{'v': x.v, 'n': x.n + (x.v = {value})::INT}})"
+    grown = f"list_append({memory}, {{'v': {value}, 'n': 1::BIGINT}})"
+    return f"CASE WHEN len(list_filter({memory}, lambda x: x.v = {value})) > 0 THEN {counted} WHEN len({memory}) >= {most} THEN ({grown})[2:] ELSE {grown} END"
+
+
+def most_held(memory: str, by_name: bool) -> str:
+    """The most frequent value of such a list: of several, the first in the alphabet, or the one that came in first."""
+    best = f"list_transform(list_filter({memory}, lambda x: x.n = list_max(list_transform({memory}, lambda y: y.n))), lambda x: x.v)"
+    return f"list_min({best})" if by_name else f"({best})[1]"
+
+
+def out(name: str, value: str, source: str, where: str = "true", start: str = "0", end: str = "ts", ts: str = "ts", notes: dict[str, str] | None = None) -> str:
+    more = "".join(f"{sql} AS {n}, " for n, sql in (notes or {}).items())
     return (
-        f"SELECT entity_id, '{name}' AS feature_name, '{TYPE_OF[name]}' AS feature_type, CAST({ts} AS BIGINT) AS event_ts_ms, round(CAST({value} AS DOUBLE), 6) AS feature_value, "
+        f"SELECT {more}entity_id, '{name}' AS feature_name, '{TYPE_OF[name]}' AS feature_type, CAST({ts} AS BIGINT) AS event_ts_ms, round(CAST({value} AS DOUBLE), 6) AS feature_value, "
         f"CAST({start} AS BIGINT) AS window_start_ms, CAST({end} AS BIGINT) AS window_end_ms FROM {source} WHERE {where}"
     )
 
@@ -156,19 +176,29 @@ class Query:
     parameters: dict = field(default_factory=dict)
     event_id: str | None = None
     slices_of: int | None = None
+    #: fields of the view that this query changes, with their SQL in both engines
+    fields: dict[str, str] = field(default_factory=dict)
+    #: comments that come out as columns too
+    notes: tuple[str, ...] = ()
+    #: whether idle keys start afresh
+    ttl: bool = False
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = events_view(spark, sf_dir, SIGNALS[self.signal].kind, self.clock, self.key)
+        rows = events_view(spark, sf_dir, SIGNALS[self.signal].kind, self.clock, self.key, self.fields)
         if self.event_id:
             rows = rows.withColumn("eventId", F.col(self.event_id))
         if self.slices_of:
             found = compute_sliced(self.signal, rows, self.slices_of, **self.parameters)
         else:
-            found = compute(self.signal, rows, **self.parameters)
-        return found.select("entity_id", "feature_name", "feature_type", "event_ts_ms", F.round("feature_value", 6).alias("feature_value"), F.coalesce("window_start_ms", F.lit(0)).alias("window_start_ms"), "window_end_ms")
+            found = compute(self.signal, rows, self.ttl, **self.parameters)
+        notes = [F.get_json_object("comments", f"$.{n}").alias(n) for n in self.notes]
+        return found.select(*notes, "entity_id", "feature_name", "feature_type", "event_ts_ms", F.round("feature_value", 6).alias("feature_value"), F.coalesce("window_start_ms", F.lit(0)).alias("window_start_ms"), "window_end_ms")
 
     def oracle(self) -> str:
-        return f"WITH RECURSIVE {duckdb_view(SIGNALS[self.signal].kind, self.clock, self.key)}, {self.sql}"
+        view = duckdb_view(SIGNALS[self.signal].kind, self.clock, self.key, self.fields)
+        if not self.ttl:
+            return f"WITH RECURSIVE {view}, {self.sql}"
+        return f"WITH RECURSIVE {view.replace('ev AS (', 'whole AS (')}, {self.sql}"
 
 
 def _counts(size: int, slide: int, offset: int) -> str:
@@ -233,7 +263,7 @@ _SWITCH = events(filled("authType")) + f", c AS (SELECT *, (authType <> lag(auth
 
 _FMR = events("TRY_CAST(trim(fmrCount) AS INT) > 0") + f", d AS (SELECT *, stddev_pop(CAST(fmrCount AS INT)) OVER ({W} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS v FROM e) " + latched("auth_fmr_count_anomaly_v1", "v", "d", "rn >= 10 AND v >= 35", "rn >= 10 AND v < 25")
 
-_SIGNATURE = "concat_ws('|', coalesce(fmrCount, '0'), coalesce(firCount, '0'), coalesce(fingerMatchScore, 'null'), coalesce(faceMatchScore, 'null'), coalesce(pidSize, 'null'))"
+_SIGNATURE = "concat_ws('|', coalesce(fmrCount, '0'), coalesce(firCount, '0'), coalesce(fingerMatchScore, '0'), coalesce(faceMatchScore, '0'), coalesce(pidSize, '0'))"
 _REPLAY = events("NOT (coalesce(fmrCount, '0') = '0' AND coalesce(firCount, '0') = '0')", True) + f", h AS (SELECT *, {_SIGNATURE} AS sg FROM e), d AS (SELECT a.*, (SELECT count(*) FROM h b WHERE b.entity_id = a.entity_id AND b.sg = a.sg AND b.rn BETWEEN a.rn - 5000 AND a.rn - 1) AS c FROM h a) " + latched("auth_biometric_replay_v1", "c + 1", "d", "c >= 1", "c < 1")
 
 _ENTROPY = events() + f""", h AS (SELECT a.entity_id, a.rn, a.ts, b.hr, count(*) AS c FROM e a JOIN (SELECT *, {HOUR} AS hr FROM e) b ON b.entity_id = a.entity_id AND b.rn <= a.rn WHERE a.rn % 50 = 0 GROUP BY ALL),
@@ -306,7 +336,7 @@ SPECS: dict[str, Query] = {
     "auth_retry_session": Query("auth_retry_session", _RETRY),
     "auth_txn_oddhour_ratio": Query("auth_txn_oddhour_ratio", _ODD, "cal_ms"),
     "auth_liveness_streak": Query("auth_liveness_streak", streak("auth_liveness_failure_streak_live_v1", "contains(subErrorCode, '300-3')", nudge=True)),
-    "auth_failure_streak": Query("auth_failure_streak", streak("auth_failure_streak", NO, "authResult IS NOT NULL", pre=_AUTH_FIRST)),
+    "auth_failure_streak": Query("auth_failure_streak", streak("auth_failure_streak", NO, "authResult IS NOT NULL AND authCode <> ''", pre=_AUTH_FIRST)),
     "auth_bot_recovery_speed": Query("auth_bot_recovery_speed", _RECOVERY(3, 10_000), parameters={"least": 3, "within_ms": 10_000}),
     "auth_brute_force": Query("auth_brute_force", _BRUTE),
     "auth_ghost_uptime": Query("auth_ghost_uptime", _ghost(300_000, H), parameters={"gap_ms": 300_000, "least_ms": H}),
@@ -315,11 +345,11 @@ SPECS: dict[str, Query] = {
     "auth_rd_software_change": Query("auth_rd_software_change", _SOFTWARE),
     "auth_cross_border": Query("auth_cross_border", _BORDER, "cal_ms"),
     "auth_failure_rate": Query("auth_failure_rate", _RATE),
-    "auth_otp_fallback": Query("auth_otp_fallback", share("auth_otp_fallback_ratio_v1", "authType IN ('O', 'OTP')", 30, 10, 0.35, "authType IS NOT NULL"), parameters={"on": 0.35}),
+    "auth_otp_fallback": Query("auth_otp_fallback", share("auth_otp_fallback_ratio_v1", "upper(authType) IN ('O', 'OTP')", 30, 10, 0.35, "authType IS NOT NULL"), parameters={"on": 0.35}),
     # events whose id, here the device's, is that of the one before count once
     "auth_otp_fallback_repeats": Query(
         "auth_otp_fallback",
-        share("auth_otp_fallback_ratio_v1", "authType IN ('O', 'OTP')", 30, 10, 0.35, "authType IS NOT NULL").replace("FROM ev WHERE authType IS NOT NULL", f"FROM {_ONCE.format('authType IS NOT NULL')}"),
+        share("auth_otp_fallback_ratio_v1", "upper(authType) IN ('O', 'OTP')", 30, 10, 0.35, "authType IS NOT NULL").replace("FROM ev WHERE authType IS NOT NULL", f"FROM {_ONCE.format('authType IS NOT NULL')}"),
         parameters={"on": 0.35}, event_id="deviceCode",
     ),
     "auth_failure_rate_repeats": Query("auth_failure_rate", _RATE.replace("FROM ev WHERE authResult IS NOT NULL", f"FROM {_ONCE.format('authResult IS NOT NULL')}"), event_id="deviceCode"),
@@ -372,6 +402,79 @@ SPECS: dict[str, Query] = {
     "bio_deep_print_subversion": Query("bio_deep_print_subversion", events(nudge=True) + " " + out("bio_deep_print_subversion_v1", "1.0", "e", f"upper(deepPrintIsMatched) IN ('TRUE', 'Y') AND ({num('deepPrintFIRMatchScore')} < 5 OR deepPrintFIRMatchScore IS NULL)")),
 }
 
+_NONE = "[]::STRUCT(v VARCHAR, n BIGINT)[]"
+
+
+def _pairs_capped(most: int) -> str:
+    lists = {"a": ("aua", most), "d": ("deviceCode", most), "p": ("pair", most * most)}
+    step = ", ".join(f"{held(f'r.{k}', f'q.{c}', m)} AS {k}" for k, (c, m) in lists.items())
+    first = ", ".join(f"{held(_NONE, c, m)} AS {k}" for k, (c, m) in lists.items())
+    return events(f"{filled('aua')} AND {filled('deviceCode')}") + f""", q AS (SELECT *, concat(aua, '|', deviceCode) AS pair FROM e),
+r AS (SELECT entity_id, rn, ts, {first}, false AS hit, 0::BIGINT AS n, 0::BIGINT AS na, 0::BIGINT AS nd FROM q WHERE rn = 1
+ UNION ALL SELECT q.entity_id, q.rn, q.ts, {step}, q.rn > 10 AND len(list_filter(r.p, lambda x: x.v = q.pair)) = 0, len(r.p), len(r.a), len(r.d)
+ FROM r JOIN q ON q.entity_id = r.entity_id AND q.rn = r.rn + 1) """ + out("auth_aua_device_correlation_break", "n", "r", "hit", notes={"distinct_auas_known": "na::VARCHAR", "distinct_devices_known": "nd::VARCHAR"})
+
+
+def _places_capped() -> str:
+    q = "SELECT q.entity_id, q.rn, q.ts, q.place, {m} AS m, {prev} AS al FROM {src}"
+    first = q.format(m=held(_NONE, "q.place", 100), prev=_NONE, src="q WHERE q.rn = 1")
+    then = q.format(m=held("r.m", "q.place", 100), prev="r.al", src="r JOIN q ON q.entity_id = r.entity_id AND q.rn = r.rn + 1")
+    # the alerts of a place: its last time stands where memories have their counts
+    last = "(list_filter(al, lambda x: x.v = place))[1].n"
+    hit = f"(rn >= 15 AND top <> place AND coalesce(ts - {last} >= {H}, true))"
+    grown = "list_append(al, {'v': place, 'n': ts})"
+    said = f"CASE WHEN NOT {hit} THEN al WHEN {last} IS NOT NULL THEN list_transform(al, lambda x: {{'v': x.v, 'n': CASE WHEN x.v = place THEN ts ELSE x.n END}}) WHEN len(al) >= 100 THEN ({grown})[2:] ELSE {grown} END"
+    step = "SELECT entity_id, rn, ts, place, m, {said} AS al, {hit} AS hit, top, list_max(list_transform(m, lambda x: x.n)) / rn AS v, len(m) AS n FROM (SELECT *, {top} AS top FROM ({src}))"
+    made = [step.format(said=said, hit=hit, top=most_held("m", False), src=s) for s in (first, then)]
+    return events(filled("locationStateCode")) + f""", q AS (SELECT *, concat(locationStateCode, '|', coalesce(locationDistrictCode, 'UNKNOWN')) AS place FROM e),
+r AS ({made[0]} UNION ALL {made[1]}) """ + out("auth_geo_location_anchor_drift", "round(v, 4)", "r", "hit", notes={"anchor_location": "top", "total_distinct_locations": "n::VARCHAR"})
+
+
+def _fingerprint_capped() -> str:
+    fields = {"f0": "authType", "f1": "modelId", "f2": "deviceProviderId", "f3": "registeredDeviceSoftwareId"}
+    first = ", ".join(f"{held(_NONE, f'q.{c}', 30)} AS {k}" for k, c in fields.items())
+    step = ", ".join(f"{held(f'r.{k}', f'q.{c}', 30)} AS {k}" for k, c in fields.items())
+    score = " + ".join(f"(q.{c} = {most_held(f'r.{k}', True)})::INT" for k, c in fields.items())
+    return events() + f""", q AS (SELECT * FROM e), r AS (SELECT q.entity_id, q.rn, q.ts, {first}, 4::BIGINT AS v FROM q WHERE q.rn = 1
+ UNION ALL SELECT q.entity_id, q.rn, q.ts, {step}, {score} FROM r JOIN q ON q.entity_id = r.entity_id AND q.rn = r.rn + 1),
+y AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY rn) AS j FROM r WHERE v <= 2 AND rn > 20), """ + anchored(300_000, "y", True, rank="j") + ", k AS (SELECT *, row_number() OVER (PARTITION BY entity_id, anchor ORDER BY j) AS nth FROM g) " + out("auth_session_identity_fingerprint_break", "v", "k", "nth = 1")
+
+
+_OTP = "upper(authType) IN ('O', 'OTP')"
+_CODES = "authResult IS NOT NULL AND authCode IS NOT NULL AND authCode <> ''"
+_SIGNED = " || '|' || ".join(f"coalesce({c}, '0')" for c in ("fmrCount", "firCount", "fingerMatchScore", "faceMatchScore", "pidSize"))
+_REPLAY_50 = events("NOT (coalesce(fmrCount, '0') = '0' AND coalesce(firCount, '0') = '0')", True) + f", h AS (SELECT *, {_SIGNED} AS sg FROM e), d AS (SELECT a.*, (SELECT count(*) FROM h b WHERE b.entity_id = a.entity_id AND b.sg = a.sg AND b.rn BETWEEN a.rn - 50 AND a.rn - 1) AS c FROM h a) " + latched("auth_biometric_replay_v1", "c + 1", "d", "c >= 2", "c < 2")
+_LIFE = lives(YES, 48) + share("auth_success_without_bio_ratio_v1", "coalesce(TRY_CAST(fmrCount AS INT), 0) = 0 AND coalesce(TRY_CAST(firCount AS INT), 0) = 0 AND (faceUsed IS NULL OR faceUsed = 'N')", 30, 10, 0.2)
+_SPRAY = diverse("auth_multi_error_spray_v1", "subErrorCode", H, 5, filled("subErrorCode", True), True).replace("SELECT entity_id, 'auth_multi", "SELECT '6' AS threshold, v::VARCHAR AS distinct_errors_1h, entity_id, 'auth_multi")
+_CERT_NOTES = _CERT.replace("SELECT entity_id, 'auth_cert", f"SELECT 'Approaching expiration' AS alert, printf('%.1f', lft / {D}) AS days_remaining, entity_id, 'auth_cert")
+_KINDS = events("isLive IS NOT NULL") + f""", h AS (SELECT *, upper(isLive) <> 'Y' AS hit FROM e), i AS (SELECT *, count(*) FILTER (NOT hit) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS run FROM h),
+j AS (SELECT entity_id, run, count(*) FILTER (hit) AS n, max(ts) FILTER (NOT hit) AS ts, min(ts) FILTER (hit) AS f, max(ts) FILTER (hit) AS l, coalesce(arg_min(coalesce(bioType, 'UNKNOWN'), rn) FILTER (hit), '') AS bio_type FROM i GROUP BY ALL) """ + out("bio_liveness_failure_streak_v1", "n", "j", "n > 0 AND ts IS NOT NULL", "f", "l", notes={"bio_type": "bio_type"})
+_COUNTS = """(SELECT '{' || string_agg('"' || t || '":' || m, ',' ORDER BY t) || '}' FROM (SELECT b.bioType AS t, count(*) AS m FROM c b WHERE b.entity_id = k.entity_id AND b.ch = k.ch AND b.rn <= k.rn GROUP BY ALL))"""
+_MODALITY_NOTES = _MODALITY.replace("SELECT *, max(c)", f"SELECT k.*, {_COUNTS} AS counts, max(c)").replace("SELECT entity_id, 'bio_modality", "SELECT counts, entity_id, 'bio_modality")
+
+# the reference's settings on views that make them fire, with the cases where a plainer reading goes wrong
+SPECS |= {
+    "auth_otp_fallback_any_case": Query("auth_otp_fallback", share("auth_otp_fallback_ratio_v1", _OTP, 30, 10, 0.5, "authType IS NOT NULL"), fields={"authType": "CASE k%6 WHEN 0 THEN 'o' WHEN 1 THEN 'OTP' WHEN 2 THEN 'otp' WHEN 3 THEN NULL WHEN 4 THEN 'P' ELSE 'F' END"}),
+    "auth_biometric_replay_nulls": Query("auth_biometric_replay", _REPLAY_50, fields={
+        "fmrCount": "CASE WHEN k%3=0 THEN NULL ELSE '1' END", "firCount": "CASE WHEN event_id%2=0 THEN '2' ELSE '0' END", "fingerMatchScore": "CASE k%3 WHEN 0 THEN NULL WHEN 1 THEN '0' ELSE CAST(event_id AS STRING) END",
+        "faceMatchScore": "CASE WHEN event_id%5=0 THEN NULL ELSE '0' END", "pidSize": "CASE WHEN k%2=0 THEN NULL ELSE CAST(event_id%13 AS STRING) END"}),
+    "auth_failure_streak_no_code": Query("auth_failure_streak", streak("auth_failure_streak", NO, _CODES, pre=_AUTH_FIRST), fields={"authCode": "CASE event_id%7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('C',event_id div 2) END"}),
+    "auth_success_without_bio_life": Query("auth_success_without_bio", _LIFE.replace("SELECT entity_id, 'auth", "SELECT split_part(entity_id, '/', 1) AS entity_id, 'auth"), "cal_ms", "user_id", {"on": 0.2}, ttl=True, fields={"fmrCount": "CASE WHEN k%3=0 THEN '0' ELSE '1' END", "firCount": "'0'"}),
+    "auth_error_spray_notes": Query("auth_error_spray", _SPRAY, parameters={"on": 6}, notes=("threshold", "distinct_errors_1h")),
+    "auth_cert_expiry_notes": Query("auth_cert_expiry", _CERT_NOTES, "cal_ms", notes=("days_remaining", "alert")),
+    "bio_liveness_streak_notes": Query("bio_liveness_streak", _KINDS, notes=("bio_type",), fields={"bioType": "CASE k%4 WHEN 0 THEN 'FINGER' WHEN 1 THEN 'FACE' WHEN 2 THEN 'IRIS' END"}),
+    "bio_modality_concentration_notes": Query("bio_modality_concentration", _MODALITY_NOTES, parameters={"on": 0.45}, notes=("counts",)),
+    "bio_image_size_replay_own_field": Query("bio_image_size_replay", repeated("bio_exact_image_size_replay_v1", "imageSize", 4, f"{filled('imageSize', True)} AND trim(imageSize) <> '0'"), fields={"imageSize": "CASE WHEN k%11=0 THEN NULL WHEN k%11=1 THEN '0' ELSE CAST(1000 + event_id div 80 AS STRING) END"}),
+    "bio_uncanny_scores_own_field": Query("bio_uncanny_scores", repeated("bio_uncanny_valley_score_v1", "faceLivenessScore", 5, filled("faceLivenessScore", True)), fields={"faceLivenessScore": "CASE WHEN k%11=0 THEN ' ' ELSE CAST(event_id div 90 AS STRING) END"}),
+    "auth_packet_replay_all_fields": Query("auth_packet_replay", repeated("auth_packet_replay_v1", "concat_ws('|', " + ", ".join(f"CASE WHEN {filled(c)} THEN {c} ELSE 'null' END" for c in ("aua", "sa", "authType", "errorCode", "deviceCode", "pidSize", "fmrCount")) + ")", 3),
+        fields={c: f"CASE WHEN k%9=0 THEN NULL ELSE concat('{c}',event_id div 200) END" for c in ("aua", "authType", "deviceCode")} | {"sa": "'S'", "errorCode": "CASE WHEN k%7=0 THEN ' ' END", "pidSize": "'9'", "fmrCount": "'1'"}),
+    "auth_correlation_break_capped": Query("auth_correlation_break", _pairs_capped(20), parameters={"most": 20}, notes=("distinct_auas_known", "distinct_devices_known"), fields={"aua": "concat('A', event_id * 7 % 83)", "deviceCode": "concat('D', event_id * 11 % 61)"}),
+    "auth_location_anchor_capped": Query("auth_location_anchor", _places_capped(), notes=("anchor_location", "total_distinct_locations"), fields={"locationDistrictCode": "CASE WHEN k<40 THEN 'home' WHEN k=99 THEN NULL ELSE CAST(event_id * 13 % 131 AS STRING) END"}),
+    "auth_fingerprint_break_capped": Query("auth_fingerprint_break", _fingerprint_capped(), fields={
+        "authType": "CASE WHEN k<30 THEN 'P' ELSE concat('T', event_id * 7 % 71) END", "modelId": "CASE WHEN k<40 THEN 'M' ELSE concat('M', event_id * 11 % 83) END",
+        "deviceProviderId": "CASE WHEN k>=60 THEN 'V' ELSE concat('V', event_id * 5 % 47) END", "registeredDeviceSoftwareId": "concat('RD', k%2)"}),
+}
+
 # the same signals where one key has half of all events and is cut into slices
 for _name, _parameters in (("auth_velocity_spike", {"width_ms": 600_000}), ("auth_otp_fallback", {"on": 0.35}), ("auth_duration_outlier", {}), ("auth_geo_drift", {})):
     SPECS[f"{_name}_hot_key"] = Query(_name, SPECS[_name].sql, key="half", parameters=_parameters, slices_of=700)

@@ -36,24 +36,24 @@ BIO_FIELDS = {
 FIELDS = {"txn": TXN_FIELDS, "bio": BIO_FIELDS}
 
 
-def _select(kind: str, clock: str, key: str) -> str:
-    fields = ", ".join(f"{sql} AS {name}" for name, sql in FIELDS[kind].items())
+def _select(kind: str, clock: str, key: str, changed: dict[str, str]) -> str:
+    fields = ", ".join(f"{sql} AS {name}" for name, sql in (FIELDS[kind] | changed).items())
     return f"SELECT event_id, concat('E',event_id) AS eventId, {_KEYS[key]} AS entity_id, {_CLOCKS[clock]} AS ts, {fields} FROM b"
 
 
-def events_view(spark: SparkSession, sf_dir: str, kind: str = "txn", clock: str = "ms", key: str = "optId") -> DataFrame:
-    """The events of ``sf_dir`` as ``kind``; Catalyst reads only the columns that a signal needs."""
+def events_view(spark: SparkSession, sf_dir: str, kind: str = "txn", clock: str = "ms", key: str = "optId", changed: dict[str, str] | None = None) -> DataFrame:
+    """The events of ``sf_dir`` as ``kind``, some fields ``changed``; Catalyst reads only the columns that a signal needs."""
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
     base = raw.select(
         "event_id", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("int").alias("k"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ms0")
     )
-    named = {"eventId": "concat('E',event_id)", "entity_id": _KEYS[key], "ts": _CLOCKS[clock], **FIELDS[kind]}
+    named = {"eventId": "concat('E',event_id)", "entity_id": _KEYS[key], "ts": _CLOCKS[clock], **FIELDS[kind], **(changed or {})}
     return base.selectExpr("event_id", *[f"{sql} AS {name}" for name, sql in named.items()])
 
 
-def duckdb_view(kind: str = "txn", clock: str = "ms", key: str = "optId") -> str:
+def duckdb_view(kind: str = "txn", clock: str = "ms", key: str = "optId", changed: dict[str, str] | None = None) -> str:
     """Two common table expressions, ``b`` and ``ev``, with the same rows for DuckDB."""
-    sql = f"b AS ({_BASE.format(events='events')}), ev AS ({_select(kind, clock, key)})"
+    sql = f"b AS ({_BASE.format(events='events')}), ev AS ({_select(kind, clock, key, changed or {})})"
     for spark_sql, duck in (("get_json_object", "json_extract_string"), ("unix_millis(CAST(ts AS TIMESTAMP))", "epoch_us(ts)//1000"), (" div ", " // "), ("AS STRING", "AS VARCHAR")):
         sql = sql.replace(spark_sql, duck)
     return sql
