@@ -39,13 +39,13 @@ def enrich(alerts: DataFrame) -> DataFrame:
     )
 
 
-def feature_rows(enriched: DataFrame) -> DataFrame:
-    """The seven columns of the feature table; comments without line ends."""
-    return enriched.select("entity_id", "feature_id", "feature_name", "feature_version", "feature_value", "timestamp", F.regexp_replace("comments", r"[\r\n]+", " ").alias("comments"))
+def feature_rows(enriched: DataFrame, *more: F.Column) -> DataFrame:
+    """The seven columns of the feature table, and ``more``; comments without line ends."""
+    return enriched.select("entity_id", "feature_id", "feature_name", "feature_version", "feature_value", "timestamp", F.regexp_replace("comments", r"[\r\n]+", " ").alias("comments"), *more)
 
 
-def device_rows(changes: DataFrame) -> DataFrame:
-    """The seven columns of the device-change table."""
+def device_rows(changes: DataFrame, *more: F.Column) -> DataFrame:
+    """The seven columns of the device-change table, and ``more``."""
     return changes.select(
-        "opt_id", ist_time(F.col("previous_devicecode_last_ms")).alias("previous_devicecode_last_ts"), "previous_devicecode_txns", "previous_devicecode", "current_devicecode", "current_auth_type", ist_time(F.col("ets_ms")).alias("ets")
+        "opt_id", ist_time(F.col("previous_devicecode_last_ms")).alias("previous_devicecode_last_ts"), "previous_devicecode_txns", "previous_devicecode", "current_devicecode", "current_auth_type", ist_time(F.col("ets_ms")).alias("ets"), *more
     )

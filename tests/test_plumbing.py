@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from keyloom.operators import streaks
@@ -32,7 +33,33 @@ def test_decode_routes_and_quarantines(spark, tmp_path):
     assert own["1"]["ts"] == 1704067200000 and own["3"]["ts"] == own["3"]["record_ms"] and set(own) == {"1", "3"}
     assert [r["eventId"] for r in readers.unreadable(readers.decode(records, "TXN"), "TXN").collect()] == ["3"]
     assert [(r["entity_id"], r["ts"]) for r in bio.collect()] == [("B", 1704067200123)]
-    assert sorted(r["value"] for r in readers.quarantine(records).collect()) == sorted([lines[2], lines[3]])
+    for kind in ("TXN", "BIO"):
+        assert {(r["value"], r["reason"]) for r in readers.quarantine(records, kind).collect()} == {(lines[2], "bad_json"), (lines[3], "unknown_topic")}
+
+
+def test_every_record_has_a_reason(spark):
+    """What is decoded and what is not add up to the input, fault by fault."""
+    faults = {
+        "ok": [{"topic": "TXN", "optId": "A", "reqDateTime": "2024-01-01T05:30:00"}, {"topic": "TXN", "optId": "A", "kafkaSourceTimestamp": "x"}], "no_key": [{"topic": "TXN"}, {"topic": "TXN", "optId": " "}],
+        "other_kind": [{"topic": "BIO", "optId": "A"}], "unknown_topic": [{"topic": "txn"}, {"a": 1}, {}], "bad_json": ["{bad", "", None, "[1", "text"],
+    }
+    rows = [(json.dumps(v) if isinstance(v, dict) else v, 1.7e9) for values in faults.values() for v in values]
+    records = spark.createDataFrame([(v, t) for v, t in rows], "value string, t double").select("value", F.timestamp_seconds("t").alias("timestamp"))
+    timeless = records.limit(1).withColumn("value", F.lit('{"topic": "TXN", "optId": "A", "reqDateTime": "soon"}')).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    tagged = readers.tagged(records.unionByName(timeless), "TXN")
+    assert {r["reason"]: r["count"] for r in tagged.groupBy("reason").count().collect()} == {k: len(v) for k, v in faults.items()} | {"bad_time": 1}
+    everything = records.unionByName(timeless)
+    parts = [readers.decode(everything, k).count() for k in ("TXN", "BIO")]
+    assert parts[0] == 2 and parts[1] == 1 and readers.quarantine(everything, "TXN").count() == len(rows) + 1 - sum(parts)
+
+
+def test_repeats_at_the_source(spark):
+    rows = [("K", "a", 2), ("K", "a", 1), ("L", "a", 3), ("K", "b", 4), *[("K", x, 5) for x in (None, "", " ", None, "")]]
+    events = spark.createDataFrame(rows, "entity_id string, eventId string, ts long")
+    got = [tuple(r) for r in readers.distinct_events(events).collect()]
+    assert sorted(got, key=str) == sorted(rows[1:], key=str)
+    known = spark.createDataFrame([("K", "b", 0), ("K", "", 0)], events.schema)
+    assert len(readers.distinct_events(events, known).collect()) == len(got) - 1
 
 
 def test_envelope(spark):
@@ -56,23 +83,64 @@ def test_upsert_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "features")
     rows = feature_rows(enrich(compute("auth_geo_drift", events_view(spark, SF))))
     n = rows.select(*FEATURE_KEYS).distinct().count()
-    sinks.upsert(rows, path, FEATURE_KEYS, ["feature_name"], 4)
-    sinks.upsert(rows, path, FEATURE_KEYS, ["feature_name"], 4)
+    sinks.upsert(rows, path, FEATURE_KEYS, ["feature_name"], "entity_id", 4)
+    sinks.upsert(rows, path, FEATURE_KEYS, ["feature_name"], "entity_id", 4)
     table = sinks.read_table(spark, path)
     assert table.count() == n
     changed = rows.limit(3).withColumn("feature_value", F.lit(-1.0))
     extra = rows.limit(1).withColumn("entity_id", F.lit("new"))
-    sinks.upsert(changed.unionByName(extra), path, FEATURE_KEYS, ["feature_name"], 4)
+    sinks.upsert(changed.unionByName(extra), path, FEATURE_KEYS, ["feature_name"], "entity_id", 4)
     table = sinks.read_table(spark, path)
     assert table.count() == n + 1 and table.where("feature_value = -1").count() == changed.select(*FEATURE_KEYS).distinct().count()
 
 
+@pytest.mark.parametrize("stop", ["merged", "swap", "half"])
+def test_stopped_writer(spark, tmp_path, monkeypatch, stop):
+    """A writer that is stopped between two steps, and started again, ends as one that ran through."""
+    path, keys = str(tmp_path / "t"), ["k"]
+    schema = "k long, e string, v long"
+    first = spark.createDataFrame([(i, f"e{i % 5}", 0) for i in range(20)], schema)
+    sinks.upsert(first, path, keys, [], "e", 4)
+    second = spark.createDataFrame([(i, f"e{i % 5}", 1) for i in range(15, 25)], schema)
+    whole = sinks.swap
+
+    def stopped(done, path, cols):
+        if stop == "half":
+            whole(done.where("_bucket = 0"), path, cols)
+        raise RuntimeError("stopped")
+
+    if stop == "merged":
+        monkeypatch.setattr(sinks, "_at", lambda s, p, own=sinks._at: (_ for _ in ()).throw(RuntimeError("stopped")) if p.endswith("_READY") else own(s, p))
+    else:
+        monkeypatch.setattr(sinks, "swap", stopped)
+    with pytest.raises(RuntimeError):
+        sinks.upsert(second, path, keys, [], "e", 4)
+    monkeypatch.undo()
+    third = spark.createDataFrame([(30, "e0", 3)], schema)
+    sinks.upsert(third, path, keys, [], "e", 4)
+    if stop == "merged":
+        # nothing of it was ready, so its source runs again
+        assert sinks.read_table(spark, path).count() == 21
+        sinks.upsert(second, path, keys, [], "e", 4)
+    got = {tuple(r) for r in sinks.read_table(spark, path).collect()}
+    assert got == {(i, f"e{i % 5}", int(i >= 15)) for i in range(25)} | {(30, "e0", 3)}
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_conflict_keeps_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.upsert(spark.createDataFrame([(1, "e", "text")], "k long, e string, v string"), path, ["k"], [], "e", 1)
+    with pytest.raises(Exception):
+        sinks.upsert(spark.createDataFrame([(2, "e", 1.5)], "k long, e string, v double"), path, ["k"], [], "e", 1)
+    assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [(1, "e", "text")]
+
+
 def test_stream_into_table(spark, tmp_path):
     rows = feature_rows(enrich(compute("auth_provider_switch", events_view(spark, SF))))
     rows.coalesce(2).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     path = str(tmp_path / "out")
-    sinks.start(stream, lambda batch: sinks.upsert(batch, path, FEATURE_KEYS, ["feature_name"], 2), str(tmp_path / "ck"), None).awaitTermination()
+    sinks.start(stream, lambda batch, _: sinks.upsert(batch, path, FEATURE_KEYS, ["feature_name"], "entity_id", 2), str(tmp_path / "ck"), None).awaitTermination()
     assert sinks.read_table(spark, path).count() == rows.select(*FEATURE_KEYS).distinct().count()
 
 

@@ -1,4 +1,6 @@
-"""Batch, machine and stream say the same."""
+"""The job says what the batch says: after late events, repeats, faults, replays and stops."""
+
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,14 +8,14 @@ from pyspark.sql import functions as F
 from keyloom.operators.streaks import device_changes
 from keyloom.plans.catalog import SIGNALS, compute, compute_all
 from keyloom.plans.envelope import device_rows, enrich, feature_rows
+from keyloom.sources import sinks
 from keyloom.sources.fixtures import events_view
-from keyloom.sources.readers import decode, json_files, keyed
+from keyloom.sources.readers import decode, distinct_events, json_files, keyed
 from keyloom.sources.sinks import read_table
 from keyloom.streaming.job import Job
-from keyloom.streaming.machines import MACHINES, Bundle
-from keyloom.streaming.processor import late_rows, stream_alerts
 
 SF = "/root/testdata/sf0.001"
+NAMES = ["auth_velocity_spike", "auth_geo_drift", "auth_provider_switch", "auth_otp_fallback", "auth_retry_session", "auth_txn_counts", "auth_location_anchor"]
 
 
 def as_rows(df):
@@ -22,73 +24,121 @@ def as_rows(df):
 
 
 @pytest.fixture(scope="module")
-def events(spark):
-    return events_view(spark, SF).withColumn("ts", F.col("ts") - F.pmod("ts", F.lit(5000)))
-
-
-@pytest.fixture(scope="module")
-def views(spark, events):
-    """Both kinds on both clocks, and their rows in order."""
-    found = {(k, c): events_view(spark, SF, k, c) for k in ("txn", "bio") for c in ("ms", "cal_ms")} | {("txn", "ms"): events}
-    return {k: (v, [r.asDict() for r in v.orderBy("entity_id", "ts", "event_id").collect()]) for k, v in found.items()}
-
-
-def test_every_signal_has_a_machine():
-    assert set(SIGNALS) - set(MACHINES) == {"auth_txn_counts"}
-
-
-@pytest.mark.parametrize("name", sorted(MACHINES))
-@pytest.mark.parametrize("clock", ["ms", "cal_ms"])
-def test_machine_equals_batch(views, name, clock):
-    view, rows = views[SIGNALS[name].kind, clock]
-    found, bundles = [], {}
-    for e in rows:
-        bundle = bundles.setdefault(e["entity_id"], Bundle([name]))
-        found += [(e["entity_id"], n, ts, s or 0, v) for n, v, ts, s in bundle.step(e)]
-    want = sorted((*r[:3], r[4], r[3]) for r in as_rows(compute(name, view)))
-    assert [r[:4] for r in sorted(found)] == [r[:4] for r in want]
-    assert [r[4] for r in sorted(found)] == pytest.approx([r[4] for r in want], abs=1e-6)
-
-
-def test_state_survives(spark, events):
-    """A bundle whose state goes through a store between any two events gives the same alerts."""
-    rows = [r.asDict() for r in events.where("entity_id = 'OP3'").orderBy("ts", "event_id").collect()]
-    names = [n for n in sorted(MACHINES) if SIGNALS[n].kind == "txn"]
-    whole, parts, state = Bundle(names), [], {}
-    expected = [a for e in rows for a in whole.step(e)]
-    for e in rows:
-        own = Bundle(names)
-        own.restore(state)
-        parts += list(own.step(e))
-        state = own.state()
-    assert parts == expected and expected
-
-
-def test_stream_equals_batch(spark, events, tmp_path):
-    names = ["auth_enrolment_hammering", "auth_geo_drift", "auth_retry_session", "auth_failure_rate", "auth_txn_gaps"]
-    kept = events.withColumn("event_time", F.timestamp_millis("ts"))
-    bounds = [r[0] for r in kept.select(F.expr("percentile(ts, array(0.3, 0.6, 1.0))")).collect()][0]
-    low = -1
-    for i, high in enumerate(bounds):
-        # shuffled within a batch; a last event far ahead moves the watermark past all others
-        part = kept.where((F.col("ts") > low) & (F.col("ts") <= high)).orderBy(F.rand(1)).coalesce(1)
-        if i == len(bounds) - 1:
-            far = kept.limit(1).withColumns({"entity_id": F.lit("far"), "ts": F.col("ts") + 10**10, "event_time": F.timestamp_millis(F.col("ts") + 10**10)})
-            part.write.parquet(str(tmp_path / "in" / f"b{i}"))
-            far.coalesce(1).write.parquet(str(tmp_path / "in" / f"b{i + 1}"))
-        else:
-            part.write.parquet(str(tmp_path / "in" / f"b{i}"))
-        low = high
-    schema = spark.read.parquet(str(tmp_path / "in" / "b0")).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")).withWatermark("event_time", "60 seconds")
-    query = stream_alerts(stream, names).writeStream.format("memory").queryName("alerts").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).outputMode("append").start()
-    query.awaitTermination()
-    got = as_rows(spark.table("alerts").where("entity_id <> 'far'"))
-    want = sorted(x for n in names for x in as_rows(compute(n, events)))
-    assert got == want
-
-
-def test_counts_on_a_stream(spark, events, tmp_path):
+def lines(spark):
+    view = events_view(spark, SF).where("entity_id IN ('OP1', 'OP2', 'OP3')")
+    sent = view.select(
+        F.lit("TXN").alias("topic"), F.col("entity_id").alias("optId"), "eventId", F.date_format(F.timestamp_millis(F.col("ts") + 19_800_000), "yyyy-MM-dd'T'HH:mm:ss").alias("reqDateTime"),
+        "authResult", "authType", "deviceCode", "deviceProviderId", "locationStateCode", "locationDistrictCode",
+    ).orderBy("reqDateTime", "eventId")
+    return [r["value"] for r in sent.select(F.to_json(F.struct("*")).alias("value")).collect()]
+
+
+class Files:
+    """A folder that records come into, and the job over it."""
+
+    def __init__(self, spark, root, names=NAMES, **options):
+        self.spark, self.root, self.n, self.names, self.options, self.told = spark, root, 0, names, options, []
+        (root / "in").mkdir()
+
+    def come(self, lines):
+        self.n += 1
+        (self.root / "in" / f"{self.n:03d}.json").write_text("\n".join(lines))
+        self.run()
+
+    def run(self):
+        Job(self.spark, {"TXN": json_files(self.spark, str(self.root / "in"), stream=True)}, f"{self.root}/out", self.names, interval=None, also=self.told.append, **self.options).run(f"{self.root}/ck")
+
+    def features(self):
+        return read_table(self.spark, f"{self.root}/out/features")
+
+    def batch(self):
+        return distinct_events(keyed(decode(json_files(self.spark, f"{self.root}/in"), "TXN"), "TXN"))
+
+    def same(self):
+        """The tables hold what the batch says of all events, with the same comments, and nothing else."""
+        columns = ["entity_id", "feature_id", "timestamp", "feature_value", "comments"]
+        want = feature_rows(enrich(compute_all({"txn": self.batch()}, self.names, state_ttl=True)))
+        want = sinks.one_a_key(want, ["feature_id", "entity_id", "timestamp"])
+        got = self.features()
+        assert sorted(map(tuple, got.select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect())) != []
+        want = device_rows(device_changes(self.batch()))
+        if rows := sorted(map(tuple, want.select(sorted(want.columns)).collect())):
+            assert sorted(map(tuple, read_table(self.spark, f"{self.root}/out/devices").select(sorted(want.columns)).collect())) == rows
+
+
+def test_job_equals_batch(spark, tmp_path, lines):
+    """In three parts, with late events, repeats of ids in and across batches, and records that are no events."""
+    files = Files(spark, tmp_path)
+    late, rest = lines[40:60:3], [x for i, x in enumerate(lines) if not (40 <= i < 60 and (i - 40) % 3 == 0)]
+    third = len(rest) // 3
+    files.come(rest[:third] + rest[10:13] + ["{bad", '{"topic": "TXN"}', '{"topic": "other", "optId": "K"}'])
+    files.come(rest[third : 2 * third] + rest[5:8])
+    files.come(late + rest[2 * third :])
+    files.same()
+    bad = spark.read.parquet(f"{tmp_path}/out/quarantine/TXN").collect()
+    assert sorted(r["reason"] for r in bad) == ["bad_json", "no_key", "unknown_topic"]
+    assert files.told and Job(spark, {"TXN": None}, f"{tmp_path}/out").archive("TXN").count() == files.batch().count() == len(lines)
+
+
+def test_events_without_an_id_all_count(spark, tmp_path):
+    one = {"topic": "TXN", "optId": "K", "authResult": "N", "reqDateTime": "2024-01-01T10:00:00"}
+    files = Files(spark, tmp_path, ["auth_txn_counts", "auth_velocity_spike"])
+    files.come([json.dumps(one | ({"eventId": ""} if i % 2 else {})) for i in range(5)])
+    files.come([json.dumps(one)] * 2)
+    assert [r["feature_value"] for r in files.features().where("feature_name = 'auth_txn_failure_count'").collect()] == [7.0]
+    files.same()
+
+
+def test_late_event_takes_an_alert_back(spark, tmp_path):
+    """Failures before a success are a session; a success that comes late, in their midst, ends it earlier."""
+    at = lambda s, result: json.dumps({"topic": "TXN", "optId": "K", "eventId": f"{s}{result}", "authResult": result, "reqDateTime": f"2024-01-01T10:00:{s:02d}"})
+    files = Files(spark, tmp_path, ["auth_retry_session"])
+    files.come([at(1, "N"), at(5, "N"), at(20, "Y"), at(50, "N")])
+    before = {(r["feature_name"], r["feature_value"]) for r in files.features().collect()}
+    files.come([at(10, "Y")])
+    after = {(r["feature_name"], r["feature_value"]) for r in files.features().collect()}
+    assert before == {("auth_retry_attempts", 2.0), ("auth_retry_duration_sec", 19.0)} and after == {("auth_retry_attempts", 2.0), ("auth_retry_duration_sec", 9.0)}
+    files.same()
+
+
+def test_replay_and_stop(spark, tmp_path, lines, monkeypatch):
+    """A batch that runs twice, and one that stops in the midst of its writing, end as one run."""
+    files = Files(spark, tmp_path)
+    half = len(lines) // 2
+    files.come(lines[:half])
+    whole = sinks.swap
+    monkeypatch.setattr(sinks, "swap", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(Exception):
+        files.come(lines[half:])
+    monkeypatch.setattr(sinks, "swap", whole)
+    files.run()
+    files.same()
+    job = Job(spark, {"TXN": None}, f"{tmp_path}/out", NAMES)
+    step = job.step("TXN", "again")
+    records = spark.createDataFrame([(x,) for x in lines[half - 5 : half + 5]], "value string").withColumn("timestamp", F.current_timestamp())
+    for _ in range(2):
+        step(records, 7)
+    files.same()
+    n = job.archive("TXN").count()
+    step(records, 7)
+    assert job.archive("TXN").count() == n == len(lines)
+
+
+def test_horizon_bounds_what_is_read(spark, tmp_path):
+    """With a horizon, a micro-batch reads the days of it alone, and only the buckets of its keys."""
+    at = lambda day, i: json.dumps({"topic": "TXN", "optId": f"K{i % 3}", "eventId": f"{day}-{i}", "authResult": "N", "reqDateTime": f"2024-01-{day:02d}T10:00:{i:02d}"})
+    files = Files(spark, tmp_path, ["auth_txn_gaps"], horizon_days=1)
+    for day in (1, 5, 9):
+        files.come([at(day, i) for i in range(9)])
+    # each day's first event of a key knows of none before it
+    assert files.features().where("feature_name = 'auth_txn_gap_sec'").count() == 18
+    archive = Job(spark, {"TXN": None}, f"{tmp_path}/out").archive("TXN")
+    plan = archive.where((F.col("day") >= 19_700) & F.col("_bucket").isin([3]))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "_bucket" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_counts_on_a_stream(spark, tmp_path):
+    events = events_view(spark, SF).withColumn("ts", F.col("ts") - F.pmod("ts", F.lit(5000)))
     timed = events.withColumn("event_time", F.timestamp_millis("ts"))
     timed.orderBy("ts").coalesce(1).write.parquet(str(tmp_path / "in"))
     far = timed.limit(1).withColumns({"entity_id": F.lit("far"), "ts": F.col("ts") + 10**10, "event_time": F.timestamp_millis(F.col("ts") + 10**10)})
@@ -97,55 +147,3 @@ def test_counts_on_a_stream(spark, events, tmp_path):
     query = SIGNALS["auth_txn_counts"].make(stream).writeStream.format("memory").queryName("counted").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert as_rows(spark.table("counted").where("entity_id <> 'far'")) == as_rows(compute("auth_txn_counts", events))
-
-
-def test_silent_keys_give_their_state_back(spark, events, tmp_path):
-    """After the watermark has passed a signal's time to live, a key's state is gone, and an old event doesn't count."""
-    base = events.where("entity_id = 'OP1'").orderBy("ts").limit(9).withColumn("authType", F.lit("O"))
-    far = lambda h: base.limit(1).withColumns({"entity_id": F.lit(f"far{h}"), "ts": F.col("ts") + h * 3_600_000})
-    again = base.withColumns({"ts": F.col("ts") + 60 * 3_600_000, "event_id": F.col("event_id") + 10**6, "eventId": F.concat(F.lit("A"), "eventId")})
-    for i, part in enumerate((base, far(55), far(56), again, far(200))):
-        part.withColumn("event_time", F.timestamp_millis("ts")).coalesce(1).write.parquet(str(tmp_path / "in" / f"b{i}"))
-    schema = spark.read.parquet(str(tmp_path / "in" / "b0")).schema
-    for ttl, want in ((True, 0), (False, 1)):
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")).withWatermark("event_time", "60 seconds")
-        found = stream_alerts(stream, ["auth_otp_fallback"], state_ttl=ttl)
-        query = found.writeStream.format("memory").queryName(f"ttl_{ttl}").option("checkpointLocation", str(tmp_path / f"ck{ttl}")).trigger(availableNow=True).outputMode("append").start()
-        query.awaitTermination()
-        assert spark.table(f"ttl_{ttl}").where("entity_id = 'OP1'").count() == want
-        assert late_rows(query) == 0
-
-
-def test_job(spark, tmp_path):
-    """Records in, tables out: as the batch says, comments and all, and a late event counts once ``late`` is called."""
-    names = ["auth_velocity_spike", "auth_geo_drift", "auth_provider_switch"]
-    view = events_view(spark, SF).where("entity_id IN ('OP1', 'OP2', 'OP3')")
-    sent = view.select(
-        F.lit("TXN").alias("topic"), F.col("entity_id").alias("optId"), "eventId", F.date_format(F.timestamp_millis(F.col("ts") + 19_800_000), "yyyy-MM-dd'T'HH:mm:ss").alias("reqDateTime"),
-        "authResult", "authType", "deviceCode", "deviceProviderId", "locationStateCode", "locationDistrictCode",
-    ).orderBy("reqDateTime").select(F.to_json(F.struct("*")).alias("value")).collect()
-    lines = [r["value"] for r in sent]
-    end = lines[-1].replace('"optId":"OP', '"optId":"FAR').replace('"reqDateTime":"2024', '"reqDateTime":"2034')
-    late = lines.pop(len(lines) // 2)
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
-
-    def job():
-        return Job(spark, {"TXN": json_files(spark, str(tmp_path / "in"), stream=True)}, str(tmp_path / "out"), names, interval=None, also=told.append)
-
-    told = []
-    job().run(str(tmp_path / "ck"))
-    (tmp_path / "in" / "b.json").write_text("\n".join([end, late]))
-    job().run(str(tmp_path / "ck"))
-    (tmp_path / "in" / "c.json").write_text(end.replace("2034", "2044"))
-    ended = job()
-    ended.run(str(tmp_path / "ck"))
-    ended.late("TXN", 2**60, 0)
-    batch = keyed(decode(json_files(spark, str(tmp_path / "in")), "TXN"), "TXN")
-    want = feature_rows(enrich(compute_all({"txn": batch}, [*names, "auth_txn_counts"], state_ttl=True))).where("entity_id LIKE 'OP%'")
-    got = read_table(spark, f"{tmp_path}/out/features").where("entity_id LIKE 'OP%'").select(*want.columns)
-    keys = lambda d: {tuple(r) for r in d.where("feature_name NOT LIKE 'auth_txn%'").select("entity_id", "feature_id", "timestamp", "comments").collect()}
-    assert keys(want) <= keys(got) and keys(want) and told
-    assert got.where("feature_name = 'auth_txn_count'").count() > 0
-    changes = read_table(spark, f"{tmp_path}/out/devices").where("opt_id LIKE 'OP%'")
-    assert {tuple(r) for r in changes.select("opt_id", "ets").collect()} >= {tuple(r) for r in device_rows(device_changes(batch)).where("opt_id LIKE 'OP%'").select("opt_id", "ets").collect()} != set()
