@@ -585,7 +585,7 @@ def test_html_query(spark):
     host = lambda u: (u or "").split("://")[-1].split("/")[0].lower() if "://" in (u or "") else ""
     for r in pages:
         sizes[host(r["url"])] = sizes.get(host(r["url"]), 0) + 1
-        for h in {h for _, _, chain in html.outline(r["html"]) for h in chain}:
+        for h in set(html.outline(r["html"])[1]):
             count[host(r["url"]), h] = count.get((host(r["url"]), h), 0) + 1
     gone = {k for k, n in count.items() if n >= max(8, min(0.2 * sizes[k[0]], 4 * sizes[k[0]] ** 0.5))}
     want = sorted((r["page_id"], r["url"], html.main_text(r["html"], {h for x, h in gone if x == host(r["url"])})) for r in pages)
