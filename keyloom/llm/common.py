@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -47,7 +50,20 @@ def map_texts(df: DataFrame, columns: list[str], schema: str, function: Callable
             if batch.num_rows:
                 yield function(batch)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return df.select(*columns).mapInArrow(tidy(run), schema)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, with what it no longer needs given back at its end: a Python worker waits for later tasks with all it holds."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
 
 
 def type_of(df: DataFrame, column: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from keyloom.llm.common import cut, free_names, type_of
+from keyloom.llm.common import cut, free_names, tidy, type_of
 
 #: A line, cut further at sentence ends, with the white space after it. The matches of a text join up to the text.
 LINE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+$")
@@ -91,7 +91,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kind = type_of(docs, id_col)
     rows = cut(
         docs.select(F.col(id_col).alias("doc_id"), version.alias("version"), F.col(text_col).alias("text"))
-        .mapInArrow(_fingerprint_rows(min_words), f"doc_id {kind}, version bigint, print bigint, places int, spans array<struct<start int, end int, content bigint>>")
+        .mapInArrow(tidy(_fingerprint_rows(min_words)), f"doc_id {kind}, version bigint, print bigint, places int, spans array<struct<start int, end int, content bigint>>")
     )
     # what is counted is written, so that the joins shuffle both sides and Spark may split a value that very many texts share
     often = cut(rows.groupBy("print").agg(F.sum("places").alias("n")).where("n > 1").select("print"))
@@ -144,4 +144,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays(columns, [*names, *told])
 
     schema = docs.select(*names, *[F.lit(0).cast("long").alias(c) for c in told]).schema
-    return joined.select(*names, runs).mapInArrow(run, schema)
+    return joined.select(*names, runs).mapInArrow(tidy(run), schema)

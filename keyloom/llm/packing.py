@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import type_of
+from keyloom.llm.common import tidy, type_of
 
 #: Tokens that one shard packs together; an id takes 4 bytes.
 SHARD_TOKENS = 2_000_000
@@ -35,6 +35,7 @@ def _whole(path: str):
     return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
+@cache
 def encoder(path: str):
     """A function from texts to id arrays: a ``tokenizers`` file, or the same vocabulary's ``tiktoken`` ranks, which are faster.
 
@@ -169,7 +170,7 @@ def pack(
             yield close()
 
     schema = f"doc_id {type_of(docs, id_col)}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), schema)
 
 
 def with_digest(pieces: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import type_of
+from keyloom.llm.common import tidy, type_of
 from keyloom.llm.toxicity import training_rows
 
 BITS = 16
@@ -152,7 +152,7 @@ def train(
             )
 
     rows = training_rows(docs, labels, learn, max_docs, id_col, text_col, grade)
-    got = rows.mapInArrow(hashed, "label int, ids array<int>, values array<float>").toArrow().combine_chunks()
+    got = rows.mapInArrow(tidy(hashed), "label int, ids array<int>, values array<float>").toArrow().combine_chunks()
     y = got.column("label").to_numpy().astype(np.int64)
     if len(np.unique(y)) < 2:
         return Model(np.zeros(1 << BITS), np.full(grades - 1, -4.0))
@@ -175,7 +175,7 @@ def grades(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             tails = [own.tails(t.as_py(), known) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([float(t.sum()) for t in tails]), pa.array([t.tolist() for t in tails], pa.list_(pa.float64()))], ["doc_id", "expected_grade", "tails"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {type_of(docs, id_col)}, expected_grade double, tails array<double>")
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), f"doc_id {type_of(docs, id_col)}, expected_grade double, tails array<double>")
 
 
 def select_documents(docs: DataFrame, model: Model, least: float = 0.5, above: int = 0, text_col: str = "text") -> DataFrame:
@@ -192,4 +192,4 @@ def select_documents(docs: DataFrame, model: Model, least: float = 0.5, above: i
         for batch in batches:
             yield batch.filter(pa.array([bool(own.tails(t.as_py(), known)[above] >= least) for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
