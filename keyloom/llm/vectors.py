@@ -20,6 +20,8 @@ GROUP_ROWS = 20_000
 #: Width in radians of the rings about a group's centre, and members whose mean is that centre.
 RING = math.radians(0.5)
 CENTRE_ROWS = 32
+#: Neighbours under ``bridge`` that one comparison gives a node: they lead on, but seldom far.
+WEAK = 3
 
 
 class Lists:
@@ -98,6 +100,17 @@ def seed_leaves(nodes: DataFrame, tables: int, bits: int, turn: int, vectors: bo
     return found.withColumn("leaf", F.xxhash64("leaf", "d")).drop("d")
 
 
+def _best(s: np.ndarray, m: int, bridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, columns and values of the ``m`` largest of each row; of those under ``bridge`` the ``WEAK`` largest."""
+    top = np.argpartition(-s, m - 1, axis=1)[:, :m]
+    value = np.take_along_axis(s, top, axis=1)
+    order = np.argsort(-value, axis=1)
+    top, value = np.take_along_axis(top, order, axis=1), np.take_along_axis(value, order, axis=1)
+    weak = np.cumsum(value < bridge, axis=1)
+    row, at = np.nonzero(weak <= WEAK)
+    return row, top[row, at], value[row, at]
+
+
 def _leaf_neighbours(k: int, bridge: float):
     def run(table: pa.Table) -> pa.Table:
         node, lists = table.column("node").to_numpy(), Lists(table.column("v"))
@@ -112,18 +125,16 @@ def _leaf_neighbours(k: int, bridge: float):
             for at in range(0, len(own), 512):
                 s = x[at : at + 512] @ x.T
                 s[np.arange(len(s)), np.arange(at, at + len(s))] = -2
-                top = np.argpartition(-s, m - 1, axis=1)[:, :m]
-                out.append((np.repeat(names[at : at + 512], m), names[top].ravel(), np.take_along_axis(s, top, axis=1).ravel()))
+                row, column, value = _best(s, m, bridge)
+                out.append((names[at + row], names[column], value))
         a, b, c = (np.concatenate(z) for z in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-        # weaker ones carry no round
-        own = c >= bridge
-        return pa.table({"a": a[own], "b": b[own], "cos": c[own]})
+        return pa.table({"a": a, "b": b, "cos": c})
 
     return run
 
 
 def seed(nodes: DataFrame, n: int, k: int, tables: int, bits: int, turn: int, bridge: float) -> DataFrame:
-    """``a, b, cos, fresh``: up to ``k`` nearest of each node in each of its leaves, of cosine ``bridge`` or more; a leaf over BLOCK_ROWS is dealt into parts."""
+    """``a, b, cos, fresh``: up to ``k`` nearest of each node in each of its leaves, few of them under ``bridge``; a leaf over BLOCK_ROWS is dealt into parts."""
     sizes = seed_leaves(nodes, tables, bits, turn, False).groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK_ROWS)
     rows = seed_leaves(nodes, tables, bits, turn, True).join(small_enough(sizes, 100_000), "leaf", "left")
     part = F.pmod(F.xxhash64("node", "leaf", F.lit(turn)), F.ceil(F.coalesce("size", F.lit(1)) / BLOCK_ROWS).cast("int"))
@@ -153,17 +164,15 @@ def _local_join(fan: int, bridge: float):
             m = min(fan, len(own) - 1)
             s = x @ x.T
             np.fill_diagonal(s, -2)
-            top = np.argpartition(-s, m - 1, axis=1)[:, :m]
-            cos = np.take_along_axis(s, top, axis=1).ravel()
-            own = cos >= bridge
-            out.append((np.repeat(names, m)[own], names[top].ravel()[own], cos[own]))
+            row, column, value = _best(s, m, bridge)
+            out.append((names[row], names[column], value))
         return pa.table(dict(zip(("a", "b", "cos"), (np.concatenate(z) for z in zip(*out)))))
 
     return run
 
 
 def descend(graph: DataFrame, nodes: DataFrame, n: int, k: int, fan: int, bridge: float) -> DataFrame:
-    """One round: neighbours of neighbours, over the ``fan`` best links either way of cosine ``bridge`` or more.
+    """One round: neighbours of neighbours, over the ``fan`` best links either way, whatever their cosine.
 
     The neighbours of a node meet in one group, each vector once, and are compared there; only lists with a link that is
     new since the last round take part.
@@ -322,16 +331,37 @@ def links_of(graph: DataFrame, nodes: DataFrame, n: int, reach: int, threshold:
     return counted, connected_components(ahead.unionByName(across)) if across.take(1) else parts
 
 
-def audit(counted: DataFrame, nodes: DataFrame, n: int, threshold: float, sample: int) -> float:
-    """Links counted for about ``sample`` nodes, by a hash of their names, over those that brute force finds; 1 without links.
+def missed(fresh: DataFrame, graph: DataFrame, full: int, threshold: float) -> float | None:
+    """The share of the links of ``fresh`` seeds, of tables that the graph was not made of, that the graph has; None if they have none.
+
+    Links between two nodes whose lists are half full, which ``full`` is half of, are found by ``exact_links`` and left out.
+    """
+    names = lambda x: F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).alias(x)
+    links = graph.where(F.col("cos") >= threshold)
+    heavy = links.groupBy(F.col("a").alias("h")).agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= full).select("h")
+    new = fresh.where(F.col("cos") >= threshold).select("a", "b", names("link")).dropDuplicates(["link"])
+    open_ = new.join(heavy.select(F.col("h").alias("a"), F.lit(1).alias("ha")), "a", "left").join(heavy.select(F.col("h").alias("b"), F.lit(1).alias("hb")), "b", "left").where(F.col("ha").isNull() | F.col("hb").isNull())
+    known = links.select(names("link")).distinct().withColumn("known", F.lit(1))
+    row = open_.join(known, "link", "left").agg(F.count(F.lit(1)), F.count("known")).first()
+    return row[1] / row[0] if row[0] else None
+
+
+def audit(counted: DataFrame, nodes: DataFrame, n: int, threshold: float, sample: int) -> float | None:
+    """Links counted for about ``sample`` nodes, over those that brute force finds; None if none of these nodes has any.
 
-    The lower of two shares: that of all their links, and the mean of each node's, which a large group can't outweigh.
+    Half of the sample, by a hash of their names, are nodes with links, so that rare links are measured too, and half are nodes
+    without. The lower of two shares: that of all their links, and the mean of each node's, which a large group can't outweigh.
 
     The sample, whose size the parameter bounds, goes to every task and meets all nodes there, batch by batch.
     """
-    chosen = nodes.where(F.pmod(F.xxhash64("node", F.lit(17)), F.lit(1 << 40)) < int(min(1.0, sample / max(n, 1)) * (1 << 40))).select("node", "v").toArrow()
+    linked = counted.where("links > 0").select("node", F.lit(True).alias("linked"))
+    several = max(linked.count(), 1)
+    draw = F.pmod(F.xxhash64("node", F.lit(17)), F.lit(1 << 40))
+    share = lambda of: F.lit(int(min(1.0, sample / 2 / max(of, 1)) * (1 << 40)))
+    drawn = nodes.select("node", "v", draw.alias("draw")).join(linked, "node", "left").where(F.col("draw") < F.when(F.col("linked"), share(several)).otherwise(share(n - several)))
+    chosen = drawn.select("node", "v").toArrow()
     if not chosen.num_rows:
-        return 1.0
+        return None
     ids, lists = chosen.column("node").to_numpy(), Lists(chosen.column("v"))
     held = {int(d): (ids[lists.sizes == d], lists.rows(np.flatnonzero(lists.sizes == d))) for d in np.unique(lists.sizes)}
     shared = nodes.sparkSession.sparkContext.broadcast(held)
@@ -348,7 +378,7 @@ def audit(counted: DataFrame, nodes: DataFrame, n: int, threshold: float, sample
     true = nodes.select("node", "v", "n").mapInArrow(run, "node bigint, held bigint").groupBy("node").agg(F.sum("held").alias("held"))
     own = F.coalesce("links", F.lit(0))
     row = true.where("held > 0").join(counted, "node", "left").agg(F.sum("held"), F.sum(own), F.avg(own / F.col("held"))).first()
-    return min(row[1] / row[0], row[2]) if row and row[0] else 1.0
+    return min(row[1] / row[0], row[2]) if row and row[0] else None
 
 
 def near_duplicates(
@@ -366,12 +396,16 @@ def near_duplicates(
     """One row per row of ``vectors``: ``vec_id, n_links, component_id, kept, audited_recall``.
 
     Equal vectors (by a 64-bit hash) are one node with a weight. Leaves of random-hyperplane tables seed each node's ``k``
-    nearest neighbours, and rounds of neighbours-of-neighbours joins refine the lists; there are as many tables as make a
-    pair at the threshold miss all leaves of a round once in ten. A list whose last entry is within the threshold is
-    saturated; then the lists double before the round, up to ``most``, and ``exact_links`` finds what lists half full of links
-    may lack. Links are the lists' edges of at least ``threshold``. An audit by brute force over about ``sample`` nodes
-    measures the share of links found; below ``recall`` another round follows, after fresh seeds. If the target isn't met
-    in ``rounds``, an error says so. All cosines are of unit vectors in double precision.
+    nearest neighbours, whatever their cosine, and rounds of neighbours-of-neighbours joins refine the lists; there are as many
+    tables as make a pair at the threshold miss all leaves of a round once in a hundred. A list whose last entry is within the
+    threshold is saturated; then the lists double before the round, up to ``most``, and ``exact_links`` finds what lists half full
+    of links may lack. Links are the lists' edges of at least ``threshold``.
+
+    Two measures say when to stop, and ``audited_recall`` is the lower: fresh tables seed the lists after each round, and
+    the share of their links that were known measures what is far from all others; brute force over about ``sample`` nodes, half
+    of them with links, measures all links of these. Below ``recall`` another round follows, over what the tables brought.
+    If the target isn't met in ``rounds``, an error says so. Where nothing measured has a link, the recall is null. All
+    cosines are of unit vectors in double precision.
 
     A vector that is null, zero, or holds null or non-finite components links with nothing and is its own component.
     Vectors of different lengths never link; repeated rows link with each other; a row with a null id counts as a link
@@ -384,17 +418,23 @@ def near_duplicates(
     n = nodes.count()
     bits = int(np.clip(np.ceil(np.log2(max(n, 2) / LEAF_ROWS)), 1, 40))
     met = (1 - math.acos(threshold) / math.pi) ** bits
-    tables = int(np.clip(math.ceil(math.log(0.1) / math.log1p(-met)), 4, 64))
+    tables = int(np.clip(math.ceil(math.log(0.01) / math.log1p(-met)), 4, 64))
     graph, reach = cut(nearest(seed(nodes, n, k, tables, bits, 0, bridge), k)), k
     for turn in range(1, rounds + 1):
         if reach < most and graph.where(F.col("cos") >= threshold).groupBy("a").count().where(F.col("count") >= reach).take(1):
             reach = min(2 * reach, most)
         graph = cut(descend(graph, nodes, n, reach, k, bridge))
+        fresh = cut(seed(nodes, n, k, tables, bits, turn, bridge))
+        known = missed(fresh, graph, reach // 2, threshold)
+        graph = cut(nearest(graph.unionByName(fresh), reach))
+        if known is not None and known < recall:
+            measured = known
+            continue
         counted, parts = map(cut, links_of(graph, nodes, n, reach, threshold))
-        measured = audit(counted, nodes, n, threshold, sample)
-        if measured >= recall:
+        found = audit(counted, nodes, n, threshold, sample)
+        measured = min((x for x in (known, found) if x is not None), default=None)
+        if measured is None or measured >= recall:
             break
-        graph = cut(nearest(graph.unionByName(seed(nodes, n, k, tables, bits, turn, bridge)), reach))
     else:
         raise RuntimeError(f"the audit found {measured:.4f} of the links after {rounds} rounds, not {recall}")
     of = units.select("node", "least", "n").join(parts, "node", "left").join(counted, "node", "left")
@@ -404,4 +444,4 @@ def near_duplicates(
     own = rows.select("vec_id", "node")
     linked = own.where(F.col("node").isNotNull()).join(final, "node").select("vec_id", "n_links", "component_id")
     alone = own.where(F.col("node").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).select("*", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"), F.lit(float(measured)).alias("audited_recall"))
+    return linked.unionByName(alone).select("*", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"), F.lit(measured).cast("double").alias("audited_recall"))

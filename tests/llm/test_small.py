@@ -671,3 +671,24 @@ def test_vectors(spark, monkeypatch):
     assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i for i in range(900, 906))
     assert got[906]["n_links"] == 2 and got[907]["component_id"] == 906
     assert vectors.near_duplicates(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_vectors_isolated_pairs(spark, seed):
+    """Pairs just over the threshold among many vectors that nothing leads to: all are found, and the recall says what was measured."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((30_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(60):
+        off = x[i] - (x[i] @ x[1000 + i]) * x[1000 + i]
+        x[i] = 0.952 * x[1000 + i] + math.sqrt(1 - 0.952**2) * off / np.linalg.norm(off)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vectors.near_duplicates(df).where("n_links > 0").collect()
+    assert {(r["vec_id"], r["component_id"]) for r in got} == {(j, i) for i in range(60) for j in (i, 1000 + i)}
+    assert all(r["n_links"] == 1 and r["audited_recall"] >= 0.999 for r in got)
+
+
+def test_vectors_without_links(spark):
+    """Where nothing measured has a link, no recall is claimed."""
+    df = spark.createDataFrame([(i, [float(i == j) for j in range(40)]) for i in range(40)], "vec_id long, embedding array<double>")
+    assert {(r["n_links"], r["audited_recall"]) for r in vectors.near_duplicates(df).collect()} == {(0, None)}
