@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -115,3 +116,37 @@ def cooled(d: DataFrame, column: str, wait_ms: int, most: int) -> DataFrame:
         return step
 
     return fold(d, make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields), placed=True)
+
+
+def distinct_within(d: DataFrame, column: str, width_ms: int, on: int) -> DataFrame:
+    """``d`` with ``_c``, the distinct values in ``[ts - width, ts]``, and ``_set``, which they are where ``_c`` comes to ``on`` from below.
+
+    An ordered pass that counts the values of the range as events come into it and leave it, so an event costs the same however many
+    share its range. Times must strictly increase.
+    """
+
+    def make() -> Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch]:
+        inside: deque[tuple[int, str]] = deque()
+        counts: dict[str, int] = {}
+
+        def step(batch: pa.RecordBatch, new: np.ndarray) -> pa.RecordBatch:
+            sizes, sets = [], []
+            for begins, value, ts in zip(new.tolist(), batch.column(column).to_pylist(), batch.column("ts").to_pylist()):
+                if begins:
+                    inside.clear()
+                    counts.clear()
+                before = len(counts)
+                while inside and inside[0][0] < ts - width_ms:
+                    _, gone = inside.popleft()
+                    counts[gone] -= 1
+                    if not counts[gone]:
+                        del counts[gone]
+                inside.append((ts, value))
+                counts[value] = counts.get(value, 0) + 1
+                sizes.append(len(counts))
+                sets.append(sorted(counts) if before < on <= len(counts) else None)
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array(sets, pa.list_(pa.string()))], [*batch.schema.names, "_c", "_set"])
+
+        return step
+
+    return fold(d, make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields) + ", _c bigint, _set array<string>", placed=True)

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyloom.functions.parse import filled, is_no, ist_hour
-from keyloom.operators.kernels import KEY, emit, first_seen, in_range, latch, ordered, prepare
+from keyloom.operators.kernels import KEY, TIE, TIME, emit, first_seen, in_range, latch, ordered, prepare
+from keyloom.operators.memory import distinct_within
 
 
 def burst(events: DataFrame, name: str, width_ms: int, on: int, off: int, eligible: Column | None = None, label: str = "events", notes: dict[str, Column] | None = None) -> DataFrame:
@@ -37,11 +38,11 @@ def high_risk_hours(events: DataFrame, width_ms: int = 86_400_000, on: int = 5,
 
 
 def rapid_device_switch(events: DataFrame, width_ms: int = 600_000, on: int = 4) -> DataFrame:
-    """Distinct devices in the last ``width_ms``; times were nudged apart, so a range frame is exact."""
-    d = prepare(events, filled("deviceCode"), dedup=True, nudge=True)
-    d = d.withColumn("_set", F.collect_set("deviceCode").over(Window.partitionBy(KEY).orderBy("ts").rangeBetween(-width_ms, 0))).withColumn("_c", F.size("_set"))
+    """Distinct devices in the last ``width_ms``, on a latch."""
+    d = prepare(events, filled("deviceCode"), dedup=True, nudge=True).select(KEY, TIME, TIE, "rn", "deviceCode")
+    d = distinct_within(d, "deviceCode", width_ms, on)
     d = latch(d, F.col("_c") >= on, F.col("_c") < on - 1)
-    return emit(d, "auth_rapid_device_switch_v1", "Count", F.col("_c"), comments={"distinct_devices_10m": F.col("_c"), "devices_seen": F.sort_array("_set")})
+    return emit(d, "auth_rapid_device_switch_v1", "Count", F.col("_c"), comments={"distinct_devices_10m": F.col("_c"), "devices_seen": F.col("_set")})
 
 
 def concurrent_aua(events: DataFrame, on: int = 3) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import math
 import os
+import shutil
 import subprocess
 import sys
 
@@ -42,15 +43,12 @@ def test_entry(spark):
 
 
 def test_without_training_operators(tmp_path):
-    """As where the folders are deleted: an import hook hides them."""
-    code = (
-        "import sys\n"
-        "class Hide:\n"
-        "    def find_spec(self, name, *_):\n"
-        "        if name in ('keyloom.llm', 'corpus_pipeline') or name.startswith('keyloom.llm.'): raise ModuleNotFoundError(name=name)\n"
-        "sys.meta_path.insert(0, Hide())\n"
-        "import __spark_entry__ as e\n"
-        "assert 'pipeline' not in e.queries() and not [n for n in e.queries() if n.startswith('op')]\n"
-        "assert set(e.oracle_sql()) <= set(e.queries())\n"
-    )
-    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+    """Where the folders are deleted, the rest imports, and its queries and tests work."""
+    skip = shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__", "*.json", "*.md")
+    shutil.copytree(ROOT, tmp_path / "repo", ignore=skip)
+    env = os.environ | {"PYTHONPATH": str(tmp_path / "repo")}
+    code = "import __spark_entry__ as e; n = set(e.queries()); assert 'pipeline' not in n and not [x for x in n if x.startswith('op')] and len(n) > 80 and set(e.oracle_sql()) <= n; import keyloom.streaming.job, bench"
+    subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=tmp_path / "repo", env=env, check=True)
+    picked = "test_velocity or auth_geo_drift_hot_key or test_layouts or test_reach"
+    done = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "-x", "-k", picked, "-p", "no:cacheprovider"], cwd=tmp_path / "repo", env=env, capture_output=True, text=True)
+    assert done.returncode == 0 and "4 passed" in done.stdout, done.stdout + done.stderr

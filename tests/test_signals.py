@@ -128,3 +128,38 @@ def test_long_key_streams_through_segments(spark):
     rows = spark.range(30_000).select(F.col("id").alias("event_id"), F.concat(F.lit("E"), "id").alias("eventId"), F.lit("K").alias("entity_id"), (F.col("id") * 1000).alias("ts"), (F.col("id") % 5).cast("string").alias("deviceCode"))
     got = compute("auth_device_diversity", rows).orderBy("event_ts_ms").collect()
     assert [r["window_start_ms"] for r in got] == [k * 7_201_000 for k in range(5)]
+
+
+def test_device_range_is_linear(spark):
+    """A key with very many events in one range: their values are counted as they come and go."""
+    rows = spark.range(200_000, numPartitions=4).select(F.col("id").alias("event_id"), F.concat(F.lit("E"), "id").alias("eventId"), F.lit("K").alias("entity_id"), F.col("id").alias("ts"), F.concat(F.lit("D"), F.floor(F.col("id") / 50_000)).alias("deviceCode"))
+    got = compute("auth_rapid_device_switch", rows).collect()
+    assert [(r["event_ts_ms"], r["feature_value"]) for r in got] == [(150_000, 4.0)]
+    assert '"devices_seen":["D0","D1","D2","D3"]' in got[0]["comments"]
+
+
+def test_memory_forgets_what_came_first():
+    import random
+
+    from keyloom.operators.memory import Memory
+
+    for by_name in (False, True):
+        rng, memory, held = random.Random(6), Memory(5, by_name), {}
+        for _ in range(3000):
+            v = rng.choice("abcdefghijkl")
+            memory.add(v)
+            held[v] = held.get(v, 0) + 1
+            if len(held) > 5:
+                del held[next(iter(held))]
+            most = max(held.values())
+            top = [x for x, c in held.items() if c == most]
+            assert memory.counts == held and memory.says(v) == (True, held[v], min(top) if by_name else top[0], most, len(held))
+
+
+def test_life_counts_events_that_touch_the_state(spark):
+    """An event that a signal doesn't look at, amid a long silence, keeps no state alive."""
+    rows = [{"t": 1000 * i, "authType": "O"} for i in range(9)] + [{"t": 30 * H}] + [{"t": 60 * H, "authType": "O"}]
+    assert len(alerts(spark, "auth_otp_fallback", rows)) == 1
+    assert compute("auth_otp_fallback", make(spark, rows), state_ttl=True).count() == 0
+    touched = rows[:9] + [{"t": 30 * H, "authType": "P"}] + rows[10:]
+    assert compute("auth_otp_fallback", make(spark, touched), state_ttl=True).count() == 1
