@@ -76,12 +76,12 @@ def latch(d: DataFrame, on: Column, off: Column, *more: str) -> DataFrame:
 
 def islands(d: DataFrame, starts: Column, name: str = "island") -> DataFrame:
     """Numbers the islands of a key: an event where ``starts`` holds begins a new one."""
-    return d.withColumn(name, F.sum(F.when(starts, 1).otherwise(0)).over(prefix(ordered())))
+    return running(d.withColumn("_start", F.when(starts, 1).otherwise(0)), **{name: Part("sum", "_start")}).drop("_start")
 
 
-def change_of(value: Column) -> Column:
+def change_of(value: Column, w: WindowSpec | None = None) -> Column:
     """Whether ``value`` differs from that of the event before; true for the first."""
-    return ~value.eqNullSafe(F.lag(value).over(ordered())) | (F.col("rn") == 1)
+    return ~value.eqNullSafe(F.lag(value).over(w or ordered())) | (F.col("rn") == 1)
 
 
 def _begins(columns: list[pa.Array], last: list[pa.Scalar] | None) -> np.ndarray:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from keyloom.functions.parse import filled, is_no, ist_hour
 from keyloom.operators.kernels import KEY, TIE, TIME, emit, first_seen, in_range, latch, ordered, prepare
 from keyloom.operators.memory import distinct_within
+from keyloom.operators.slices import Part, running
 
 
 def burst(events: DataFrame, name: str, width_ms: int, on: int, off: int, eligible: Column | None = None, label: str = "events", notes: dict[str, Column] | None = None) -> DataFrame:
@@ -58,7 +59,7 @@ def concurrent_aua(events: DataFrame, on: int = 3) -> DataFrame:
 def brute_force(events: DataFrame, least: int = 5, width_ms: int = 300_000) -> DataFrame:
     """A success right after ``least`` or more failures in a row within ``width_ms``."""
     d = in_range(prepare(events, filled("authResult")), "_c", width_ms).withColumn("_other", F.when(~is_no(), F.col("rn")))
-    run = F.col("rn") - 1 - F.coalesce(F.last("_other", ignorenulls=True).over(ordered().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    d = d.withColumn("_run", F.least(run, F.col("_c") - 1)).where((F.upper("authResult") == "Y") & (F.col("_run") >= least))
+    run = F.col("rn") - 1 - F.coalesce("_end", F.lit(0))
+    d = running(d, _end=Part("last", "_other", before=True)).withColumn("_run", F.least(run, F.col("_c") - 1)).where((F.upper("authResult") == "Y") & (F.col("_run") >= least))
     notes = {"pattern_matched": F.lit("FAILURES_THEN_SUCCESS"), "preceding_failures": F.col("_run"), "window_ms": F.lit(width_ms)}
     return emit(d, "auth_brute_force_compromise_v1", "Count", F.col("_run"), F.col("ts") - width_ms, comments=notes)

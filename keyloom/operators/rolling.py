@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from keyloom.functions.parse import filled, is_yes, ist_hour, number
 from keyloom.operators.kernels import KEY, TIME, change_of, counts_at, emit, last_rows, latch, ordered, prefix, prepare, segments
-from keyloom.operators.slices import Part, lagged, moments, running
+from keyloom.operators.slices import Part, haloed, lagged, moments, near, running, settled
 
 
 def rolling_share(
@@ -56,8 +56,9 @@ def deep_print_failures(events: DataFrame, n: int = 20, least: int = 20, on: flo
 def success_cliff(events: DataFrame, n: int = 50, recent: int = 10, on: float = 40.0, off: float = 20.0) -> DataFrame:
     """Percentage points by which the success rate of the last ``recent`` events lies below that of the last ``n``."""
     d = prepare(events, filled("authResult"), dedup=True).withColumn("_yes", is_yes().cast("int"))
-    long, short = (F.avg("_yes").over(last_rows(ordered(), k)) for k in (n, recent))
-    d = d.withColumn("_long", long).withColumn("_short", short).withColumn("_cliff", (F.col("_long") - F.col("_short")) * 100)
+    d = haloed(d, n)
+    long, short = (F.avg("_yes").over(last_rows(near(d), k)) for k in (n, recent))
+    d = settled(d.withColumn("_long", long).withColumn("_short", short)).withColumn("_cliff", (F.col("_long") - F.col("_short")) * 100)
     enough = F.col("rn") >= n
     d = latch(d, enough & (F.col("_cliff") >= on), enough & (F.col("_cliff") < off))
     value = F.round("_cliff", 2)
@@ -69,10 +70,10 @@ def success_cliff(events: DataFrame, n: int = 50, recent: int = 10, on: float =
 
 def modality_switch(events: DataFrame, n: int = 10, on: int = 6, off: int = 4) -> DataFrame:
     """Changes of authType between neighbours among the last ``n`` events."""
-    d = prepare(events, filled("authType"))
-    d = d.withColumn("_changed", F.when(F.col("rn") > 1, change_of(F.col("authType")).cast("int")).otherwise(0))
-    d = d.withColumn("_switches", F.sum("_changed").over(last_rows(ordered(), n - 1)))
-    d = d.withColumn("_recent", F.collect_list("authType").over(last_rows(ordered(), n)))
+    d = haloed(prepare(events, filled("authType")), n + 1)
+    d = d.withColumn("_changed", F.when(F.col("rn") > 1, change_of(F.col("authType"), near(d)).cast("int")).otherwise(0))
+    d = d.withColumn("_switches", F.sum("_changed").over(last_rows(near(d), n - 1)))
+    d = settled(d.withColumn("_recent", F.collect_list("authType").over(last_rows(near(d), n))))
     enough = F.col("rn") >= n
     d = latch(d, enough & (F.col("_switches") >= on), enough & (F.col("_switches") < off))
     return emit(d, "auth_modality_switch_v1", "Count", F.col("_switches"), comments={"switch_count": F.col("_switches"), "window_size": F.lit(n), "recent_modalities": F.col("_recent")})
@@ -81,9 +82,9 @@ def modality_switch(events: DataFrame, n: int = 10, on: int = 6, off: int = 4) -
 def score_decline(events: DataFrame, name: str, field: str, n: int = 10, on: float = -1.5, off: float = -0.75, literal_null: bool = False, notes: str = "recent_scores") -> DataFrame:
     """Least-squares slope of the last ``n`` positive scores against their order."""
     ok = (filled(field, True) if literal_null else filled(field)) & (number(field) > 0)
-    d = prepare(events, ok).withColumn("_y", number(field))
-    w = last_rows(ordered(), n)
-    d = d.withColumn("_slope", F.regr_slope("_y", "rn").over(w)).withColumn("_recent", F.collect_list("_y").over(w))
+    d = haloed(prepare(events, ok).withColumn("_y", number(field)), n)
+    w = last_rows(near(d), n)
+    d = settled(d.withColumn("_slope", F.regr_slope("_y", "rn").over(w)).withColumn("_recent", F.collect_list("_y").over(w)))
     enough = F.col("rn") >= n
     d = latch(d, enough & (F.col("_slope") <= on), enough & (F.col("_slope") > off))
     return emit(d, name, "Trend", F.col("_slope"), comments={"slope": F.col("_slope"), notes: F.col("_recent")})
@@ -108,9 +109,9 @@ def liveness_decline(events: DataFrame, on: float = -1.5) -> DataFrame:
 def fmr_spread(events: DataFrame, n: int = 10, on: float = 15.0, off: float = 7.5) -> DataFrame:
     """Population standard deviation of the last ``n`` positive fmr counts."""
     count = F.trim("fmrCount").try_cast("int")
-    d = prepare(events, count > 0).withColumn("_y", count)
-    w = last_rows(ordered(), n)
-    d = d.withColumn("_sd", F.stddev_pop("_y").over(w)).withColumn("_recent", F.collect_list("_y").over(w))
+    d = haloed(prepare(events, count > 0).withColumn("_y", count), n)
+    w = last_rows(near(d), n)
+    d = settled(d.withColumn("_sd", F.stddev_pop("_y").over(w)).withColumn("_recent", F.collect_list("_y").over(w)))
     enough = F.col("rn") >= n
     d = latch(d, enough & (F.col("_sd") >= on), enough & (F.col("_sd") < off))
     return emit(d, "auth_fmr_count_anomaly_v1", "Variance", F.col("_sd"), comments={"stddev": F.col("_sd"), "recent_counts": F.col("_recent")})

@@ -109,6 +109,27 @@ def lagged(d: DataFrame, name: str, column: str, n: int, rank: str = "rn") -> Da
     return d.join(found, (F.col(KEY) == F.col("_of")) & (F.col(rank) == F.col("_for")), "left").withColumn(name, F.coalesce(name, "_far")).drop("_of", "_for", "_far")
 
 
+def near(d: DataFrame, *by: str):
+    """A window over the events of a key (and ``by``) in order; in a slice, over those of the slice and its ``haloed`` ones."""
+    return Window.partitionBy(*lane(d), *by).orderBy(TIME, TIE)
+
+
+def haloed(d: DataFrame, n: int, rank: str = "rn") -> DataFrame:
+    """``d`` where a window of ``n`` rows may look back from any event: slices get the ``n - 1`` events before them, until ``settled``."""
+    if not is_sliced(d):
+        return d
+    d = written(d)
+    starts = d.groupBy(F.col(KEY).alias("_of"), F.col(SLICE).alias("_to")).agg(F.min(rank).alias("_start")).where("_start > 1")
+    wanted = starts.select("_of", "_to", F.explode(F.sequence(F.greatest(F.col("_start") - (n - 1), F.lit(1).cast("long")), F.col("_start") - 1)).alias("_want"))
+    before = d.join(wanted, (F.col(KEY) == F.col("_of")) & (F.col(rank) == F.col("_want"))).withColumn(SLICE, F.col("_to")).drop("_of", "_to", "_want")
+    return d.withColumn("_halo", F.lit(False)).unionByName(before.withColumn("_halo", F.lit(True)))
+
+
+def settled(d: DataFrame) -> DataFrame:
+    """``d`` without the events that slices were lent."""
+    return d.where(~F.col("_halo")).drop("_halo") if "_halo" in d.columns else d
+
+
 def moments(d: DataFrame, column: str) -> DataFrame:
     """``d`` with ``_mean`` and ``_sd`` (sample deviation) of a column over the events of a key so far.
 

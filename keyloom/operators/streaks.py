@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyloom.functions.parse import DAY_MS, HOUR_MS, IST_MS, filled, is_no, is_yes, ist_hour
-from keyloom.operators.kernels import KEY, TIE, TIME, before, change_of, emit, islands, last_rows, ordered, prefix, prepare, segments
+from keyloom.operators.kernels import KEY, TIE, TIME, before, change_of, emit, islands, last_rows, ordered, prefix, prepare, ranked, segments
+from keyloom.operators.slices import Part, first_of, haloed, near, running, settled
 
 
 def unpivot(d: DataFrame, parts: dict[str, Column], kind: str, start: Column, end: Column) -> DataFrame:
@@ -34,10 +35,10 @@ def counts(events: DataFrame, size: str = "60 minutes", slide: str | None = None
 def gaps(events: DataFrame) -> DataFrame:
     """Seconds since the event before; since the failure before, on failures; since the success before, on successes."""
     d = prepare(events)
-    w = before(ordered())
-    last = {"auth_txn_gap_sec": F.lag(TIME).over(ordered())}
-    for name, hit in (("failure", is_no()), ("success", is_yes())):
-        last[f"auth_txn_{name}_gap_sec"] = F.when(hit, F.last(F.when(hit, F.col(TIME)), ignorenulls=True).over(w))
+    kinds = {"auth_txn_gap_sec": F.lit(True), "auth_txn_failure_gap_sec": is_no(), "auth_txn_success_gap_sec": is_yes()}
+    d = d.withColumns({f"_at_{n}": F.when(hit, F.col(TIME)) for n, hit in kinds.items()})
+    d = running(d, **{n: Part("last", f"_at_{n}", before=True) for n in kinds})
+    last = {n: F.when(hit, F.col(n)) for n, hit in kinds.items()}
     d = d.select(KEY, TIME, *[c.alias(n) for n, c in last.items()])
     rows = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("since")) for n in last])
     d = d.withColumn("_part", F.explode(rows)).where(F.col("_part.since").isNotNull())
@@ -46,9 +47,10 @@ def gaps(events: DataFrame) -> DataFrame:
 
 def gap_average(events: DataFrame, n: int = 5) -> DataFrame:
     """Mean of the last ``n`` gaps in whole seconds, at every ``n``-th gap."""
-    d = prepare(events)
-    gap = F.greatest(F.lit(0), F.floor((F.col(TIME) - F.lag(TIME).over(ordered())) / 1000))
-    d = d.withColumn("_gap", gap).where("rn > 1").withColumn("_mean", F.avg("_gap").over(last_rows(ordered(), n))).where(((F.col("rn") - 1) % n) == 0)
+    d = haloed(prepare(events), n + 1)
+    gap = F.greatest(F.lit(0), F.floor((F.col(TIME) - F.lag(TIME).over(near(d))) / 1000))
+    d = d.withColumn("_gap", gap).where("rn > 1").withColumn("_mean", F.avg("_gap").over(last_rows(near(d), n)))
+    d = settled(d).where(((F.col("rn") - 1) % n) == 0)
     return emit(d, "auth_txn_gap_sec_avg", "", F.col("_mean"), F.col(TIME))
 
 
@@ -113,11 +115,13 @@ def _closed_streaks(d: DataFrame, hit: Column, nudge: bool = False) -> DataFrame
 
     ``nudge`` moves the times of a run's events apart by a millisecond at least.
     """
-    d = d.withColumn("_hit", hit).withColumn("run", F.sum(F.when(~F.col("_hit"), 1).otherwise(0)).over(before(ordered()))).fillna(0, ["run"])
+    d = d.withColumn("_hit", hit).withColumn("_end", F.when(F.col("_hit"), 0).otherwise(1))
+    d = running(d, run=Part("sum", "_end", before=True)).fillna(0, ["run"])
     time = F.col(TIME)
     if nudge:
-        d = d.withColumn("_k", F.count_if("_hit").over(prefix(ordered("run"))))
-        d = d.withColumn("_t", F.max(F.when(F.col("_hit"), F.col(TIME) - F.col("_k"))).over(prefix(ordered("run"))) + F.col("_k"))
+        d = running(d.withColumn("_one", F.col("_hit").cast("int")), "run", _k=Part("sum", "_one"))
+        d = running(d.withColumn("_early", F.when(F.col("_hit"), F.col(TIME) - F.col("_k"))), "run", _most=Part("max", "_early"))
+        d = d.withColumn("_t", F.col("_most") + F.col("_k"))
         time = F.col("_t").alias("ts")
     if "_sent" in d.columns:
         time = F.coalesce("_sent", TIME).alias("ts")
@@ -143,10 +147,10 @@ def failure_streak(events: DataFrame) -> DataFrame:
     the source sent them, where it says so.
     """
     d = prepare(events, F.col("authResult").isNotNull() & (F.col("authCode") != ""))
-    d = d.withColumn("_first", F.row_number().over(ordered("authCode"))).where(F.col("_first") == 1)
+    d = ranked(first_of(d, "_first", "authCode").where("_first").drop("rn"))
     if "kafkaSourceTimestamp" in d.columns:
         d = d.withColumn("_sent", F.when(F.col("kafkaSourceTimestamp") >= 0, F.col("kafkaSourceTimestamp")))
-    return emit(_closed_streaks(d.withColumn("rn", F.row_number().over(ordered())), is_no()), "auth_failure_streak", "Count", F.col("n"), end=F.col("final.ts"), comments=_streak_notes())
+    return emit(_closed_streaks(d, is_no()), "auth_failure_streak", "Count", F.col("n"), end=F.col("final.ts"), comments=_streak_notes())
 
 
 def bio_liveness_streak(events: DataFrame) -> DataFrame:
@@ -159,9 +163,9 @@ def bio_liveness_streak(events: DataFrame) -> DataFrame:
 def recovery_speed(events: DataFrame, least: int = 5, within_ms: int = 1000) -> DataFrame:
     """Milliseconds from the last failure to a success, after ``least`` failures since the success before."""
     d = prepare(events, filled("authResult"), dedup=True, nudge=True)
-    d = d.withColumn("run", F.sum(F.when(is_yes(), 1).otherwise(0)).over(before(ordered()))).fillna(0, ["run"])
-    w = prefix(ordered("run"))
-    d = d.withColumn("_n", F.count_if(is_no()).over(w)).withColumn("_gap", F.col(TIME) - F.max(F.when(is_no(), F.col(TIME))).over(w))
+    d = running(d.withColumn("_end", is_yes().cast("int")), run=Part("sum", "_end", before=True)).fillna(0, ["run"])
+    d = d.withColumn("_no", is_no().cast("int")).withColumn("_at", F.when(is_no(), F.col(TIME)))
+    d = running(d, "run", _n=Part("sum", "_no"), _final=Part("max", "_at")).withColumn("_gap", F.col(TIME) - F.col("_final"))
     d = d.where(is_yes() & (F.col("_n") >= least) & (F.col("_gap") > 0) & (F.col("_gap") <= within_ms))
     notes = {"recovery_gap_ms": F.col("_gap"), "prior_consecutive_failures": F.col("_n"), "threshold_ms": F.lit(within_ms)}
     return emit(d, "auth_bot_failure_recovery_speed_v1", "Duration (ms)", F.col("_gap"), comments=notes)
@@ -170,17 +174,18 @@ def recovery_speed(events: DataFrame, least: int = 5, within_ms: int = 1000) ->
 def ghost_uptime(events: DataFrame, gap_ms: int = 1_800_000, least_ms: int = 64_800_000) -> DataFrame:
     """Hours of a session without a break over ``gap_ms``, at the first event past ``least_ms``."""
     d = prepare(events, dedup=True, nudge=True)
-    d = islands(d, F.coalesce(F.col(TIME) - F.lag(TIME).over(ordered()) > gap_ms, F.lit(True)))
-    w = prefix(ordered("island"))
-    d = d.withColumn("_start", F.min(TIME).over(w)).withColumn("_long", F.col(TIME) - F.col("_start") >= least_ms)
-    d = d.withColumn("_nth", F.count_if("_long").over(w)).where(F.col("_long") & (F.col("_nth") == 1))
+    d = running(d, _last=Part("last", TIME, before=True))
+    d = islands(d, F.coalesce(F.col(TIME) - F.col("_last") > gap_ms, F.lit(True)))
+    d = running(d.withColumn("_back", -F.col(TIME)), "island", _most=Part("max", "_back")).withColumn("_start", -F.col("_most"))
+    d = d.withColumn("_long", F.col(TIME) - F.col("_start") >= least_ms).withColumn("_one", F.col("_long").cast("int"))
+    d = running(d, "island", _nth=Part("sum", "_one")).where(F.col("_long") & (F.col("_nth") == 1))
     hours = (F.col(TIME) - F.col("_start")) / HOUR_MS
     return emit(d, "auth_ghost_uptime_v1", "Duration (Hours)", hours, F.col("_start"), comments={"continuous_uptime_hours": hours, "max_allowed_gap_mins": F.lit(gap_ms // 60_000), "threshold_hours": F.lit(least_ms // HOUR_MS)})
 
 
 def dormancy(events: DataFrame, least: int = 2, gap_ms: int = 7 * DAY_MS) -> DataFrame:
     """Hours since the event before, on a success after ``gap_ms`` or more, with ``least`` events before."""
-    d = prepare(events, filled("authResult"), dedup=True).withColumn("_last", F.lag(TIME).over(ordered()))
+    d = running(prepare(events, filled("authResult"), dedup=True), _last=Part("last", TIME, before=True))
     d = d.where((F.col("rn") > least) & (F.col(TIME) - F.col("_last") >= gap_ms) & is_yes())
     hours = F.round((F.col(TIME) - F.col("_last")) / HOUR_MS, 2)
     notes = {"dormancy_hours": hours, "dormancy_days": F.round(hours / 24, 2), "last_seen_timestamp": F.col("_last"), "resurrection_timestamp": F.col(TIME), "total_historical_events": F.col("rn") - 1, "threshold_days": F.lit(gap_ms / DAY_MS)}
@@ -190,8 +195,9 @@ def dormancy(events: DataFrame, least: int = 2, gap_ms: int = 7 * DAY_MS) -> Dat
 def repeats(events: DataFrame, name: str, value: Column, length: int, eligible: Column | None, notes: tuple[str, str]) -> DataFrame:
     """The event that makes ``length`` equal values in a row; once for each run."""
     d = prepare(events, eligible, dedup=True, nudge=True).withColumn("_v", value)
-    d = islands(d, change_of(F.col("_v")))
-    d = d.withColumn("_nth", F.row_number().over(ordered("island"))).where(F.col("_nth") == length)
+    d = running(d, _was=Part("last", "_v", before=True))
+    d = islands(d, F.col("_was").isNull() | (F.col("_was") != F.col("_v")))
+    d = running(d.withColumn("_one", F.lit(1)), "island", _nth=Part("sum", "_one")).where(F.col("_nth") == length)
     return emit(d, name, "Count", F.col("_nth"), comments={notes[0]: F.col("_nth"), notes[1]: F.col("_v")})
 
 
@@ -224,7 +230,7 @@ def software_changes(events: DataFrame) -> DataFrame:
 def cross_border(events: DataFrame, within_ms: int = 2 * HOUR_MS) -> DataFrame:
     """Minutes between events in different states less than ``within_ms`` apart."""
     d = prepare(events, filled("locationStateCode"), dedup=True, nudge=True)
-    d = d.withColumn("_from", F.lag("locationStateCode").over(ordered())).withColumn("_last", F.lag(TIME).over(ordered()))
+    d = running(d, _from=Part("last", "locationStateCode", before=True), _last=Part("last", TIME, before=True))
     d = d.withColumn("_gap", F.col(TIME) - F.col("_last")).where((F.col("_from") != F.col("locationStateCode")) & (F.col("_gap") > 0) & (F.col("_gap") < within_ms))
     minutes = F.col("_gap") / 60_000
     notes = {"from_state": F.col("_from"), "to_state": F.col("locationStateCode"), "travel_time_mins": minutes, "threshold_mins": F.lit(within_ms // 60_000)}

@@ -67,6 +67,9 @@ def compute(name: str, events: DataFrame, state_ttl: bool = False, **parameters)
 #: Signals made of kernels that work on slices of a key alone.
 SLICED = frozenset(
     "auth_velocity_spike auth_failure_burst auth_enrolment_hammering auth_otp_fallback auth_success_without_bio auth_location_mismatch auth_night_surge bio_deep_print_failures "
+    "auth_finger_decline auth_face_decline bio_match_trend bio_liveness_decline auth_fmr_spread auth_success_cliff auth_modality_switch auth_txn_gap_avg "
+    "auth_txn_gaps auth_dormancy auth_brute_force auth_cross_border auth_bot_recovery_speed auth_ghost_uptime auth_liveness_streak auth_failure_streak bio_liveness_streak "
+    "auth_packet_replay bio_image_size_replay bio_uncanny_scores "
     "auth_duration_outlier auth_pid_size_anomaly bio_image_size_anomaly bio_response_time_anomaly bio_probe_minutiae "
     "auth_geo_drift auth_device_diversity auth_model_diversity auth_provider_switch auth_aua_sa_diversity auth_error_spray".split()
 )

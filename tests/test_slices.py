@@ -32,6 +32,9 @@ def rows(alerts):
 
 CASES = {
     "auth_velocity_spike": {"width_ms": 600_000}, "auth_otp_fallback": {"on": 0.35}, "auth_duration_outlier": {"on": 1.5}, "auth_geo_drift": {}, "auth_error_spray": {"on": 4},
+    "auth_finger_decline": {}, "auth_fmr_spread": {"on": 35.0, "off": 25.0}, "auth_success_cliff": {"on": 25.0, "off": 12.0}, "auth_modality_switch": {}, "auth_txn_gap_avg": {}, "auth_txn_gaps": {},
+    "auth_dormancy": {"gap_ms": 400_000}, "auth_brute_force": {"least": 2}, "auth_cross_border": {}, "auth_bot_recovery_speed": {"least": 1, "within_ms": 60_000}, "auth_ghost_uptime": {"gap_ms": 300_000, "least_ms": 200_000},
+    "auth_liveness_streak": {}, "auth_failure_streak": {}, "bio_liveness_streak": {}, "auth_packet_replay": {"length": 2, "fields": ("deviceCode",)}, "bio_image_size_replay": {"length": 2, "field": "bioType"},
     "auth_night_surge": {"n": 300, "on": 0.1}, "bio_probe_minutiae": {}, "auth_enrolment_hammering": {"width_ms": 20_000_000, "on": 40, "off": 10},
 }
 
@@ -93,4 +96,4 @@ def test_reach():
 def test_only_sliced_signals(events):
     assert SLICED <= set(SIGNALS)
     with pytest.raises(ValueError):
-        compute_sliced("auth_txn_gaps", events)
+        compute_sliced("auth_time_entropy", events)
