@@ -101,7 +101,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: i
         share = F.when(F.col("_kl_label") == label, min(1.0, max_docs * (0.75 / sum(sizes.values()) + 0.25 / (len(sizes) * n)))).otherwise(share)
     at = F.pmod(F.xxhash64(F.col("_kl_id").cast("string"), F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
     chosen = marked.where(at < share)
-    return docs.join(small_enough(chosen, 4 * max_docs), F.col(id_col) == F.col("_kl_id")).select(F.col("_kl_label").alias("label"), F.coalesce(text_col, F.lit("")).alias("text"))
+    texts = docs.select(F.col(id_col).alias("_kl_doc"), F.coalesce(text_col, F.lit("")).alias("text"))
+    return texts.join(small_enough(chosen, 4 * max_docs), F.col("_kl_doc") == F.col("_kl_id")).select(F.col("_kl_label").alias("label"), "text")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -692,3 +692,11 @@ def test_vectors_without_links(spark):
     """Where nothing measured has a link, no recall is claimed."""
     df = spark.createDataFrame([(i, [float(i == j) for j in range(40)]) for i in range(40)], "vec_id long, embedding array<double>")
     assert {(r["n_links"], r["audited_recall"]) for r in vectors.near_duplicates(df).collect()} == {(0, None)}
+
+
+def test_training_rows_with_clashing_names(docs_of, spark):
+    """Columns of the documents under any name, the operators' own ones among them, don't matter."""
+    docs = docs_of([(i, f"text {i}") for i in range(20)]).withColumns({"_kl_id": F.lit(1), "_kl_label": F.lit(2), "_kl_doc": F.lit(3), "label": F.lit(4)})
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, toxic int").withColumn("text", F.lit("x"))
+    got = toxicity.training_rows(docs, labels, F.lit(True), 100, "doc_id", "text", "toxic")
+    assert sorted(rows(got)) == sorted((i % 2, f"text {i}") for i in range(10))
