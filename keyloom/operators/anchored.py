@@ -6,14 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.parse import DAY_MS, HOUR_MS, filled, ist_weekday
+from keyloom.functions.tables import written
 from keyloom.operators.kernels import KEY, TIE, TIME, counts_at, emit, first_seen, is_sliced, lane, latch, ordered, prefix, prepare, segments
 from keyloom.operators.memory import cooled, remember
+from keyloom.operators.slices import Part, running
 
 
 def _placed(events: DataFrame, eligible: Column | None, width_ms: int, values: dict[str, Column], guarded: bool = False) -> DataFrame:
     """Eligible events with ``values`` and the anchor of their segment; nothing else is sent through the ordered pass."""
     d = prepare(events, eligible, dedup=guarded, nudge=guarded)
-    return segments(d.select(*lane(d), TIME, TIE, "rn", *[c.alias(n) for n, c in values.items()]), width_ms, placed=True)
+    return segments(d.select(*lane(d), TIME, TIE, "rn", *[c.alias(n) for n, c in values.items()]), width_ms)
 
 
 def _diverse(d: DataFrame, name: str, value: str, on: int, notes: tuple[str, str], more: dict[str, Column] | None = None) -> DataFrame:
@@ -73,8 +75,9 @@ def concentration(events: DataFrame, name: str, value: str, width_ms: int, least
     The counts by value are taken for alerts alone, which are few, from the events of their segment up to them.
     """
     rows = _placed(events, eligible, width_ms, {"v": F.col(value)})
-    d = rows.withColumn("_c", F.row_number().over(ordered("anchor", "v"))).withColumn("_n", F.row_number().over(ordered("anchor")))
-    d = d.withColumn("_top", F.max(F.struct("_c", "v")).over(prefix(ordered("anchor")))).withColumn("_share", F.col("_top._c") / F.col("_n"))
+    rows = written(rows) if is_sliced(rows) else rows
+    d = running(rows.withColumn("_one", F.lit(1)), "anchor", "v", _c=Part("sum", "_one")).withColumn("_pair", F.struct("_c", "v"))
+    d = running(d, "anchor", _n=Part("sum", "_one"), _top=Part("max", "_pair")).withColumn("_share", F.col("_top._c") / F.col("_n"))
     enough = F.col("_n") >= least
     d = latch(d, enough & (F.col("_share") > on), enough & (F.col("_share") <= on), "anchor").select(KEY, TIME, "anchor", "rn", "_share", "_top", "_n")
     d = counts_at(d, rows, "v", "anchor")
@@ -92,7 +95,7 @@ def server_concentration(events: DataFrame, width_ms: int = HOUR_MS, least: int
 def weekend(events: DataFrame, width_ms: int = 7 * DAY_MS, least: int = 20, on: float = 0.5) -> DataFrame:
     """Share of events on Saturday and Sunday (India) so far in a segment above ``on``."""
     d = _placed(events, None, width_ms, {"w": (ist_weekday() >= 5).cast("int")})
-    d = d.withColumn("_n", F.row_number().over(ordered("anchor"))).withColumn("_w", F.sum("w").over(prefix(ordered("anchor")))).withColumn("_share", F.col("_w") / F.col("_n"))
+    d = running(d.withColumn("_one", F.lit(1)), "anchor", _n=Part("sum", "_one"), _w=Part("sum", "w")).withColumn("_share", F.col("_w") / F.col("_n"))
     enough = F.col("_n") >= least
     d = latch(d, enough & (F.col("_share") > on), enough & (F.col("_share") <= on), "anchor")
     return emit(d, "auth_weekend_anomaly_v1", "Ratio", F.col("_share"), F.col("anchor"), comments={"weekend_ratio": F.col("_share"), "weekend_count": F.col("_w"), "weekday_count": F.col("_n") - F.col("_w")})
@@ -136,7 +139,7 @@ def fingerprint_break(events: DataFrame, least: int = 20, most: int = 2, cooldow
     score = sum(((F.col(f"_{k}") == F.col(f"mode_{k}")).cast("int") for k in fields), F.lit(0))
     d = d.withColumn("score", score).where((F.col("rn") > least) & (F.col("score") <= most))
     d = d.select(KEY, TIME, TIE, "rn", "score", *[c for k in fields for c in (f"_{k}", f"mode_{k}")])
-    d = segments(d, cooldown_ms, inclusive=True, placed=True)
+    d = segments(d, cooldown_ms, inclusive=True)
     d = d.withColumn("_nth", F.row_number().over(ordered("anchor"))).where("_nth = 1")
     compared = F.struct(*[F.struct(F.col(f"mode_{k}").alias("baseline"), F.col(f"_{k}").alias("current"), (F.col(f"_{k}") == F.col(f"mode_{k}")).alias("match")).alias(k) for k in fields])
     notes = {"similarity_score": F.col("score"), "dimension_comparison": compared, "total_events_in_baseline": F.col("rn") - 1, "detection_timestamp": F.col(TIME)}
@@ -153,8 +156,8 @@ def cert_expiry(events: DataFrame, within_ms: int = 7 * DAY_MS, again_ms: int =
     expiry = F.unix_millis(F.to_utc_timestamp(F.try_to_timestamp(F.substring("certExpiryDate", 1, 8), F.lit("yyyyMMdd")), zone))
     d = prepare(events, filled("certExpiryDate")).withColumn("left", expiry - F.col(TIME))
     d = d.withColumn("_hit", F.coalesce((F.col("left") > 0) & (F.col("left") <= within_ms), F.lit(False)))
-    d = d.withColumn("_first", F.min(F.when(F.col("_hit"), F.col("rn"))).over(prefix(ordered()))).where(F.col("_first").isNotNull())
-    d = segments(d.select(KEY, TIME, TIE, "left", "certExpiryDate", F.col("_hit").alias("hit"), "_first"), again_ms, placed=True)
-    d = d.withColumn("_nth", F.row_number().over(ordered("anchor"))).where((F.col("_nth") == 1) & F.col("hit"))
+    d = running(d.withColumn("_one", F.col("_hit").cast("int")), _hits=Part("sum", "_one")).where(F.col("_hits") > 0)
+    d = segments(d.select(*lane(d), TIME, TIE, "left", "certExpiryDate", F.col("_hit").alias("hit")), again_ms)
+    d = running(d.withColumn("_one", F.lit(1)), "anchor", _order=Part("sum", "_one")).where((F.col("_order") == 1) & F.col("hit"))
     days = F.col("left") / DAY_MS
     return emit(d, "auth_cert_expiry_alert_v1", "Days", days, comments={"cert_id": F.col("certExpiryDate"), "days_remaining": F.format_string("%.1f", days), "alert": F.lit("Approaching expiration")})

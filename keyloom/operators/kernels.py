@@ -11,7 +11,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
@@ -84,38 +83,30 @@ def change_of(value: Column, w: WindowSpec | None = None) -> Column:
     return ~value.eqNullSafe(F.lag(value).over(w or ordered())) | (F.col("rn") == 1)
 
 
-def _begins(columns: list[pa.Array], last: list[pa.Scalar] | None) -> np.ndarray:
-    """For the rows of a batch, whether a key other than that of the row before begins; ``last`` is the key before the batch."""
-    new = np.zeros(len(columns[0]), dtype=bool)
-    new[0] = last is None or any(c[0] != x for c, x in zip(columns, last))
-    for c in columns:
-        a, b = c.slice(0, len(c) - 1), c.slice(1)
-        differ = pc.or_kleene(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b)))
-        new[1:] |= differ.to_numpy(zero_copy_only=False)
-    return new
-
-
-def fold(rows: DataFrame, function: Callable[[], Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch]], schema: str, *by: str, placed: bool = False) -> DataFrame:
+def fold(rows: DataFrame, function: Callable[[], Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch]], schema: str, *by: str) -> DataFrame:
     """An ordered pass over the events of each key (and ``by``), in bounded memory.
 
-    Keys are hashed to partitions and sorted; batches stream through, so a key of any length is never held. For each
-    partition ``function()`` makes a step that gets a batch and the places where a key begins, and keeps what it must.
-    ``placed`` says that ``rows`` come from windows over the key that their columns need: then they lie by key already.
+    A window that numbers the events lies under the pass, so Spark itself brings a key's events together in order, by an exchange
+    where they don't lie so already. Batches stream through, so a key of any length is never held. For each partition
+    ``function()`` makes a step that gets a batch and the places where a key begins, and keeps what it must. Numbers that don't follow
+    one another say that a key was torn apart, and fail the job.
     """
-    names = [KEY, *by]
+    names = [*lane(rows), *by]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step, last = function(), None
+        step, last = function(), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(n) for n in names]
-            new = _begins(columns, last)
-            last = [c[-1] for c in columns]
-            yield step(batch, new)
+            nth = batch.column("_nth").to_numpy()
+            new = nth == 1
+            if not (new | (nth == np.append(last, nth[:-1]) + 1)).all():
+                raise RuntimeError("the events of a key don't lie together in order")
+            last = nth[-1]
+            yield step(batch.select([n for n in batch.schema.names if n != "_nth"]), new)
 
-    lying = rows if placed else rows.repartition(*lane(rows))
-    return lying.sortWithinPartitions(*names, TIME, TIE).mapInArrow(run, schema)
+    numbered = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*names).orderBy(TIME, TIE)))
+    return numbered.sortWithinPartitions(*names, TIME, TIE).mapInArrow(run, schema)
 
 
 def _anchors(width: int, inclusive: bool):
@@ -150,21 +141,23 @@ def _anchors(width: int, inclusive: bool):
     return make
 
 
-def segments(rows: DataFrame, width_ms: int, *by: str, inclusive: bool = False, placed: bool = False) -> DataFrame:
+def segments(rows: DataFrame, width_ms: int, *by: str, inclusive: bool = False) -> DataFrame:
     """``rows`` with ``anchor``, the time of the event that opened their segment.
 
-    The first event of a key opens one; an event more than ``width_ms`` after the anchor (``inclusive``: that or more)
+    The first event of a key (and ``by``) opens one; an event more than ``width_ms`` after the anchor (``inclusive``: that or more)
     opens the next. Where each anchor lies depends on the one before, so this is an ordered pass that jumps from anchor
     to anchor. One exchange after it serves all windows of the segments, and is shared by all that read them.
     """
-    if is_sliced(rows):
-        if by:
-            raise ValueError("the segments of a sliced key have no further columns")
-        rows = written(rows)
-        entries = entry_anchors(rows, width_ms, inclusive).select(F.col(KEY).alias("_of"), F.col(SLICE).alias("_at"), "_entry")
-        rows = rows.join(entries, (F.col(KEY) == F.col("_of")) & (F.col(SLICE) == F.col("_at"))).drop("_of", "_at")
-        return fold(rows, _anchors(width_ms, inclusive), f"{_schema(rows)}, anchor bigint", SLICE).drop("_entry")
-    return fold(rows, _anchors(width_ms, inclusive), f"{_schema(rows)}, anchor bigint", *by, placed=placed).repartition(KEY)
+    if not is_sliced(rows):
+        return fold(rows, _anchors(width_ms, inclusive), f"{_schema(rows)}, anchor bigint", *by).repartition(KEY)
+    rows = written(rows)
+    entries = entry_anchors(rows, width_ms, inclusive, *by)
+    on = F.lit(True)
+    for c in (KEY, SLICE, *by):
+        entries = entries.withColumnRenamed(c, f"_of_{c}")
+        on &= F.col(c) == F.col(f"_of_{c}")
+    rows = rows.join(entries, on).drop(*[f"_of_{c}" for c in (KEY, SLICE, *by)])
+    return fold(rows, _anchors(width_ms, inclusive), f"{_schema(rows)}, anchor bigint", *by).drop("_entry")
 
 
 def _schema(rows: DataFrame) -> str:

@@ -88,7 +88,7 @@ def remember(d: DataFrame, most: dict[str, int], by_name: bool = False, after: b
         return step
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields), *(f"`{c}_seen` {SAYS}" for c in names)])
-    return fold(d, make, schema, placed=True)
+    return fold(d, make, schema)
 
 
 def cooled(d: DataFrame, column: str, wait_ms: int, most: int) -> DataFrame:
@@ -115,7 +115,7 @@ def cooled(d: DataFrame, column: str, wait_ms: int, most: int) -> DataFrame:
 
         return step
 
-    return fold(d, make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields), placed=True)
+    return fold(d, make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields))
 
 
 def distinct_within(d: DataFrame, column: str, width_ms: int, on: int) -> DataFrame:
@@ -149,4 +149,4 @@ def distinct_within(d: DataFrame, column: str, width_ms: int, on: int) -> DataFr
 
         return step
 
-    return fold(d, make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields) + ", _c bigint, _set array<string>", placed=True)
+    return fold(d, make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields) + ", _c bigint, _set array<string>")

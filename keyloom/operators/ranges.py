@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from keyloom.functions.parse import filled, is_no, ist_hour
 from keyloom.operators.kernels import KEY, TIE, TIME, emit, first_seen, in_range, latch, ordered, prepare
 from keyloom.operators.memory import distinct_within
-from keyloom.operators.slices import Part, running
+from keyloom.operators.slices import Part, is_sliced, kinds_in_range, lane, running, values_in_range
 
 
 def burst(events: DataFrame, name: str, width_ms: int, on: int, off: int, eligible: Column | None = None, label: str = "events", notes: dict[str, Column] | None = None) -> DataFrame:
@@ -33,16 +33,20 @@ def enrolment_hammering(events: DataFrame, width_ms: int = 3_600_000, on: int =
 def high_risk_hours(events: DataFrame, width_ms: int = 86_400_000, on: int = 5, off: int = 2) -> DataFrame:
     """Failures between one and four in the morning, over the last ``width_ms``, looked at on every failure."""
     d = prepare(events, is_no(), dedup=True, nudge=True).withColumn("_night", ist_hour().between(1, 3).cast("int"))
-    d = d.withColumn("_c", F.sum("_night").over(Window.partitionBy(KEY).orderBy("ts").rangeBetween(-width_ms, 0)))
+    d = in_range(d, "_c", width_ms, of="_night")
     d = latch(d, F.col("_c") >= on, F.col("_c") < off)
     return emit(d, "auth_high_risk_time_window_fails_v1", "Count", F.col("_c"), comments={"failures_between_1AM_and_4AM": F.col("_c"), "threshold": F.lit(on)})
 
 
 def rapid_device_switch(events: DataFrame, width_ms: int = 600_000, on: int = 4) -> DataFrame:
     """Distinct devices in the last ``width_ms``, on a latch."""
-    d = prepare(events, filled("deviceCode"), dedup=True, nudge=True).select(KEY, TIME, TIE, "rn", "deviceCode")
-    d = distinct_within(d, "deviceCode", width_ms, on)
-    d = latch(d, F.col("_c") >= on, F.col("_c") < on - 1)
+    d = prepare(events, filled("deviceCode"), dedup=True, nudge=True)
+    d = d.select(*lane(d), TIME, TIE, "rn", "deviceCode")
+    if is_sliced(d):
+        rows = kinds_in_range(d, "_c", "deviceCode", width_ms)
+        d = values_in_range(latch(rows, F.col("_c") >= on, F.col("_c") < on - 1), rows, "_set", "deviceCode", width_ms)
+    else:
+        d = latch(distinct_within(d, "deviceCode", width_ms, on), F.col("_c") >= on, F.col("_c") < on - 1)
     return emit(d, "auth_rapid_device_switch_v1", "Count", F.col("_c"), comments={"distinct_devices_10m": F.col("_c"), "devices_seen": F.col("_set")})
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyloom.functions.parse import filled, is_yes, ist_hour, number
-from keyloom.operators.kernels import KEY, TIME, change_of, counts_at, emit, last_rows, latch, ordered, prefix, prepare, segments
-from keyloom.operators.slices import Part, haloed, lagged, moments, near, running, settled
+from keyloom.functions.tables import written
+from keyloom.operators.kernels import KEY, TIE, TIME, change_of, counts_at, emit, last_rows, latch, prepare, segments
+from keyloom.operators.slices import Part, haloed, is_sliced, lagged, lane, moments, near, running, settled
 
 
 def rolling_share(
@@ -123,8 +124,9 @@ def biometric_replay(events: DataFrame, n: int = 50, on: int = 2) -> DataFrame:
     ok = ~((F.coalesce("fmrCount", F.lit("0")) == "0") & (F.coalesce("firCount", F.lit("0")) == "0"))
     d = prepare(events, ok, dedup=True, nudge=True)
     d = d.withColumn("_sig", F.concat_ws("|", *[F.coalesce(c, F.lit("0")) for c in fields]))
-    same = Window.partitionBy(KEY, "_sig").orderBy("rn").rangeBetween(-n, -1)
-    d = d.withColumn("_sig2", F.col("_sig")).withColumn("_same", F.count(F.lit(1)).over(same)).drop("_sig")
+    d = haloed(d, n + 1)
+    same = Window.partitionBy(*lane(d), "_sig").orderBy("rn").rangeBetween(-n, -1)
+    d = settled(d.withColumn("_sig2", F.col("_sig")).withColumn("_same", F.count(F.lit(1)).over(same))).drop("_sig")
     d = latch(d, F.col("_same") >= on, F.col("_same") < on)
     return emit(d, "auth_biometric_replay_v1", "Count", F.col("_same") + 1, comments={"exact_signature_matches": F.col("_same") + 1, "signature_blob": F.col("_sig2"), "buffer_size": F.least("rn", F.lit(n))})
 
@@ -135,12 +137,12 @@ def time_entropy(events: DataFrame, every: int = 50, low: float = 1.5, high: flo
     With c the events of an hour so far, the sum of c log2 c grows by c log2 c - (c-1) log2 (c-1) at each event, so the
     entropy log2 n - S / n is a running sum. The histogram in the comments is 24 running counts of the same window.
     """
-    d = prepare(events).withColumn("_hour", ist_hour())
-    c = F.row_number().over(ordered("_hour"))
+    d = running(prepare(events).withColumn("_hour", ist_hour()).withColumn("_one", F.lit(1)), "_hour", _k=Part("sum", "_one"))
     bits = lambda x: F.when(x > 0, x * F.log2(x)).otherwise(0.0)
-    d = d.withColumn("_c", c.cast("double")).withColumn("_s", F.sum(bits(F.col("_c")) - bits(F.col("_c") - 1)).over(prefix(ordered())))
+    d = d.withColumn("_c", F.col("_k").cast("double")).withColumn("_grows", bits(F.col("_c")) - bits(F.col("_c") - 1))
+    d = d.withColumns({f"_is{k}": (F.col("_hour") == k).cast("int") for k in range(24)})
+    d = running(d, _s=Part("sum", "_grows"), **{f"_at{k}": Part("sum", f"_is{k}") for k in range(24)})
     d = d.withColumn("_h", F.log2("rn") - F.col("_s") / F.col("rn"))
-    d = d.withColumns({f"_at{k}": F.count_if(F.col("_hour") == k).over(prefix(ordered())) for k in range(24)})
     d = d.where((F.col("rn") % every == 0) & ((F.col("_h") < low) | (F.col("_h") > high)))
     notes = {"entropy_bits": F.col("_h"), "total_events": F.col("rn"), "hour_distribution": F.array(*[f"_at{k}" for k in range(24)])}
     return emit(d, "auth_time_entropy_bits_v1", "Entropy Bits", F.col("_h"), comments=notes)
@@ -149,10 +151,10 @@ def time_entropy(events: DataFrame, every: int = 50, low: float = 1.5, high: flo
 def modality_concentration(events: DataFrame, chunk: int = 100, least: int = 30, on: float = 0.95) -> DataFrame:
     """Largest share of one bioType so far in a chunk of ``chunk`` events; counts and latch begin anew with each chunk."""
     d = prepare(events, filled("bioType", True)).withColumn("_chunk", F.floor((F.col("rn") - 1) / chunk)).withColumn("_n", (F.col("rn") - 1) % chunk + 1)
-    d = d.withColumn("_c", F.row_number().over(ordered("_chunk", "bioType")))
-    top = F.max(F.struct("_c", "bioType")).over(prefix(ordered("_chunk")))
-    d = d.withColumn("_top", top).withColumn("_share", F.col("_top._c") / F.col("_n"))
-    found = latch(d, (F.col("_n") >= least) & (F.col("_share") > on), (F.col("_n") >= least) & (F.col("_share") <= on), "_chunk")
+    d = written(d) if is_sliced(d) else d
+    found = running(d.withColumn("_one", F.lit(1)), "_chunk", "bioType", _c=Part("sum", "_one")).withColumn("_pair", F.struct("_c", "bioType"))
+    found = running(found, "_chunk", _top=Part("max", "_pair")).withColumn("_share", F.col("_top._c") / F.col("_n"))
+    found = latch(found, (F.col("_n") >= least) & (F.col("_share") > on), (F.col("_n") >= least) & (F.col("_share") <= on), "_chunk")
     found = counts_at(found.select(KEY, TIME, "_chunk", "rn", "_share", "_top", "_n"), d, "bioType", "_chunk")
     notes = {"concentration_ratio": F.col("_share"), "dominant_type": F.col("_top.bioType"), "counts": F.col("_counts"), "window_size": F.col("_n")}
     return emit(found, "bio_modality_concentration_v1", "Ratio", F.col("_share"), comments=notes)
@@ -191,12 +193,11 @@ def probe_minutiae(events: DataFrame, least: int = 10, on: float = 15.0) -> Data
 
 def credential_velocity(events: DataFrame, least: int = 15, on: float = 3.0, cooldown_ms: int = 60_000) -> DataFrame:
     """Gaps between events ``on`` or more deviations from the key's mean gap; after an alert, none for ``cooldown_ms``."""
-    d = prepare(events).withColumn("_gap", (F.col("ts") - F.lag("ts").over(ordered())).cast("double")).where(F.col("_gap").isNotNull())
-    w = prefix(ordered())
-    d = d.withColumn("_n", F.row_number().over(ordered())).withColumn("_mean", F.avg("_gap").over(w)).withColumn("_sd", F.stddev_samp("_gap").over(w))
+    d = running(prepare(events), _last=Part("last", TIME, before=True)).withColumn("_gap", (F.col(TIME) - F.col("_last")).cast("double")).where(F.col("_gap").isNotNull())
+    d = moments(d, "_gap").withColumn("_n", F.col("rn") - 1)
     d = d.withColumn("_z", (F.col("_gap") - F.col("_mean")) / F.nullif(F.col("_sd"), F.lit(0.0)))
-    d = d.where((F.col("_n") >= least) & (F.abs("_z") >= on)).select(KEY, "ts", "event_id", "_n", "_gap", "_mean", "_sd", "_z")
-    d = segments(d, cooldown_ms, inclusive=True, placed=True)
-    d = d.withColumn("_first", F.row_number().over(ordered("anchor"))).where("_first = 1")
+    d = d.where((F.col("_n") >= least) & (F.abs("_z") >= on)).select(*lane(d), TIME, TIE, "_n", "_gap", "_mean", "_sd", "_z")
+    d = segments(d, cooldown_ms, inclusive=True)
+    d = running(d.withColumn("_one", F.lit(1)), "anchor", _first=Part("sum", "_one")).where("_first = 1")
     notes = {"z_score": F.round("_z", 4), "direction": F.when(F.col("_z") < 0, "FASTER").otherwise("SLOWER"), "current_gap_sec": F.col("_gap") / 1000, "mean_gap_sec": F.col("_mean") / 1000, "stddev_gap_sec": F.col("_sd") / 1000, "sample_count": F.col("_n")}
     return emit(d, "auth_credential_velocity_anomaly", "Z-Score", F.col("_z"), comments=notes)

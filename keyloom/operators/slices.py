@@ -158,23 +158,55 @@ def moments(d: DataFrame, column: str) -> DataFrame:
     return d.drop("_n1", "_m1", "_q1", "_n2", "_m2", "_q2")
 
 
-def in_range(d: DataFrame, name: str, width_ms: int, most: int = 1_000_000) -> DataFrame:
-    """``d`` with the number of events in ``[ts - width, ts]`` up to the current one, by the ranks ``rn`` of a key.
+def in_range(d: DataFrame, name: str, width_ms: int, most: int = 1_000_000, of: str | None = None) -> DataFrame:
+    """``d`` with the number of events in ``[ts - width, ts]`` up to the current one, by the ranks ``rn`` of a key; or, where times
+    strictly increase, with the sum of the whole numbers ``of`` over these events.
 
     Over slices, each event sends a probe to the time where its range begins; probes and events are cut into slices of
     their own and in one order, and the running number of events at a probe says how many lie before the range. So a range may
     span any number of slices.
     """
     if not is_sliced(d):
+        within = Window.partitionBy(KEY).orderBy(TIME).rangeBetween(-width_ms, 0)
         # a plain range frame would count later events of the same time too
-        return d.withColumn(name, F.col("rn") - F.min("rn").over(Window.partitionBy(KEY).orderBy(TIME).rangeBetween(-width_ms, 0)) + 1)
+        return d.withColumn(name, F.sum(of).over(within) if of else F.col("rn") - F.min("rn").over(within) + 1)
+    d = running(d, _upto=Part("sum", of)) if of else d.withColumn("_upto", F.col("rn"))
     d = written(d)
-    events = d.select(KEY, TIME, F.col("rn").alias(TIE), F.lit(1).alias("_one"))
+    events = d.select(KEY, TIME, F.col("rn").alias(TIE), F.col(of).cast("int").alias("_one") if of else F.lit(1).alias("_one"))
     # at one time, probes come before events
     probes = d.select(KEY, (F.col(TIME) - width_ms).alias(TIME), (-F.col("rn")).alias(TIE), F.lit(0).alias("_one"))
     counted = running(cut_slices(events.unionByName(probes), most), _before=Part("sum", "_one"))
-    starts = counted.where(F.col("_one") == 0).select(F.col(KEY).alias("_of"), (-F.col(TIE)).alias("_for"), "_before")
-    return d.join(starts, (F.col(KEY) == F.col("_of")) & (F.col("rn") == F.col("_for"))).withColumn(name, F.col("rn") - F.col("_before")).drop("_of", "_for", "_before")
+    starts = counted.where(F.col(TIE) < 0).select(F.col(KEY).alias("_of"), (-F.col(TIE)).alias("_for"), "_before")
+    return d.join(starts, (F.col(KEY) == F.col("_of")) & (F.col("rn") == F.col("_for"))).withColumn(name, F.col("_upto") - F.col("_before")).drop("_of", "_for", "_before", "_upto")
+
+
+def kinds_in_range(d: DataFrame, name: str, value: str, width_ms: int, most: int = 1_000_000) -> DataFrame:
+    """``d``, in slices, with the number of distinct values in ``[ts - width, ts]``; times strictly increase, ``rn`` are a key's ranks.
+
+    A value is present from an event on until ``width`` after the last event with it that is no further from the one before. So
+    presences open at events and close at times of their own, and the running sum of both is the number of values.
+    """
+    d = written(running(d, value, _was=Part("last", TIME, before=True)))
+    opens = F.col("_was").isNull() | (F.col(TIME) - F.col("_was") > width_ms)
+    events = d.select(KEY, TIME, F.col("rn").alias(TIE), opens.cast("int").alias("_step"))
+    ends = d.where(opens & F.col("_was").isNotNull()).select(KEY, F.col("_was").alias(TIME)).unionByName(d.groupBy(KEY, value).agg(F.max(TIME).alias(TIME)).select(KEY, TIME))
+    # what ends at a time is gone for the event of that time
+    closes = ends.select(KEY, (F.col(TIME) + width_ms + 1).alias(TIME), F.lit(-1).cast("long").alias(TIE), F.lit(-1).alias("_step"))
+    counted = running(cut_slices(events.unionByName(closes), most), _now=Part("sum", "_step"))
+    found = counted.where(F.col(TIE) > 0).select(F.col(KEY).alias("_of"), F.col(TIE).alias("_for"), F.col("_now").alias(name))
+    return d.drop("_was").join(found, (F.col(KEY) == F.col("_of")) & (F.col("rn") == F.col("_for"))).drop("_of", "_for")
+
+
+def values_in_range(alerts: DataFrame, rows: DataFrame, name: str, value: str, width_ms: int) -> DataFrame:
+    """``alerts``, which are few, with the sorted distinct values that the ``rows`` of their key have in ``[ts - width, ts]``.
+
+    They are met in the two stretches of ``width`` that the range touches, so a key's rows are spread by time.
+    """
+    stretch = F.floor(F.col(TIME) / width_ms)
+    asked = alerts.select(F.col(KEY).alias("_of"), F.col(TIME).alias("_at"), F.explode(F.array(stretch, stretch - 1)).alias("_in"))
+    met = rows.select(KEY, TIME, value, stretch.alias("_own")).join(asked, (F.col(KEY) == F.col("_of")) & (F.col("_own") == F.col("_in")) & F.col(TIME).between(F.col("_at") - width_ms, F.col("_at")))
+    sets = met.groupBy("_of", "_at").agg(F.sort_array(F.collect_set(value)).alias(name))
+    return alerts.join(sets, (F.col(KEY) == F.col("_of")) & (F.col(TIME) == F.col("_at"))).drop("_of", "_at")
 
 
 def first_of(d: DataFrame, name: str, value: str, *by: str) -> DataFrame:
@@ -203,31 +235,36 @@ def reach(times: np.ndarray, width: int, inclusive: bool) -> tuple[np.ndarray, n
     return times[ends], last[ends]
 
 
-def entry_anchors(d: DataFrame, width_ms: int, inclusive: bool) -> DataFrame:
-    """``KEY, SLICE, _entry``: the anchor that holds where a slice begins, null at a key's first.
+def entry_anchors(d: DataFrame, width_ms: int, inclusive: bool, *by: str) -> DataFrame:
+    """``KEY, SLICE, _entry`` (and ``by``): the anchor that holds where a slice begins, null at the first of a key (and ``by``).
 
     A slice is summed up as a step function from where the first segment opens in it to its last anchor: chains of anchors
-    soon meet, so it has few steps. The steps of a key are followed slice by slice.
+    soon meet, so it has few steps. The steps of a key (and ``by``) are followed slice by slice.
     """
-    kind = d.schema[KEY].dataType.simpleString()
+    names = [KEY, *by]
+    kinds = ", ".join(f"`{n}` {d.schema[n].dataType.simpleString()}" for n in (*names, SLICE))
+
+    def groups(batch: pa.RecordBatch, columns: list[str]) -> list[tuple]:
+        return list(zip(*(batch.column(c).to_pylist() for c in columns)))
 
     def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, of = [], None
+        held, of, kept = [], None, None
 
         def close() -> pa.RecordBatch:
             upto, last = reach(np.concatenate(held), width_ms, inclusive)
-            return pa.RecordBatch.from_arrays([pa.array([of[0]]), pa.array([of[1]], pa.int64()), pa.array([upto.tolist()], pa.list_(pa.int64())), pa.array([last.tolist()], pa.list_(pa.int64()))], [KEY, SLICE, "upto", "last"])
+            steps = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (upto, last)]
+            return pa.RecordBatch.from_arrays([*kept.columns, *steps], [*names, SLICE, "upto", "last"])
 
         for batch in batches:
-            keys, slices, times = batch.column(KEY).to_pylist(), batch.column(SLICE).to_pylist(), batch.column(TIME).to_numpy()
-            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1] or slices[i] != slices[i - 1]), len(keys)]
+            lanes, times = groups(batch, [*names, SLICE]), batch.column(TIME).to_numpy()
+            cuts = [0, *(i for i in range(1, len(lanes)) if lanes[i] != lanes[i - 1]), len(lanes)]
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
                     continue
-                if of is not None and of != (keys[a], slices[a]):
+                if of is not None and of != lanes[a]:
                     yield close()
                     held = []
-                of = (keys[a], slices[a])
+                of, kept = lanes[a], batch.select([*names, SLICE]).slice(a, 1)
                 held.append(times[a:b])
         if of is not None:
             yield close()
@@ -236,15 +273,15 @@ def entry_anchors(d: DataFrame, width_ms: int, inclusive: bool) -> DataFrame:
         key, anchor = None, None
         for batch in batches:
             entries = []
-            for k, upto, last in zip(*(batch.column(c).to_pylist() for c in (KEY, "upto", "last"))):
+            for k, upto, last in zip(groups(batch, names), batch.column("upto").to_pylist(), batch.column("last").to_pylist()):
                 if k != key:
                     key, anchor = k, None
                 entries.append(anchor)
                 # the first stretch with an event out of the anchor's reach
                 at = 0 if anchor is None else int(np.searchsorted(upto, anchor + width_ms, side="left" if inclusive else "right"))
                 anchor = last[at] if at < len(upto) else anchor
-            yield pa.RecordBatch.from_arrays([batch.column(KEY), batch.column(SLICE), pa.array(entries, pa.int64())], [KEY, SLICE, "_entry"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*names, SLICE)), pa.array(entries, pa.int64())], [*names, SLICE, "_entry"])
 
-    ordered = d.select(KEY, SLICE, TIME).repartition(KEY, SLICE).sortWithinPartitions(KEY, SLICE, TIME)
-    steps = written(ordered.mapInArrow(sum_up, f"{KEY} {kind}, {SLICE} bigint, upto array<bigint>, last array<bigint>"))
-    return steps.repartition(KEY).sortWithinPartitions(KEY, SLICE).mapInArrow(follow, f"{KEY} {kind}, {SLICE} bigint, _entry bigint")
+    ordered = d.select(*names, SLICE, TIME).repartition(*names, SLICE).sortWithinPartitions(*names, SLICE, TIME)
+    steps = written(ordered.mapInArrow(sum_up, f"{kinds}, upto array<bigint>, last array<bigint>"))
+    return steps.repartition(*names).sortWithinPartitions(*names, SLICE).mapInArrow(follow, f"{kinds}, _entry bigint")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.parse import DAY_MS, HOUR_MS, IST_MS, filled, is_no, is_yes, ist_hour
-from keyloom.operators.kernels import KEY, TIE, TIME, before, change_of, emit, islands, last_rows, ordered, prefix, prepare, ranked, segments
-from keyloom.operators.slices import Part, first_of, haloed, near, running, settled
+from keyloom.operators.kernels import KEY, TIE, TIME, emit, islands, last_rows, prepare, ranked, segments
+from keyloom.operators.slices import Part, first_of, haloed, lane, near, running, settled
 
 
 def unpivot(d: DataFrame, parts: dict[str, Column], kind: str, start: Column, end: Column) -> DataFrame:
@@ -60,45 +60,41 @@ def retry(events: DataFrame, reach_ms: int = 120_000) -> DataFrame:
     Successes split a key into runs. In a run, the first failure opens a session, and one more than ``reach_ms`` after
     its opening opens the next; the success looks at the last session of the run that it ends.
     """
-    d = prepare(events, is_no() | is_yes()).withColumn("_no", is_no())
-    d = d.withColumn("run", F.sum(F.when(~F.col("_no"), 1).otherwise(0)).over(before(ordered()))).fillna(0, ["run"])
-    fails = segments(d.where("_no").select(KEY, TIME, TIE, "run"), reach_ms, "run")
-    last = fails.groupBy(KEY, "run", "anchor").agg(F.count(F.lit(1)).alias("n")).groupBy(KEY, "run").agg(F.max(F.struct("anchor", "n")).alias("s"))
-    done = d.where(~F.col("_no")).select(KEY, TIME, "run").join(last, [KEY, "run"]).where(F.col(TIME) - F.col("s.anchor") <= reach_ms)
-    took = F.floor((F.col(TIME) - F.col("s.anchor")) / 1000)
+    d = prepare(events, is_no() | is_yes()).withColumn("_no", is_no().cast("int")).withColumn("_done", 1 - F.col("_no"))
+    d = running(d, run=Part("sum", "_done", before=True)).fillna(0, ["run"])
+    # a success out of reach of the last session opens one without failures
+    d = segments(d.select(*lane(d), TIME, TIE, "run", "_no"), reach_ms, "run")
+    done = running(d, "run", "anchor", n=Part("sum", "_no")).where((F.col("_no") == 0) & (F.col("n") > 0))
+    took = F.floor((F.col(TIME) - F.col("anchor")) / 1000)
     rows = F.array(
-        F.struct(F.lit("auth_retry_attempts").alias("name"), F.lit("Count").alias("kind"), F.col("s.n").cast("double").alias("value")),
+        F.struct(F.lit("auth_retry_attempts").alias("name"), F.lit("Count").alias("kind"), F.col("n").cast("double").alias("value")),
         F.struct(F.lit("auth_retry_duration_sec").alias("name"), F.lit("Duration (seconds)").alias("kind"), took.cast("double").alias("value")),
     )
     done = done.withColumn("_part", F.explode(rows))
-    out = emit(done, F.col("_part.name"), "", F.col("_part.value"), F.col("s.anchor"))
+    out = emit(done, F.col("_part.name"), "", F.col("_part.value"), F.col("anchor"))
     return out.withColumn("feature_type", F.when(F.col("feature_name") == "auth_retry_attempts", "Count").otherwise("Duration (seconds)"))
 
 
 def device_changes(events: DataFrame) -> DataFrame:
     """One record a change of device: the device before, its number of events and last time, the device now and its authType."""
-    d = prepare(events, filled("deviceCode"))
-    d = islands(d, change_of(F.col("deviceCode")))
-    runs = d.groupBy(KEY, "island").agg(
-        F.count(F.lit(1)).alias("txns"), F.max(TIME).alias("last_ms"), F.first("deviceCode").alias("device"), F.min(TIME).alias("first_ms"), F.min_by("authType", "rn").alias("authType"), F.max("rn").alias("rn")
+    d = running(prepare(events, filled("deviceCode")), _device=Part("last", "deviceCode", before=True), _last=Part("last", TIME, before=True))
+    # a run of one device goes from the rank of one change to that of the next
+    d = d.withColumn("_from", F.when(F.col("_device").isNull() | (F.col("_device") != F.col("deviceCode")), F.col("rn")))
+    d = running(d, _before=Part("last", "_from", before=True)).where(F.col("_from").isNotNull() & F.col("_device").isNotNull())
+    return d.select(
+        F.col(KEY).alias("opt_id"), F.col("_last").alias("previous_devicecode_last_ms"), (F.col("rn") - F.col("_before")).cast("long").alias("previous_devicecode_txns"),
+        F.col("_device").alias("previous_devicecode"), F.col("deviceCode").alias("current_devicecode"), F.col("authType").alias("current_auth_type"), F.col(TIME).alias("ets_ms"),
     )
-    w = Window.partitionBy(KEY).orderBy("island")
-    runs = runs.select(
-        F.col(KEY).alias("opt_id"), F.lag("last_ms").over(w).alias("previous_devicecode_last_ms"), F.lag("txns").over(w).alias("previous_devicecode_txns"),
-        F.lag("device").over(w).alias("previous_devicecode"), F.col("device").alias("current_devicecode"), F.col("authType").alias("current_auth_type"), F.col("first_ms").alias("ets_ms"),
-    )
-    return runs.where(F.col("previous_devicecode").isNotNull())
 
 
 def odd_hours(events: DataFrame, least: int = 10, ladder: tuple[float, ...] = (0.2, 0.5, 0.8, 1.0)) -> DataFrame:
     """Share of events from 20:00 to 08:00 in a day from 08:00 to 08:00 (India); alerts on each higher step of ``ladder``."""
     d = prepare(events).withColumn("_cycle", F.floor((F.col(TIME) + IST_MS - 8 * HOUR_MS) / DAY_MS))
     odd = (ist_hour() >= 20) | (ist_hour() < 8)
-    w = ordered("_cycle")
-    d = d.withColumn("_n", F.row_number().over(w)).withColumn("_share", F.sum(odd.cast("int")).over(prefix(w)) / F.col("_n"))
+    d = running(d.withColumn("_one", F.lit(1)).withColumn("_odd", odd.cast("int")), "_cycle", _n=Part("sum", "_one"), _hit=Part("sum", "_odd")).withColumn("_share", F.col("_hit") / F.col("_n"))
     level = sum((F.when(F.col("_share") >= x, 1).otherwise(0) for x in ladder), F.lit(0))
     d = d.withColumn("_level", F.when(F.col("_n") >= least, level).otherwise(0))
-    d = d.withColumn("_before", F.coalesce(F.max("_level").over(before(w)), F.lit(0))).where(F.col("_level") > F.col("_before"))
+    d = running(d, "_cycle", _before=Part("max", "_level", before=True)).where(F.col("_level") > F.coalesce("_before", F.lit(0)))
     start = F.col("_cycle") * DAY_MS - IST_MS + 20 * HOUR_MS
     return emit(d, "auth_txn_oddhour_ratio", "", F.col("_share"), start, start + 12 * HOUR_MS)
 
@@ -218,11 +214,9 @@ def software_changes(events: DataFrame) -> DataFrame:
     """Changes of device software id or version; the value counts them."""
     d = prepare(events, filled("registeredDeviceSoftwareId") & filled("registeredDeviceSoftwareVersion"))
     fields = {"id": "registeredDeviceSoftwareId", "version": "registeredDeviceSoftwareVersion"}
-    both = F.struct(*fields.values())
-    d = d.withColumn("_changed", change_of(both) & (F.col("rn") > 1)).withColumn("_last", F.lag(TIME).over(ordered()))
-    for short, c in fields.items():
-        d = d.withColumn(f"_{short}", F.lag(c).over(ordered()))
-    d = d.withColumn("_n", F.count_if("_changed").over(prefix(ordered()))).where("_changed")
+    d = running(d, _last=Part("last", TIME, before=True), **{f"_{short}": Part("last", c, before=True) for short, c in fields.items()})
+    differ = [F.coalesce(F.col(f"_{short}") != F.col(c), F.lit(False)) for short, c in fields.items()]
+    d = running(d.withColumn("_changed", (differ[0] | differ[1]).cast("int")), _n=Part("sum", "_changed")).where("_changed = 1")
     notes = {"total_changes": F.col("_n"), "previous_id": F.col("_id"), "previous_version": F.col("_version"), "new_id": F.col(fields["id"]), "new_version": F.col(fields["version"])}
     return emit(d, "auth_rd_software_change_v1", "Count", F.col("_n"), F.col("_last"), comments=notes)
 

@@ -71,7 +71,10 @@ SLICED = frozenset(
     "auth_txn_gaps auth_dormancy auth_brute_force auth_cross_border auth_bot_recovery_speed auth_ghost_uptime auth_liveness_streak auth_failure_streak bio_liveness_streak "
     "auth_packet_replay bio_image_size_replay bio_uncanny_scores "
     "auth_duration_outlier auth_pid_size_anomaly bio_image_size_anomaly bio_response_time_anomaly bio_probe_minutiae "
-    "auth_geo_drift auth_device_diversity auth_model_diversity auth_provider_switch auth_aua_sa_diversity auth_error_spray".split()
+    "auth_geo_drift auth_device_diversity auth_model_diversity auth_provider_switch auth_aua_sa_diversity auth_error_spray "
+    "auth_txn_counts auth_retry_session auth_txn_oddhour_ratio auth_rd_software_change auth_biometric_replay auth_time_entropy auth_credential_velocity auth_high_risk_hours "
+    "auth_rapid_device_switch auth_concurrent_aua auth_error_hotspot auth_server_concentration auth_weekend auth_cert_expiry bio_modality_concentration "
+    "bio_capture_spoof bio_liveness_desync bio_deep_print_subversion".split()
 )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from keyloom.operators.kernels import KEY, segments
 from keyloom.operators.slices import SLICE, Part, cut_slices, in_range, moments, reach, running
+from keyloom.operators.streaks import device_changes
 from keyloom.plans.catalog import SIGNALS, SLICED, compute, compute_sliced
 from keyloom.sources.fixtures import FIELDS
 
@@ -36,11 +37,20 @@ CASES = {
     "auth_dormancy": {"gap_ms": 400_000}, "auth_brute_force": {"least": 2}, "auth_cross_border": {}, "auth_bot_recovery_speed": {"least": 1, "within_ms": 60_000}, "auth_ghost_uptime": {"gap_ms": 300_000, "least_ms": 200_000},
     "auth_liveness_streak": {}, "auth_failure_streak": {}, "bio_liveness_streak": {}, "auth_packet_replay": {"length": 2, "fields": ("deviceCode",)}, "bio_image_size_replay": {"length": 2, "field": "bioType"},
     "auth_night_surge": {"n": 300, "on": 0.1}, "bio_probe_minutiae": {}, "auth_enrolment_hammering": {"width_ms": 20_000_000, "on": 40, "off": 10},
+    "auth_txn_counts": {}, "auth_retry_session": {}, "auth_txn_oddhour_ratio": {}, "auth_rd_software_change": {}, "auth_biometric_replay": {"n": 400, "on": 1}, "auth_time_entropy": {"every": 7, "low": 3.0, "high": 3.5},
+    "auth_credential_velocity": {"on": 2.0}, "auth_high_risk_hours": {"on": 3}, "auth_rapid_device_switch": {"width_ms": 60_000}, "auth_concurrent_aua": {"on": 2}, "auth_error_hotspot": {"least": 3, "on": 0.4},
+    "auth_server_concentration": {"least": 3, "on": 0.4}, "auth_weekend": {"least": 3, "on": 0.2, "width_ms": 3_600_000}, "auth_cert_expiry": {"within_ms": 4000 * 86_400_000, "again_ms": 300_000}, "bio_modality_concentration": {"chunk": 20, "least": 4, "on": 0.5},
+    "bio_capture_spoof": {"below_ms": 5_000}, "bio_liveness_desync": {"above_ms": 1}, "bio_deep_print_subversion": {"below": 60.0},
 }
 
 
+#: Nights and weekends are elsewhere.
+SHIFTS = {"auth_high_risk_hours": 12 * 3_600_000, "auth_weekend": 4 * 86_400_000 + 10 * 3_600_000}
+
+
 @pytest.mark.parametrize("name", sorted(CASES))
 def test_any_number_of_slices(events, name):
+    events = events.withColumn("ts", F.col("ts") + SHIFTS.get(name, 0))
     plain = rows(compute(name, events, **CASES[name]))
     assert plain
     for most in (1500 - 1, 1500 // 7, 30) if name in ("auth_otp_fallback", "auth_geo_drift") else (1500 // 7,):
@@ -53,8 +63,20 @@ def test_a_thousand_slices(events):
 
 
 def test_comments_of_sliced_sets(events):
-    a, b = (sorted(r["comments"] for r in f("auth_geo_drift", events).collect()) for f in (compute, lambda n, e: compute_sliced(n, e, 200)))
-    assert a == b
+    for name in ("auth_geo_drift", "auth_rapid_device_switch", "auth_concurrent_aua", "auth_error_hotspot", "auth_rd_software_change", "bio_modality_concentration"):
+        a, b = (sorted(r["comments"] for r in f(name, events, **CASES[name]).collect()) for f in (compute, lambda n, e, **p: compute_sliced(n, e, 200, **p)))
+        assert a and a == b
+
+
+def test_all_sliced_signals_are_held_against_plain_ones():
+    same = {"auth_failure_burst", "auth_success_without_bio", "auth_location_mismatch", "bio_deep_print_failures", "auth_face_decline", "bio_match_trend", "bio_liveness_decline", "bio_uncanny_scores"}
+    same |= {"auth_pid_size_anomaly", "bio_image_size_anomaly", "bio_response_time_anomaly", "auth_device_diversity", "auth_model_diversity", "auth_provider_switch", "auth_aua_sa_diversity"}
+    assert SLICED == set(CASES) | same
+
+
+def test_device_changes_in_slices(events):
+    a, b = (sorted(map(tuple, device_changes(e).collect())) for e in (events, cut_slices(events, 100)))
+    assert a and a == b
 
 
 def test_no_slice_is_large(events):
@@ -96,4 +118,15 @@ def test_reach():
 def test_only_sliced_signals(events):
     assert SLICED <= set(SIGNALS)
     with pytest.raises(ValueError):
-        compute_sliced("auth_time_entropy", events)
+        compute_sliced("auth_location_anchor", events)
+
+
+def test_an_ordered_pass_brings_keys_together(spark):
+    """Whatever order rows come in, and where Spark takes a partitioning by fewer columns for not enough."""
+    d = spark.range(2000).selectExpr("concat('K', id % 3) AS entity_id", "id * 100 AS ts", "id AS event_id").repartition(7)
+    got = sorted((r[KEY], r["event_id"], r["anchor"]) for r in segments(d, 5_000).collect())
+    anchors = {}
+    for k, i in sorted((f"K{i % 3}", i) for i in range(2000)):
+        if k not in anchors or i * 100 - anchors[k] > 5_000:
+            anchors[k] = i * 100
+        assert got.pop(0) == (k, i, anchors[k])
