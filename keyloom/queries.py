@@ -7,7 +7,7 @@ by self join for time ranges, frames for shares.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -478,6 +478,8 @@ SPECS |= {
 # the same signals where one key has half of all events and is cut into slices
 for _name, _parameters in (("auth_velocity_spike", {"width_ms": 600_000}), ("auth_otp_fallback", {"on": 0.35}), ("auth_duration_outlier", {}), ("auth_geo_drift", {})):
     SPECS[f"{_name}_hot_key"] = Query(_name, SPECS[_name].sql, key="half", parameters=_parameters, slices_of=700)
+for _name in ("auth_retry_session", "auth_rapid_device_switch", "auth_high_risk_hours", "auth_error_hotspot", "auth_time_entropy"):
+    SPECS[f"{_name}_hot_key"] = replace(SPECS[_name], key="half", slices_of=700)
 
 _CHANGES = f"""WITH {duckdb_view()}, {events(filled("deviceCode"))}, c AS (SELECT *, coalesce(deviceCode <> lag(deviceCode) OVER ({W}), true) AS x FROM e),
 i AS (SELECT *, sum(x::INT) OVER ({W} ROWS UNBOUNDED PRECEDING) AS isle FROM c),
