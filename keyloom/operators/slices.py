@@ -44,6 +44,11 @@ def cut_slices(events: DataFrame, most: int, grain_ms: int = 1000) -> DataFrame:
     return joined.drop("_grain", "_of", "_at")
 
 
+def largest(d: DataFrame) -> int:
+    """How many events the largest slice has; 1 where there is none."""
+    return d.groupBy(KEY, SLICE).count().agg(F.max("count")).first()[0] or 1
+
+
 @dataclass(frozen=True)
 class Part:
     """A running value of a column: ``sum``, ``max`` or ``last`` (of those that are not null), with the current row or only before it."""
@@ -158,12 +163,12 @@ def moments(d: DataFrame, column: str) -> DataFrame:
     return d.drop("_n1", "_m1", "_q1", "_n2", "_m2", "_q2")
 
 
-def in_range(d: DataFrame, name: str, width_ms: int, most: int = 1_000_000, of: str | None = None) -> DataFrame:
+def in_range(d: DataFrame, name: str, width_ms: int, most: int | None = None, of: str | None = None) -> DataFrame:
     """``d`` with the number of events in ``[ts - width, ts]`` up to the current one, by the ranks ``rn`` of a key; or, where times
     strictly increase, with the sum of the whole numbers ``of`` over these events.
 
     Over slices, each event sends a probe to the time where its range begins; probes and events are cut into slices of
-    their own and in one order, and the running number of events at a probe says how many lie before the range. So a range may
+    their own (of ``most``, or as many as the largest of ``d``) and in one order, and the running number of events at a probe says how many lie before the range. So a range may
     span any number of slices.
     """
     if not is_sliced(d):
@@ -175,16 +180,17 @@ def in_range(d: DataFrame, name: str, width_ms: int, most: int = 1_000_000, of:
     events = d.select(KEY, TIME, F.col("rn").alias(TIE), F.col(of).cast("int").alias("_one") if of else F.lit(1).alias("_one"))
     # at one time, probes come before events
     probes = d.select(KEY, (F.col(TIME) - width_ms).alias(TIME), (-F.col("rn")).alias(TIE), F.lit(0).alias("_one"))
-    counted = running(cut_slices(events.unionByName(probes), most), _before=Part("sum", "_one"))
+    counted = running(cut_slices(events.unionByName(probes), most or largest(d)), _before=Part("sum", "_one"))
     starts = counted.where(F.col(TIE) < 0).select(F.col(KEY).alias("_of"), (-F.col(TIE)).alias("_for"), "_before")
     return d.join(starts, (F.col(KEY) == F.col("_of")) & (F.col("rn") == F.col("_for"))).withColumn(name, F.col("_upto") - F.col("_before")).drop("_of", "_for", "_before", "_upto")
 
 
-def kinds_in_range(d: DataFrame, name: str, value: str, width_ms: int, most: int = 1_000_000) -> DataFrame:
+def kinds_in_range(d: DataFrame, name: str, value: str, width_ms: int, most: int | None = None) -> DataFrame:
     """``d``, in slices, with the number of distinct values in ``[ts - width, ts]``; times strictly increase, ``rn`` are a key's ranks.
 
     A value is present from an event on until ``width`` after the last event with it that is no further from the one before. So
-    presences open at events and close at times of their own, and the running sum of both is the number of values.
+    presences open at events and close at times of their own, and the running sum of both, in slices of their own as ``in_range``
+    has them, is the number of values.
     """
     d = written(running(d, value, _was=Part("last", TIME, before=True)))
     opens = F.col("_was").isNull() | (F.col(TIME) - F.col("_was") > width_ms)
@@ -192,7 +198,7 @@ def kinds_in_range(d: DataFrame, name: str, value: str, width_ms: int, most: int
     ends = d.where(opens & F.col("_was").isNotNull()).select(KEY, F.col("_was").alias(TIME)).unionByName(d.groupBy(KEY, value).agg(F.max(TIME).alias(TIME)).select(KEY, TIME))
     # what ends at a time is gone for the event of that time
     closes = ends.select(KEY, (F.col(TIME) + width_ms + 1).alias(TIME), F.lit(-1).cast("long").alias(TIE), F.lit(-1).alias("_step"))
-    counted = running(cut_slices(events.unionByName(closes), most), _now=Part("sum", "_step"))
+    counted = running(cut_slices(events.unionByName(closes), most or largest(d)), _now=Part("sum", "_step"))
     found = counted.where(F.col(TIE) > 0).select(F.col(KEY).alias("_of"), F.col(TIE).alias("_for"), F.col("_now").alias(name))
     return d.drop("_was").join(found, (F.col(KEY) == F.col("_of")) & (F.col("rn") == F.col("_for"))).drop("_of", "_for")
 
