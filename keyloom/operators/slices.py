@@ -20,6 +20,9 @@ from keyloom.functions.tables import written
 
 KEY, TIME, TIE, SLICE = "entity_id", "ts", "event_id", "_slice"
 
+#: Grains of time whose running counts one task takes at once, where slices are cut.
+STRETCH = 4096
+
 
 def is_sliced(d: DataFrame) -> bool:
     return SLICE in d.columns
@@ -34,12 +37,18 @@ def cut_slices(events: DataFrame, most: int, grain_ms: int = 1000) -> DataFrame:
     """``events`` with ``SLICE``: consecutive stretches of time of a key, each of ``most`` events, and one time grain more at most.
 
     Events are counted by key and grain, and the running count of a key divided by ``most`` numbers its slices. Events
-    of one grain, so all of one time, share a slice.
+    of one grain, so all of one time, share a slice. The running count has two levels, over stretches of ``STRETCH`` grains and within
+    each, so no task gets more of a key than its stretches.
     """
     grain = F.floor(F.col(TIME) / grain_ms).alias("_grain")
-    counted = events.groupBy(F.col(KEY).alias("_of"), grain).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("_of").orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
-    edges = counted.select("_of", F.col("_grain").alias("_at"), F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / most).alias(SLICE))
+    wide = F.floor(F.col("_grain") / STRETCH)
+    counted = events.groupBy(F.col(KEY).alias("_of"), grain).agg(F.count(F.lit(1)).alias("_n")).withColumn("_wide", wide)
+    whole = events.select(F.col(KEY).alias("_for"), grain).groupBy("_for", wide.alias("_stretch")).agg(F.count(F.lit(1)).alias("_m"))
+    past = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    whole = whole.select("_for", "_stretch", F.coalesce(F.sum("_m").over(past("_for").orderBy("_stretch")), F.lit(0)).alias("_m"))
+    within = F.coalesce(F.sum("_n").over(past("_of", "_wide").orderBy("_grain")), F.lit(0))
+    counted = counted.withColumn("_within", within).join(whole, (F.col("_of") == F.col("_for")) & (F.col("_wide") == F.col("_stretch")))
+    edges = counted.select("_of", F.col("_grain").alias("_at"), F.floor((F.col("_m") + F.col("_within")) / most).alias(SLICE))
     joined = events.withColumn("_grain", grain).join(edges, (F.col(KEY) == F.col("_of")) & (F.col("_grain") == F.col("_at")))
     return joined.drop("_grain", "_of", "_at")
 

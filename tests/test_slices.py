@@ -130,3 +130,13 @@ def test_an_ordered_pass_brings_keys_together(spark):
         if k not in anchors or i * 100 - anchors[k] > 5_000:
             anchors[k] = i * 100
         assert got.pop(0) == (k, i, anchors[k])
+
+
+def test_slices_over_many_stretches(spark):
+    """Slices number the running count of a key, over more stretches of time than one."""
+    rng = np.random.default_rng(3)
+    times = np.sort(rng.integers(-10_000_000, 10_000_000_000, 500))
+    d = spark.createDataFrame([("a", int(t), i) for i, t in enumerate(times)] + [("b", 5, 1)], "entity_id string, ts long, event_id long")
+    grains = times // 1000
+    expected = {("a", i): int((grains < g).sum()) // 40 for i, g in enumerate(grains)} | {("b", 1): 0}
+    assert {(r[KEY], r["event_id"]): r[SLICE] for r in cut_slices(d, 40).collect()} == expected
