@@ -21,7 +21,7 @@ def crowded(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["auth_failure_streak", "auth_failure_streak_no_code", "auth_liveness_streak", "bio_liveness_streak_notes"])
+@pytest.mark.parametrize("name", ["auth_failure_streak", "auth_failure_streak_no_code", "auth_liveness_streak", "bio_liveness_streak", "bio_liveness_streak_notes"])
 def test_streaks_that_end_together(spark, crowded, name):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
