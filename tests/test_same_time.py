@@ -1,4 +1,4 @@
-"""Many events of a key at one time, as in large tables: streaks that end together."""
+"""Many events of a key at one time, as in large tables: streaks that end together, and ranges that hold most of a key."""
 
 import json
 import random
@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from keyloom.operators.slices import in_range
 from keyloom.queries import ORACLE_SQL, QUERIES
 
 
@@ -30,3 +31,18 @@ def test_streaks_that_end_together(spark, crowded, name):
     columns = sorted(got.columns)
     found = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL[name]})").fetchall()
     assert found and sorted(map(tuple, got.select(*columns).collect())) == sorted(found)
+
+
+def test_a_range_is_not_summed_anew_at_each_event(spark):
+    """Its cost an event mustn't grow with the events in range: no frame but those that only grow."""
+    rng = random.Random(2)
+    times = sorted(rng.randrange(3000) for _ in range(400))
+    d = spark.createDataFrame([("a", t, i, i + 1) for i, t in enumerate(times)], "entity_id string, ts long, event_id long, rn long")
+    counted = in_range(d, "c", 700)
+    assert {r["event_id"]: r["c"] for r in counted.collect()} == {i: sum(x >= t - 700 for x in times[: i + 1]) for i, t in enumerate(times)}
+    apart = d.withColumn("ts", F.col("ts") * 1000 + F.col("rn")).withColumn("odd", (F.col("rn") % 2).cast("int"))
+    moved = [t * 1000 + i + 1 for i, t in enumerate(times)]
+    summed = in_range(apart, "c", 700_000, of="odd")
+    assert {r["event_id"]: r["c"] for r in summed.collect()} == {i: sum((j + 1) % 2 for j in range(i + 1) if moved[j] >= t - 700_000) for i, t in enumerate(moved)}
+    for plan in (counted, summed):
+        assert "RangeFrame, -" not in plan._jdf.queryExecution().toString()
