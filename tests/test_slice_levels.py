@@ -1,10 +1,12 @@
 """What the levels of slices write and send: no fields that a signal doesn't read, no groups that lie in one slice."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from keyloom.operators import kernels, slices
-from keyloom.operators.kernels import segments
+from keyloom.operators.kernels import prepare, segments
 from keyloom.operators.slices import SLICE, cut_slices, entry_anchors
 from keyloom.plans import catalog
 from keyloom.plans.catalog import READS, SLICED, compute, compute_sliced
@@ -27,7 +29,7 @@ def tables(monkeypatch):
     return found
 
 
-@pytest.mark.parametrize("name", ["auth_retry_session"])
+@pytest.mark.parametrize("name", ["auth_otp_fallback", "auth_retry_session"])
 def test_slices_carry_what_is_read(spark, tables, name):
     events = events_view(spark, SF, key="half")
     parameters = {"auth_otp_fallback": {"on": 0.35}}.get(name, {})
@@ -38,6 +40,17 @@ def test_slices_carry_what_is_read(spark, tables, name):
     assert got == rows(compute(name, events, **parameters)) and set(READS) <= SLICED
 
 
+def test_a_rank_and_times_apart_are_one_level(spark, tables):
+    rng = random.Random(6)
+    rows = sorted(("ab"[i % 2], rng.choice([0, 0, 5, 7, 4000, 4001, 9000]) + 1000 * (i // 40), i) for i in range(300))
+    d = spark.createDataFrame(rows, "entity_id string, ts long, event_id long")
+    apart = lambda x: sorted((r["entity_id"], r["rn"], r["ts"], r["event_id"]) for r in prepare(x, nudge=True).collect())
+    expected = apart(d)
+    assert not tables and apart(cut_slices(d, 20)) == expected
+    # the rows once, the totals of the slices once
+    assert len(tables) == 2
+
+
 def test_runs_in_one_slice_have_no_entry(spark):
     """Most runs are short; those that don't cross from slice to slice take no part in the steps of anchors."""
     d = spark.range(2000).selectExpr("'a' AS entity_id", "id * 700 AS ts", "id AS event_id", "id div 7 AS run")
