@@ -29,10 +29,10 @@ def tables(monkeypatch):
     return found
 
 
-@pytest.mark.parametrize("name", ["auth_otp_fallback", "auth_retry_session"])
+@pytest.mark.parametrize("name", ["auth_otp_fallback", "auth_retry_session", "auth_rapid_device_switch", "auth_high_risk_hours"])
 def test_slices_carry_what_is_read(spark, tables, name):
     events = events_view(spark, SF, key="half")
-    parameters = {"auth_otp_fallback": {"on": 0.35}}.get(name, {})
+    parameters = {"auth_otp_fallback": {"on": 0.35}, "auth_rapid_device_switch": {"on": 6}}.get(name, {})
     rows = lambda d: sorted(map(tuple, d.collect()), key=str)
     got = rows(compute_sliced(name, events, 100, **parameters))
     unread = set(events.columns) - {"entity_id", "ts", "event_id", *READS[name]}
